@@ -8,6 +8,7 @@ from html.entities import html5
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .urls import resolve_sql
 from .values import let, sql_let
@@ -88,7 +89,7 @@ def page_links(page: Column, base: Column, *, dom: bool = False) -> Column:
     return let(parts, f"doc -> array_compact(transform(doc.found, attr -> {resolved}))")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def dom_hrefs(pages: pd.Series) -> pd.Series:
     """``a[href]`` values by the standard-library parser: slower, for markup patterns misread."""
     from html.parser import HTMLParser

@@ -49,14 +49,14 @@ def to_records(df: DataFrame, keep: tuple[str, ...] = (), **columns: Column) ->
         "change_op",
         change_op(columns.get("change_type", F.lit(None).cast("string")), columns["status_code"]),
     )
-    unknown = set(columns) - set(RECORD.fieldNames())
+    unknown = set(columns) - set(RECORD)
     if unknown:
         raise ValueError(f"not record fields: {sorted(unknown)}")
     return df.select(
         *keep,
         *[
-            columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in RECORD.fields
+            columns.get(name, F.lit(None)).cast(kind).alias(name)
+            for name, kind in RECORD.items()
         ],
     )
 

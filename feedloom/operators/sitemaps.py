@@ -64,7 +64,7 @@ def sitemap_urls(
         sitemaps.select(
             F.col("url").alias("sitemap_url"),
             is_sitemap_index(F.col("body")).alias("is_index"),
-            F.array_distinct(sitemap_locs(F.col("body"))).alias("locs"),
+            sitemap_locs(F.col("body")).alias("locs"),
         ).where(F.size("locs") > 0),
         "parsed",
     )

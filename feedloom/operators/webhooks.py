@@ -163,17 +163,12 @@ def normalize_webhooks(
 def route(verdicts: DataFrame, registry: DataFrame, *, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """``keep``, ``task_id`` and ``change_type`` for every task registered for a valid delivery.
 
-    Only sources whose webhook is active count. One source may receive any share of all deliveries.
+    The registry has one entry per source; only those whose webhook is active count.
     """
     valid = verdicts.where("is_valid").select(
         *keep, "change_type", F.col("external_resource_id").alias("source_identifier")
     )
-    # One list of tasks per source, so that the look-up side is unique.
-    active = (
-        registry.where("webhook_flag")
-        .groupBy("source_identifier")
-        .agg(F.flatten(F.collect_list("registered_tasks")).alias("__tasks"))
-    )
+    active = registry.where("webhook_flag").select("source_identifier", F.col("registered_tasks").alias("__tasks"))
     return lookup(valid, active, ["source_identifier"], keep, narrow_right=True).select(
         *keep, F.explode("__tasks").alias("task_id"), "change_type"
     )

@@ -1,98 +1,81 @@
-"""The schemas shared by all operators."""
+"""The schemas shared by all operators, as DDL texts."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_S = T.StringType()
-
-
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
-WEB_INFO = _struct("content_type string, depth int")
-GIT_INFO = _struct(
-    "file_path string, commit_sha string, commit_message string, repo string, branch string,"
-    " pusher string, commit_author string"
+WEB_INFO = "struct<content_type string, depth int>"
+GIT_INFO = (
+    "struct<file_path string, commit_sha string, commit_message string, repo string, branch string,"
+    " pusher string, commit_author string>"
 )
-DRIVE_INFO = _struct(
-    "file_id string, file_name string, mime_type string, file_size bigint, ingestion_type string,"
-    " created_time string, modified_time string, parents array<string>, trashed boolean"
+DRIVE_INFO = (
+    "struct<file_id string, file_name string, mime_type string, file_size bigint, ingestion_type string,"
+    " created_time string, modified_time string, parents array<string>, trashed boolean>"
 )
 
 # One row per fetched, listed or changed item, whatever its source; failures are rows too.
-RECORD = T.StructType(
-    [
-        T.StructField("source", _S),
-        T.StructField("id", _S),
-        T.StructField("url", _S),
-        T.StructField("status_code", T.IntegerType()),
-        T.StructField("fetched_at", T.TimestampType()),
-        T.StructField("content_kind", _S),
-        T.StructField("content_text", _S),
-        T.StructField("content_binary", T.BinaryType()),
-        T.StructField("change_type", _S),
-        T.StructField("change_op", _S),
-        T.StructField("entity_key", _S),
-        T.StructField("web", WEB_INFO),
-        T.StructField("git", GIT_INFO),
-        T.StructField("drive", DRIVE_INFO),
-        T.StructField("error", _S),
-        T.StructField("task_id", _S),
-    ]
-)
+RECORD = {
+    "source": "string",
+    "id": "string",
+    "url": "string",
+    "status_code": "int",
+    "fetched_at": "timestamp",
+    "content_kind": "string",
+    "content_text": "string",
+    "content_binary": "binary",
+    "change_type": "string",
+    "change_op": "string",
+    "entity_key": "string",
+    "web": WEB_INFO,
+    "git": GIT_INFO,
+    "drive": DRIVE_INFO,
+    "error": "string",
+    "task_id": "string",
+}
+RECORD_DDL = ", ".join(f"{name} {kind}" for name, kind in RECORD.items())
 
-PAGE = _struct(
+PAGE = (
     "url string, status_code int, content_type string, body string, error string, fetched_at timestamp"
 )
-REPO_FILE = _struct("repo string, branch string, commit_sha string, path string, content binary")
-DRIVE_FILE = _struct(
+REPO_FILE = ("repo string, branch string, commit_sha string, path string, content binary")
+DRIVE_FILE = (
     "id string, name string, mimeType string, webViewLink string, webContentLink string, size string,"
     " createdTime string, modifiedTime string, parents array<string>, trashed boolean"
 )
-DRIVE_CHANGE = T.StructType(
-    [
-        T.StructField("seq", T.LongType()),
-        T.StructField("fileId", _S),
-        T.StructField("removed", T.BooleanType()),
-        T.StructField("file", DRIVE_FILE),
-    ]
-)
-DRIVE_CONTENT = _struct("file_id string, content binary, error string")
+DRIVE_CHANGE = f"seq bigint, fileId string, removed boolean, file struct<{DRIVE_FILE}>"
+DRIVE_CONTENT = ("file_id string, content binary, error string")
 
 _COMMIT = (
     "struct<id string, message string, timestamp string, url string,"
     " author struct<name string, email string, username string>,"
     " added array<string>, modified array<string>, removed array<string>>"
 )
-PUSH = _struct(
+PUSH = (
     "ref string, before string, after string,"
     " repository struct<id bigint, name string, full_name string, html_url string>,"
     " pusher struct<name string, email string>,"
     f" commits array<{_COMMIT}>, head_commit {_COMMIT}"
 )
-PUSH_EVENT = _struct("event_id bigint, body string")
+PUSH_EVENT = ("event_id bigint, body string")
 
-DELIVERY = _struct(
+DELIVERY = (
     "event_id bigint, endpoint_id string, service string, headers map<string,string>, body string"
 )
-REGISTRY = _struct(
+REGISTRY = (
     "source_identifier string, endpoint_id string, secret string, external_webhook_id string,"
     " registered_tasks array<string>, webhook_flag boolean, start_page_token string,"
     " next_page_token string"
 )
-VERDICT = _struct(
+VERDICT = (
     "is_valid boolean, payload string, external_resource_id string, change_type string, error string"
 )
 
-TASK = _struct("task_id string, plugin_type string, config string")
-WEB_CONFIG = _struct(
+TASK = ("task_id string, plugin_type string, config string")
+WEB_CONFIG = (
     "startUrl string, maxDepth int, recursiveCrawling boolean, sitemapDiscovery boolean,"
     " allowedDomains array<string>, excludePaths array<string>, includePaths array<string>,"
     " requestTimeoutMs int, userAgent string, headers map<string,string>"
 )
-GIT_CONFIG = _struct("repoUrl string, branch string, depth int")
-DRIVE_CONFIG = _struct(
+GIT_CONFIG = ("repoUrl string, branch string, depth int")
+DRIVE_CONFIG = (
     "folderId string, authType string, serviceAccountKeyPath string, serviceAccountKey string, pageSize int"
 )
