@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import Staging
+
 
 def latest_changes(changes: DataFrame) -> DataFrame:
     """The last record per entity by ``seq``, then ``id``; failed fetches are left out.
@@ -21,21 +23,22 @@ def latest_changes(changes: DataFrame) -> DataFrame:
     )
 
 
-def apply_changes(current: DataFrame | None, changes: DataFrame) -> DataFrame:
+def apply_changes(
+    current: DataFrame | None, changes: DataFrame, *, staging: Staging | None = None
+) -> DataFrame:
     """The corpus after ``changes``: the newest copy per entity, deleted ones gone.
 
     Both sides are records with ``seq``; the corpus has one row per ``entity_key``. Stored rows are
     never shuffled for a small delta: they meet only its keys, by anti-joins the planner can
-    broadcast. A stored row newer than its change stays, so a batch may be applied again.
+    broadcast. A stored row newer than its change stays, so a batch may be applied again. With
+    ``staging`` the reduced changes are written down once instead of being worked out for each use.
     """
     latest = latest_changes(changes)
+    if staging is not None:
+        latest = staging.write(latest, "latest")
     if current is None:
         return latest.where(F.col("change_op") == "UPSERT")
-    due = (
-        changes.where((F.col("change_op") != "NONE") & F.col("entity_key").isNotNull())
-        .groupBy("entity_key")
-        .agg(F.max("seq").alias("__due"))
-    )
+    due = latest.select("entity_key", F.col("seq").alias("__due"))
     stored = current.select("entity_key", F.col("seq").alias("__stored"))
     untouched = current.join(
         due.withColumnRenamed("entity_key", "__key"),

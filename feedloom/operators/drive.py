@@ -104,20 +104,21 @@ def _file_records(
             F.when(action == "trashed", F.lit(True)).alias("trashed"),
         ),
         error=error,
+        task_id=F.col("task_id") if "task_id" in rows.columns else F.lit(None),
     )
 
 
 def drive_listing(
-    files: DataFrame, folder_id: str | Column, *, resume_after: str | None = None, include_trashed: bool = False
+    files: DataFrame, folder_id: str | Column | None, *, resume_after: str | None = None, include_trashed: bool = False
 ) -> DataFrame:
-    """Files of a folder, in the order of their ids, from behind ``resume_after`` if given.
+    """Files of a folder (of all, for None); with ``resume_after`` only those of greater ids.
 
     Rows without an id or a name are skipped; trashed files are listed only on request.
     """
-    folder = F.lit(folder_id) if isinstance(folder_id, str) else folder_id
-    listed = files.where(
-        F.array_contains(F.col("parents"), folder) & ~is_blank(F.col("id")) & ~is_blank(F.col("name"))
-    )
+    listed = files.where(~is_blank(F.col("id")) & ~is_blank(F.col("name")))
+    if folder_id is not None:
+        folder = F.lit(folder_id) if isinstance(folder_id, str) else folder_id
+        listed = listed.where(F.array_contains(F.col("parents"), folder))
     if not include_trashed:
         listed = listed.where(~F.coalesce(F.col("trashed"), F.lit(False)))
     return listed if resume_after is None else listed.where(F.col("id") > resume_after)
@@ -126,24 +127,29 @@ def drive_listing(
 def drive_full_scan(
     files: DataFrame,
     content: DataFrame,
-    folder_id: str | Column,
+    folder_id: str | Column | None,
     *,
     resume_after: str | None = None,
     include_trashed: bool = False,
+    task_id: Column | None = None,
     run_ts: Column | None = None,
 ) -> DataFrame:
-    """Records of a folder. Live files carry no change type; a file without content is an error row."""
+    """Records of a folder. Live files carry no change type; a file without content is an error row.
+
+    ``task_id`` is a Column over ``files``, for listings already matched with tasks.
+    """
     listed = drive_listing(files, folder_id, resume_after=resume_after, include_trashed=include_trashed)
     action = F.when(F.coalesce(F.col("trashed"), F.lit(False)), "trashed").otherwise("live")
     rows = listed.select(
         F.col("id").alias("file_id"),
+        (task_id if task_id is not None else F.lit(None).cast("string")).alias("task_id"),
         action.alias("action"),
         F.struct(
             "name", "mimeType", "webViewLink", "webContentLink", "size", "createdTime", "modifiedTime", "parents"
         ).alias("file"),
         F.when(action == "live", F.col("id")).alias("__lookup"),
     )
-    got = lookup(rows, _content(content), ["__lookup"], ["file_id"])
+    got = lookup(rows, _content(content), ["__lookup"], ["file_id", "task_id"])
     trashed = F.col("action") == "trashed"
     return _file_records(
         got,

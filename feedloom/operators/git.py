@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import has_key, is_json
-from ..functions.values import lossy_utf8
+from ..functions.values import let, lossy_utf8
 from ..plans.lookup import lookup
 from ..schemas import PUSH
+from ..session import Staging
 from .records import git_key, to_records
 
 PING_MESSAGE = "GitHub 'ping' event processed successfully (no data ingested)."
@@ -31,7 +32,11 @@ def _kind(text: Column) -> Column:
 
 
 def git_full_scan(
-    repo_files: DataFrame, *, branch: str | Column = "main", run_ts: Column | None = None
+    repo_files: DataFrame,
+    *,
+    branch: str | Column = "main",
+    task_id: Column | None = None,
+    run_ts: Column | None = None,
 ) -> DataFrame:
     """Records of every readable visible file of one branch.
 
@@ -62,23 +67,24 @@ def git_full_scan(
             F.lit(None).cast("string").alias("pusher"),
             F.lit(None).cast("string").alias("commit_author"),
         ),
+        task_id=task_id if task_id is not None else F.lit(None),
     )
 
 
-def _parsed(pushes: DataFrame) -> DataFrame:
-    return pushes.withColumn("push", F.from_json("body", PUSH))
+def _read_push(body: Column) -> Column:
+    """STRUCT<outcome, push> of an event body, which is parsed once: ``ping``, ``push`` or ``bad``."""
 
+    def judged(text: Column) -> Column:
+        ping = has_key(text, "zen") & has_key(text, "hook_id")
 
-def _is_ping() -> Column:
-    return has_key(F.col("body"), "zen") & has_key(F.col("body"), "hook_id")
+        def with_push(p: Column) -> Column:
+            whole = p["ref"].isNotNull() & p["repository"].isNotNull() & p["commits"].isNotNull() & is_json(text)
+            outcome = F.when(ping, "ping").when(whole, "push").otherwise("bad")
+            return F.struct(outcome.alias("outcome"), p.alias("push"))
 
+        return let(F.from_json(text, PUSH), with_push)
 
-def _well_formed() -> Column:
-    p = F.col("push")
-    return F.coalesce(
-        p["ref"].isNotNull() & p["repository"].isNotNull() & p["commits"].isNotNull() & is_json(F.col("body")),
-        F.lit(False),
-    )
+    return let(body, judged)
 
 
 def git_push_status(pushes: DataFrame, *keep: str) -> DataFrame:
@@ -86,19 +92,15 @@ def git_push_status(pushes: DataFrame, *keep: str) -> DataFrame:
 
     Pings succeed without data; a body that is not a push fails. ``branch`` is set for pushes.
     """
-    outcome = F.when(_is_ping(), "ping").when(_well_formed(), "push").otherwise("bad")
-    return (
-        _parsed(pushes)
-        .select(*keep, outcome.alias("__outcome"), F.col("push")["ref"].alias("__ref"))
-        .select(
-            *keep,
-            F.when(F.col("__outcome") == "bad", 500).otherwise(200).alias("code"),
-            F.when(F.col("__outcome") == "ping", PING_MESSAGE)
-            .when(F.col("__outcome") == "push", PUSH_MESSAGE)
-            .otherwise(BAD_PUSH_MESSAGE)
-            .alias("message"),
-            F.when(F.col("__outcome") == "push", branch_of(F.col("__ref"))).alias("branch"),
-        )
+    outcome, push = F.col("__event")["outcome"], F.col("__event")["push"]
+    return pushes.select(*keep, _read_push(F.col("body")).alias("__event")).select(
+        *keep,
+        F.when(outcome == "bad", 500).otherwise(200).alias("code"),
+        F.when(outcome == "ping", PING_MESSAGE)
+        .when(outcome == "push", PUSH_MESSAGE)
+        .otherwise(BAD_PUSH_MESSAGE)
+        .alias("message"),
+        F.when(outcome == "push", branch_of(push["ref"])).alias("branch"),
     )
 
 
@@ -113,35 +115,52 @@ def _files(commit: Column) -> Column:
 
 
 def git_push_delta(
-    pushes: DataFrame, repo_files: DataFrame, *keep: str, run_ts: Column | None = None
+    pushes: DataFrame,
+    repo_files: DataFrame,
+    *keep: str,
+    run_ts: Column | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Records for the files the head commit of every push touches.
 
     Added and modified files get their content from ``repo_files`` at the pushed commit, or become
     an error row; removed files become tombstones. Pings, malformed bodies and pushes without a
-    head commit give no rows. Works on a stream of pushes as well.
+    head commit give no rows. Works on a stream of pushes as well. The look-up reads the list of
+    files twice; with ``staging`` it is written down first, so that bodies are parsed once.
     """
-    p, head = F.col("push"), F.col("push")["head_commit"]
-    changes = (
-        _parsed(pushes)
-        .where(~_is_ping() & _well_formed() & head.isNotNull())
-        .select(
-            *keep,
-            F.xxhash64("body").alias("__event"),
-            p["repository"]["full_name"].alias("__name"),
-            p["repository"]["html_url"].alias("__home"),
-            p["after"].alias("__after"),
-            branch_of(p["ref"]).alias("__branch"),
-            p["pusher"]["name"].alias("__pusher"),
-            head["id"].alias("__commit"),
-            head["message"].alias("__message"),
-            head["author"]["name"].alias("__author"),
-            F.posexplode(_files(head)).alias("__pos", "__file"),
+
+    def head_files(event: Column) -> Column:
+        p = event["push"]
+        head = p["head_commit"]
+        about = F.struct(
+            p["repository"]["full_name"].alias("name"),
+            p["repository"]["html_url"].alias("home"),
+            p["after"].alias("after"),
+            branch_of(p["ref"]).alias("branch"),
+            p["pusher"]["name"].alias("pusher"),
+            head["id"].alias("commit"),
+            head["message"].alias("message"),
+            head["author"]["name"].alias("author"),
         )
-        .withColumn("__path", F.col("__file")["path"])
-        .withColumn("__kind", F.col("__file")["kind"])
-        .drop("__file")
+        rows = F.transform(_files(head), lambda f: F.struct(f["path"].alias("path"), f["kind"].alias("kind"), about.alias("about")))
+        return F.when((event["outcome"] == "push") & head.isNotNull(), rows)
+
+    # One generator holds all the parsing: as separate columns and filters the optimizer would
+    # push and repeat them, and parse every body many times over.
+    changes = pushes.select(
+        *keep, F.posexplode(let(_read_push(F.col("body")), head_files)).alias("__pos", "__file")
+    ).select(
+        *keep,
+        "__pos",
+        F.col("__file")["path"].alias("__path"),
+        F.col("__file")["kind"].alias("__kind"),
+        *[
+            F.col("__file")["about"][name].alias(f"__{name}")
+            for name in ("name", "home", "after", "branch", "pusher", "commit", "message", "author")
+        ],
     )
+    if staging is not None:
+        changes = staging.write(changes, "push_files")
     removed = F.col("__kind") == "removed"
     # Tombstones need no content: a NULL key keeps them out of the match.
     keyed = changes.select(
@@ -151,7 +170,7 @@ def git_push_delta(
         F.when(~removed, F.col("__path")).alias("path"),
     )
     content = repo_files.select("repo", "commit_sha", "path", "content")
-    got = lookup(keyed, content, ["repo", "commit_sha", "path"], ["__event", "__pos", *keep])
+    got = lookup(keyed, content, ["repo", "commit_sha", "path"], ["__name", "__path", "__pos", *keep])
 
     failed = ~removed & F.col("content").isNull()
     file_id = F.concat_ws("-", "__name", "__path")
@@ -189,19 +208,18 @@ def git_push_delta(
 
 def push_commit_files(pushes: DataFrame, *keep: str) -> DataFrame:
     """``(keep, repo, commit_id, path, kind)`` for every file of every commit a push carries."""
-    return (
-        _parsed(pushes)
-        .where(_well_formed())
-        .select(
-            *keep,
-            F.col("push")["repository"]["full_name"].alias("repo"),
-            F.explode(F.col("push")["commits"]).alias("__commit"),
-        )
-        .select(
-            *keep,
-            "repo",
-            F.col("__commit")["id"].alias("commit_id"),
-            F.explode(_files(F.col("__commit"))).alias("__file"),
-        )
-        .select(*keep, "repo", "commit_id", F.col("__file")["path"].alias("path"), F.col("__file")["kind"].alias("kind"))
-    )
+
+    def all_files(event: Column) -> Column:
+        name = event["push"]["repository"]["full_name"]
+
+        def of_commit(c: Column) -> Column:
+            return F.transform(
+                _files(c),
+                lambda f: F.struct(
+                    name.alias("repo"), c["id"].alias("commit_id"), f["path"].alias("path"), f["kind"].alias("kind")
+                ),
+            )
+
+        return F.when(event["outcome"] == "push", F.flatten(F.transform(event["push"]["commits"], of_commit)))
+
+    return pushes.select(*keep, F.inline(let(_read_push(F.col("body")), all_files)))

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import normalize_url
 from ..schemas import RECORD
 
 # Change types as the three sources spell them, by what they do to a stored copy.
@@ -25,10 +24,6 @@ def change_op(change_type: Column, status_code: Column) -> Column:
     )
 
 
-def web_key(url: Column) -> Column:
-    return normalize_url(url)
-
-
 def git_key(repo: Column, branch: Column, path: Column) -> Column:
     """Full scans name a repository by address, pushes by ``owner/name``; both give one key."""
     name = F.regexp_replace(F.regexp_replace(repo, r"^[a-z+]+://[^/]+/|^[^@/]+@[^:/]+:", ""), r"(?:\.git)?/*$", "")
@@ -45,20 +40,13 @@ def to_records(df: DataFrame, keep: tuple[str, ...] = (), **columns: Column) ->
     ``change_op`` is derived. ``keep`` names columns of ``df`` to carry in front, such as the
     position in a feed.
     """
-    columns.setdefault(
-        "change_op",
-        change_op(columns.get("change_type", F.lit(None).cast("string")), columns["status_code"]),
-    )
     unknown = set(columns) - set(RECORD)
     if unknown:
         raise ValueError(f"not record fields: {sorted(unknown)}")
-    return df.select(
-        *keep,
-        *[
-            columns.get(name, F.lit(None)).cast(kind).alias(name)
-            for name, kind in RECORD.items()
-        ],
+    fields = df.select(
+        *keep, *[columns.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in RECORD.items()]
     )
+    return fields.withColumn("change_op", change_op(F.col("change_type"), F.col("status_code")))
 
 
 def unify(*parts: DataFrame) -> DataFrame:

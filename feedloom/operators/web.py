@@ -9,7 +9,7 @@ from ..functions.html import is_html, page_links
 from ..functions.urls import fetch_key, normalize_url, parse_absolute, url_allowed, url_scheme
 from ..plans.lookup import lookup
 from ..session import Staging
-from .records import to_records, web_key
+from .records import to_records
 
 TASK_COLUMNS = ("task_id", "max_depth", "recursive", "allowed_domains", "include_paths", "exclude_paths")
 
@@ -71,33 +71,45 @@ def web_fetch(frontier: DataFrame, pages: DataFrame, *, run_ts: Column | None =
         _column(frontier, "depth", "int").alias("depth"),
     )
     got = lookup(front, _prepared(pages), ["__fetch"], ["task_id", "url"])
-    hit, url = F.col("__hit").isNotNull(), F.col("url")
-    ok = hit & _succeeded(F.col("__status"))
+    hit, requested = F.col("__hit").isNotNull(), F.col("__requested")
     # A request is only made for an absolute http(s) address; for anything else it fails outright.
-    requested = parse_absolute(url)
     refusal = F.when(requested.isNull(), "Invalid URL").when(
         ~requested.startswith("http"), F.concat(F.lit("Unsupported protocol "), url_scheme(requested), F.lit(":"))
     )
-    status = F.when(hit, F.coalesce(F.col("__status"), F.lit(500))).otherwise(
-        F.when(refusal.isNotNull(), 500).otherwise(404)
-    )
-    message = F.when(
-        ~ok,
-        F.coalesce(
-            F.when(hit, F.col("__error")).otherwise(refusal),
-            F.concat(F.lit("Request failed with status code "), status.cast("string")),
-        ),
+    # In steps, so that no expression is repeated inside another one.
+    judged = (
+        got.withColumn("__requested", parse_absolute(F.col("url")))
+        .withColumn("__refusal", F.when(~hit, refusal))
+        .withColumn("__ok", hit & _succeeded(F.col("__status")))
+        .withColumn(
+            "__code",
+            F.when(hit, F.coalesce(F.col("__status"), F.lit(500))).otherwise(
+                F.when(F.col("__refusal").isNotNull(), 500).otherwise(404)
+            ),
+        )
+        .withColumn(
+            "__message",
+            F.when(
+                ~F.col("__ok"),
+                F.coalesce(
+                    F.col("__error"),
+                    F.col("__refusal"),
+                    F.concat(F.lit("Request failed with status code "), F.col("__code").cast("string")),
+                ),
+            ),
+        )
     )
+    ok, message = F.col("__ok"), F.col("__message")
     return to_records(
-        got,
+        judged,
         source=F.lit("web"),
         id=F.col("url"),
         url=F.col("url"),
-        status_code=status,
+        status_code=F.col("__code"),
         fetched_at=F.coalesce(F.col("__at"), run_ts) if run_ts is not None else F.col("__at"),
         content_kind=F.when(ok, content_kind(F.col("__type"), F.col("__body"))).otherwise("error"),
         content_text=F.when(ok, F.col("__body")).otherwise(F.concat(F.lit("Error fetching: "), message)),
-        entity_key=web_key(F.col("url")),
+        entity_key=F.coalesce(requested, F.col("url")),
         web=F.struct(F.when(ok, F.col("__type")).alias("content_type"), F.col("depth")),
         error=message,
         task_id=F.col("task_id"),

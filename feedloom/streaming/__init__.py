@@ -1,0 +1 @@
+"""The same operators on streams, and what a stream writes."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.urls import normalize_url, url_allowed
 from feedloom.operators import changes, drive, git, records, sitemaps, tasks, web, webhooks
+from feedloom.session import Staging
 
 from . import inputs
 
@@ -106,7 +107,7 @@ def git_push_status(spark, sf_dir) -> DataFrame:
 
 
 def git_push_delta(spark, sf_dir) -> DataFrame:
-    delta = git.git_push_delta(inputs.push_events(spark, sf_dir), inputs.repo_files(spark, sf_dir), "event_id")
+    delta = git.git_push_delta(inputs.push_events(spark, sf_dir), inputs.repo_files(spark, sf_dir), "event_id", staging=Staging(spark, "pushes"))
     return delta.select(
         "event_id",
         "id",
@@ -222,7 +223,7 @@ def apply_changes(spark, sf_dir) -> DataFrame:
     stored = drive.drive_full_scan(files, content, "shared").withColumn("seq", F.lit(-1).cast("bigint"))
     corpus = changes.apply_changes(None, stored)
     delta = drive.drive_delta(inputs.drive_changes(spark, sf_dir), content, "shared", 0)
-    return changes.apply_changes(corpus, delta).select(
+    return changes.apply_changes(corpus, delta, staging=Staging(spark, "apply")).select(
         "entity_key", F.col("seq").alias("last_op_seq"), "status_code"
     )
 

@@ -1,0 +1,147 @@
+"""URL expressions against literal expected texts."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.functions import urls
+
+NORMAL = [
+    ("https://www.example.com", "https://www.example.com/"),
+    ("HTTP://EXAMPLE.com:80/A b?q=ü'x#fr ag", "http://example.com/A%20b?q=%C3%BC%27x#fr%20ag"),
+    ("http://u:p@h.com:8080/a/./b/../c/..", "http://u:p@h.com:8080/a/"),
+    ("http://u:@h.com/", "http://u@h.com/"),
+    ("http://a:b:c@h.com/", "http://a:b%3Ac@h.com/"),
+    ("https://a.com/x|y", "https://a.com/x|y"),
+    (" \thttp:\\\\ex.com\\a\\..\\b ", "http://ex.com/b"),
+    ("https://h/x\ty\n", "https://h/xy"),
+    ("mailto:A@b.c", "mailto:A@b.c"),
+    ("JavaScript:void(0)", "javascript:void(0)"),
+    ("https://h:443", "https://h/"),
+    ("http://h:443/", "http://h:443/"),
+    ("https://h:0443/x?", "https://h/x?"),
+    ("https://h:/x", "https://h/x"),
+    ("http://[::1]:80/x#", "http://[::1]/x#"),
+    ("http:///foo", "http://foo/"),
+    ("http:foo", "http://foo/"),
+    ("https://ex%41mple.com/%7e", "https://example.com/%7e"),
+    ("http://bücher.de/ä", "http://xn--bcher-kva.de/%C3%A4"),
+    ("http://h/%2e/a/%2E%2e/b", "http://h/b"),
+    ("http://h/../../x", "http://h/x"),
+    ('http://h/"<>`{}', "http://h/%22%3C%3E%60%7B%7D"),
+    ("http://h/😀", "http://h/%F0%9F%98%80"),
+    ("ftp://h:21/x", "ftp://h/x"),
+    ("http://h/a?b=/./c#/../d", "http://h/a?b=/./c#/../d"),
+    # Not absolute, or no valid host: unchanged.
+    ("not a url", "not a url"),
+    ("/p/1", "/p/1"),
+    ("http://", "http://"),
+    ("http://h:99999/", "http://h:99999/"),
+    ("http://h:x/", "http://h:x/"),
+    ("http://a b/", "http://a b/"),
+    ("", ""),
+]
+
+BASE = "https://h.com/d/e/f.html?q=1#z"
+RESOLVED = [
+    ("#t", "https://h.com/d/e/f.html?q=1#t"),
+    ("?x=1", "https://h.com/d/e/f.html?x=1"),
+    ("g", "https://h.com/d/e/g"),
+    ("./g", "https://h.com/d/e/g"),
+    ("../g", "https://h.com/d/g"),
+    ("../../../../g", "https://h.com/g"),
+    ("..", "https://h.com/d/"),
+    (".", "https://h.com/d/e/"),
+    ("/abs", "https://h.com/abs"),
+    ("//other.com/x", "https://other.com/x"),
+    ("\\\\o.com\\y", "https://o.com/y"),
+    ("\\y", "https://h.com/y"),
+    ("https:next", "https://h.com/d/e/next"),
+    ("https:/next", "https://h.com/next"),
+    ("http:foo", "http://foo/"),
+    ("a b", "https://h.com/d/e/a%20b"),
+    ("/für", "https://h.com/f%C3%BCr"),
+    ("  /x\n", "https://h.com/x"),
+    ("https://H.com:443/a/%2E%2e/b", "https://h.com/b"),
+    ("g?y/./x", "https://h.com/d/e/g?y/./x"),
+    ("mailto:x@y", "mailto:x@y"),
+    ("tel:1", "tel:1"),
+    ("x:y", "x:y"),
+    ("http://", None),
+    ("//", None),
+]
+
+
+def test_normalize(spark):
+    rows = spark.createDataFrame(NORMAL, "raw string, want string")
+    got = rows.select("raw", "want", urls.normalize_url(F.col("raw")).alias("got")).collect()
+    assert [(r.raw, r.got) for r in got] == [(r.raw, r.want) for r in got]
+
+
+def test_normal_form_is_stable(spark):
+    rows = spark.createDataFrame([(want,) for _, want in NORMAL], "raw string")
+    got = rows.select("raw", urls.normalize_url(F.col("raw")).alias("got")).collect()
+    assert [r.raw for r in got] == [r.got for r in got]
+
+
+def test_resolve(spark):
+    rows = spark.createDataFrame([(l, BASE, w) for l, w in RESOLVED], "link string, base string, want string")
+    got = rows.select("link", "want", urls.resolve_url(F.col("link"), F.col("base")).alias("got")).collect()
+    assert [(r.link, r.got) for r in got] == [(r.link, r.want) for r in got]
+
+
+def test_null_stays_null(spark):
+    row = spark.sql("select cast(null as string) u").select(
+        urls.normalize_url(F.col("u")).alias("n"),
+        urls.resolve_url(F.col("u"), F.lit("http://h/")).alias("r"),
+        urls.url_allowed(F.col("u")).alias("a"),
+    ).first()
+    assert (row.n, row.r, row.a) == (None, None, False)
+
+
+def allowed(spark, url, **rules):
+    return spark.createDataFrame([(url,)], "u string").select(urls.url_allowed(F.col("u"), **rules)).first()[0]
+
+
+@pytest.mark.parametrize(
+    "url, rules, want",
+    [
+        ("https://sub.example.com/a", {"allowed": ["example.com"]}, True),
+        ("https://other.com/a", {"allowed": ["example.com"]}, False),
+        ("https://notexample.com/a", {"allowed": ["example.com"]}, True),
+        ("https://notexample.com/a", {"allowed": ["example.com"], "strict_domain": True}, False),
+        ("https://a.example.com/a", {"allowed": ["example.com"], "strict_domain": True}, True),
+        ("https://example.com/private/x", {"exclude": ["/private"]}, False),
+        ("https://example.com/public", {"exclude": ["/private"]}, True),
+        ("https://example.com/docs/x", {"include": ["/docs"]}, True),
+        ("https://example.com/blog", {"include": ["/docs"]}, False),
+        # An empty list is present: it allows nothing and excludes nothing.
+        ("https://example.com/", {"allowed": []}, False),
+        ("https://example.com/", {"include": []}, False),
+        ("https://example.com/", {"exclude": []}, True),
+        ("mailto:a@example.com", {}, False),
+        ("ftp://example.com/", {}, False),
+        ("https://u:p@example.com:8080/x", {"allowed": ["example.com"]}, True),
+    ],
+)
+def test_url_allowed(spark, url, rules, want):
+    assert allowed(spark, url, **rules) is want
+
+
+def test_rules_as_columns(spark):
+    rows = spark.createDataFrame(
+        [
+            ("https://a.com/x", ["a.com"], None, True),
+            ("https://a.com/x", [], None, False),
+            ("https://a.com/x", None, ["/x"], False),
+            ("https://a.com/x", None, [], True),
+            ("https://a.com/x", None, None, True),
+        ],
+        "u string, d array<string>, e array<string>, want boolean",
+    )
+    got = rows.select("want", urls.url_allowed(F.col("u"), allowed=F.col("d"), exclude=F.col("e")).alias("got"))
+    assert all(r.want is r.got for r in got.collect())
+
+
+def test_fetch_key(spark):
+    rows = spark.createDataFrame([("http://h/a?b#c#d",), ("http://h/",)], "u string")
+    assert [r[0] for r in rows.select(urls.fetch_key(F.col("u"))).collect()] == ["http://h/a?b", "http://h/"]
