@@ -1,0 +1,116 @@
+import json
+
+from pyspark.sql import functions as F
+
+from feedloom.operators import git
+from feedloom.operators.records import git_key
+
+REPO = "https://github.com/u/r"
+FILES = [
+    ("src/a.js", b"a"), ("docs/b.md", b"bb"), (".env", b"no"), (".git/config", b"no"), ("src/.hidden/x", b"no"),
+    ("_private/c.txt", b"kept"), ("locked", None), ("bad.txt", b"x\xffy"), ("empty", b""), ("dir.v1/.x.swp/y", b"no"),
+]
+
+
+def tree(spark, files=FILES, commit="sha1"):
+    rows = [(REPO, "main", commit, path, None if c is None else bytearray(c)) for path, c in files]
+    return spark.createDataFrame(rows, "repo string, branch string, commit_sha string, path string, content binary")
+
+
+def head(**lists):
+    return {"id": "c1", "message": "msg", "author": {"name": "ann"}, **lists}
+
+
+def push(commit, ref="refs/heads/main", after="sha1", **more):
+    return {"ref": ref, "before": "0", "after": after, "repository": {"id": 1, "name": "r", "full_name": "u/r", "html_url": REPO},
+            "pusher": {"name": "bob", "email": "b@x"}, "commits": [], "head_commit": commit, **more}
+
+
+def events(spark, *bodies):
+    rows = [(i, b if isinstance(b, (str, type(None))) else json.dumps(b)) for i, b in enumerate(bodies)]
+    return spark.createDataFrame(rows, "event_id bigint, body string")
+
+
+def test_full_scan(spark):
+    got = {r.git.file_path: r for r in git.git_full_scan(tree(spark)).collect()}
+    assert set(got) == {"src/a.js", "docs/b.md", "_private/c.txt", "bad.txt", "empty"}
+    r = got["src/a.js"]
+    assert (r.id, r.url) == (f"{REPO}-src/a.js", f"{REPO}/blob/main/src/a.js")
+    assert (r.status_code, r.content_text, r.change_type, r.change_op) == (200, "a", "full_scan", "UPSERT")
+    assert (r.git.repo, r.git.branch, r.git.commit_sha) == (REPO, "main", None)
+    assert got["bad.txt"].content_text == "x�y"
+    assert (got["empty"].content_kind, got["empty"].content_text) == ("empty", "")
+
+
+def test_full_scan_of_another_branch(spark):
+    assert git.git_full_scan(tree(spark), branch="dev").count() == 0
+
+
+def test_push_records(spark):
+    body = push(head(added=["src/a.js", ".env"], modified=["docs/b.md", "nowhere", "locked"], removed=["old.txt"]))
+    got = {r.git.file_path: r for r in git.git_push_delta(events(spark, body), tree(spark), "event_id").collect()}
+    assert set(got) == {"src/a.js", ".env", "docs/b.md", "nowhere", "locked", "old.txt"}
+    a = got["src/a.js"]
+    assert (a.id, a.url, a.status_code, a.change_type) == ("u/r-src/a.js", f"{REPO}/blob/main/src/a.js", 200, "added")
+    assert tuple(a.git) == ("src/a.js", "c1", "msg", "u/r", "main", "bob", "ann")
+    assert got[".env"].content_text == "no"
+    bad = got["nowhere"]
+    assert (bad.id, bad.url, bad.status_code, bad.change_op) == ("u/r-nowhere-error", None, 500, "NONE")
+    assert bad.content_text == f"Error reading file: {bad.error}"
+    assert (bad.git.commit_message, bad.git.pusher) == (None, None)
+    assert got["locked"].status_code == 500
+    old = got["old.txt"]
+    assert (old.content_text, old.status_code, old.change_type, old.change_op) == ("", 200, "removed", "DELETE")
+
+
+def test_lists_may_be_missing_and_repeat(spark):
+    twice = push(head(added=["src/a.js", "src/a.js"], removed=None))
+    delta = git.git_push_delta(events(spark, push(head()), twice), tree(spark), "event_id")
+    assert [(r.event_id, r.id) for r in delta.collect()] == [(1, "u/r-src/a.js")] * 2
+
+
+def test_content_is_read_at_the_pushed_commit(spark):
+    files = tree(spark).union(tree(spark, [("src/a.js", b"newer")], "sha2"))
+    body = push(head(modified=["src/a.js"]), after="sha2")
+    assert [r.content_text for r in git.git_push_delta(events(spark, body), files).collect()] == ["newer"]
+
+
+def test_status(spark):
+    good = push(head())
+    no_commits = {k: v for k, v in good.items() if k != "commits"}
+    bodies = [
+        good,
+        push(None),
+        push(head(), ref="refs/tags/v1"),
+        push(head(), ref="refs/heads/feature/refs/heads/x"),
+        {"zen": "z", "hook_id": 1},
+        {"zen": None, "hook_id": None},
+        {"zen": "z"},
+        {"ref": "refs/heads/main"},
+        no_commits,
+        {**good, "commits": "x"},
+        "not json",
+        json.dumps(good) + "x",
+        None,
+    ]
+    got = git.git_push_status(events(spark, *bodies), "event_id").orderBy("event_id").collect()
+    assert [r.code for r in got] == [200] * 6 + [500] * 7
+    assert [r.branch for r in got[:6]] == ["main", "main", "refs/tags/v1", "feature/refs/heads/x", None, None]
+    assert got[4].message == got[5].message == git.PING_MESSAGE and got[-1].message == git.BAD_PUSH_MESSAGE
+    assert git.git_push_delta(events(spark, *bodies), tree(spark)).count() == 0
+
+
+def test_commit_files(spark):
+    body = push(head(), commits=[{"id": "c0", "added": ["a"], "removed": ["b"]}, {"id": "c1", "modified": ["a"]}, {"id": "c2"}])
+    got = git.push_commit_files(events(spark, body, "x"), "event_id").collect()
+    assert [tuple(r)[1:] for r in got] == [("u/r", "c0", "a", "added"), ("u/r", "c0", "b", "removed"), ("u/r", "c1", "a", "modified")]
+
+
+def test_scan_and_push_agree_on_the_entity(spark):
+    names = ["https://github.com/u/r", "https://github.com/u/r.git", "https://github.com/u/r/", "git@github.com:u/r.git", "u/r"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    got = {r[0] for r in rows.select(git_key(F.col("n"), F.lit("main"), F.lit("p"))).collect()}
+    assert got == {"git:u/r:main:p"}
+    scan = git.git_full_scan(tree(spark)).where("git.file_path = 'src/a.js'").first().entity_key
+    delta = git.git_push_delta(events(spark, push(head(added=["src/a.js"]))), tree(spark)).first().entity_key
+    assert scan == delta == "git:u/r:main:src/a.js"
