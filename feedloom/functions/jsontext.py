@@ -17,6 +17,7 @@ def is_json(text: Column) -> Column:
     return F.coalesce(alone & F.try_parse_json(text).isNotNull(), F.lit(False))
 
 
-def has_key(text: Column, key: str) -> Column:
-    """Whether an object has ``key`` at all, a null value included."""
-    return F.coalesce(F.array_contains(F.json_object_keys(text), key), F.lit(False))
+def has_keys(text: Column, *names: str) -> Column:
+    """Whether an object has all the keys ``names``, null values included."""
+    wanted = F.array(*[F.lit(n) for n in names])
+    return F.coalesce(F.size(F.array_intersect(F.json_object_keys(text), wanted)) == len(names), F.lit(False))

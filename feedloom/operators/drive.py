@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import first_text, is_blank, leading_int, lossy_utf8
-from ..plans.lookup import lookup
+from ..plans.lookup import lookup_wide
+from ..session import Staging
 from .records import drive_key, to_records
 
 # What native documents are exported as.
@@ -149,7 +150,7 @@ def drive_full_scan(
         ).alias("file"),
         F.when(action == "live", F.col("id")).alias("__lookup"),
     )
-    got = lookup(rows, _content(content), ["__lookup"], ["file_id", "task_id"])
+    got = lookup_wide(rows, _content(content), ["__lookup"], ["file_id", "task_id"])
     trashed = F.col("action") == "trashed"
     return _file_records(
         got,
@@ -189,11 +190,13 @@ def drive_delta(
     token: int | Column | None,
     *,
     run_ts: Column | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """``seq`` and the record for every relevant change from ``token`` on.
 
     Without a token nothing is due yet: the first run only learns where the feed stands (see
-    :func:`drive_next_token`). Only live files inside the folder are looked up.
+    :func:`drive_next_token`). Only live files inside the folder are looked up. The look-up reads
+    the relevant changes twice; with ``staging`` they are written down first.
     """
     since = token if isinstance(token, Column) else F.lit(token).cast("bigint")
     due = (
@@ -203,7 +206,11 @@ def drive_delta(
         .withColumnRenamed("fileId", "file_id")
         .withColumn("__lookup", F.when(F.col("action") == "live", F.col("file_id")))
     )
-    got = lookup(due, _content(content), ["__lookup"], ["seq"])
+    rows = None
+    if staging is not None:
+        due = staging.write(due, "due")
+        rows = due.count()
+    got = lookup_wide(due, _content(content), ["__lookup"], ["seq"], left_rows=rows)
     live = F.col("action") == "live"
     return _file_records(
         got,

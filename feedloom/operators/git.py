@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import has_key, is_json
+from ..functions.jsontext import has_keys, is_json
 from ..functions.values import let, lossy_utf8
-from ..plans.lookup import lookup
+from ..plans.lookup import lookup_wide
 from ..schemas import PUSH
 from ..session import Staging
 from .records import git_key, to_records
@@ -75,7 +75,7 @@ def _read_push(body: Column) -> Column:
     """STRUCT<outcome, push> of an event body, which is parsed once: ``ping``, ``push`` or ``bad``."""
 
     def judged(text: Column) -> Column:
-        ping = has_key(text, "zen") & has_key(text, "hook_id")
+        ping = has_keys(text, "zen", "hook_id")
 
         def with_push(p: Column) -> Column:
             whole = p["ref"].isNotNull() & p["repository"].isNotNull() & p["commits"].isNotNull() & is_json(text)
@@ -159,8 +159,10 @@ def git_push_delta(
             for name in ("name", "home", "after", "branch", "pusher", "commit", "message", "author")
         ],
     )
+    rows = None
     if staging is not None:
         changes = staging.write(changes, "push_files")
+        rows = changes.count()
     removed = F.col("__kind") == "removed"
     # Tombstones need no content: a NULL key keeps them out of the match.
     keyed = changes.select(
@@ -170,7 +172,7 @@ def git_push_delta(
         F.when(~removed, F.col("__path")).alias("path"),
     )
     content = repo_files.select("repo", "commit_sha", "path", "content")
-    got = lookup(keyed, content, ["repo", "commit_sha", "path"], ["__name", "__path", "__pos", *keep])
+    got = lookup_wide(keyed, content, ["repo", "commit_sha", "path"], ["__name", "__path", "__pos", *keep], left_rows=rows)
 
     failed = ~removed & F.col("content").isNull()
     file_id = F.concat_ws("-", "__name", "__path")

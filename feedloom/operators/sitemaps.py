@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import is_sitemap_index, robots_sitemap, sitemap_locs
 from ..functions.urls import normalize_url, resolve_url, url_allowed, url_host, url_scheme
-from ..plans.lookup import lookup
+from ..plans.lookup import lookup_narrow, lookup_wide
 from ..session import Staging
 from .web import crawl
 
@@ -28,8 +28,8 @@ def discover_sitemaps(seeds: DataFrame, robots: DataFrame, sitemaps: DataFrame)
     )
     named = robots.select("host", robots_sitemap(F.col("body")).alias("__named"))
     known = sitemaps.select(F.col("url").alias("__fallback"), F.lit(True).alias("__exists"))
-    found = lookup(starts, named, ["host"], ["task_id", "url"], narrow_right=True)
-    found = lookup(found, known, ["__fallback"], ["task_id", "url"], narrow_right=True)
+    found = lookup_narrow(starts, named, ["host"], ["task_id", "url"])
+    found = lookup_narrow(found, known, ["__fallback"], ["task_id", "url"])
     return found.select(
         "task_id",
         "url",
@@ -73,11 +73,11 @@ def sitemap_urls(
 
     frontier = staging.write(starts.dropDuplicates(key).select(*key, *rules), "reached/round=0")
     reached, turn = frontier, 0
-    while not frontier.isEmpty():
+    while rows := frontier.count():
         turn += 1
         # The rules of a task ride along with its sitemaps: every row of a task has the same ones.
         nested = (
-            lookup(frontier, indexes, ["sitemap_url"], ["task_id"])
+            lookup_wide(frontier, indexes, ["sitemap_url"], ["task_id"], left_rows=rows)
             .select("task_id", *rules, F.explode("locs").alias("sitemap_url"))
             .select(*key, *rules)
             .dropDuplicates(key)
@@ -89,7 +89,7 @@ def sitemap_urls(
     entries = parsed.where(~F.col("is_index")).select("sitemap_url", "locs")
     base = normalize_url(start_url) if start_url is not None else F.lit("")
     return (
-        lookup(reached.select(*key, *rules), entries, ["sitemap_url"], ["task_id"])
+        lookup_wide(reached.select(*key, *rules), entries, ["sitemap_url"], ["task_id"], left_rows=reached.count())
         .withColumn("loc", F.explode("locs"))
         .select(
             *key,
@@ -115,8 +115,12 @@ def crawl_from_sitemap(
     """
     usable = tasks.where(F.coalesce(F.col("start_url"), F.lit("")) != "")
     wants = F.coalesce(F.col("sitemap_discovery"), F.lit(False))
-    found = discover_sitemaps(
-        usable.where(wants).select("task_id", F.col("start_url").alias("url")), robots, sitemaps
+    staging = Staging(tasks.sparkSession, "discovery")
+    found = staging.write(
+        discover_sitemaps(
+            usable.where(wants).select("task_id", F.col("start_url").alias("url")), robots, sitemaps
+        ),
+        "found",
     )
     starts = found.where(F.col("sitemap_url").isNotNull()).join(
         usable.select("task_id", "start_url", "allowed_domains", "include_paths", "exclude_paths"), "task_id"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import is_html, page_links
 from ..functions.urls import fetch_key, normalize_url, parse_absolute, url_allowed, url_scheme
-from ..plans.lookup import lookup
+from ..plans.lookup import lookup_wide
 from ..session import Staging
 from .records import to_records
 
@@ -58,11 +58,14 @@ def content_kind(content_type: Column, body: Column) -> Column:
     )
 
 
-def web_fetch(frontier: DataFrame, pages: DataFrame, *, run_ts: Column | None = None) -> DataFrame:
+def web_fetch(
+    frontier: DataFrame, pages: DataFrame, *, frontier_rows: int | None = None, run_ts: Column | None = None
+) -> DataFrame:
     """Records for ``frontier(url[, task_id, depth])`` read from a page snapshot.
 
     ``pages`` has one row per request address (see :func:`page_snapshot`). An address the snapshot
-    lacks is a 404 row; a row without a status is a failed request, 500.
+    lacks is a 404 row; a row without a status is a failed request, 500. ``frontier_rows`` is the
+    size of the frontier, if known; see :func:`~feedloom.plans.lookup.lookup_wide`.
     """
     front = frontier.select(
         fetch_key(F.col("url")).alias("__fetch"),
@@ -70,7 +73,7 @@ def web_fetch(frontier: DataFrame, pages: DataFrame, *, run_ts: Column | None =
         _column(frontier, "task_id", "string").alias("task_id"),
         _column(frontier, "depth", "int").alias("depth"),
     )
-    got = lookup(front, _prepared(pages), ["__fetch"], ["task_id", "url"])
+    got = lookup_wide(front, _prepared(pages), ["__fetch"], ["task_id", "url"], left_rows=frontier_rows)
     hit, requested = F.col("__hit").isNotNull(), F.col("__requested")
     # A request is only made for an absolute http(s) address; for anything else it fails outright.
     refusal = F.when(requested.isNull(), "Invalid URL").when(
@@ -222,4 +225,4 @@ def crawl(
             "task_id", F.col("start_url").alias("url")
         )
     reached = crawl_frontier(seeds, tasks, pages, edges=edges, strict_domain=strict_domain)
-    return web_fetch(reached, pages, run_ts=run_ts)
+    return web_fetch(reached, pages, frontier_rows=reached.count(), run_ts=run_ts)

@@ -1,4 +1,4 @@
-"""Looking up wide rows by key when some key may be very frequent."""
+"""Looking up rows by key when some key may be very frequent."""
 
 from __future__ import annotations
 
@@ -9,72 +9,108 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
+FEW_ROWS = 200_000
 SALTS = 64
+NARROW_SALTS = 16
 
 _COUNT, _SALT, _HOT = "__n", "__salt", "__hot"
 
 
 def _spread_over(columns: Sequence[str], n: int) -> Column:
     # A hash, not rand(): a recomputed task must send each row where it went the first time.
-    return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(n)).cast("int")
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
 
-def lookup(
+def _all_known(columns: Sequence[str]) -> Column:
+    known = F.col(columns[0]).isNotNull()
+    for c in columns[1:]:
+        known = known & F.col(c).isNotNull()
+    return known
+
+
+def _repeated(n: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(n - 1))
+
+
+def lookup_narrow(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], *, salts: int = NARROW_SALTS
+) -> DataFrame:
+    """``left LEFT JOIN right USING (on)`` for a right side of short rows, at most one per key.
+
+    The planner broadcasts a right side it knows to be small. Beyond that both sides are shuffled:
+    every right row is repeated ``salts`` times and left rows are dealt over the copies by the hash
+    of their ``spread`` columns, so no key is the work of one task, and ``left`` is read once.
+    ``spread`` names columns that tell left rows apart. Column order: keys, left, right.
+    """
+    on = list(on)
+    columns = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on)]
+    if left.isStreaming:
+        # A batch of a stream is bounded, and its static side most often broadcast.
+        return left.join(right, on, "left").select(*columns)
+    return (
+        left.withColumn(_SALT, _spread_over([*on, *spread], salts))
+        .join(right.withColumn(_SALT, F.explode(_repeated(salts))), [*on, _SALT], "left")
+        .select(*columns)
+    )
+
+
+def lookup_wide(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     spread: Sequence[str],
     *,
-    narrow_right: bool = False,
+    left_rows: int | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """``left LEFT JOIN right USING (on)`` where ``right`` has at most one row per key.
+    """``left LEFT JOIN right USING (on)`` for a right side of long rows, at most one per key.
+
+    ``left_rows``, the size of ``left`` where the caller knows it (from a staged table), decides:
 
-    * Rows of ``right`` no left row asks for are dropped first, by a join with the distinct left
-      keys: broadcast when those are few, so a small delta never shuffles a large content store.
-      ``narrow_right`` skips that for a right side too narrow to be worth it.
-    * A key with at least ``hot_rows`` left rows is dealt over ``salts`` partitions by the hash of
-      its ``spread`` columns, and its single right row repeated once per salt. The list of hot
-      keys is broadcast; it holds at most ``MAX_HOT_KEYS`` keys, the most frequent ones. Should
-      there be more, the rest rely on adaptive skew-join splitting.
-    * Rows with a NULL key match nothing and are spread over all partitions.
+    * Up to ``FEW_ROWS``, the distinct left keys are broadcast and the right rows filtered where
+      they are read: a small delta never shuffles a large content store.
+    * Beyond, the right rows are shuffled once, unfiltered.
+    * Unknown: the right rows are joined with the left keys first, as the planner sees fit.
+
+    The left keys are counted, which reads the (short) left rows a second time. A key with at
+    least ``hot_rows`` rows is dealt over ``salts`` partitions by the hash of its ``spread``
+    columns, and its single right row repeated once per salt. The list of such keys is broadcast;
+    it holds at most ``MAX_HOT_KEYS`` keys, the most frequent ones. Should there be more, the rest
+    rely on adaptive skew-join splitting. Rows with a NULL key match nothing and are spread over
+    all partitions.
 
     ``spread`` names columns that tell left rows apart. Column order: keys, left, right.
     """
     on = list(on)
-    keep = [c for c in left.columns if c not in on]
-    added = [c for c in right.columns if c not in on]
+    columns = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on)]
     if left.isStreaming:
-        # Counting keys would make the query stateful; a stream's batches are bounded instead.
-        return left.join(right, on, "left").select(*on, *keep, *added)
-
-    key_known = F.lit(True)
-    for k in on:
-        key_known = key_known & F.col(k).isNotNull()
-    counts = left.where(key_known).groupBy(*on).agg(F.count(F.lit(1)).alias(_COUNT))
-    hot = (
+        # Counting keys would make the query stateful; a batch of a stream is bounded instead.
+        return left.join(right, on, "left").select(*columns)
+
+    known = _all_known(on)
+    if left_rows is not None and left_rows <= min(FEW_ROWS, hot_rows - 1):
+        keys = left.where(known).select(*on).distinct()
+        return left.join(right.join(F.broadcast(keys), on, "left_semi"), on, "left").select(*columns)
+
+    counts = left.where(known).groupBy(*on).agg(F.count(F.lit(1)).alias(_COUNT))
+    hot = F.broadcast(
         counts.where(F.col(_COUNT) >= hot_rows)
         .orderBy(F.col(_COUNT).desc())
         .limit(MAX_HOT_KEYS)
-        .select(*on, F.lit(True).alias(_HOT))
-    )
-    wanted = right if narrow_right else right.join(counts.select(*on), on, "left_semi")
-
-    salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
-        _SALT,
-        F.when(F.col(_HOT), _spread_over(spread, salts))
-        .when(key_known, F.lit(0))
-        .otherwise(_spread_over(spread, 1 << 20)),
+        .withColumnRenamed(_COUNT, _HOT)
     )
-    salted_right = wanted.join(F.broadcast(hot), on, "left").withColumn(
-        _SALT,
-        F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+    salt = (
+        F.when(F.col(_HOT) > 0, _spread_over(spread, salts))
+        .when(known, F.lit(0))
+        .otherwise(_spread_over(spread, 1 << 20))
     )
+    wanted = right.join(counts, on) if left_rows is None else right.join(hot, on, "left")
+    times = F.col(_COUNT if left_rows is None else _HOT)
+    copies = F.when(times >= hot_rows, _repeated(salts)).otherwise(F.array(F.lit(0)))
     return (
-        salted_left.drop(_HOT)
-        .join(salted_right.drop(_HOT), [*on, _SALT], "left")
-        .select(*on, *keep, *added)
+        left.join(hot, on, "left")
+        .withColumn(_SALT, salt)
+        .join(wanted.withColumn(_SALT, F.explode(copies)), [*on, _SALT], "left")
+        .select(*columns)
     )

@@ -88,7 +88,8 @@ def run_drive(
     """Records of each batch of drive changes; the next token is written after the records."""
 
     def batch_job(batch: DataFrame, batch_id: int) -> None:
-        write(drive_delta(batch, content, folder_id, from_token, run_ts=run_ts), batch_id)
+        staging = Staging(batch.sparkSession, "drive")
+        write(drive_delta(batch, content, folder_id, from_token, run_ts=run_ts, staging=staging), batch_id)
         if tokens is not None:
             newest = batch.agg((F.max("seq") + 1).alias("next_token"))
             tokens.write(newest.select(F.lit(folder_id).alias("resource"), "next_token"), batch_id)

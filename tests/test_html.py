@@ -99,6 +99,6 @@ def test_is_json(spark):
     assert got == [True] * len(good) + [False] * len(bad)
 
 
-def test_has_key(spark):
-    rows = spark.createDataFrame([('{"a":null}',), ('{"b":1}',), ("[1]",), ("x",), (None,)], "t string")
-    assert [r[0] for r in rows.select(jsontext.has_key(F.col("t"), "a")).collect()] == [True, False, False, False, False]
+def test_has_keys(spark):
+    rows = spark.createDataFrame([('{"a":null,"b":1}',), ('{"b":1}',), ("[1]",), ("x",), (None,)], "t string")
+    assert [r[0] for r in rows.select(jsontext.has_keys(F.col("t"), "a", "b")).collect()] == [True, False, False, False, False]
