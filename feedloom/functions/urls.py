@@ -5,8 +5,8 @@ functions (``parse_url``) refuse many addresses browsers accept, so the work is
 regular expressions. Addresses already in normal form, nearly all at scale, pass with two
 pattern tests; only the others take the piecewise path.
 
-Not covered: shorthand IPv4 hosts (``http://127.1/``). Hosts outside ASCII go
-through ``java.net.IDN``, which maps a few letters (such as sharp s) the older way.
+Not covered: shorthand IPv4 hosts (``http://127.1/``), and hosts outside ASCII, which are
+lower-cased but not turned into their ``xn--`` form.
 """
 
 from __future__ import annotations
@@ -78,16 +78,9 @@ def _without_dots(path: str) -> str:
 
 
 def _host(raw: str) -> str:
-    """SQL: lower-case ASCII host, or NULL when the text cannot be a host."""
-    decoded = f"lower(case when {raw} like '%\\%%' then try_url_decode(replace({raw}, '+', '%2B')) else {raw} end)"
-    to_ascii = (
-        r"case when dec rlike r'[^\x00-\x7f]' then try_reflect('java.net.IDN', 'toASCII', dec) else dec end"
-    )
-    checked = sql_let(
-        "dec",
-        decoded,
-        sql_let("asc", to_ascii, f"case when asc rlike r'{HOST_FORBIDDEN}' or asc = '' then null else asc end"),
-    )
+    """SQL: lower-case host, or NULL when the text cannot be a host."""
+    decoded = f"lower(case when contains({raw}, '%') then try_url_decode(replace({raw}, '+', '%2B')) else {raw} end)"
+    checked = sql_let("dec", decoded, f"case when dec rlike r'{HOST_FORBIDDEN}' or dec = '' then null else dec end")
     return rf"case when {raw} rlike r'^\[[0-9A-Fa-f:.]+\]$' then lower({raw}) else {checked} end"
 
 

@@ -18,7 +18,16 @@ EXPORT_TYPES = {
     "application/vnd.google-apps.spreadsheet": "text/csv",
     "application/vnd.google-apps.presentation": "application/pdf",
 }
+# Defaults of a file without a name or a type.
+DEFAULT_NAME = "unknown-name"
 DEFAULT_MIME = "application/octet-stream"
+# How a record came about; the last one in full scans and deltas alike.
+DELTA = "gdrive_delta_sync"
+DELTA_REMOVAL = "gdrive_delta_sync_removal"
+DELTA_TRASH = "gdrive_delta_sync_trash"
+FULL_SCAN = "gdrive_full_scan"
+FULL_SCAN_TRASH = "gdrive_full_scan_trash"
+FETCH_FAILED = "gdrive_full_scan_fetch_failed"
 
 
 def content_plan(mime: Column) -> Column:
@@ -92,13 +101,13 @@ def _file_records(
         entity_key=drive_key(file_id),
         drive=F.struct(
             file_id.alias("file_id"),
-            F.when(known, F.coalesce(file["name"], F.lit("unknown-name"))).alias("file_name"),
+            F.when(known, F.coalesce(file["name"], F.lit(DEFAULT_NAME))).alias("file_name"),
             F.when(known, mime).alias("mime_type"),
             F.when(
                 detailed,
                 F.when(is_blank(file["size"]), F.lit(0).cast("bigint")).otherwise(leading_int(file["size"])),
             ).alias("file_size"),
-            F.when(failed, "gdrive_full_scan_fetch_failed").otherwise(ingestion).alias("ingestion_type"),
+            F.when(failed, FETCH_FAILED).otherwise(ingestion).alias("ingestion_type"),
             F.when(detailed, F.coalesce(file["createdTime"], F.lit(""))).alias("created_time"),
             F.when(detailed, F.coalesce(file["modifiedTime"], F.lit(""))).alias("modified_time"),
             F.when(detailed, F.coalesce(file["parents"], F.array().cast("array<string>"))).alias("parents"),
@@ -157,7 +166,7 @@ def drive_full_scan(
         (),
         F.col("action"),
         F.when(trashed, "DELETE"),
-        F.when(trashed, "gdrive_full_scan_trash").otherwise("gdrive_full_scan"),
+        F.when(trashed, FULL_SCAN_TRASH).otherwise(FULL_SCAN),
         run_ts,
     )
 
@@ -217,9 +226,9 @@ def drive_delta(
         ("seq",),
         F.col("action"),
         F.when(live, "UPSERT").otherwise("DELETE"),
-        F.when(live, "gdrive_delta_sync")
-        .when(F.col("action") == "trashed", "gdrive_delta_sync_trash")
-        .otherwise("gdrive_delta_sync_removal"),
+        F.when(live, DELTA)
+        .when(F.col("action") == "trashed", DELTA_TRASH)
+        .otherwise(DELTA_REMOVAL),
         run_ts,
     )
 
@@ -271,5 +280,14 @@ def drive_content_plan(files: DataFrame) -> DataFrame:
     )
 
 
+def drive_scan_counts(files: DataFrame, folder_id: str) -> DataFrame:
+    """One row: how many live files the folder lists, and how many of them give records."""
+    inside = files.where(
+        F.array_contains(F.col("parents"), folder_id) & ~F.coalesce(F.col("trashed"), F.lit(False))
+    )
+    complete = ~is_blank(F.col("id")) & ~is_blank(F.col("name"))
+    return inside.agg(F.count(F.lit(1)).alias("listed"), F.count_if(complete).alias("ingested"))
+
+
 def drive_folder_edges(files: DataFrame) -> DataFrame:
     return files.select(F.col("id").alias("file_id"), F.explode("parents").alias("parent_id"))

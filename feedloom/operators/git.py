@@ -12,6 +12,7 @@ from ..schemas import PUSH
 from ..session import Staging
 from .records import git_key, to_records
 
+# Outcomes of a push event.
 PING_MESSAGE = "GitHub 'ping' event processed successfully (no data ingested)."
 PUSH_MESSAGE = "Webhook processed and files ingested."
 BAD_PUSH_MESSAGE = "Git operation failed: Invalid GitHub Push webhook payload structure."

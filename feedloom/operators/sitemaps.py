@@ -27,7 +27,7 @@ def discover_sitemaps(seeds: DataFrame, robots: DataFrame, sitemaps: DataFrame)
         F.concat(url_scheme(address), F.lit("://"), url_host(address), F.lit("/sitemap.xml")).alias("__fallback"),
     )
     named = robots.select("host", robots_sitemap(F.col("body")).alias("__named"))
-    known = sitemaps.select(F.col("url").alias("__fallback"), F.lit(True).alias("__exists"))
+    known = sitemaps.select(normalize_url(F.col("url")).alias("__fallback"), F.lit(True).alias("__exists"))
     found = lookup_narrow(starts, named, ["host"], ["task_id", "url"])
     found = lookup_narrow(found, known, ["__fallback"], ["task_id", "url"])
     return found.select(
@@ -53,7 +53,8 @@ def sitemap_urls(
     """``(task_id, sitemap_url, loc, allowed)`` for every entry under ``starts(task_id, sitemap_url)``.
 
     Indexes are followed until no new sitemap turns up; an index may name itself or another one
-    above it. Sitemaps missing from the table, or not sitemaps at all, give nothing. Filters are
+    above it. Sitemap addresses are compared, and given, in normal form; entries are given as they
+    are written. Sitemaps missing from the table, or not sitemaps at all, give nothing. Filters are
     lists, or array Columns over columns of ``starts``; relative entries are tested against
     ``start_url``, a Column over ``starts``.
     """
@@ -62,7 +63,7 @@ def sitemap_urls(
     rules = [c for c in starts.columns if c not in ("task_id", "sitemap_url")]
     parsed = staging.write(
         sitemaps.select(
-            F.col("url").alias("sitemap_url"),
+            normalize_url(F.col("url")).alias("sitemap_url"),
             is_sitemap_index(F.col("body")).alias("is_index"),
             sitemap_locs(F.col("body")).alias("locs"),
         ).where(F.size("locs") > 0),
@@ -71,15 +72,16 @@ def sitemap_urls(
     indexes = parsed.where("is_index").select("sitemap_url", "locs")
     key = ["task_id", "sitemap_url"]
 
-    frontier = staging.write(starts.dropDuplicates(key).select(*key, *rules), "reached/round=0")
+    first = starts.withColumn("sitemap_url", normalize_url(F.col("sitemap_url"))).dropDuplicates(key)
+    frontier = staging.write(first.select(*key, *rules), "reached/round=0")
     reached, turn = frontier, 0
     while rows := frontier.count():
         turn += 1
         # The rules of a task ride along with its sitemaps: every row of a task has the same ones.
         nested = (
             lookup_wide(frontier, indexes, ["sitemap_url"], ["task_id"], left_rows=rows)
-            .select("task_id", *rules, F.explode("locs").alias("sitemap_url"))
-            .select(*key, *rules)
+            .select("task_id", *rules, F.explode("locs").alias("__named"))
+            .select("task_id", normalize_url(F.col("__named")).alias("sitemap_url"), *rules)
             .dropDuplicates(key)
             .join(reached.select(*key), key, "left_anti")
         )

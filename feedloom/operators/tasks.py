@@ -19,6 +19,15 @@ PLUGIN_NAMES = {
 WEB_DEFAULTS = {"maxDepth": 1, "recursiveCrawling": False, "sitemapDiscovery": False, "requestTimeoutMs": 30000}
 GIT_DEFAULTS = {"branch": "main", "depth": 1}
 DRIVE_DEFAULTS = {"authType": "service_account", "pageSize": 100}
+# Why a task cannot run.
+NO_PLUGIN = "Unsupported plugin type: "
+NO_START_URL = "Missing 'startUrl' configuration for standard crawl."
+NO_REPO_URL = "Missing 'repoUrl' configuration for Git crawl."
+NO_FOLDER_ID = "Missing or invalid 'folderId' in configuration. Client not initialized."
+NO_KEY = "Missing service account key configuration. Client not initialized."
+BAD_KEY = "Invalid service account key: not valid JSON"
+PARTIAL_KEY = "Incomplete service account key. Client not initialized."
+# Fixed value: the folder id of the sample configuration.
 PLACEHOLDER_FOLDER = "your_google_drive_folder_id"
 
 
@@ -80,31 +89,31 @@ def validate_tasks(tasks: DataFrame) -> DataFrame:
     problem = (
         F.when(
             plugin.isNull(),
-            _problem(400, F.concat(F.lit("Unsupported plugin type: "), F.coalesce("plugin_type", F.lit("undefined")))),
+            _problem(400, F.concat(F.lit(NO_PLUGIN), F.coalesce("plugin_type", F.lit("undefined")))),
         )
         .when(
             (plugin == "http") & is_blank(web["startUrl"]),
-            _problem(400, F.lit("Missing 'startUrl' configuration for standard crawl.")),
+            _problem(400, F.lit(NO_START_URL)),
         )
         .when(
             (plugin == "git") & is_blank(git["repoUrl"]),
-            _problem(400, F.lit("Missing 'repoUrl' configuration for Git crawl.")),
+            _problem(400, F.lit(NO_REPO_URL)),
         )
         .when(
             is_drive & (is_blank(drive["folderId"]) | (drive["folderId"] == PLACEHOLDER_FOLDER)),
-            _problem(400, F.lit("Missing or invalid 'folderId' in configuration. Client not initialized.")),
+            _problem(400, F.lit(NO_FOLDER_ID)),
         )
         .when(
             is_drive & is_blank(key) & is_blank(drive["serviceAccountKeyPath"]),
-            _problem(400, F.lit("Missing service account key configuration. Client not initialized.")),
+            _problem(400, F.lit(NO_KEY)),
         )
         .when(
             is_drive & ~is_blank(key) & ~is_json(key),
-            _problem(500, F.lit("Invalid service account key: not valid JSON")),
+            _problem(500, F.lit(BAD_KEY)),
         )
         .when(
             is_drive & ~is_blank(key) & ~(key_part("$.client_email") & key_part("$.private_key")),
-            _problem(400, F.lit("Incomplete service account key. Client not initialized.")),
+            _problem(400, F.lit(PARTIAL_KEY)),
         )
     )
     return (

@@ -22,7 +22,7 @@ def page_snapshot(pages: DataFrame, newest: str | None = None) -> DataFrame:
     """
     rank = F.struct(*([F.col(newest)] if newest else []), F.col("url"))
     return (
-        pages.groupBy(fetch_key(F.col("url")).alias("__key"))
+        pages.groupBy(fetch_key(normalize_url(F.col("url"))).alias("__key"))
         .agg(F.max_by(F.struct(*pages.columns), rank).alias("__page"))
         .select("__page.*")
     )
@@ -34,7 +34,7 @@ def _column(df: DataFrame, name: str, kind: str) -> Column:
 
 def _prepared(pages: DataFrame) -> DataFrame:
     return pages.select(
-        fetch_key(F.col("url")).alias("__fetch"),
+        fetch_key(normalize_url(F.col("url"))).alias("__fetch"),
         F.lit(True).alias("__hit"),
         _column(pages, "status_code", "int").alias("__status"),
         _column(pages, "content_type", "string").alias("__type"),
@@ -154,8 +154,9 @@ def crawl_frontier(
     ``TASK_COLUMNS``. All tasks advance together, one depth per round:
 
     * Page texts are read once, to make ``edges``; the rounds join only addresses.
-    * A round is: frontier with edges, filter by the task's rules, distinct (which reduces popular
-      targets before the shuffle), anti-join against what was visited.
+    * A round is: pages of the frontier (many fragments of one page count once) with edges, filter
+      by the task's rules, distinct (which reduces popular targets before the shuffle), anti-join
+      against what was visited.
     * Every round's frontier is a written table: its exact size lets the planner broadcast a small
       one instead of shuffling the edges, and nothing is recomputed when an executor is lost.
     """
@@ -190,9 +191,9 @@ def crawl_frontier(
             break
         active = rules.where(F.col("recursive") & (run_depth >= depth))
         found = (
-            frontier.join(active, "task_id")
-            .withColumn("src", fetch_key(F.col("url")))
-            .drop("url")
+            frontier.select("task_id", fetch_key(F.col("url")).alias("src"))
+            .distinct()
+            .join(active, "task_id")
             .join(edges, "src")
             .where(allowed)
             .select("task_id", F.col("dst").alias("url"))

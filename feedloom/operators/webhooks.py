@@ -15,9 +15,21 @@ from ..functions.urls import parse_absolute, url_path
 from ..functions.values import first_text, is_blank, json_truthy, let
 from ..plans.lookup import lookup_narrow
 
+# The services deliveries name, exactly so.
 GIT_SERVICE = "git-crawler"
 DRIVE_SERVICE = "googledrive-crawler"
 
+# What a refused delivery says.
+BAD_BODY = "Invalid webhook body type."
+NO_HANDLER = "No handler found for webhook service: "
+BAD_JSON = "Invalid JSON payload."
+BAD_ALGORITHM = "Unsupported signature algorithm."
+BAD_SIGNATURE = "Invalid webhook signature."
+NO_REPOSITORY = "Could not extract externalResourceId (repository full name)."
+BAD_CHANNEL = "Invalid channel ID or token mismatch."
+NO_FOLDER = "Could not extract actual Drive folder ID from x-goog-resource-uri."
+NOT_SIGNED = "Webhook signature validation skipped or failed."
+
 # Resource states by what they say about the folder.
 UPSERT_STATES = ("exists", "add", "update")
 DELETE_STATES = ("not_exists", "trash")
@@ -66,10 +78,10 @@ def _git_result() -> Column:
         name = F.variant_get(doc, "$.repository.full_name", "variant")
         deleted = F.variant_get(doc, "$.deleted", "variant")
         error = (
-            F.when(~is_json(body), "Invalid JSON payload.")
-            .when(bad_algorithm, "Unsupported signature algorithm.")
-            .when(signed & ~matches, "Invalid webhook signature.")
-            .when(~json_truthy(name), "Could not extract externalResourceId (repository full name).")
+            F.when(~is_json(body), BAD_JSON)
+            .when(bad_algorithm, BAD_ALGORITHM)
+            .when(signed & ~matches, BAD_SIGNATURE)
+            .when(~json_truthy(name), NO_REPOSITORY)
         )
         return F.struct(
             error.alias("error"),
@@ -92,8 +104,8 @@ def _drive_result() -> Column:
     resource = F.element_at(F.split(url_path(parse_absolute(_header("x-goog-resource-uri"))), "/"), -1)
     error = F.when(
         secret.isNotNull() & ~secret.eqNullSafe(_header("x-goog-channel-id")),
-        "Invalid channel ID or token mismatch.",
-    ).when(is_blank(resource), "Could not extract actual Drive folder ID from x-goog-resource-uri.")
+        BAD_CHANNEL,
+    ).when(is_blank(resource), NO_FOLDER)
     payload = F.to_json(
         F.struct(
             _header("x-goog-resource-id").alias("channelResourceId"),
@@ -128,9 +140,9 @@ def normalize_webhooks(
     order body, service, JSON, signature, resource, gives the error.
     """
     service = F.col("service")
-    refused = F.when(F.col("body").isNull(), "Invalid webhook body type.").when(
+    refused = F.when(F.col("body").isNull(), BAD_BODY).when(
         ~F.coalesce(service.isin(GIT_SERVICE, DRIVE_SERVICE), F.lit(False)),
-        F.concat(F.lit("No handler found for webhook service: "), F.coalesce(service, F.lit("undefined"))),
+        F.concat(F.lit(NO_HANDLER), F.coalesce(service, F.lit("undefined"))),
     )
     r = F.col("__result")
     success = F.col("__refused").isNull() & r["error"].isNull()
@@ -154,7 +166,7 @@ def normalize_webhooks(
             F.coalesce(
                 F.col("__refused"),
                 r["error"],
-                F.when(success & unchecked, "Webhook signature validation skipped or failed."),
+                F.when(success & unchecked, NOT_SIGNED),
             ).alias("error"),
         )
     )

@@ -16,6 +16,14 @@ def pages(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
     return _read(spark, path, kind, PAGE)
 
 
+def robots(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    return _read(spark, path, kind, "host string, body string")
+
+
+def sitemaps(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    return _read(spark, path, kind, "url string, body string")
+
+
 def deliveries(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
     return _read(spark, path, kind, DELIVERY)
 

@@ -285,6 +285,9 @@ UNION ALL
 SELECT e, 'org/r' || r, after, path, kind FROM touched""",
     "drive_full_scan": _drive_scan("doc_id % 4 = 1 AND doc_id % 13 <> 0"),
     "drive_full_scan_trash": _drive_scan("true"),
+    "drive_scan_counts": """
+SELECT count(*) AS listed, count(*) FILTER (doc_id % 31 <> 0) AS ingested
+FROM documents WHERE doc_id % 4 = 1 AND doc_id % 37 <> 0 AND doc_id % 13 <> 0""",
     "drive_resume": """
 SELECT 'f' || doc_id AS id FROM documents
 WHERE doc_id % 4 = 1 AND doc_id % 37 <> 0 AND doc_id % 31 <> 0 AND doc_id % 13 <> 0 AND 'f' || doc_id > 'f5'""",

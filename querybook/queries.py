@@ -153,6 +153,10 @@ def drive_full_scan_trash(spark, sf_dir) -> DataFrame:
     )
 
 
+def drive_scan_counts(spark, sf_dir) -> DataFrame:
+    return drive.drive_scan_counts(inputs.drive_files(spark, sf_dir), FOLDER)
+
+
 def drive_resume(spark, sf_dir) -> DataFrame:
     return drive.drive_listing(inputs.drive_files(spark, sf_dir), FOLDER, resume_after="f5").select("id")
 
@@ -252,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         push_commit_files,
         drive_full_scan,
         drive_full_scan_trash,
+        drive_scan_counts,
         drive_resume,
         drive_delta,
         drive_next_token,

@@ -86,3 +86,10 @@ def test_run_tasks(spark):
     assert got == {"t0": (True, 200, 2), "t1": (True, 200, 1), "t2": (True, 200, 1), "t3": (True, 200, 2), "t4": (True, 200, 1), "t5": (False, 400, 0)}
     with pytest.raises(ValueError):
         run_tasks(todo, {})
+
+
+def test_mappings(spark):
+    from feedloom.functions.mappings import mapped
+
+    rows = spark.createDataFrame([("MALE",), ("FEMALE",), ("male",), (None,)], "g string")
+    assert [r[0] for r in rows.select(mapped(F.col("g"), "GENDER")).collect()] == [True, False, None, None]

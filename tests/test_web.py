@@ -186,6 +186,17 @@ def test_nested_indexes_with_a_cycle(spark):
     assert len(got) == 3
 
 
+def test_sitemap_addresses_are_compared_in_normal_form(spark):
+    table = maps(spark, [("HTTPS://example.com:443/i", f"<sitemapindex><sitemap><loc>\n {H}/s </loc></sitemap></sitemapindex>"), (f"{H}/s", SET)])
+    starts = spark.createDataFrame([("t", f" {H}/i")], "task_id string, sitemap_url string")
+    assert {r.sitemap_url for r in sitemaps.sitemap_urls(starts, table).collect()} == {f"{H}/s"}
+
+
+def test_snapshot_addresses_need_no_normal_form(spark):
+    pages = site(spark, {"https://example.com": ["/a b"], "HTTPS://EXAMPLE.com/a b": []})
+    assert reached(web.crawl(task(spark, H, 1), pages)) == {(f"{H}/", 0, 200), (f"{H}/a%20b", 1, 200)}
+
+
 def test_a_relative_entry_is_allowed_but_cannot_be_fetched(spark):
     table = maps(spark, [(f"{H}/s.xml", "<urlset><url><loc>/rel</loc></url></urlset>")])
     got = sitemaps.crawl_from_sitemap(
