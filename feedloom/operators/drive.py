@@ -143,10 +143,12 @@ def drive_full_scan(
     include_trashed: bool = False,
     task_id: Column | None = None,
     run_ts: Column | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Records of a folder. Live files carry no change type; a file without content is an error row.
 
-    ``task_id`` is a Column over ``files``, for listings already matched with tasks.
+    ``task_id`` is a Column over ``files``, for listings already matched with tasks. The look-up
+    reads the listing twice; with ``staging`` it is written down first.
     """
     listed = drive_listing(files, folder_id, resume_after=resume_after, include_trashed=include_trashed)
     action = F.when(F.coalesce(F.col("trashed"), F.lit(False)), "trashed").otherwise("live")
@@ -159,7 +161,11 @@ def drive_full_scan(
         ).alias("file"),
         F.when(action == "live", F.col("id")).alias("__lookup"),
     )
-    got = lookup_wide(rows, _content(content), ["__lookup"], ["file_id", "task_id"])
+    n = None
+    if staging is not None:
+        rows = staging.write(rows, "listing")
+        n = rows.count()
+    got = lookup_wide(rows, _content(content), ["__lookup"], ["file_id", "task_id"], left_rows=n)
     trashed = F.col("action") == "trashed"
     return _file_records(
         got,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import is_html, page_links
 from ..functions.urls import fetch_key, normalize_url, parse_absolute, url_allowed, url_scheme
-from ..plans.lookup import lookup_wide
+from ..plans.lookup import lookup_narrow, lookup_wide
 from ..session import Staging
 from .records import to_records
 
@@ -190,10 +190,10 @@ def crawl_frontier(
         if frontier.isEmpty():
             break
         active = rules.where(F.col("recursive") & (run_depth >= depth))
+        pages_due = frontier.select("task_id", fetch_key(F.col("url")).alias("src")).distinct()
         found = (
-            frontier.select("task_id", fetch_key(F.col("url")).alias("src"))
-            .distinct()
-            .join(active, "task_id")
+            lookup_narrow(pages_due, active, ["task_id"], ["src"])
+            .where("recursive")
             .join(edges, "src")
             .where(allowed)
             .select("task_id", F.col("dst").alias("url"))

@@ -35,7 +35,7 @@ def _repeated(n: int) -> Column:
 def lookup_narrow(
     left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], *, salts: int = NARROW_SALTS
 ) -> DataFrame:
-    """``left LEFT JOIN right USING (on)`` for a right side of short rows, at most one per key.
+    """``left LEFT JOIN right USING (on)`` for a right side of short rows.
 
     The planner broadcasts a right side it knows to be small. Beyond that both sides are shuffled:
     every right row is repeated ``salts`` times and left rows are dealt over the copies by the hash

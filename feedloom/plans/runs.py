@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators import drive, git, records, sitemaps
 from ..operators.tasks import GIT_DEFAULTS, parse_tasks, validate_tasks, web_tasks
+from ..session import Staging
+from .lookup import lookup_narrow
 
 Inputs = Mapping[str, DataFrame]
 Runner = Callable[[DataFrame, Inputs, Column | None], DataFrame]
@@ -31,18 +33,23 @@ def _run_git(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> DataFra
         conf["repoUrl"].alias("repo"),
         F.coalesce(conf["branch"], F.lit(GIT_DEFAULTS["branch"])).alias("branch"),
     )
-    # The task list is the narrow side; a repository of any size is split by adaptive execution.
-    files = inputs["repo_files"].join(wanted, ["repo", "branch"])
+    files = lookup_narrow(inputs["repo_files"], wanted, ["repo", "branch"], ["path"]).where(F.col("task_id").isNotNull())
     return git.git_full_scan(files, branch=F.col("branch"), task_id=F.col("task_id"), run_ts=run_ts)
 
 
 def _run_drive(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> DataFrame:
     """Inputs ``drive_files`` and ``drive_content``: full scans of the tasks' folders."""
     wanted = parse_tasks(tasks).select("task_id", F.col("drive")["folderId"].alias("__folder"))
-    placed = (
-        inputs["drive_files"].withColumn("__folder", F.explode(F.array_distinct("parents"))).join(wanted, "__folder")
+    listed = inputs["drive_files"].withColumn("__folder", F.explode(F.array_distinct("parents")))
+    placed = lookup_narrow(listed, wanted, ["__folder"], ["id"]).where(F.col("task_id").isNotNull())
+    return drive.drive_full_scan(
+        placed,
+        inputs["drive_content"],
+        None,
+        task_id=F.col("task_id"),
+        run_ts=run_ts,
+        staging=Staging(tasks.sparkSession, "drive"),
     )
-    return drive.drive_full_scan(placed, inputs["drive_content"], None, task_id=F.col("task_id"), run_ts=run_ts)
 
 
 RUNNERS: dict[str, Runner] = {"http": _run_web, "git": _run_git, "drive": _run_drive}

@@ -1,4 +1,4 @@
-"""The stored corpus: a current copy of every entity, kept in versions."""
+"""The stored corpus: a current copy of every entity, and the batches since."""
 
 from __future__ import annotations
 
@@ -8,50 +8,73 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changes import apply_changes
-from ..session import Staging
+from ..operators.changes import apply_changes, latest_changes
 
 
 class Corpus:
-    """Versions under ``path``: version n+1 is version n with one batch of changes applied.
+    """Versions and batches under ``path``.
 
-    A version is written in full to its own folder and then entered in the log, so readers never
-    see half of one, and a repeated batch rewrites the version it belongs to.
+    A batch is reduced to its last change per entity and written to a folder of its own, so that
+    its cost follows the batch and not the corpus, and a repeated batch rewrites its folder.
+    Readers merge the newest version with the batches after it; :meth:`compact` writes that down
+    as the next version, which takes effect when it is entered in the log.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/versions/v={version}"
-
-    def version(self, before: int | None = None) -> int | None:
-        """The newest version, or the newest below ``before``; None when there is none."""
+    def _batches(self, after: int | None, upto: int | None = None) -> DataFrame | None:
+        try:
+            batches = self.spark.read.parquet(f"{self.path}/batches")
+        except AnalysisException:
+            return None
+        if after is not None:
+            batches = batches.where(F.col("batch") > after)
+        if upto is not None:
+            batches = batches.where(F.col("batch") <= upto)
+        return batches.drop("batch")
+
+    def version(self) -> int | None:
+        """The last batch the newest version contains; None before the first version."""
         try:
             log = self.spark.read.schema("version bigint").json(f"{self.path}/log")
         except AnalysisException:
             return None
-        if before is not None:
-            log = log.where(F.col("version") < before)
         return log.agg(F.max("version").alias("v")).first()["v"]
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        version = self.version() if version is None else version
-        return None if version is None else self.spark.read.parquet(self._folder(version))
+    def _version_table(self, version: int | None) -> DataFrame | None:
+        return None if version is None else self.spark.read.parquet(f"{self.path}/versions/v={version}")
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
-        """Apply records with ``seq``; fit for ``foreachBatch``, where batch n makes version n."""
-        last = self.version(before=batch_id)
-        current = self.read(last) if last is not None else None
-        staging = Staging(self.spark, "corpus") if current is not None else None
-        apply_changes(current, changes, staging=staging).write.mode("overwrite").parquet(self._folder(batch_id))
-        entry = self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("version"))
-        entry.write.mode("overwrite").json(f"{self.path}/log/entry={batch_id}")
+        """Take in records with ``seq``; fit for ``foreachBatch``."""
+        latest_changes(changes).write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}")
 
     def writer(self) -> Callable[[DataFrame, int], None]:
         return lambda batch, batch_id: self.apply(batch, batch_id)
 
+    def read(self, upto: int | None = None) -> DataFrame | None:
+        """The corpus after all batches, or after batch ``upto``; None when there is nothing yet."""
+        version = self.version()
+        if upto is not None and version is not None and version > upto:
+            raise ValueError(f"batch {upto} is part of version {version}")
+        base, batches = self._version_table(version), self._batches(version, upto)
+        return base if batches is None else apply_changes(base, batches)
+
+    def compact(self) -> int | None:
+        """Write the corpus after all batches as a version; returns it."""
+        version = self.version()
+        try:
+            newest = self.spark.read.parquet(f"{self.path}/batches").agg(F.max("batch").alias("b")).first()["b"]
+        except AnalysisException:
+            return version
+        if newest is None or newest == version:
+            return version
+        self.read(upto=newest).write.mode("overwrite").parquet(f"{self.path}/versions/v={newest}")
+        entry = self.spark.range(1).select(F.lit(newest).cast("bigint").alias("version"))
+        entry.write.mode("overwrite").json(f"{self.path}/log/entry={newest}")
+        return newest
+
 
 class TokenState:
     """The next token per resource, for audit and for batch reruns.
