@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..session import Staging
 
 
+def _effective(changes: DataFrame) -> DataFrame:
+    return changes.where((F.col("change_op") != "NONE") & F.col("entity_key").isNotNull())
+
+
 def latest_changes(changes: DataFrame) -> DataFrame:
     """The last record per entity by ``seq``, then ``id``; failed fetches are left out.
 
@@ -16,7 +20,7 @@ def latest_changes(changes: DataFrame) -> DataFrame:
     """
     columns = [c for c in changes.columns if c != "entity_key"]
     return (
-        changes.where((F.col("change_op") != "NONE") & F.col("entity_key").isNotNull())
+        _effective(changes)
         .groupBy("entity_key")
         .agg(F.max_by(F.struct(*columns), F.struct("seq", "id")).alias("__last"))
         .select("entity_key", "__last.*")
@@ -38,7 +42,9 @@ def apply_changes(
         latest = staging.write(latest, "latest")
     if current is None:
         return latest.where(F.col("change_op") == "UPSERT")
-    due = latest.select("entity_key", F.col("seq").alias("__due"))
+    # Without a staged copy the keys are worked out again, from two columns instead of all.
+    newest = latest.select("entity_key", "seq") if staging is not None else _effective(changes).select("entity_key", "seq")
+    due = newest.groupBy("entity_key").agg(F.max("seq").alias("__due"))
     stored = current.select("entity_key", F.col("seq").alias("__stored"))
     untouched = current.join(
         due.withColumnRenamed("entity_key", "__key"),

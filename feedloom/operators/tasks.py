@@ -27,6 +27,15 @@ NO_FOLDER_ID = "Missing or invalid 'folderId' in configuration. Client not initi
 NO_KEY = "Missing service account key configuration. Client not initialized."
 BAD_KEY = "Invalid service account key: not valid JSON"
 PARTIAL_KEY = "Incomplete service account key. Client not initialized."
+# What a completed full run says.
+RUN_MESSAGES = {
+    "http": "HTTP crawl successful.",
+    "git": "Repository cloned/pulled and files read successfully",
+    "drive": "Google Drive folder scan successful.",
+}
+# The states a task can be in, and what can set one off.
+TASK_STATUSES = ("SCHEDULED", "RUNNING", "COMPLETED", "FAILED", "DISABLED")
+TRIGGER_TYPES = ("cron", "webhook", "manual")
 # Fixed value: the folder id of the sample configuration.
 PLACEHOLDER_FOLDER = "your_google_drive_folder_id"
 
@@ -39,6 +48,15 @@ def plugin_of(plugin_type: Column) -> Column:
     return found
 
 
+def well_formed(tasks: DataFrame) -> Column:
+    """Whether a task's status and trigger type, where it has them, are known ones."""
+    known = F.lit(True)
+    for name, values in (("status", TASK_STATUSES), ("trigger_type", TRIGGER_TYPES)):
+        if name in tasks.columns:
+            known = known & F.coalesce(F.col(name).isin(*values), F.lit(True))
+    return known
+
+
 def parse_tasks(tasks: DataFrame) -> DataFrame:
     """Adds ``plugin`` and the parsed ``web``, ``git`` and ``drive`` configurations."""
     return tasks.select(

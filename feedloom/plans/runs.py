@@ -7,8 +7,9 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.mappings import mapped
 from ..operators import drive, git, records, sitemaps
-from ..operators.tasks import GIT_DEFAULTS, parse_tasks, validate_tasks, web_tasks
+from ..operators.tasks import GIT_DEFAULTS, RUN_MESSAGES, parse_tasks, validate_tasks, web_tasks, well_formed
 from ..session import Staging
 from .lookup import lookup_narrow
 
@@ -63,13 +64,14 @@ def run_tasks(
     transform: Callable[..., DataFrame] | None = None,
     transform_params: Mapping[str, object] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Run every enabled, valid task; returns their records and one status row per task.
+    """Run every enabled, valid task of a known status and trigger; returns their records and one status row per task.
 
     All tasks of a plugin run as one job. A plugin none of the inputs serve is passed over. The
     optional ``transform(records, **transform_params)`` is applied before anything is written.
     """
     if "enabled" in tasks.columns:
         tasks = tasks.where(F.coalesce("enabled", F.lit(True)))
+    tasks = tasks.where(well_formed(tasks))
     checks = validate_tasks(tasks)
     ready = tasks.join(checks.where(F.col("code") == 200).select("task_id"), "task_id", "left_semi")
     needs = {"http": "pages", "git": "repo_files", "drive": "drive_files"}
@@ -89,7 +91,7 @@ def run_tasks(
         "plugin_type",
         (F.col("code") == 200).alias("success"),
         "code",
-        "message",
+        F.coalesce("message", mapped(F.col("plugin_type"), RUN_MESSAGES)).alias("message"),
         F.coalesce("crawled_count", F.lit(0).cast("bigint")).alias("crawled_count"),
         F.coalesce("error_count", F.lit(0).cast("bigint")).alias("error_count"),
     )

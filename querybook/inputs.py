@@ -257,62 +257,49 @@ def repo_files(spark, sf_dir) -> DataFrame:
 def push_events(spark, sf_dir) -> DataFrame:
     """Every event as a push: pings, malformed bodies and missing parts among them."""
     e = F.col("event_id")
-    docs = _rows(spark, sf_dir, "documents")
-    same_repo = (e % REPOS) + REPOS * ((e * 7) % F.floor(F.col("__docs") / REPOS))
-    other_repo = (e * 11 + 3) % F.col("__docs")
-    after = F.when(e % 23 == 0, F.sha2(F.lit("gone"), 256)).otherwise(F.sha2(_repo(e), 256))
-
-    def commit(sha: Column) -> Column:
-        lists = F.when(
-            e % 19 != 0,
-            F.struct(
-                F.array(_path(same_repo)).alias("added"),
-                F.array(_path(other_repo), _path(same_repo)).alias("modified"),
-                F.array(F.concat(F.lit("old/"), e.cast("string"))).alias("removed"),
-            ),
+    docs = F.col("docs")
+    parts = (
+        table(spark, sf_dir, "events")
+        .select("event_id", _rows(spark, sf_dir, "documents").alias("docs"))
+        .select(
+            "event_id",
+            _repo(e).alias("repo"),
+            _path((e % REPOS) + REPOS * ((e * 7) % F.floor(docs / REPOS))).alias("same_repo"),
+            _path((e * 11 + 3) % docs).alias("other_repo"),
         )
-        return F.struct(
-            sha.alias("id"),
-            F.lit("change").alias("message"),
-            F.struct(F.lit("ann").alias("name")).alias("author"),
-            lists["added"].alias("added"),
-            lists["modified"].alias("modified"),
-            lists["removed"].alias("removed"),
+        .withColumn("after", F.sha2(F.when(e % 23 == 0, "gone").otherwise(F.col("repo")), 256))
+        .withColumn(
+            "head",
+            F.concat(
+                F.expr("""concat('{"id": "', after, '", "message": "change", "author": {"name": "ann"}')"""),
+                F.when(e % 19 == 0, "").otherwise(
+                    F.expr(
+                        """concat(', "added": ["', same_repo, '"], "modified": ["', other_repo, '", "', same_repo,
+                                  '"], "removed": ["old/', event_id, '"]')"""
+                    )
+                ),
+                F.lit("}"),
+            ),
         )
-
+    )
     ref = F.when(e % 7 == 0, "refs/tags/v1").otherwise("refs/heads/main")
-    before = F.struct(
-        F.concat(F.lit("c"), e.cast("string")).alias("id"),
-        F.array(F.lit("x.txt"), F.lit("y.txt")).alias("added"),
-        F.array().cast("array<string>").alias("removed"),
+    commits = F.when(e % 13 == 0, "").otherwise(
+        F.expr("""concat(', "commits": [{"id": "c', event_id, '", "added": ["x.txt", "y.txt"], "removed": []}, ', head, ']')""")
     )
     body = F.concat(
         F.lit('{"ref": "'),
         ref,
-        F.lit('", "after": "'),
-        after,
-        F.lit('", "repository": {"id": 1, "full_name": "'),
-        _repo(e),
-        F.lit('", "html_url": "https://github.com/'),
-        _repo(e),
-        F.lit('"}, "pusher": {"name": "bob"}'),
-        F.when(e % 13 == 0, "").otherwise(
-            F.concat(
-                F.lit(', "commits": ['), F.to_json(before), F.lit(", "), F.to_json(commit(after)), F.lit("]")
-            )
+        F.expr(
+            """concat('", "after": "', after, '", "repository": {"id": 1, "full_name": "', repo,
+                      '", "html_url": "https://github.com/', repo, '"}, "pusher": {"name": "bob"}')"""
         ),
-        F.when(e % 17 == 0, ', "head_commit": null').otherwise(
-            F.concat(F.lit(', "head_commit": '), F.to_json(commit(after)))
-        ),
-        F.lit("}"),
-    )
-    return table(spark, sf_dir, "events").withColumn("__docs", docs).select(
-        "event_id",
-        F.when(e % 11 == 0, '{"zen": "Keep it simple.", "hook_id": null}')
-        .when(e % 53 == 0, F.concat(body, F.lit(" trailing")))
-        .otherwise(body)
-        .alias("body"),
+        commits,
+        F.lit(', "head_commit": '),
+        F.when(e % 17 == 0, "null").otherwise(F.col("head")),
+        F.when(e % 53 == 0, "} trailing").otherwise("}"),
     )
+    ping = F.lit('{"zen": "Keep it simple.", "hook_id": null}')
+    return parts.select("event_id", F.when(e % 11 == 0, ping).otherwise(body).alias("body"))
 
 
 MIMES = (

@@ -82,12 +82,21 @@ def test_run_tasks(spark):
     assert {(r.task_id, r.id, r.tag) for r in found.collect()} == {
         ("t0", "https://h/", "x"), ("t0", "https://h/a", "x"), ("t1", "https://github.com/u/r-a", "x"), ("t2", "https://github.com/u/r-b", "x"),
         ("t3", "d0", "x"), ("t3", "d1", "x"), ("t4", "d1", "x")}
+    assert {r.message for r in status.where("success").collect()} == set(tasks.RUN_MESSAGES.values())
     got = {r.task_id: (r.success, r.code, r.crawled_count) for r in status.collect()}
     assert got == {"t0": (True, 200, 2), "t1": (True, 200, 1), "t2": (True, 200, 1), "t3": (True, 200, 2), "t4": (True, 200, 1), "t5": (False, 400, 0)}
     with pytest.raises(ValueError):
         run_tasks(todo, {})
 
 
+def test_well_formed(spark):
+    rows = spark.createDataFrame(
+        [("RUNNING", "cron", True), (None, None, True), ("running", "cron", False), ("FAILED", "timer", False)],
+        "status string, trigger_type string, want boolean")
+    assert all(r.want is r.got for r in rows.select("want", tasks.well_formed(rows).alias("got")).collect())
+    assert spark.range(1).select(tasks.well_formed(spark.range(1))).first()[0] is True
+
+
 def test_mappings(spark):
     from feedloom.functions.mappings import mapped
 
