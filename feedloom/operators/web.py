@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.html import is_html, page_links
 from ..functions.urls import fetch_key, normalize_url, parse_absolute, url_allowed, url_scheme
-from ..plans.lookup import lookup_narrow, lookup_wide
+from ..functions.values import any_of
+from ..plans.lookup import FEW_ROWS, lookup_narrow, lookup_wide
 from ..session import Staging
 from .records import to_records
 
+MAX_RULE_SETS = 20
 TASK_COLUMNS = ("task_id", "max_depth", "recursive", "allowed_domains", "include_paths", "exclude_paths")
 
 
@@ -139,6 +141,41 @@ def link_edges(pages: DataFrame, *, dom: bool = False) -> DataFrame:
     return extract_links(keyed, "src", dom=dom, distinct=True).withColumnRenamed("link_url", "dst")
 
 
+def _reachable_pages(
+    pages: DataFrame, rules: DataFrame, seeds: DataFrame, n_seeds: int, strict_domain: bool
+) -> DataFrame:
+    """Leaves out pages no task can come to: neither a start page nor allowed by any task's rules.
+
+    Saves searching them for links. With many different rules or start pages all pages stay in.
+    """
+    sets = (
+        rules.where("recursive")
+        .select("allowed_domains", "include_paths", "exclude_paths")
+        .distinct()
+        .limit(MAX_RULE_SETS + 1)
+        .collect()
+    )
+    if len(sets) > MAX_RULE_SETS or n_seeds > FEW_ROWS:
+        return pages
+    allowed = any_of(
+        url_allowed(
+            F.col("__key"),
+            allowed=r.allowed_domains,
+            include=r.include_paths,
+            exclude=r.exclude_paths,
+            strict_domain=strict_domain,
+        )
+        for r in sets
+    )
+    starts = seeds.select(fetch_key(F.col("url")).alias("__key"), F.lit(True).alias("__start")).distinct()
+    return (
+        pages.withColumn("__key", fetch_key(normalize_url(F.col("url"))))
+        .join(F.broadcast(starts), "__key", "left")
+        .where(F.coalesce(F.col("__start"), F.lit(False)) | allowed)
+        .select(*pages.columns)
+    )
+
+
 def crawl_frontier(
     seeds: DataFrame,
     tasks: DataFrame,
@@ -153,7 +190,8 @@ def crawl_frontier(
     ``seeds(task_id, url)`` start at depth 0 and are not filtered; ``tasks`` has the columns
     ``TASK_COLUMNS``. All tasks advance together, one depth per round:
 
-    * Page texts are read once, to make ``edges``; the rounds join only addresses.
+    * Page texts are read once, to make ``edges``; the rounds join only addresses. Crawls that
+      share a snapshot can share its edges, made by :func:`link_edges`.
     * A round is: pages of the frontier (many fragments of one page count once) with edges, filter
       by the task's rules, distinct (which reduces popular targets before the shuffle), anti-join
       against what was visited.
@@ -169,14 +207,17 @@ def crawl_frontier(
         seeds.select("task_id", normalize_url(F.col("url")).alias("url"))
         .distinct()
         .join(rules.where(run_depth >= 0).select("task_id"), "task_id", "left_semi")
-        .withColumn("depth", F.lit(0))
     )
-    frontier = staging.write(start, "visited/round=0")
+    # The depth is the name of the folder, not a column: plans of all rounds stay the same, and
+    # so does their generated code.
+    frontier = staging.write(start, "visited/depth=0")
+    visited = frontier
     deepest = (
         rules.where(F.col("recursive")).agg(F.coalesce(F.max(run_depth), F.lit(0)).alias("d")).first()["d"]
     )
-    if deepest > 0 and edges is None:
-        edges = staging.write(link_edges(pages), "edges")
+    rows = frontier.count()
+    if deepest > 0 and rows and edges is None:
+        edges = staging.write(link_edges(_reachable_pages(pages, rules, frontier, rows, strict_domain)), "edges")
 
     allowed = url_allowed(
         F.col("dst"),
@@ -185,9 +226,8 @@ def crawl_frontier(
         exclude=F.col("exclude_paths"),
         strict_domain=strict_domain,
     )
-    visited = frontier
     for depth in range(1, deepest + 1):
-        if frontier.isEmpty():
+        if not rows:
             break
         active = rules.where(F.col("recursive") & (run_depth >= depth))
         pages_due = frontier.select("task_id", fetch_key(F.col("url")).alias("src")).distinct()
@@ -199,11 +239,12 @@ def crawl_frontier(
             .select("task_id", F.col("dst").alias("url"))
             .distinct()
             .join(visited.select("task_id", "url"), ["task_id", "url"], "left_anti")
-            .withColumn("depth", F.lit(depth))
         )
-        frontier = staging.write(found, f"visited/round={depth}")
+        frontier = staging.write(found, f"visited/depth={depth}")
         visited = spark.read.schema(frontier.schema).parquet(f"{staging.path}/visited")
-    return visited.select("task_id", "url", "depth")
+        rows = frontier.count()
+    reached = spark.read.schema("task_id string, url string, depth int").parquet(f"{staging.path}/visited")
+    return reached.select("task_id", "url", "depth")
 
 
 def crawl(

@@ -89,6 +89,23 @@ def test_the_start_page_is_not_filtered(spark):
     assert reached(got) == {(f"{H}/", 0, 200), (f"{H}/docs/a", 1, 200)}
 
 
+def test_a_start_page_outside_the_rules_is_followed(spark):
+    pages = site(spark, {"https://other.net/": [f"{H}/docs", f"{H}/blog"], f"{H}/docs": ["/docs/2"], f"{H}/blog": ["/docs/3"],
+                         f"{H}/docs/2": [], f"{H}/docs/3": []})
+    got = web.crawl(task(spark, "https://other.net", 3, allowed=["example.com"], include=["/docs"]), pages)
+    assert reached(got) == {("https://other.net/", 0, 200), (f"{H}/docs", 1, 200), (f"{H}/docs/2", 2, 200)}
+
+
+def test_many_rules_and_shared_edges(spark):
+    pages = site(spark, {f"{H}/": [f"/{i}" for i in range(30)], **{f"{H}/{i}": ["/"] for i in range(30)}})
+    rows = [(f"t{i}", H, 2, True, False, None, [f"/{i}"], None) for i in range(25)]
+    tasks = spark.createDataFrame(rows, RULES)
+    want = {(f"t{i}", f"{H}/{j}") for i in range(25) for j in range(30) if str(j).startswith(str(i))} | {(f"t{i}", f"{H}/") for i in range(25)}
+    for edges in (None, web.link_edges(pages)):
+        got = web.crawl(tasks, pages, edges=edges).select("task_id", "url").collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def test_unfetchable_addresses(spark):
     front = spark.createDataFrame([("relative/x",), ("mailto:a@b.c",), ("http://",)], "url string")
     got = {r.url: (r.status_code, r.error) for r in web.web_fetch(front, site(spark, {f"{H}/": []})).collect()}
