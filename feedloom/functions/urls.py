@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .values import let, list_any, sql_let
+from .values import let, sql_let
 
 # Default ports of the network schemes.
 DEFAULT_PORTS = {"http": "80", "https": "443", "ws": "80", "wss": "443", "ftp": "21"}
@@ -212,28 +212,34 @@ def fetch_key(url: Column) -> Column:
     return F.substring_index(url, "#", 1)
 
 
+def _texts(option) -> Column:
+    """An array Column from None, a list of texts or a Column."""
+    if isinstance(option, Column):
+        return option
+    texts = F.lit(None) if option is None else F.array(*[F.lit(t) for t in option])
+    return texts.cast("array<string>")
+
+
 def url_allowed(url: Column, *, allowed=None, include=None, exclude=None, strict_domain: bool = False) -> Column:
     """Whether a resolved address may be crawled; never NULL.
 
     ``allowed`` holds host suffixes, ``include`` and ``exclude`` path prefixes; each is None, a
-    list or an array Column. A domain is a bare suffix (``notexample.com`` passes
-    ``example.com``) unless ``strict_domain``.
+    list or an array Column. An empty list is not an absent one: nothing matches it. A domain is
+    a bare suffix (``notexample.com`` passes ``example.com``) unless ``strict_domain``.
     """
-
-    def verdict(u: Column) -> Column:
-        def in_domain(d: Column) -> Column:
-            if strict_domain:
-                return (u["host"] == d) | u["host"].endswith(F.concat(F.lit("."), d))
-            return u["host"].endswith(d)
-
-        return (
-            u["scheme"].startswith("http")
-            & list_any(allowed, in_domain, absent=True)
-            & ~list_any(exclude, lambda p: u["path"].startswith(p), absent=False)
-            & list_any(include, lambda p: u["path"].startswith(p), absent=True)
-        )
-
     parts = F.struct(
-        url_scheme(url).alias("scheme"), url_host(url).alias("host"), url_path(url).alias("path")
+        url_scheme(url).alias("scheme"),
+        url_host(url).alias("host"),
+        url_path(url).alias("path"),
+        _texts(allowed).alias("allowed"),
+        _texts(include).alias("include"),
+        _texts(exclude).alias("exclude"),
+    )
+    in_domain = "u.host = d or endswith(u.host, concat('.', d))" if strict_domain else "endswith(u.host, d)"
+    verdict = (
+        "u -> startswith(u.scheme, 'http')"
+        f" and (u.allowed is null or coalesce(exists(u.allowed, d -> {in_domain}), false))"
+        " and (u.include is null or coalesce(exists(u.include, p -> startswith(u.path, p)), false))"
+        " and not coalesce(exists(u.exclude, p -> startswith(u.path, p)), false)"
     )
     return F.coalesce(let(parts, verdict), F.lit(False))

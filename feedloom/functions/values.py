@@ -58,19 +58,3 @@ def any_of(tests: Iterable[Column]) -> Column:
     for t in tests:
         out = out | t
     return out
-
-
-def list_any(options, test: Callable[[Column], Column], absent: bool) -> Column:
-    """True if ``test`` holds for any entry of ``options``.
-
-    ``options`` is None (gives ``absent``), a Python list (an OR chain, which stays in
-    generated code) or an array Column whose NULL gives ``absent``. An empty list is not
-    an absent list: no entry can match it.
-    """
-    if options is None:
-        return F.lit(absent)
-    if isinstance(options, Column):
-        return F.when(options.isNull(), F.lit(absent)).otherwise(
-            F.coalesce(F.exists(options, test), F.lit(False))
-        )
-    return any_of(F.coalesce(test(F.lit(o)), F.lit(False)) for o in options)
