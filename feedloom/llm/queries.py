@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import fingerprints, packing
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints_of_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
+    "op10_fingerprints": op10_fingerprints,
 }
