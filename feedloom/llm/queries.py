@@ -5,9 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, packing
-from .common import table
+from . import fingerprints, langid, packing, quality
+from .common import fold_of, table
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = fold_of(F.col("doc_id"), 3)
+    found = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=fold != 1)
+    return found.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = fold_of(F.col("doc_id"), 5)
+    found = langid.language_ids(table(spark, sf_dir, "documents"), learn=fold != 0)
+    return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +34,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op5_language": op5_language,
     "op8_packing": op8_packing,
     "op10_fingerprints": op10_fingerprints,
 }
