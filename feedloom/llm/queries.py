@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, packing, quality
+from . import fingerprints, langid, packing, pii, quality, secrets
 from .common import fold_of, table
 
 
+def _written(spans: Column) -> Column:
+    """kind:start:end, comma-joined in the order of the array."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+
+def _count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = fold_of(F.col("doc_id"), 3)
     found = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=fold != 1)
@@ -23,12 +32,38 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = F.array(*map(F.lit, pii.KINDS))
+    order = F.sort_array(
+        F.transform(
+            F.concat("base", "added"),
+            lambda s: F.struct(F.array_position(kinds, s.kind).alias("k"), s.start.alias("start"), s.end.alias("end"), s.kind.alias("kind")),
+        )
+    )
+    return pii.find_pii(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(_count(F.col("base"), kind) for kind in pii.KINDS),
+        F.sha2(_written(F.col("base")), 256).alias("base_sha256"),
+        _written(order).alias("spans"),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_power_of_two(table(spark, sf_dir, "documents"), with_ids=False).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s.kind != "entropy")
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(_count(F.col("spans"), kind) for kind in ("assign", "access", "hex")),
+        F.sha2(_written(base), 256).alias("base_sha256"),
+        _written(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints_of_edits(table(spark, sf_dir, "documents"))
 
@@ -36,6 +71,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op5_language": op5_language,
+    "op6_pii": op6_pii,
     "op8_packing": op8_packing,
+    "op9_secrets": op9_secrets,
     "op10_fingerprints": op10_fingerprints,
 }
