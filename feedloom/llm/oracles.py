@@ -2,4 +2,18 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+# Of equal payloads from 1000 bytes on, the last page keeps its body and the others refer to it.
+OP7 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+     d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+     m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to,
+       true AS digest_ok
+FROM m
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_warc": OP7,
+}

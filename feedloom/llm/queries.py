@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, packing, pii, quality, secrets
+from . import fingerprints, langid, packing, pii, quality, secrets, warc
 from .common import fold_of, table
 
 
@@ -48,6 +48,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok"
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_power_of_two(table(spark, sf_dir, "documents"), with_ids=False).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op5_language": op5_language,
     "op6_pii": op6_pii,
+    "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_fingerprints": op10_fingerprints,
