@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, packing, pii, quality, secrets, warc
+from . import decontamination, fingerprints, langid, packing, pii, quality, secrets, warc
 from .common import fold_of, table
 
 
@@ -20,6 +20,10 @@ def _count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = fold_of(F.col("doc_id"), 3)
     found = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=fold != 1)
@@ -75,6 +79,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op5_language": op5_language,
     "op6_pii": op6_pii,
