@@ -59,6 +59,33 @@ def fold_columns(
     return df.mapInArrow(run, schema)
 
 
+def filter_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list[str]], Sequence[bool]]]) -> DataFrame:
+    """The rows whose text ``make()``'s function keeps, all columns as they are; a null text is asked about as an empty one."""
+    small_batches(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        keep = make()
+        for batch in batches:
+            yield batch.filter(pa.array(keep([t or "" for t in batch.column(place).to_pylist()]), type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def replace_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """All rows, the text as ``make()``'s function gives it back; null texts stay null."""
+    small_batches(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        work = make()
+        for batch in batches:
+            new = [None if t is None else work(t) for t in batch.column(place).to_pylist()]
+            yield batch.set_column(place, batch.schema.field(place), pa.array(new, type=batch.schema.field(place).type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, under fixed names, null texts as empty ones."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_columns, texts
+from .common import filter_texts, map_columns, texts
 
 # Items are searched in windows of WINDOW characters, one every STEP; shorter ones as a whole.
 WINDOW, STEP = 100, 50
@@ -259,22 +259,20 @@ def _leaks(block):
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` whose text holds no window of any item; columns as they are, no row moves."""
-    place = docs.columns.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     for block in blocks(benchmark, item_col=item_col, block_chars=block_chars):
-        docs = map_columns(docs, schema, _clean(docs.sparkSession.sparkContext.broadcast(block), place))
+        docs = filter_texts(docs, text_col, _clean(docs.sparkSession.sparkContext.broadcast(block)))
     return docs
 
 
-def _clean(block, place: int):
+def _clean(block):
     def make():
         queries = block.value
         seen = queries.seen()
 
-        def work(*columns):
-            leaked = {found[0] for found in search([t or "" for t in columns[place]], queries, seen)}
-            return [[v for i, v in enumerate(c) if i not in leaked] for c in columns] if leaked else columns
+        def keep(batch):
+            leaked = {found[0] for found in search(batch, queries, seen)}
+            return [i not in leaked for i in range(len(batch))]
 
-        return work
+        return keep
 
     return make

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_columns, texts
+from .common import map_columns, replace_texts, texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -299,17 +299,13 @@ def redact_text(text: str, spans: list[tuple[str, int, int]]) -> str:
 def redact(docs: DataFrame, model: SkipChain | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the same columns and rows, personal data in the text replaced. Null texts stay null."""
     model = model or fit_on(docs, id_col=id_col, text_col=text_col)
-    place = docs.columns.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def make():
         def clean(text):
-            if text is None:
-                return None
             base = base_spans(text)
             found = mentions(text, base)
             return redact_text(text, base + added_spans(found, model)) if found else text
 
-        return lambda *columns: [[clean(t) for t in c] if i == place else c for i, c in enumerate(columns)]
+        return clean
 
-    return map_columns(docs, schema, make)
+    return replace_texts(docs, text_col, make)

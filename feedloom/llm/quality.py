@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from feedloom.session import Staging
 
-from .common import fold_columns, map_columns, texts
+from .common import filter_texts, fold_columns, map_columns, texts
 
 # Shares of the pooled covariance, and of a multiple of the identity, in each class covariance.
 POOLED, SPHERICAL = 0.3, 0.05
@@ -149,6 +149,15 @@ def score_features(rows: DataFrame, model: Discriminant) -> DataFrame:
     return map_columns(rows.select("doc_id", "features"), schema, make)
 
 
+def _fitted(rows: DataFrame, labels: DataFrame, learn: Column | None) -> Discriminant:
+    marked = (
+        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+        .groupBy("doc_id")
+        .agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
+    )
+    return fit_discriminant(rows.join(marked if learn is None else marked.where(learn), "doc_id"))
+
+
 def quality_scores(
     docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -159,13 +168,20 @@ def quality_scores(
     the documents to learn from. Statistics are worked out once, staged, and all the labelled ones
     learned from; texts do not move. Without any labels every score is 0.5.
     """
-    spark = docs.sparkSession
-    rows = Staging(spark, "quality").write(with_statistics(docs, id_col=id_col, text_col=text_col), "statistics")
-    marked = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
-        .groupBy(F.col("doc_id"))
-        .agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
-    )
-    if learn is not None:
-        marked = marked.where(learn)
-    return score_features(rows, fit_discriminant(rows.join(marked, "doc_id")))
+    staging = Staging(docs.sparkSession, "quality")
+    rows = staging.write(with_statistics(docs, id_col=id_col, text_col=text_col), "statistics")
+    return score_features(rows, _fitted(rows, labels, learn))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the discriminant, learned from all labelled ones, takes for class 1; columns as they are.
+
+    The model is applied where a text is read, so that only statistics move, and those of the
+    learning pass are not kept. Without labels every row stays.
+    """
+    model = _fitted(with_statistics(docs, id_col=id_col, text_col=text_col), labels, None)
+
+    def make():
+        return lambda batch: model.scores(np.array([document_statistics(t) for t in batch], float).reshape(-1, len(FEATURES))) >= 0.5
+
+    return filter_texts(docs, text_col, make)

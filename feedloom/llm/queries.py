@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, langid, packing, pii, quality, secrets, warc
+from . import decontamination, fingerprints, jaccard, langid, packing, pii, quality, secrets, warc
 from .common import fold_of, table
 
 
@@ -30,6 +30,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = fold_of(F.col("doc_id"), 5)
     found = langid.language_ids(table(spark, sf_dir, "documents"), learn=fold != 0)
@@ -81,6 +85,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
+    "op4_jaccard": op4_jaccard,
     "op5_language": op5_language,
     "op6_pii": op6_pii,
     "op7_warc": op7_warc,
