@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, jaccard, langid, packing, pii, quality, secrets, warc
+from . import brown, decontamination, fingerprints, jaccard, langid, packing, pii, quality, secrets, warc
 from .common import fold_of, table
 
 
@@ -30,6 +30,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
 
 
+def op3_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = fold_of(F.col("doc_id"), 10)
+    found = brown.score_documents(table(spark, sf_dir, "documents"), learn=fold != 0)
+    return found.select(
+        "doc_id", (fold == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        brown.perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"),
+    )
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -85,6 +94,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
+    "op3_brown": op3_brown,
     "op4_jaccard": op4_jaccard,
     "op5_language": op5_language,
     "op6_pii": op6_pii,
