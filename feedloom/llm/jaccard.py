@@ -51,9 +51,10 @@ def shingles(text: str, hashes: dict[str, int], size: int = WORDS) -> np.ndarray
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    for word in set(words) - hashes.keys():
-        hashes[word] = xxhash.xxh3_64_intdigest(word)
-    values = np.fromiter((hashes[w] for w in words), np.uint64, len(words))
+    for word in words:
+        if word not in hashes:
+            hashes[word] = xxhash.xxh3_64_intdigest(word)
+    values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     width = min(size, len(words))
     n = len(words) - width + 1
     out = np.full(n, np.uint64(width))
