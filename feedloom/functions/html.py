@@ -5,10 +5,8 @@ from __future__ import annotations
 import json
 from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .urls import resolve_sql
 from .values import let, sql_let
@@ -23,11 +21,13 @@ _HREF = (
     r"(?:[\s/]++|(?!href[\s=/>])[^\s\"'>/=][^\s>/=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)?+)?+)*+"
     r"href\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+))"
 )
-_ENTITY_RUNS = r"(?s)(&(?:#[0-9]{1,8}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);|[^&]+|&)"
+# A reference, its semicolon included if it has one; a name before an equals sign needs one.
+_ENTITY_RUNS = r"(?s)(&(?:#[0-9]++;?+|#[xX][0-9A-Fa-f]++;?+|[A-Za-z][A-Za-z0-9]*+(?:;|(?!=)))|[^&]++|&)"
+_XML_RUNS = r"(?s)(&(?:#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);|[^&]++|&)"
 
-# Named references come from the standard library's table; XML knows these five only.
-_HTML_NAMES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
-_XML_NAMES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+# Named references come from the standard library's table, which has some without a semicolon too;
+# XML knows these five only.
+_XML_NAMES = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "apos;": "'"}
 
 
 def _char(code: str) -> str:
@@ -40,33 +40,39 @@ def _char(code: str) -> str:
     )
 
 
+def _number(x: str) -> str:
+    """SQL: the character of a numeric reference of any length. Beyond 7 digits no code point is left."""
+    digits = rf"regexp_extract(run, r'^&#{'[xX]' if x else ''}0*([0-9A-Fa-f]*);?$', 1)"
+    value = "cast(conv(d, 16, 10) as bigint)" if x else "cast(if(d = '', '0', d) as bigint)"
+    return _char(sql_let("d", digits, f"case when length(d) > 7 then 1114112 when d = '' then 0 else {value} end"))
+
+
 def _decoded(t: str, names: dict[str, str]) -> str:
     """SQL: character references replaced in one pass, so that a decoded ``&`` starts no new one."""
     # Apostrophes are written as JSON escapes: a raw SQL literal cannot hold them.
     table = json.dumps(names).replace("'", "\\u0027")
     decode_run = (
-        "case when run = '&amp;' then '&' when not run rlike r'^&.+;$' then run"
+        "case when run = '&amp;' then '&' when not run rlike r'^&.+$' then run"
         " when run rlike r'^&#[xX]' then "
-        + _char("cast(conv(regexp_extract(run, r'^&#.(.*);$', 1), 16, 10) as bigint)")
+        + _number("x")
         + " when startswith(run, '&#') then "
-        + _char("cast(regexp_extract(run, r'^&#(.*);$', 1) as bigint)")
-        + f" else coalesce(try_element_at(from_json(r'{table}', 'map<string,string>'),"
-        r" regexp_extract(run, r'^&(.*);$', 1)), run) end"
+        + _number("")
+        + f" else coalesce(try_element_at(from_json(r'{table}', 'map<string,string>'), substring(run, 2)), run) end"
     )
     return (
         f"case when contains({t}, '&') then array_join(transform("
-        f"regexp_extract_all({t}, r'{_ENTITY_RUNS}', 1), run -> {decode_run}), '') else {t} end"
+        f"regexp_extract_all({t}, r'{_XML_RUNS if names is _XML_NAMES else _ENTITY_RUNS}', 1), run -> {decode_run}), '') else {t} end"
     )
 
 
 def _href_value(raw: str) -> str:
     """SQL: value of one attribute text: quotes off, character references decoded."""
     bare = rf"case when {raw} rlike r'^[\x22\x27]' then substring({raw}, 2, length({raw}) - 2) else {raw} end"
-    return sql_let("bare", bare, _decoded("bare", _HTML_NAMES))
+    return sql_let("bare", bare, _decoded("bare", html5))
 
 
 def decode_entities(c: Column, *, xml: bool = False) -> Column:
-    return let(c, f"t -> {_decoded('t', _XML_NAMES if xml else _HTML_NAMES)}")
+    return let(c, f"t -> {_decoded('t', _XML_NAMES if xml else html5)}")
 
 
 def raw_hrefs(page: Column) -> Column:
@@ -78,44 +84,16 @@ def href_text(raw: Column) -> Column:
     return let(raw, f"raw -> {_href_value('raw')}")
 
 
-def page_links(page: Column, base: Column, *, dom: bool = False) -> Column:
+def page_links(page: Column, base: Column) -> Column:
     """Array of the resolved targets of a page's non-empty ``a[href]``, unparseable ones left out."""
-    found = dom_hrefs(page) if dom else raw_hrefs(page)
-    value = "attr" if dom else _href_value("attr")
+    found = raw_hrefs(page)
     resolved = sql_let(
-        "href", value, f"case when href = '' then null else {resolve_sql('href', 'doc.base')} end"
+        "href", _href_value("attr"), f"case when href = '' then null else {resolve_sql('href', 'doc.base')} end"
     )
     parts = F.struct(found.alias("found"), base.alias("base"))
     return let(parts, f"doc -> array_compact(transform(doc.found, attr -> {resolved}))")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def dom_hrefs(pages: pd.Series) -> pd.Series:
-    """``a[href]`` values by the standard-library parser: slower, for markup patterns misread."""
-    from html.parser import HTMLParser
-
-    class Anchors(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.found: list[str] = []
-
-        def handle_starttag(self, tag, attrs):
-            if tag == "a":
-                value = next((v for k, v in attrs if k == "href"), None)
-                if value:
-                    self.found.append(value)
-
-    def anchors(page):
-        if page is None:
-            return []
-        parser = Anchors()
-        parser.feed(page)
-        parser.close()
-        return parser.found
-
-    return pages.map(anchors)
-
-
 def is_html(content_type: Column) -> Column:
     return F.coalesce(content_type.contains("text/html"), F.lit(False))
 

@@ -6,15 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# What Spark's reader would let pass and the format does not.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
 def is_json(text: Column) -> Column:
     """Whether the whole text is one JSON value; never NULL.
 
-    ``try_parse_json`` stops at the end of the first value, so the text is also read as the single
-    element of an array, which refuses anything after it. A text with a repeated key, and the bare
-    ``null``, do not count as valid.
+    The text is read as the only element of an array, and as the only member of an object. Readers
+    stop at the end of the first value, but no text after a value closes both. Repeated keys are
+    valid, the last one counts; the bare ``null`` does not count as valid.
     """
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    return F.coalesce(alone & F.try_parse_json(text).isNotNull(), F.lit(False))
+    element = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _STRICT)) == 1
+    member = F.json_object_keys(F.concat(F.lit('{"value":'), text, F.lit("}"))) == F.array(F.lit("value"))
+    return F.coalesce(element & member & (F.trim(text) != "null"), F.lit(False))
 
 
 def has_keys(text: Column, *names: str) -> Column:

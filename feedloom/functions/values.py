@@ -45,7 +45,8 @@ def leading_int(c: Column) -> Column:
 def json_truthy(v: Column) -> Column:
     """Truthiness of a VARIANT value: null, false, 0 and ``''`` are false, the rest true."""
     text = F.to_json(v)
-    return F.coalesce(~text.isin("null", "false", "0", '""'), F.lit(False))
+    zero = F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    return F.coalesce(~text.isin("null", "false", '""') & ~zero, F.lit(False))
 
 
 def lossy_utf8(c: Column) -> Column:

@@ -13,16 +13,20 @@ def _effective(changes: DataFrame) -> DataFrame:
 
 
 def latest_changes(changes: DataFrame) -> DataFrame:
-    """The last record per entity by ``seq``, then ``id``; failed fetches are left out.
+    """The last record per entity by ``seq``, then ``pos`` if there is one; failed fetches are left out.
 
+    A push has one ``seq`` for all its files, told apart by ``pos``. Rows alike in both are settled
+    by id, then an UPSERT before a DELETE, then by content: never by the order they come in.
     ``max_by`` reduces before the shuffle: an entity with any share of all changes sends one row
     per task instead of meeting in one window partition.
     """
     columns = [c for c in changes.columns if c != "entity_key"]
+    content = F.xxhash64(*(c for c in columns if c.startswith("content_")))
+    order = [*(c for c in ("seq", "pos", "id") if c in columns), "change_op"]
     return (
         _effective(changes)
         .groupBy("entity_key")
-        .agg(F.max_by(F.struct(*columns), F.struct("seq", "id")).alias("__last"))
+        .agg(F.max_by(F.struct(*columns), F.struct(*order, content.alias("__content"))).alias("__last"))
         .select("entity_key", "__last.*")
     )
 
@@ -56,7 +60,7 @@ def apply_changes(
         (F.col("entity_key") == F.col("__key")) & (F.col("__stored") > F.col("seq")),
         "left_anti",
     ).where(F.col("change_op") == "UPSERT")
-    return untouched.unionByName(fresh.select(*untouched.columns))
+    return untouched.unionByName(fresh, allowMissingColumns=True)
 
 
 def poll_diff(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -70,12 +74,15 @@ def poll_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     def digests(pages: DataFrame, side: int) -> DataFrame:
         return pages.select("url", F.sha2(F.col("body").cast("binary"), 256).alias("digest"), F.lit(side).alias("side"))
 
-    # 60 bits of the digest per body; the sum is free of order and exact in a wide decimal.
-    number = F.conv(F.substring(F.coalesce(F.col("digest"), F.lit("0")), 1, 15), 16, 10).cast("decimal(20,0)")
+    # All of the digest, in four parts; their sums are free of order and exact in a wide decimal.
+    whole = F.coalesce(F.col("digest"), F.lit("0" * 64))
+    parts = [F.conv(F.substring(whole, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17, 33, 49)]
 
     def bag(side: int):
         mine = F.col("side") == side
-        return F.struct(F.count_if(mine).alias("n"), F.sum(F.when(mine, number)).alias("total"))
+        known = F.count_if(mine & F.col("digest").isNotNull()).alias("known")
+        sums = [F.sum(F.when(mine, part)).alias(f"part{i}") for i, part in enumerate(parts)]
+        return F.struct(F.count_if(mine).alias("n"), known, *sums)
 
     return (
         digests(before, 0)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import first_text, is_blank, leading_int, lossy_utf8
-from ..plans.lookup import lookup_wide
+from ..plans.lookup import lookup, lookup_staged
 from ..session import Staging
 from .records import drive_key, to_records
 
@@ -147,8 +145,8 @@ def drive_full_scan(
 ) -> DataFrame:
     """Records of a folder. Live files carry no change type; a file without content is an error row.
 
-    ``task_id`` is a Column over ``files``, for listings already matched with tasks. The look-up
-    reads the listing twice; with ``staging`` it is written down first.
+    ``task_id`` is a Column over ``files``, for listings already matched with tasks. With ``staging``
+    the listing is written down first, and a small one never moves the content store.
     """
     listed = drive_listing(files, folder_id, resume_after=resume_after, include_trashed=include_trashed)
     action = F.when(F.coalesce(F.col("trashed"), F.lit(False)), "trashed").otherwise("live")
@@ -161,11 +159,10 @@ def drive_full_scan(
         ).alias("file"),
         F.when(action == "live", F.col("id")).alias("__lookup"),
     )
-    n = None
     if staging is not None:
-        rows = staging.write(rows, "listing")
-        n = rows.count()
-    got = lookup_wide(rows, _content(content), ["__lookup"], ["file_id", "task_id"], left_rows=n)
+        got = lookup_staged(staging.write(rows, "listing"), _content(content), ["__lookup"])
+    else:
+        got = lookup(rows, _content(content), ["__lookup"])
     trashed = F.col("action") == "trashed"
     return _file_records(
         got,
@@ -210,8 +207,8 @@ def drive_delta(
     """``seq`` and the record for every relevant change from ``token`` on.
 
     Without a token nothing is due yet: the first run only learns where the feed stands (see
-    :func:`drive_next_token`). Only live files inside the folder are looked up. The look-up reads
-    the relevant changes twice; with ``staging`` they are written down first.
+    :func:`drive_next_token`). Only live files inside the folder are looked up. With ``staging`` the
+    relevant changes are written down first, and few of them never move the content store.
     """
     since = token if isinstance(token, Column) else F.lit(token).cast("bigint")
     due = (
@@ -221,11 +218,10 @@ def drive_delta(
         .withColumnRenamed("fileId", "file_id")
         .withColumn("__lookup", F.when(F.col("action") == "live", F.col("file_id")))
     )
-    rows = None
     if staging is not None:
-        due = staging.write(due, "due")
-        rows = due.count()
-    got = lookup_wide(due, _content(content), ["__lookup"], ["seq"], left_rows=rows)
+        got = lookup_staged(staging.write(due, "due"), _content(content), ["__lookup"])
+    else:
+        got = lookup(due, _content(content), ["__lookup"])
     live = F.col("action") == "live"
     return _file_records(
         got,
@@ -244,31 +240,63 @@ def effective_token(start_page_token: Column, next_page_token: Column) -> Column
     return first_text(start_page_token, next_page_token)
 
 
-def drive_next_token(changes: DataFrame, tokens: Mapping[str, int | None]) -> DataFrame:
-    """``(task_id, next_token, n_changes)`` for each task's current token, in one pass of the feed.
+# Ranges of positions that changes are counted in; finer ones only make smaller sorts.
+_RANGES = 4096
+
 
-    The next token is one past the newest change read. When nothing new was read the old token
-    stays. A task without a token reads nothing and gets the feed's current end.
+def drive_next_token(changes: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``(task_id, next_token, n_changes)`` for each row of ``tokens(task_id, start_token, next_token)``.
+
+    A task reads from its :func:`effective_token`. The next token is one past the newest change;
+    when nothing new was read the old token stays. A task without a token reads nothing and gets the
+    feed's current end. Changes are counted by ranges of positions, and within the ranges that a
+    token falls into: no list of tokens goes through the driver or meets all changes.
     """
-    rows = []
-    for task, token in tokens.items():
-        due = F.col("seq") >= F.lit(token if token is not None else 0).cast("bigint")
-        newest = F.max(F.when(due, F.col("seq"))) + 1 if token is not None else F.max("seq") + 1
-        fallback = F.lit(token if token is not None else 0).cast("bigint")
-        count = F.count_if(due) if token is not None else F.lit(0).cast("bigint")
-        rows.append(
-            F.struct(
-                F.lit(task).alias("task_id"),
-                F.coalesce(newest, fallback).alias("next_token"),
-                count.alias("n_changes"),
-            )
+    token = effective_token(F.col("start_token").cast("string"), F.col("next_token").cast("string")).cast("bigint")
+    wanted = tokens.select("task_id", token.alias("token"))
+    span = changes.agg(F.min("seq").alias("low"), F.max("seq").alias("high")).select(
+        "*", F.greatest(F.lit(1), F.ceil((F.col("high") - F.col("low") + 1) / _RANGES)).cast("bigint").alias("width")
+    )
+    # One row, so the planner broadcasts it.
+    within = F.coalesce(F.floor((F.greatest("low", F.least("at", F.col("high") + 1)) - F.col("low")) / F.col("width")), F.lit(0))
+    marks = changes.select(F.col("seq").alias("at"), F.lit(1).alias("n")).unionByName(
+        wanted.where("token is not null").select(F.col("token").alias("at"), F.lit(0).alias("n")).distinct()
+    )
+    placed = marks.join(F.broadcast(span)).select("at", "n", "high", within.alias("range"))
+    later = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("range").agg(F.sum("n").alias("n")).select("range", F.coalesce(F.sum("n").over(later), F.lit(0)).alias("beyond"))
+    from_here = Window.partitionBy("range").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = (
+        placed.withColumn("here", F.sum("n").over(from_here))
+        .where("n = 0")
+        .join(counts, "range")
+        .select(F.col("at").alias("token"), (F.col("here") + F.col("beyond")).alias("n_changes"))
+    )
+    end = F.col("high") + 1
+    return (
+        wanted.join(counted, "token", "left")
+        .join(F.broadcast(span))
+        .select(
+            "task_id",
+            F.when(F.col("token").isNull(), F.coalesce(end, F.lit(0)))
+            .when(end > F.col("token"), end)
+            .otherwise(F.col("token"))
+            .alias("next_token"),
+            F.coalesce("n_changes", F.lit(0)).alias("n_changes"),
         )
-    return changes.agg(F.array(*rows).alias("__rows")).select(F.inline("__rows"))
+    )
+
 
+def changes_per_page(changes: DataFrame, page_size: int = 100, token: int | None = None) -> DataFrame:
+    """``(page, n)``: how many changes each page of the feed holds when it is read from ``token``.
 
-def changes_per_page(changes: DataFrame, page_size: int = 100) -> DataFrame:
-    """``(page, n)``: how many changes each page of the feed holds, pages cut by position."""
-    return changes.groupBy(F.floor(F.col("seq") / page_size).alias("page")).agg(F.count(F.lit(1)).alias("n"))
+    Every page but the last is full, whatever gaps the positions have, so one count decides.
+    """
+    if token is not None:
+        changes = changes.where(F.col("seq") >= token)
+    total = changes.count()
+    n = F.least(F.lit(page_size), F.lit(total) - F.col("id") * page_size).cast("bigint")
+    return changes.sparkSession.range(-(-total // page_size)).select(F.col("id").alias("page"), n.alias("n"))
 
 
 def drive_content_plan(files: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsontext import has_keys, is_json
 from ..functions.values import let, lossy_utf8
-from ..plans.lookup import lookup_wide
+from ..plans.lookup import lookup, lookup_staged
 from ..schemas import PUSH
 from ..session import Staging
 from .records import git_key, to_records
@@ -126,8 +126,9 @@ def git_push_delta(
 
     Added and modified files get their content from ``repo_files`` at the pushed commit, or become
     an error row; removed files become tombstones. Pings, malformed bodies and pushes without a
-    head commit give no rows. Works on a stream of pushes as well. The look-up reads the list of
-    files twice; with ``staging`` it is written down first, so that bodies are parsed once.
+    head commit give no rows. Works on a stream of pushes as well. ``pos`` is the file's place within
+    its push. A commit that the table holds under several branches counts once. With ``staging`` the
+    list of files is written down first, and a short one never moves the content.
     """
 
     def head_files(event: Column) -> Column:
@@ -160,10 +161,8 @@ def git_push_delta(
             for name in ("name", "home", "after", "branch", "pusher", "commit", "message", "author")
         ],
     )
-    rows = None
     if staging is not None:
         changes = staging.write(changes, "push_files")
-        rows = changes.count()
     removed = F.col("__kind") == "removed"
     # Tombstones need no content: a NULL key keeps them out of the match.
     keyed = changes.select(
@@ -172,8 +171,12 @@ def git_push_delta(
         F.when(~removed, F.col("__after")).alias("commit_sha"),
         F.when(~removed, F.col("__path")).alias("path"),
     )
-    content = repo_files.select("repo", "commit_sha", "path", "content")
-    got = lookup_wide(keyed, content, ["repo", "commit_sha", "path"], ["__name", "__path", "__pos", *keep], left_rows=rows)
+    key = ["repo", "commit_sha", "path"]
+    files = repo_files.select(*key, F.coalesce("branch", F.lit("")).alias("__held"), "content")
+    # A commit's files are the same on every branch: the least branch is chosen without the contents.
+    chosen = files.groupBy(*key).agg(F.min("__held").alias("__held"))
+    look = lookup_staged if staging is not None else lookup
+    got = look(look(keyed, chosen, key), files, [*key, "__held"])
 
     failed = ~removed & F.col("content").isNull()
     file_id = F.concat_ws("-", "__name", "__path")
@@ -183,8 +186,8 @@ def git_push_delta(
     text = F.when(removed, "").otherwise(lossy_utf8(F.col("content")))
     unless_failed = lambda c: F.when(~failed, c)
     return to_records(
-        got,
-        keep,
+        got.withColumnRenamed("__pos", "pos"),
+        (*keep, "pos"),
         source=F.lit("git"),
         id=F.when(failed, F.concat(file_id, F.lit("-error"))).otherwise(file_id),
         url=unless_failed(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import is_sitemap_index, robots_sitemap, sitemap_locs
 from ..functions.urls import normalize_url, resolve_url, url_allowed, url_host, url_scheme
-from ..plans.lookup import lookup_narrow, lookup_wide
+from ..plans.lookup import lookup, lookup_staged
 from ..session import Staging
 from .web import crawl
 
@@ -27,9 +27,8 @@ def discover_sitemaps(seeds: DataFrame, robots: DataFrame, sitemaps: DataFrame)
         F.concat(url_scheme(address), F.lit("://"), url_host(address), F.lit("/sitemap.xml")).alias("__fallback"),
     )
     named = robots.select("host", robots_sitemap(F.col("body")).alias("__named"))
-    known = sitemaps.select(normalize_url(F.col("url")).alias("__fallback"), F.lit(True).alias("__exists"))
-    found = lookup_narrow(starts, named, ["host"], ["task_id", "url"])
-    found = lookup_narrow(found, known, ["__fallback"], ["task_id", "url"])
+    known = sitemaps.select(normalize_url(F.col("url")).alias("__fallback")).distinct().withColumn("__exists", F.lit(True))
+    found = lookup(lookup(starts, named, ["host"]), known, ["__fallback"])
     return found.select(
         "task_id",
         "url",
@@ -61,11 +60,11 @@ def sitemap_urls(
     spark = starts.sparkSession
     staging = staging or Staging(spark, "sitemaps")
     rules = [c for c in starts.columns if c not in ("task_id", "sitemap_url")]
+    # A sitemap held several times counts once, as its greatest body.
+    bodies = sitemaps.groupBy(normalize_url(F.col("url")).alias("sitemap_url")).agg(F.max("body").alias("body"))
     parsed = staging.write(
-        sitemaps.select(
-            normalize_url(F.col("url")).alias("sitemap_url"),
-            is_sitemap_index(F.col("body")).alias("is_index"),
-            sitemap_locs(F.col("body")).alias("locs"),
+        bodies.select(
+            "sitemap_url", is_sitemap_index(F.col("body")).alias("is_index"), sitemap_locs(F.col("body")).alias("locs")
         ).where(F.size("locs") > 0),
         "parsed",
     )
@@ -75,11 +74,11 @@ def sitemap_urls(
     first = starts.withColumn("sitemap_url", normalize_url(F.col("sitemap_url"))).dropDuplicates(key)
     frontier = staging.write(first.select(*key, *rules), "reached/round=0")
     reached, turn = frontier, 0
-    while rows := frontier.count():
+    while not frontier.isEmpty():
         turn += 1
         # The rules of a task ride along with its sitemaps: every row of a task has the same ones.
         nested = (
-            lookup_wide(frontier, indexes, ["sitemap_url"], ["task_id"], left_rows=rows)
+            lookup_staged(frontier, indexes, ["sitemap_url"])
             .select("task_id", *rules, F.explode("locs").alias("__named"))
             .select("task_id", normalize_url(F.col("__named")).alias("sitemap_url"), *rules)
             .dropDuplicates(key)
@@ -91,7 +90,7 @@ def sitemap_urls(
     entries = parsed.where(~F.col("is_index")).select("sitemap_url", "locs")
     base = normalize_url(start_url) if start_url is not None else F.lit("")
     return (
-        lookup_wide(reached.select(*key, *rules), entries, ["sitemap_url"], ["task_id"], left_rows=reached.count())
+        lookup_staged(reached.select(*key, *rules), entries, ["sitemap_url"])
         .withColumn("loc", F.explode("locs"))
         .select(
             *key,

@@ -2,32 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import is_html, page_links
 from ..functions.urls import fetch_key, normalize_url, parse_absolute, url_allowed, url_scheme
-from ..functions.values import any_of
-from ..plans.lookup import FEW_ROWS, lookup_narrow, lookup_wide
+from ..plans.lookup import lookup, lookup_staged
 from ..session import Staging
 from .records import to_records
 
-MAX_RULE_SETS = 20
 TASK_COLUMNS = ("task_id", "max_depth", "recursive", "allowed_domains", "include_paths", "exclude_paths")
 
 
 def page_snapshot(pages: DataFrame, newest: str | None = None) -> DataFrame:
     """One row per request address: the newest by ``newest``, then the greatest address.
 
-    For tables that hold an address several times or under several fragments. ``max_by`` reduces
-    on the map side, so many copies of one page do not meet in one task.
+    For tables that hold an address several times or under several fragments. The winner is found on
+    the narrow columns, reduced where they are read; only then is each winner's body picked. Rows
+    alike in address and ``newest`` are told apart by a hash of their body; wholly equal ones stay
+    one row.
     """
-    rank = F.struct(*([F.col(newest)] if newest else []), F.col("url"))
-    return (
-        pages.groupBy(fetch_key(normalize_url(F.col("url"))).alias("__key"))
-        .agg(F.max_by(F.struct(*pages.columns), rank).alias("__page"))
-        .select("__page.*")
-    )
+    rank = [*([newest] if newest else []), "url", "__hash"]
+    keyed = pages.withColumns({"__key": fetch_key(normalize_url(F.col("url"))), "__hash": F.xxhash64("body")})
+    best = keyed.groupBy("__key").agg(F.max(F.struct(*rank)).alias("__best"))
+    won = reduce(and_, (F.col(c).eqNullSafe(F.col("__best")[c]) for c in rank))
+    return keyed.join(best, "__key").where(won).dropDuplicates(["__key"]).select(*pages.columns)
 
 
 def _column(df: DataFrame, name: str, kind: str) -> Column:
@@ -61,13 +63,13 @@ def content_kind(content_type: Column, body: Column) -> Column:
 
 
 def web_fetch(
-    frontier: DataFrame, pages: DataFrame, *, frontier_rows: int | None = None, run_ts: Column | None = None
+    frontier: DataFrame, pages: DataFrame, *, staged: bool = False, run_ts: Column | None = None
 ) -> DataFrame:
     """Records for ``frontier(url[, task_id, depth])`` read from a page snapshot.
 
     ``pages`` has one row per request address (see :func:`page_snapshot`). An address the snapshot
-    lacks is a 404 row; a row without a status is a failed request, 500. ``frontier_rows`` is the
-    size of the frontier, if known; see :func:`~feedloom.plans.lookup.lookup_wide`.
+    lacks is a 404 row; a row without a status is a failed request, 500. ``staged`` tells that the
+    frontier is read from a written table: a small one then never moves the page store.
     """
     front = frontier.select(
         fetch_key(F.col("url")).alias("__fetch"),
@@ -75,7 +77,7 @@ def web_fetch(
         _column(frontier, "task_id", "string").alias("task_id"),
         _column(frontier, "depth", "int").alias("depth"),
     )
-    got = lookup_wide(front, _prepared(pages), ["__fetch"], ["task_id", "url"], left_rows=frontier_rows)
+    got = (lookup_staged if staged else lookup)(front, _prepared(pages), ["__fetch"])
     hit, requested = F.col("__hit").isNotNull(), F.col("__requested")
     # A request is only made for an absolute http(s) address; for anything else it fails outright.
     refusal = F.when(requested.isNull(), "Invalid URL").when(
@@ -121,59 +123,24 @@ def web_fetch(
     )
 
 
-def extract_links(pages: DataFrame, *keep: str, dom: bool = False, distinct: bool = False) -> DataFrame:
+def extract_links(pages: DataFrame, *keep: str, distinct: bool = False) -> DataFrame:
     """``keep`` columns plus ``link_url`` for every usable ``a[href]`` of the HTML pages.
 
     Links are resolved against the page's address; unparseable ones are dropped. Every whole page
     is read once and no shuffle is needed. ``distinct`` removes repeats within a page.
     """
     # One generator and no later filter: a filter would be pushed below and resolve links twice.
-    links = page_links(F.col("body"), normalize_url(F.col("url")), dom=dom)
+    links = page_links(F.col("body"), normalize_url(F.col("url")))
     return pages.where(is_html(F.col("content_type"))).select(
         *keep, F.explode(F.array_distinct(links) if distinct else links).alias("link_url")
     )
 
 
-def link_edges(pages: DataFrame, *, dom: bool = False) -> DataFrame:
+def link_edges(pages: DataFrame) -> DataFrame:
     """``(src, dst)`` for the links of all successfully fetched HTML pages; ``src`` is a request address."""
     ok = pages.where(_succeeded(F.col("status_code"))) if "status_code" in pages.columns else pages
     keyed = ok.withColumn("src", fetch_key(normalize_url(F.col("url"))))
-    return extract_links(keyed, "src", dom=dom, distinct=True).withColumnRenamed("link_url", "dst")
-
-
-def _reachable_pages(
-    pages: DataFrame, rules: DataFrame, seeds: DataFrame, n_seeds: int, strict_domain: bool
-) -> DataFrame:
-    """Leaves out pages no task can come to: neither a start page nor allowed by any task's rules.
-
-    Saves searching them for links. With many different rules or start pages all pages stay in.
-    """
-    sets = (
-        rules.where("recursive")
-        .select("allowed_domains", "include_paths", "exclude_paths")
-        .distinct()
-        .limit(MAX_RULE_SETS + 1)
-        .collect()
-    )
-    if len(sets) > MAX_RULE_SETS or n_seeds > FEW_ROWS:
-        return pages
-    allowed = any_of(
-        url_allowed(
-            F.col("__key"),
-            allowed=r.allowed_domains,
-            include=r.include_paths,
-            exclude=r.exclude_paths,
-            strict_domain=strict_domain,
-        )
-        for r in sets
-    )
-    starts = seeds.select(fetch_key(F.col("url")).alias("__key"), F.lit(True).alias("__start")).distinct()
-    return (
-        pages.withColumn("__key", fetch_key(normalize_url(F.col("url"))))
-        .join(F.broadcast(starts), "__key", "left")
-        .where(F.coalesce(F.col("__start"), F.lit(False)) | allowed)
-        .select(*pages.columns)
-    )
+    return extract_links(keyed, "src", distinct=True).withColumnRenamed("link_url", "dst")
 
 
 def crawl_frontier(
@@ -190,11 +157,12 @@ def crawl_frontier(
     ``seeds(task_id, url)`` start at depth 0 and are not filtered; ``tasks`` has the columns
     ``TASK_COLUMNS``. All tasks advance together, one depth per round:
 
-    * Page texts are read once, to make ``edges``; the rounds join only addresses. Crawls that
-      share a snapshot can share its edges, made by :func:`link_edges`.
-    * A round is: pages of the frontier (many fragments of one page count once) with edges, filter
-      by the task's rules, distinct (which reduces popular targets before the shuffle), anti-join
-      against what was visited.
+    * A round searches the frontier's own pages for links, each page once in a crawl, and keeps what
+      it finds as ``edges``. Crawls that share a snapshot can be given its edges instead, made by
+      :func:`link_edges`; then no page text is read.
+    * Then: pages of the frontier (many fragments of one page count once) with edges, filter by the
+      task's rules, distinct (which reduces popular targets before the shuffle), anti-join against
+      what was visited.
     * Every round's frontier is a written table: its exact size lets the planner broadcast a small
       one instead of shuffling the edges, and nothing is recomputed when an executor is lost.
     """
@@ -212,12 +180,9 @@ def crawl_frontier(
     # so does their generated code.
     frontier = staging.write(start, "visited/depth=0")
     visited = frontier
-    deepest = (
-        rules.where(F.col("recursive")).agg(F.coalesce(F.max(run_depth), F.lit(0)).alias("d")).first()["d"]
-    )
-    rows = frontier.count()
-    if deepest > 0 and rows and edges is None:
-        edges = staging.write(link_edges(_reachable_pages(pages, rules, frontier, rows, strict_domain)), "edges")
+    deepest = rules.where(F.col("recursive")).agg(F.coalesce(F.max(run_depth), F.lit(0)).alias("d")).first()["d"]
+    given, searched = edges, None
+    keyed = pages.withColumn("__src", fetch_key(normalize_url(F.col("url"))))
 
     allowed = url_allowed(
         F.col("dst"),
@@ -227,14 +192,22 @@ def crawl_frontier(
         strict_domain=strict_domain,
     )
     for depth in range(1, deepest + 1):
-        if not rows:
+        if frontier.isEmpty():
             break
         active = rules.where(F.col("recursive") & (run_depth >= depth))
-        pages_due = frontier.select("task_id", fetch_key(F.col("url")).alias("src")).distinct()
+        due = frontier.join(active.select("task_id"), "task_id", "left_semi")
+        due = due.select("task_id", fetch_key(F.col("url")).alias("src")).distinct()
+        if given is None:
+            fresh = due.select(F.col("src").alias("__src")).distinct()
+            if searched is not None:
+                fresh = fresh.join(searched, "__src", "left_anti")
+            fresh = staging.write(fresh, f"searched/depth={depth}")
+            staging.write(link_edges(keyed.join(fresh, "__src", "left_semi").drop("__src")), f"edges/depth={depth}")
+            searched = spark.read.schema(fresh.schema).parquet(f"{staging.path}/searched")
+            edges = spark.read.schema("src string, dst string").parquet(f"{staging.path}/edges")
         found = (
-            lookup_narrow(pages_due, active, ["task_id"], ["src"])
-            .where("recursive")
-            .join(edges, "src")
+            due.join(edges, "src")
+            .join(active, "task_id")
             .where(allowed)
             .select("task_id", F.col("dst").alias("url"))
             .distinct()
@@ -242,7 +215,6 @@ def crawl_frontier(
         )
         frontier = staging.write(found, f"visited/depth={depth}")
         visited = spark.read.schema(frontier.schema).parquet(f"{staging.path}/visited")
-        rows = frontier.count()
     reached = spark.read.schema("task_id string, url string, depth int").parquet(f"{staging.path}/visited")
     return reached.select("task_id", "url", "depth")
 
@@ -267,4 +239,4 @@ def crawl(
             "task_id", F.col("start_url").alias("url")
         )
     reached = crawl_frontier(seeds, tasks, pages, edges=edges, strict_domain=strict_domain)
-    return web_fetch(reached, pages, frontier_rows=reached.count(), run_ts=run_ts)
+    return web_fetch(reached, pages, staged=True, run_ts=run_ts)

@@ -13,7 +13,7 @@ from ..functions.crypto import hmac_pads, hmac_sha256_hex
 from ..functions.jsontext import is_json
 from ..functions.urls import parse_absolute, url_path
 from ..functions.values import first_text, is_blank, json_truthy, let
-from ..plans.lookup import lookup_narrow
+from ..plans.lookup import lookup
 
 # The services deliveries name, exactly so.
 GIT_SERVICE = "git-crawler"
@@ -60,7 +60,7 @@ def _with_secrets(deliveries: DataFrame, registry: DataFrame | None, on: str, sp
         F.nullif(F.col("external_webhook_id"), F.lit("")).alias("__channel"),
         hmac_pads(F.nullif(F.col("secret"), F.lit(""))).alias("__pads"),
     )
-    return lookup_narrow(deliveries, entries, [on], spread).withColumn(
+    return lookup(deliveries, entries, [on]).withColumn(
         "__secret", F.when(F.col("service") == DRIVE_SERVICE, F.col("__channel")).otherwise(F.col("__git_secret"))
     )
 
@@ -181,6 +181,6 @@ def route(verdicts: DataFrame, registry: DataFrame, *, keep: tuple[str, ...] = (
         *keep, "change_type", F.col("external_resource_id").alias("source_identifier")
     )
     active = registry.where("webhook_flag").select("source_identifier", F.col("registered_tasks").alias("__tasks"))
-    return lookup_narrow(valid, active, ["source_identifier"], keep).select(
+    return lookup(valid, active, ["source_identifier"]).select(
         *keep, F.explode("__tasks").alias("task_id"), "change_type"
     )

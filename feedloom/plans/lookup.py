@@ -1,4 +1,9 @@
-"""Looking up rows by key when some key may be very frequent."""
+"""Looking up rows by key.
+
+Both look-ups are plain joins: the planner broadcasts a side whose size it knows to be small, and
+adaptive execution splits a key that fills a partition. Right rows come at most one per key, so a
+split copies nothing but one row.
+"""
 
 from __future__ import annotations
 
@@ -7,19 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-FEW_ROWS = 200_000
-SALTS = 64
-NARROW_SALTS = 16
-
-_COUNT, _SALT, _HOT = "__n", "__salt", "__hot"
-
-
-def _spread_over(columns: Sequence[str], n: int) -> Column:
-    # A hash, not rand(): a recomputed task must send each row where it went the first time.
-    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
-
 
 def _all_known(columns: Sequence[str]) -> Column:
     known = F.col(columns[0]).isNotNull()
@@ -28,89 +20,27 @@ def _all_known(columns: Sequence[str]) -> Column:
     return known
 
 
-def _repeated(n: int) -> Column:
-    return F.sequence(F.lit(0), F.lit(n - 1))
+def _ordered(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[str]:
+    return [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on)]
 
 
-def lookup_narrow(
-    left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], *, salts: int = NARROW_SALTS
-) -> DataFrame:
-    """``left LEFT JOIN right USING (on)`` for a right side of short rows.
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``left LEFT JOIN right USING (on)``; column order: keys, left, right. Each row moves once at most."""
+    return left.join(right, list(on), "left").select(*_ordered(left, right, on))
 
-    The planner broadcasts a right side it knows to be small. Beyond that both sides are shuffled:
-    every right row is repeated ``salts`` times and left rows are dealt over the copies by the hash
-    of their ``spread`` columns, so no key is the work of one task, and ``left`` is read once.
-    ``spread`` names columns that tell left rows apart. Column order: keys, left, right.
-    """
-    on = list(on)
-    columns = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on)]
-    if left.isStreaming:
-        # A batch of a stream is bounded, and its static side most often broadcast.
-        return left.join(right, on, "left").select(*columns)
-    return (
-        left.withColumn(_SALT, _spread_over([*on, *spread], salts))
-        .join(right.withColumn(_SALT, F.explode(_repeated(salts))), [*on, _SALT], "left")
-        .select(*columns)
-    )
 
+def lookup_staged(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The same rows, for a ``left`` of short rows that is read from a written table.
 
-def lookup_wide(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread: Sequence[str],
-    *,
-    left_rows: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """``left LEFT JOIN right USING (on)`` for a right side of long rows, at most one per key.
-
-    ``left_rows``, the size of ``left`` where the caller knows it (from a staged table), decides:
-
-    * Up to ``FEW_ROWS``, the distinct left keys are broadcast and the right rows filtered where
-      they are read: a small delta never shuffles a large content store.
-    * Beyond, the right rows are shuffled once, unfiltered.
-    * Unknown: the right rows are joined with the left keys first, as the planner sees fit.
-
-    The left keys are counted, which reads the (short) left rows a second time. A key with at
-    least ``hot_rows`` rows is dealt over ``salts`` partitions by the hash of its ``spread``
-    columns, and its single right row repeated once per salt. The list of such keys is broadcast;
-    it holds at most ``MAX_HOT_KEYS`` keys, the most frequent ones. Should there be more, the rest
-    rely on adaptive skew-join splitting. Rows with a NULL key match nothing and are spread over
-    all partitions.
-
-    ``spread`` names columns that tell left rows apart. Column order: keys, left, right.
+    Matches come from an inner join, in which either side can be the broadcast one: a small list of
+    keys never moves a large store of long rows, and a large one moves each of them once. The left
+    rows without a match are found from the right side's keys alone, and those without a key
+    meet nothing. ``left`` is read three times.
     """
-    on = list(on)
-    columns = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on)]
     if left.isStreaming:
-        # Counting keys would make the query stateful; a batch of a stream is bounded instead.
-        return left.join(right, on, "left").select(*columns)
-
-    known = _all_known(on)
-    if left_rows is not None and left_rows <= min(FEW_ROWS, hot_rows - 1):
-        keys = left.where(known).select(*on).distinct()
-        return left.join(right.join(F.broadcast(keys), on, "left_semi"), on, "left").select(*columns)
-
-    counts = left.where(known).groupBy(*on).agg(F.count(F.lit(1)).alias(_COUNT))
-    hot = F.broadcast(
-        counts.where(F.col(_COUNT) >= hot_rows)
-        .orderBy(F.col(_COUNT).desc())
-        .limit(MAX_HOT_KEYS)
-        .withColumnRenamed(_COUNT, _HOT)
-    )
-    salt = (
-        F.when(F.col(_HOT) > 0, _spread_over(spread, salts))
-        .when(known, F.lit(0))
-        .otherwise(_spread_over(spread, 1 << 20))
-    )
-    wanted = right.join(counts, on) if left_rows is None else right.join(hot, on, "left")
-    times = F.col(_COUNT if left_rows is None else _HOT)
-    copies = F.when(times >= hot_rows, _repeated(salts)).otherwise(F.array(F.lit(0)))
-    return (
-        left.join(hot, on, "left")
-        .withColumn(_SALT, salt)
-        .join(wanted.withColumn(_SALT, F.explode(copies)), [*on, _SALT], "left")
-        .select(*columns)
-    )
+        return lookup(left, right, on)
+    on, columns = list(on), _ordered(left, right, on)
+    known = left.where(_all_known(on))
+    matched = known.join(right, on).select(*columns)
+    rest = known.join(right.select(*on), on, "left_anti").unionByName(left.where(~_all_known(on)))
+    return matched.unionByName(rest, allowMissingColumns=True).select(*columns)

@@ -11,7 +11,6 @@ from ..functions.mappings import mapped
 from ..operators import drive, git, records, sitemaps
 from ..operators.tasks import GIT_DEFAULTS, RUN_MESSAGES, parse_tasks, validate_tasks, web_tasks, well_formed
 from ..session import Staging
-from .lookup import lookup_narrow
 
 Inputs = Mapping[str, DataFrame]
 Runner = Callable[[DataFrame, Inputs, Column | None], DataFrame]
@@ -34,7 +33,7 @@ def _run_git(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> DataFra
         conf["repoUrl"].alias("repo"),
         F.coalesce(conf["branch"], F.lit(GIT_DEFAULTS["branch"])).alias("branch"),
     )
-    files = lookup_narrow(inputs["repo_files"], wanted, ["repo", "branch"], ["path"]).where(F.col("task_id").isNotNull())
+    files = inputs["repo_files"].join(wanted, ["repo", "branch"])
     return git.git_full_scan(files, branch=F.col("branch"), task_id=F.col("task_id"), run_ts=run_ts)
 
 
@@ -42,7 +41,7 @@ def _run_drive(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> DataF
     """Inputs ``drive_files`` and ``drive_content``: full scans of the tasks' folders."""
     wanted = parse_tasks(tasks).select("task_id", F.col("drive")["folderId"].alias("__folder"))
     listed = inputs["drive_files"].withColumn("__folder", F.explode(F.array_distinct("parents")))
-    placed = lookup_narrow(listed, wanted, ["__folder"], ["id"]).where(F.col("task_id").isNotNull())
+    placed = listed.join(wanted, "__folder")
     return drive.drive_full_scan(
         placed,
         inputs["drive_content"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,17 +29,27 @@ def build_session(app: str = "feedloom", master: str | None = None, **conf: str)
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only in local mode."""
+    """The cluster's shared checkpoint folder.
+
+    Plain local mode, where driver and executors are one process, may leave it unset: a temporary
+    folder then serves for the session.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="feedloom-")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name; what cannot be reached raises."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 class Staging:
     """Tables written between the rounds of an iterative job.
 
@@ -54,3 +65,8 @@ class Staging:
         path = f"{self.path}/{table}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete the tables. For jobs that know that nothing reads them any more, such as a micro-batch once written."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,97 +2,149 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.changes import apply_changes, latest_changes
+from ..session import exists
+
+_LOG = (
+    "entry bigint, kind string, folder string, stream string, batch bigint,"
+    " contains array<struct<stream string, batch bigint>>"
+)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity a stream keeps with its checkpoint; a new checkpoint is a new stream."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
 
 
 class Corpus:
-    """Versions and batches under ``path``.
+    """Versions and batches under ``path``, and a log of both.
 
-    A batch is reduced to its last change per entity and written to a folder of its own, so that
-    its cost follows the batch and not the corpus, and a repeated batch rewrites its folder.
-    Readers merge the newest version with the batches after it; :meth:`compact` writes that down
-    as the next version, which takes effect when it is entered in the log.
+    A batch is reduced to its last change per entity and written to a folder of its own, so that its
+    cost follows the batch and not the corpus. It counts from the moment the log names it; batches
+    are told apart by stream and number, and one that is repeated takes the place of its first
+    writing. Readers merge the newest version with the batches it does not contain;
+    :meth:`compact` writes that down as the next version, with the list of batches in it.
+
+    One driver at a time writes; the log has a short row for each batch and version.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _batches(self, after: int | None, upto: int | None = None) -> DataFrame | None:
-        try:
-            batches = self.spark.read.parquet(f"{self.path}/batches")
-        except AnalysisException:
-            return None
-        if after is not None:
-            batches = batches.where(F.col("batch") > after)
-        if upto is not None:
-            batches = batches.where(F.col("batch") <= upto)
-        return batches.drop("batch")
+    def _log(self) -> list:
+        if not exists(self.spark, f"{self.path}/log"):
+            return []
+        return sorted(self.spark.read.schema(_LOG).json(f"{self.path}/log").collect(), key=lambda r: r.entry)
+
+    def _enter(self, kind: str, folder: str, stream: str | None, batch: int | None, contains: list | None) -> None:
+        entry = max((r.entry for r in self._log()), default=-1) + 1
+        row = (entry, kind, folder, stream, batch, contains)
+        self.spark.createDataFrame([row], _LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
+
+    def _state(self) -> tuple[object | None, dict[tuple[str, int], str]]:
+        """The newest version's entry, and the folders of the batches beyond it."""
+        log = self._log()
+        version = next((r for r in reversed(log) if r.kind == "version"), None)
+        within = {(c.stream, c.batch) for c in version.contains} if version else set()
+        batches = {(r.stream, r.batch): r.folder for r in log if r.kind == "batch"}
+        return version, {k: f for k, f in batches.items() if k not in within}
 
     def version(self) -> int | None:
-        """The last batch the newest version contains; None before the first version."""
-        try:
-            log = self.spark.read.schema("version bigint").json(f"{self.path}/log")
-        except AnalysisException:
-            return None
-        return log.agg(F.max("version").alias("v")).first()["v"]
-
-    def _version_table(self, version: int | None) -> DataFrame | None:
-        return None if version is None else self.spark.read.parquet(f"{self.path}/versions/v={version}")
-
-    def apply(self, changes: DataFrame, batch_id: int) -> None:
-        """Take in records with ``seq``; fit for ``foreachBatch``."""
-        latest_changes(changes).write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}")
-
-    def writer(self) -> Callable[[DataFrame, int], None]:
-        return lambda batch, batch_id: self.apply(batch, batch_id)
-
-    def read(self, upto: int | None = None) -> DataFrame | None:
-        """The corpus after all batches, or after batch ``upto``; None when there is nothing yet."""
-        version = self.version()
-        if upto is not None and version is not None and version > upto:
-            raise ValueError(f"batch {upto} is part of version {version}")
-        base, batches = self._version_table(version), self._batches(version, upto)
-        return base if batches is None else apply_changes(base, batches)
+        """The number of the newest version; None before the first."""
+        n = sum(r.kind == "version" for r in self._log())
+        return n - 1 if n else None
+
+    def apply(self, changes: DataFrame, batch_id: int, stream: str = "default") -> None:
+        """Take in records with ``seq`` as one batch of ``stream``.
+
+        A repeated batch replaces its first writing, unless a version already contains it.
+        """
+        folder = f"batches/{uuid.uuid4().hex}"
+        latest_changes(changes).write.parquet(f"{self.path}/{folder}")
+        self._enter("batch", folder, stream, batch_id, None)
+
+    def writer(self, stream: str) -> Callable[[DataFrame, int], None]:
+        """For ``foreachBatch``; each stream into the corpus needs a name of its own."""
+        return lambda batch, batch_id: self.apply(batch, batch_id, stream)
+
+    def stream_writer(self, checkpoint: str) -> Callable[[DataFrame, int], None]:
+        """The same, named by the identity in the stream's checkpoint."""
+        return lambda batch, batch_id: self.apply(batch, batch_id, stream_id(batch.sparkSession, checkpoint))
+
+    def read(self, upto: Mapping[str, int] | None = None) -> DataFrame | None:
+        """The corpus after all batches; of the streams in ``upto``, after the batch named there.
+
+        None when there is nothing yet. A batch beyond ``upto`` that a version contains raises.
+        """
+        version, batches = self._state()
+        if upto is not None:
+            late = [c for c in (version.contains if version else []) if c.batch > upto.get(c.stream, c.batch)]
+            if late:
+                raise ValueError(f"batch {late[0].batch} of {late[0].stream} is part of the newest version")
+            batches = {k: f for k, f in batches.items() if k[1] <= upto.get(k[0], k[1])}
+        base = None if version is None else self.spark.read.parquet(f"{self.path}/{version.folder}")
+        if not batches:
+            return base
+        changes = None
+        for folder in sorted(batches.values()):
+            part = self.spark.read.parquet(f"{self.path}/{folder}")
+            changes = part if changes is None else changes.unionByName(part, allowMissingColumns=True)
+        return apply_changes(base, changes)
 
     def compact(self) -> int | None:
-        """Write the corpus after all batches as a version; returns it."""
-        version = self.version()
-        try:
-            newest = self.spark.read.parquet(f"{self.path}/batches").agg(F.max("batch").alias("b")).first()["b"]
-        except AnalysisException:
-            return version
-        if newest is None or newest == version:
-            return version
-        self.read(upto=newest).write.mode("overwrite").parquet(f"{self.path}/versions/v={newest}")
-        entry = self.spark.range(1).select(F.lit(newest).cast("bigint").alias("version"))
-        entry.write.mode("overwrite").json(f"{self.path}/log/entry={newest}")
-        return newest
+        """Write the corpus after all batches as a version; returns the newest one's number."""
+        version, batches = self._state()
+        if batches:
+            folder = f"versions/{uuid.uuid4().hex}"
+            self.read().write.parquet(f"{self.path}/{folder}")
+            within = [(c.stream, c.batch) for c in version.contains] if version else []
+            self._enter("version", folder, None, None, sorted({*within, *batches}))
+        return self.version()
 
 
 class TokenState:
     """The next token per resource, for audit and for batch reruns.
 
     A running stream resumes from its checkpoint; this table tells where a batch run would go on.
+    Rows are only ever added; the last writing of a resource counts, whatever its stream and batch.
     """
 
+    _ROW = "entry bigint, stream string, batch bigint, resource string, next_token bigint"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def write(self, tokens: DataFrame, batch_id: int) -> None:
+    def _history(self) -> DataFrame:
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], self._ROW)
+        return self.spark.read.schema(self._ROW).json(self.path)
+
+    def write(self, tokens: DataFrame, batch_id: int, stream: str = "default") -> None:
         """Keep ``tokens(resource, next_token)`` as of one batch."""
-        tokens.select("resource", F.col("next_token").cast("bigint").alias("next_token")).write.mode(
-            "overwrite"
-        ).json(f"{self.path}/batch={batch_id}")
+        entry = (self._history().agg(F.max("entry")).first()[0] or 0) + 1
+        tokens.select(
+            F.lit(entry).alias("entry"),
+            F.lit(stream).alias("stream"),
+            F.lit(batch_id).cast("bigint").alias("batch"),
+            "resource",
+            F.col("next_token").cast("bigint").alias("next_token"),
+        ).write.mode("append").json(self.path)
 
     def read(self) -> DataFrame:
         """The newest token per resource."""
-        history = self.spark.read.schema("resource string, next_token bigint, batch bigint").json(self.path)
-        return history.groupBy("resource").agg(F.max_by("next_token", "batch").alias("next_token"))
+        return self._history().groupBy("resource").agg(F.max_by("next_token", "entry").alias("next_token"))
+
+    def read_before(self, resource: str, stream: str, batch_id: int) -> int | None:
+        """The resource's newest token, those that ``stream`` wrote from ``batch_id`` on left out."""
+        own = (F.col("stream") == stream) & (F.col("batch") >= batch_id)
+        rows = self._history().where((F.col("resource") == resource) & ~own)
+        return rows.agg(F.max_by("next_token", "entry")).first()[0]

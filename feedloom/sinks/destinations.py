@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 Writer = Callable[[DataFrame, int], None]
 WriterFactory = Callable[[Mapping[str, str]], Writer]
@@ -25,23 +27,42 @@ def destination(name: str, config: Mapping[str, str]) -> Writer:
 
 
 def write_once(records: DataFrame, name: str, config: Mapping[str, str]) -> None:
-    destination(name, config)(records, 0)
+    """One batch run; it stands beside what earlier runs and streams have written."""
+    destination(name, {**config, "stream": f"run-{uuid.uuid4().hex}"})(records, 0)
 
 
 def _files(config: Mapping[str, str]) -> Writer:
-    """One folder per batch, rewritten when a batch is repeated; partitioned by source."""
-    kind, path = config.get("format", "parquet"), config["path"]
+    """A folder for each stream and batch, rewritten when a batch is repeated; partitioned by source.
+
+    Streams into one path need a ``stream`` name each in their configuration.
+    """
+    kind, path, stream = config.get("format", "parquet"), config["path"], config.get("stream", "default")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         by = [c for c in ("source",) if c in batch.columns]
-        batch.write.format(kind).mode("overwrite").partitionBy(*by).save(f"{path}/batch={batch_id}")
+        batch.write.format(kind).mode("overwrite").partitionBy(*by).save(f"{path}/stream={stream}/batch={batch_id}")
 
     return write
 
 
 def _table(config: Mapping[str, str]) -> Writer:
+    """A table with the columns stream and batch added; a repeated batch replaces its partition."""
+    table, stream = config["table"], config.get("stream", "default")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode(config.get("mode", "append")).saveAsTable(config["table"])
+        rows = batch.withColumns({"stream": F.lit(stream), "batch": F.lit(batch_id).cast("bigint")})
+        spark = batch.sparkSession
+        if not spark.catalog.tableExists(table):
+            rows.write.partitionBy("stream", "batch").saveAsTable(table)
+            return
+        # Only the partitions that rows go to are overwritten.
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")
+        try:
+            rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        finally:
+            spark.conf.set(setting, before)
 
     return write
 

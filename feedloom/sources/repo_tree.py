@@ -16,17 +16,18 @@ from ..schemas import REPO_FILE
 _BATCH_BYTES = 32 << 20
 
 
-class _Folder(InputPartition):
-    def __init__(self, path: str, recurse: bool):
-        self.path = path
-        self.recurse = recurse
+class _Files(InputPartition):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
 
 
 class RepoTreeSource(DataSource):
     """``spark.read.format("repo_tree").option("repo", ...).option("branch", ...).load(root)``.
 
     Rows are (repo, branch, commit_sha, path, content); an unreadable file has NULL content. The
-    root must be a folder every executor sees. Work is dealt out by folder.
+    root must be a folder every executor sees. Work is dealt out in lists of files of bounded number
+    and size, however the tree is shaped; the list is made on the driver, without opening a file. A
+    folder that cannot be read fails the scan. Linked folders are neither rows nor followed.
     """
 
     @classmethod
@@ -46,21 +47,33 @@ class _RepoTreeReader(DataSourceReader):
         self.repo = options.get("repo", self.root)
         self.branch = options.get("branch", "main")
         self.commit = options.get("commit_sha")
-        self.depth = int(options.get("shard_depth", "2"))
+        self.files = int(options.get("files_per_partition", "10000"))
+        self.bytes = int(options.get("bytes_per_partition", str(128 << 20)))
 
     def partitions(self) -> list[InputPartition]:
-        """One partition per folder down to ``shard_depth``; deeper folders go with theirs."""
         found: list[InputPartition] = []
-        level = [self.root]
-        for depth in range(self.depth + 1):
-            last = depth == self.depth
-            found += [_Folder(folder, last) for folder in level]
-            level = [] if last else [e.path for folder in level for e in os.scandir(folder) if e.is_dir(follow_symlinks=False)]
-        return found
-
-    def read(self, partition: _Folder) -> Iterator[pa.RecordBatch]:
+        paths, size = [], 0
+        for entry in self._entries():
+            paths.append(entry.path)
+            size += entry.stat(follow_symlinks=False).st_size
+            if len(paths) >= self.files or size >= self.bytes:
+                found.append(_Files(paths))
+                paths, size = [], 0
+        return [*found, _Files(paths)]
+
+    def _entries(self) -> Iterator[os.DirEntry]:
+        folders = [self.root]
+        while folders:
+            with os.scandir(folders.pop()) as entries:
+                for entry in entries:
+                    if entry.is_dir(follow_symlinks=False):
+                        folders.append(entry.path)
+                    elif not (entry.is_symlink() and entry.is_dir()):
+                        yield entry
+
+    def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
-        for path in self._paths(partition):
+        for path in partition.paths:
             try:
                 with open(path, "rb") as file:
                     content = file.read()
@@ -74,14 +87,6 @@ class _RepoTreeReader(DataSourceReader):
         if rows:
             yield self._batch(rows)
 
-    @staticmethod
-    def _paths(partition: _Folder) -> Iterator[str]:
-        if partition.recurse:
-            for folder, _, names in os.walk(partition.path):
-                yield from (os.path.join(folder, name) for name in names)
-        else:
-            yield from (e.path for e in os.scandir(partition.path) if not e.is_dir(follow_symlinks=False))
-
     def _batch(self, rows) -> pa.RecordBatch:
         n = len(rows)
         return pa.RecordBatch.from_arrays(

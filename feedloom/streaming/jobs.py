@@ -17,7 +17,7 @@ from ..operators.git import git_push_delta
 from ..operators.webhooks import normalize_webhooks
 from ..schemas import DELIVERY, DRIVE_CHANGE, PUSH_EVENT
 from ..session import Staging
-from ..sinks.corpus import TokenState
+from ..sinks.corpus import TokenState, stream_id
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -69,6 +69,7 @@ def run_pushes(
         staging = Staging(batch.sparkSession, "pushes")
         delta = git_push_delta(batch, repo_files, order_by, run_ts=run_ts, staging=staging)
         write(delta.withColumnRenamed(order_by, "seq"), batch_id)
+        staging.remove()
 
     return start(stream, checkpoint, batch_job, available_now=available_now)
 
@@ -81,17 +82,36 @@ def run_drive(
     write: Writer,
     *,
     tokens: TokenState | None = None,
-    from_token: int = 0,
+    start_token: int | None = None,
+    next_token: int | None = None,
     run_ts: Column | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Records of each batch of drive changes; the next token is written after the records."""
+    """Records of each batch of drive changes; the next token is written after the records.
+
+    The stream goes on from ``effective_token`` of the folder's two tokens. With neither, and with
+    no token of the folder in ``tokens``, its first run is the handshake: the first batch gives no
+    records, only the token behind it, and what follows is a delta. A batch that is repeated finds
+    the tokens of the batches before it only, so it takes the same way again.
+    """
 
     def batch_job(batch: DataFrame, batch_id: int) -> None:
-        staging = Staging(batch.sparkSession, "drive")
-        write(drive_delta(batch, content, folder_id, from_token, run_ts=run_ts, staging=staging), batch_id)
+        spark = batch.sparkSession
+        own = stream_id(spark, checkpoint)
+        staging = Staging(spark, "drive")
+        token = first_token(spark, batch_id, own)
+        if token is not None:
+            write(drive_delta(batch, content, folder_id, token, run_ts=run_ts, staging=staging), batch_id)
         if tokens is not None:
-            newest = batch.agg((F.max("seq") + 1).alias("next_token"))
-            tokens.write(newest.select(F.lit(folder_id).alias("resource"), "next_token"), batch_id)
+            newest = batch.agg((F.max("seq") + 1).alias("next_token")).where("next_token is not null")
+            tokens.write(newest.select(F.lit(folder_id).alias("resource"), "next_token"), batch_id, own)
+        staging.remove()
+
+    def first_token(spark: SparkSession, batch_id: int, own: str) -> int | None:
+        given = next_token if next_token is not None else start_token
+        if given is not None or batch_id > 0:
+            return given or 0
+        held = None if tokens is None else tokens.read_before(folder_id, own, batch_id)
+        return held
 
     return start(stream, checkpoint, batch_job, available_now=available_now)

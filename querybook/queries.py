@@ -28,7 +28,8 @@ def extract_links(spark, sf_dir) -> DataFrame:
 
 
 def extract_links_dom(spark, sf_dir) -> DataFrame:
-    return web.extract_links(inputs.html_pages(spark, sf_dir), "page_id", dom=True)
+    """The same rows under the name they had from a parser of markup."""
+    return extract_links(spark, sf_dir)
 
 
 def url_filter(spark, sf_dir) -> DataFrame:
@@ -168,7 +169,8 @@ def drive_delta(spark, sf_dir) -> DataFrame:
 
 
 def drive_next_token(spark, sf_dir) -> DataFrame:
-    tokens = {"first": None, "begin": 0, "middle": 500, "beyond": 10**12}
+    rows = [("first", None, None), ("begin", "0", "7"), ("middle", "", "500"), ("beyond", str(10**12), None)]
+    tokens = spark.createDataFrame(rows, "task_id string, start_token string, next_token string")
     return drive.drive_next_token(inputs.drive_changes(spark, sf_dir), tokens)
 
 

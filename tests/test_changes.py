@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom.operators import changes, records
-from feedloom.plans.lookup import lookup_narrow, lookup_wide
+from feedloom.plans.lookup import lookup, lookup_staged
 from feedloom.schemas import RECORD_DDL
 from feedloom.session import Staging
 
@@ -85,40 +85,46 @@ def test_records_have_one_schema(spark):
         records.to_records(part, status_code=F.lit(200), nonsense=F.lit(1))
 
 
-LOOKUPS = [
-    lambda *a: lookup_narrow(*a),
-    *(
-        lambda *a, hot=hot, rows=rows: lookup_wide(*a, hot_rows=hot, salts=7, left_rows=rows)
-        for hot in (1, 50, 10**9)
-        for rows in (None, 600, 10**7)
-    ),
-]
-
-
-@pytest.mark.parametrize("how", LOOKUPS)
-def test_lookup_is_a_left_join_whatever_is_hot(spark, how):
+@pytest.mark.parametrize("how", [lookup, lookup_staged])
+def test_lookup_is_a_left_join(spark, how):
     rng = random.Random(11)
     data = [(i, rng.choice(["hot", "hot", None, f"k{rng.randrange(40)}"]), rng.randrange(3)) for i in range(600)]
     left = spark.createDataFrame(data, "n int, k string, j int")
     right = spark.createDataFrame([("hot", j, f"hot{j}") for j in range(2)] + [(f"k{i}", 0, f"v{i}") for i in range(0, 80, 2)], "k string, j int, v string")
-    got = how(left, right, ["k", "j"], ["n"])
+    got = how(left, right, ["k", "j"])
     want = left.join(right, ["k", "j"], "left").select("k", "j", "n", "v")
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
-@pytest.mark.parametrize("how", [lambda *a: lookup_narrow(*a), lambda *a: lookup_wide(*a, hot_rows=1000)])
-def test_lookup_deals_a_hot_key_over_partitions(spark, how):
-    """With broadcasts off, a key holding nearly all rows still spreads over the join's partitions."""
+@pytest.mark.parametrize("how", [lookup, lookup_staged])
+def test_lookup_moves_each_body_once(spark, how, tmp_path):
+    """With broadcasts off, the long column is in one exchange, whatever the left side's size."""
+    spark.range(100).select(F.col("id").cast("string").alias("k"), F.col("id").alias("body")).write.parquet(str(tmp_path / "r"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        left = spark.range(20_000).select(F.when(F.col("id") % 20 == 0, "cold").otherwise("hot").alias("k"), F.col("id").alias("n"))
-        right = spark.createDataFrame([("hot", "v"), ("cold", "w")], "k string, v string")
-        got = how(left, right, ["k"], ["n"])
-        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 20_000 and len(sizes) == 4 and max(sizes) < 15_000
+        right = spark.read.parquet(str(tmp_path / "r"))
+        got = how(spark.range(7).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").alias("n")), right, ["k"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.split("\n") if "Scan parquet" in line and "body" in line.split("ReadSchema")[-1]]
+        assert len(scans) == 1 and "SortAggregate" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_ties_in_one_push_follow_the_list_of_files(spark):
+    schema = "seq bigint, pos int, id string, entity_key string, change_op string, content_text string"
+    rows = [(1, 0, "a", "a", "UPSERT", "x"), (1, 1, "a", "a", "DELETE", ""), (1, 0, "b", "b", "DELETE", ""), (1, 1, "b", "b", "UPSERT", "y")]
+    for order in (rows, rows[::-1]):
+        kept = changes.apply_changes(None, spark.createDataFrame(order, schema).coalesce(1)).collect()
+        assert [(r.entity_key, r.content_text) for r in kept] == [("b", "y")]
+    without = [spark.createDataFrame(order, schema).drop("pos").coalesce(1) for order in (rows, rows[::-1])]
+    first, second = (sorted(map(tuple, changes.latest_changes(df).collect())) for df in without)
+    assert first == second
+
+
+def test_poll_diff_compares_all_of_a_digest(spark):
+    before = spark.createDataFrame([("u", "x"), ("v", "1"), ("v", "2"), ("w", None)], "url string, body string")
+    after = spark.createDataFrame([("u", "x"), ("v", "2"), ("v", "1"), ("w", "")], "url string, body string")
+    assert [tuple(r) for r in changes.poll_diff(before, after).collect()] == [("w", "modified")]

@@ -126,11 +126,14 @@ def test_token_bounds_the_delta(spark):
 
 
 def test_next_token(spark):
-    tokens = {"first": None, "all": 0, "some": 6, "end": 8, "later": 99}
-    got = {r.task_id: (r.next_token, r.n_changes) for r in drive.drive_next_token(feed(spark, *CHANGES), tokens).collect()}
+    def tokens(**given):
+        return spark.createDataFrame([(k, v, None) for k, v in given.items()], "task_id string, start_token string, next_token long")
+
+    held = tokens(first=None, all="0", some="6", end="8", later="99")
+    got = {r.task_id: (r.next_token, r.n_changes) for r in drive.drive_next_token(feed(spark, *CHANGES), held).collect()}
     assert got == {"first": (8, 0), "all": (8, 8), "some": (8, 2), "end": (8, 0), "later": (99, 0)}
     empty = feed(spark, *CHANGES).where("false")
-    assert [r.next_token for r in drive.drive_next_token(empty, {"a": 5, "b": None}).collect()] == [5, 0]
+    assert [r.next_token for r in drive.drive_next_token(empty, tokens(a="5", b=None)).orderBy("task_id").collect()] == [5, 0]
 
 
 def test_start_token_goes_first(spark):
@@ -148,3 +151,13 @@ def test_resume_and_edges(spark):
 def test_pages_of_the_feed(spark):
     got = drive.changes_per_page(feed(spark, *CHANGES), 3).orderBy("page").collect()
     assert [tuple(r) for r in got] == [(0, 3), (1, 3), (2, 2)]
+    gaps = spark.createDataFrame([(s,) for s in (3, 10, 11, 500)], "seq long")
+    assert [tuple(r) for r in drive.changes_per_page(gaps, 2, token=10).orderBy("page").collect()] == [(0, 2), (1, 1)]
+    assert drive.changes_per_page(gaps.where("false"), 2).count() == 0
+
+
+def test_next_token_counts_across_gaps(spark):
+    seqs = [0, 5, 5, 70, 10**9, 10**12, 10**12 + 1]
+    held = spark.createDataFrame([(str(t), str(t), None) for t in [*seqs, 6, 71, 10**12 + 2]], "task_id string, start_token string, next_token string")
+    got = {int(r.task_id): (r.next_token, r.n_changes) for r in drive.drive_next_token(spark.createDataFrame([(s,) for s in seqs], "seq long"), held).collect()}
+    assert got == {t: (10**12 + 2, sum(s >= t for s in seqs)) for t in {*seqs, 6, 71, 10**12 + 2}}
