@@ -91,11 +91,11 @@ def web_tasks(tasks: DataFrame) -> DataFrame:
 
 
 def validate_tasks(tasks: DataFrame) -> DataFrame:
-    """``(task_id, plugin_type, code, message, effective_depth, run_depth)`` per task.
+    """``(task_id, plugin_type, code, message, run_depth, effective_*)`` per task.
 
-    ``message`` is NULL for tasks that can run (code 200). ``effective_depth`` includes the
-    registered default, ``run_depth`` is what a run uses. Key texts are checked, never selected;
-    keys given as a file are not read.
+    ``message`` is NULL for tasks that can run (code 200). The ``effective_`` columns are the task's
+    settings with the registered defaults filled in, NULL where its plugin has none; ``run_depth`` is
+    what a run uses. Key texts are checked, never selected; keys given as a file are not read.
     """
     web, git, drive = F.col("web"), F.col("git"), F.col("drive")
     plugin, key = F.col("plugin"), drive["serviceAccountKey"]
@@ -103,6 +103,9 @@ def validate_tasks(tasks: DataFrame) -> DataFrame:
     def key_part(path: str) -> Column:
         return json_truthy(F.variant_get(F.try_parse_json(key), path, "variant"))
 
+    def setting(name: str, config: Column, field: str, defaults) -> Column:
+        return F.when(plugin == name, F.coalesce(config[field], F.lit(defaults[field])))
+
     is_drive = plugin == "drive"
     problem = (
         F.when(
@@ -146,6 +149,12 @@ def validate_tasks(tasks: DataFrame) -> DataFrame:
             F.when(plugin == "http", F.coalesce(web["maxDepth"], F.lit(0)))
             .when(plugin == "git", F.coalesce(git["depth"], F.lit(GIT_DEFAULTS["depth"])))
             .alias("run_depth"),
+            setting("http", web, "recursiveCrawling", WEB_DEFAULTS).alias("effective_recursive"),
+            setting("http", web, "sitemapDiscovery", WEB_DEFAULTS).alias("effective_sitemap"),
+            setting("http", web, "requestTimeoutMs", WEB_DEFAULTS).alias("effective_timeout_ms"),
+            setting("git", git, "branch", GIT_DEFAULTS).alias("effective_branch"),
+            setting("drive", drive, "authType", DRIVE_DEFAULTS).alias("effective_auth_type"),
+            setting("drive", drive, "pageSize", DRIVE_DEFAULTS).alias("effective_page_size"),
         )
         .select(
             "task_id",
@@ -154,6 +163,12 @@ def validate_tasks(tasks: DataFrame) -> DataFrame:
             F.col("__problem")["message"].alias("message"),
             "effective_depth",
             "run_depth",
+            "effective_recursive",
+            "effective_sitemap",
+            "effective_timeout_ms",
+            "effective_branch",
+            "effective_auth_type",
+            "effective_page_size",
         )
     )
 

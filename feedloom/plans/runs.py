@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,48 +13,110 @@ from ..functions.mappings import mapped
 from ..operators import drive, git, records, sitemaps
 from ..operators.tasks import GIT_DEFAULTS, RUN_MESSAGES, parse_tasks, validate_tasks, web_tasks, well_formed
 from ..session import Staging
+from ..sinks.destinations import write_once
 
 Inputs = Mapping[str, DataFrame]
-Runner = Callable[[DataFrame, Inputs, Column | None], DataFrame]
+Ran = tuple[DataFrame, DataFrame]  # records, and the (task_id, problem) of tasks that could not run
+Runner = Callable[[DataFrame, Inputs, Column | None], Ran]
 
+# Why a task that is well defined did not run.
+NO_INPUT = "No input was given for this plugin: "
+NO_REPO = "Git operation failed: repository or branch not found: "
+NO_FOLDER = "Google Drive folder not found: "
 
-def _run_web(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> DataFrame:
+
+@dataclass(frozen=True)
+class Plugin:
+    """``run(tasks, inputs, run_ts)`` and the input without which none of its tasks can run."""
+
+    run: Runner
+    needs: str
+    message: str
+
+
+def _none(tasks: DataFrame) -> DataFrame:
+    return tasks.select("task_id", F.lit(None).cast("string").alias("problem")).where(F.lit(False))
+
+
+def _run_web(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
     """Inputs ``pages``, and for sitemap discovery ``robots`` and ``sitemaps``."""
-    crawls = web_tasks(tasks)
     spark = tasks.sparkSession
     nothing = {"robots": "host string, body string", "sitemaps": "url string, body string"}
     robots, maps = (inputs.get(k, spark.createDataFrame([], ddl)) for k, ddl in nothing.items())
-    return sitemaps.crawl_from_sitemap(crawls, inputs["pages"], robots, maps, run_ts=run_ts)
+    return sitemaps.crawl_from_sitemap(web_tasks(tasks), inputs["pages"], robots, maps, run_ts=run_ts), _none(tasks)
 
 
-def _run_git(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> DataFrame:
-    """Input ``repo_files``: full scans of the tasks' repositories and branches."""
+def _run_git(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
+    """Input ``repo_files``, and ``pushes(task_id, event_id, body)``: the events routed to tasks.
+
+    A task with pushes takes in what they touch; any other scans its repository's branch.
+    """
     conf = F.col("git")
     wanted = parse_tasks(tasks).select(
         "task_id",
         conf["repoUrl"].alias("repo"),
         F.coalesce(conf["branch"], F.lit(GIT_DEFAULTS["branch"])).alias("branch"),
     )
-    files = inputs["repo_files"].join(wanted, ["repo", "branch"])
-    return git.git_full_scan(files, branch=F.col("branch"), task_id=F.col("task_id"), run_ts=run_ts)
-
-
-def _run_drive(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> DataFrame:
-    """Inputs ``drive_files`` and ``drive_content``: full scans of the tasks' folders."""
-    wanted = parse_tasks(tasks).select("task_id", F.col("drive")["folderId"].alias("__folder"))
-    listed = inputs["drive_files"].withColumn("__folder", F.explode(F.array_distinct("parents")))
-    placed = listed.join(wanted, "__folder")
-    return drive.drive_full_scan(
-        placed,
-        inputs["drive_content"],
+    files, delta = inputs["repo_files"], None
+    if "pushes" in inputs:
+        pushed = inputs["pushes"].join(wanted.select("task_id"), "task_id", "left_semi")
+        wanted = wanted.join(pushed.select("task_id").distinct(), "task_id", "left_anti")
+        delta = git.git_push_delta(
+            pushed.withColumnRenamed("task_id", "__task"), files, "__task", "event_id",
+            run_ts=run_ts, staging=Staging(tasks.sparkSession, "pushes"),
+        )
+        delta = delta.withColumn("task_id", F.col("__task")).drop("__task").withColumnRenamed("event_id", "seq")
+    found = git.git_full_scan(files.join(wanted, ["repo", "branch"]), branch=F.col("branch"), task_id=F.col("task_id"), run_ts=run_ts)
+    lost = wanted.join(files.select("repo", "branch").distinct(), ["repo", "branch"], "left_anti")
+    problems = lost.select("task_id", F.concat(F.lit(NO_REPO), "repo", F.lit(" "), "branch").alias("problem"))
+    return (found if delta is None else records.unify(found, delta)), problems
+
+
+def _run_drive(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
+    """Inputs ``drive_files``, ``drive_content``, and ``drive_changes`` with the ``task_id`` whose feed a change is in.
+
+    With a feed, a task that has a token takes in the changes from it; any other scans its folder. A
+    folder that neither holds a file nor is one is not found.
+    """
+    token = drive.effective_token(_text(tasks, "start_page_token"), _text(tasks, "next_page_token")).try_cast("bigint")
+    wanted = parse_tasks(tasks).select("task_id", F.col("drive")["folderId"].alias("__folder"), token.alias("__token"))
+    listing, content, delta = inputs["drive_files"], inputs["drive_content"], None
+    if "drive_changes" in inputs:
+        feed = inputs["drive_changes"].join(wanted.where("__token is not null"), "task_id")
+        due = drive.drive_delta(
+            feed, content, F.col("__folder"), F.col("__token"),
+            run_ts=run_ts, staging=Staging(tasks.sparkSession, "changes"),
+        )
+        delta, wanted = due, wanted.where("__token is null")
+    listed = listing.withColumn("__folder", F.explode(F.array_distinct("parents")))
+    found = drive.drive_full_scan(
+        listed.join(wanted, "__folder"),
+        content,
         None,
         task_id=F.col("task_id"),
         run_ts=run_ts,
         staging=Staging(tasks.sparkSession, "drive"),
     )
+    known = listed.select("__folder").unionByName(listing.select(F.col("id").alias("__folder"))).distinct()
+    lost = wanted.join(known, "__folder", "left_anti")
+    problems = lost.select("task_id", F.concat(F.lit(NO_FOLDER), "__folder").alias("problem"))
+    return (found if delta is None else records.unify(found, delta)), problems
+
+
+def _text(df: DataFrame, name: str) -> Column:
+    return F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
+
 
+_PLUGINS: dict[str, Plugin] = {
+    "http": Plugin(_run_web, "pages", RUN_MESSAGES["http"]),
+    "git": Plugin(_run_git, "repo_files", RUN_MESSAGES["git"]),
+    "drive": Plugin(_run_drive, "drive_files", RUN_MESSAGES["drive"]),
+}
 
-RUNNERS: dict[str, Runner] = {"http": _run_web, "git": _run_git, "drive": _run_drive}
+
+def register(name: str, run: Runner, needs: str, message: str) -> None:
+    """Make tasks whose plugin type is ``name`` run by ``run``, which returns records and problems."""
+    _PLUGINS[name.lower()] = Plugin(run, needs, message)
 
 
 def run_tasks(
@@ -65,38 +129,68 @@ def run_tasks(
 ) -> tuple[DataFrame, DataFrame]:
     """Run every enabled, valid task of a known status and trigger; returns their records and one status row per task.
 
-    All tasks of a plugin run as one job. A plugin none of the inputs serve is passed over. The
-    optional ``transform(records, **transform_params)`` is applied before anything is written.
+    All tasks of a plugin run as one job. The optional ``transform(records, **transform_params)`` is
+    applied before anything is written. The records are written down once; the status counts what
+    was written, and tasks with a ``destination`` (plugin type and JSON configuration) have theirs
+    written there too, one job for each destination. A task whose plugin has no input, or whose
+    repository or folder is not there, fails.
     """
     if "enabled" in tasks.columns:
         tasks = tasks.where(F.coalesce("enabled", F.lit(True)))
     tasks = tasks.where(well_formed(tasks))
-    checks = validate_tasks(tasks)
-    ready = tasks.join(checks.where(F.col("code") == 200).select("task_id"), "task_id", "left_semi")
-    needs = {"http": "pages", "git": "repo_files", "drive": "drive_files"}
-    parts = [
-        runner(_of_plugin(ready, plugin), inputs, run_ts)
-        for plugin, runner in RUNNERS.items()
-        if needs[plugin] in inputs
-    ]
+    staging = Staging(tasks.sparkSession, "run")
+    own = F.lower("plugin_type").isin(*(set(_PLUGINS) - {"http", "git", "drive"}))
+    checks = validate_tasks(tasks.where(~F.coalesce(own, F.lit(False)))).select("task_id", "plugin_type", "code", "message")
+    checks = staging.write(
+        checks.unionByName(
+            tasks.where(own).select("task_id", F.lower("plugin_type").alias("plugin_type"), F.lit(200).alias("code"), F.lit(None).cast("string").alias("message"))
+        ),
+        "checks",
+    )
+    ready = tasks.join(checks.where("code = 200").select("task_id", F.col("plugin_type").alias("__plugin")), "task_id")
+    parts, problems = [], []
+    for name, plugin in _PLUGINS.items():
+        mine = ready.where(F.col("__plugin") == name).drop("__plugin")
+        if plugin.needs not in inputs:
+            problems.append(mine.select("task_id", F.lit(NO_INPUT + plugin.needs).alias("problem")))
+            continue
+        found, lost = plugin.run(mine, inputs, run_ts)
+        parts.append(found)
+        problems.append(lost)
     if not parts:
-        raise ValueError(f"no inputs for any plugin; expected some of {sorted(needs.values())}")
+        raise ValueError(f"no inputs for any plugin; expected some of {sorted(p.needs for p in _PLUGINS.values())}")
     found = records.unify(*parts)
     if transform is not None:
         found = found.transform(transform, **(transform_params or {}))
+    found = staging.write(found, "records")
+    _deliver(found, ready)
+    failed = problems[0]
+    for more in problems[1:]:
+        failed = failed.unionByName(more)
     counted = records.run_summary(found).drop("success", "code")
-    status = checks.join(counted, "task_id", "left").select(
-        "task_id",
-        "plugin_type",
-        (F.col("code") == 200).alias("success"),
-        "code",
-        F.coalesce("message", mapped(F.col("plugin_type"), RUN_MESSAGES)).alias("message"),
-        F.coalesce("crawled_count", F.lit(0).cast("bigint")).alias("crawled_count"),
-        F.coalesce("error_count", F.lit(0).cast("bigint")).alias("error_count"),
+    said = {name: plugin.message for name, plugin in _PLUGINS.items()}
+    code = F.when(F.col("problem").isNotNull(), 500).otherwise(F.col("code"))
+    status = (
+        checks.join(failed.groupBy("task_id").agg(F.min("problem").alias("problem")), "task_id", "left")
+        .join(counted, "task_id", "left")
+        .select(
+            "task_id",
+            "plugin_type",
+            (code == 200).alias("success"),
+            code.alias("code"),
+            F.coalesce("message", "problem", mapped(F.col("plugin_type"), said)).alias("message"),
+            F.coalesce("crawled_count", F.lit(0).cast("bigint")).alias("crawled_count"),
+            F.coalesce("error_count", F.lit(0).cast("bigint")).alias("error_count"),
+        )
     )
     return found, status
 
 
-def _of_plugin(tasks: DataFrame, plugin: str) -> DataFrame:
-    wanted = parse_tasks(tasks).where(F.col("plugin") == plugin)
-    return wanted.select(*tasks.columns)
+def _deliver(found: DataFrame, tasks: DataFrame) -> None:
+    """Write the records of tasks with a destination there; tasks that share one are written together."""
+    if "destination" not in tasks.columns:
+        return
+    chosen = tasks.where(F.col("destination")["pluginType"].isNotNull()).select("task_id", "destination.*")
+    for target in chosen.select("pluginType", "config").distinct().collect():
+        same = F.col("pluginType").eqNullSafe(target.pluginType) & F.col("config").eqNullSafe(target.config)
+        write_once(found.join(chosen.where(same), "task_id", "left_semi"), target.pluginType, json.loads(target.config or "{}"))

@@ -65,11 +65,6 @@ REGISTRY = (
     " registered_tasks array<string>, webhook_flag boolean, start_page_token string,"
     " next_page_token string"
 )
-VERDICT = (
-    "is_valid boolean, payload string, external_resource_id string, change_type string, error string"
-)
-
-TASK = ("task_id string, plugin_type string, config string")
 WEB_CONFIG = (
     "startUrl string, maxDepth int, recursiveCrawling boolean, sitemapDiscovery boolean,"
     " allowedDomains array<string>, excludePaths array<string>, includePaths array<string>,"

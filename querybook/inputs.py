@@ -6,13 +6,8 @@ its id, so the expected results can be stated in SQL without repeating the work.
 
 from __future__ import annotations
 
-import hashlib
-import hmac
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SITE = "https://www.example.com"
 SEED = f"{SITE}/p/0"
@@ -375,10 +370,11 @@ def drive_changes(spark, sf_dir) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.StringType())
-def _sign(bodies: pd.Series) -> pd.Series:
-    key = GIT_SECRET.encode()
-    return bodies.map(lambda b: hmac.new(key, b.encode(), hashlib.sha256).hexdigest())
+def _sign(body: Column) -> Column:
+    """HMAC-SHA256 by its definition, the two key blocks being literals."""
+    key = GIT_SECRET.encode().ljust(64, b"\0")
+    inner, outer = (F.unhex(F.lit(bytes(b ^ mask for b in key).hex())) for mask in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, F.encode(body, "UTF-8")), 256))), 256)
 
 
 def deliveries(spark, sf_dir) -> DataFrame:
@@ -470,7 +466,7 @@ def tasks(spark, sf_dir) -> DataFrame:
     depth = F.when(k % 8 >= 4, ', "maxDepth": 3, "depth": 9').otherwise("")
     web = F.concat(F.lit('{"recursiveCrawling": true'), F.when(k % 5 == 0, "").otherwise(', "startUrl": "https://a.example.com"'), depth, F.lit("}"))
     git = F.concat(F.lit('{"branch": "main"'), F.when(k % 5 == 0, ', "repoUrl": ""').otherwise(', "repoUrl": "https://github.com/org/x"'), depth, F.lit("}"))
-    folder = F.when(k % 5 == 0, "").when(k % 10 == 3, ', "folderId": "your_google_drive_folder_id"').otherwise(', "folderId": "fold1"')
+    folder = F.when(k % 5 == 0, "").when(k % 10 == 4, ', "folderId": "your_google_drive_folder_id"').otherwise(', "folderId": "fold1"')
     key = (
         F.when(k % 7 == 0, "")
         .when(k % 7 == 1, ', "serviceAccountKey": "{broken"')
@@ -492,6 +488,46 @@ def tasks(spark, sf_dir) -> DataFrame:
     )
 
 
+def run_definitions(spark, sf_dir) -> DataFrame:
+    """Every supplier as a task: crawls of one page, scans and deltas, and some that cannot run."""
+    k = F.col("s_suppkey")
+    kind, number = k % 28, k.cast("string")
+    key = r'"serviceAccountKey": "{\"client_email\": \"a@b.c\", \"private_key\": \"k\"}"'
+
+    def config(*parts) -> Column:
+        return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+
+    git, drive = kind.isin(2, 3, 8), kind.isin(4, 5, 6, 9)
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("task"), number).alias("task_id"),
+        F.when(git, "git").when(drive, "gdrive-crawler").otherwise("http-crawler").alias("plugin_type"),
+        F.when(kind == 1, config(f'{{"startUrl": "{SITE}/none/', number, '"}'))
+        .when(kind == 2, config('{"repoUrl": "https://github.com/org/r', (k % REPOS).cast("string"), '"}'))
+        .when(kind == 3, config('{"repoUrl": "https://github.com/org/lost', number, '"}'))
+        .when(kind == 4, config('{"folderId": "fold', (k % 3).cast("string"), f'", {key}}}'))
+        .when(kind == 5, config('{"folderId": "lost', number, f'", {key}}}'))
+        .when(kind == 6, config(f"{{{key}}}"))
+        .when(kind == 8, config('{"repoUrl": "https://github.com/org/any"}'))
+        .when(kind == 9, config(f'{{"folderId": "fold1", {key}}}'))
+        .otherwise(config(f'{{"startUrl": "{SITE}/p/', (k % 20).cast("string"), '"}'))
+        .alias("config"),
+        F.when(kind == 9, "100").alias("start_page_token"),
+    )
+
+
+def run_inputs(spark, sf_dir) -> dict[str, DataFrame]:
+    """Tables for all plugins; pushes and the drive feed are routed to the first tasks that take them."""
+    pushes, feed = push_events(spark, sf_dir), drive_changes(spark, sf_dir)
+    return {
+        "pages": site_pages(spark, sf_dir),
+        "repo_files": repo_files(spark, sf_dir),
+        "pushes": pushes.withColumn("task_id", F.concat(F.lit("task"), (F.col("event_id") % 2 * 28 + 8).cast("string"))),
+        "drive_files": drive_files(spark, sf_dir),
+        "drive_content": drive_content(spark, sf_dir),
+        "drive_changes": feed.withColumn("task_id", F.lit("task9")),
+    }
+
+
 def later_pages(spark, sf_dir) -> DataFrame:
     """The page table at a later poll: some pages moved, some were edited."""
     n = F.col("page_id")

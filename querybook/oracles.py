@@ -81,7 +81,8 @@ def _path(n: str) -> str:
 _VISIBLE_FILES = f"""
 files AS (
   SELECT 'https://github.com/org/r' || (doc_id % 20) AS repo, {_path('doc_id')} AS path,
-         length(text) + CASE WHEN doc_id % 37 = 0 THEN 1 ELSE 0 END AS n_chars
+         length(text) + CASE WHEN doc_id % 37 = 0 THEN 1 ELSE 0 END AS n_chars,
+         sha256(text || CASE WHEN doc_id % 37 = 0 THEN chr(65533) ELSE '' END) AS content_sha256
   FROM documents
   WHERE doc_id % 41 <> 0 AND doc_id % 31 <> 0 AND doc_id % 20 <> 0 AND doc_id % 23 <> 0)"""
 
@@ -221,13 +222,15 @@ snapshot AS (
   SELECT *, split_part(url, '#', 1) AS k,
          row_number() OVER (PARTITION BY split_part(url, '#', 1) ORDER BY url DESC) AS rn FROM pages),
 got AS (
-  SELECT f.url, s.page_id AS p, CASE WHEN s.page_id IS NULL THEN 404 WHEN s.page_id % 13 = 5 THEN 503
+  SELECT f.url, s.page_id AS p, s.html, CASE WHEN s.page_id IS NULL THEN 404 WHEN s.page_id % 13 = 5 THEN 503
                 WHEN s.page_id % 17 = 3 THEN 500 ELSE 200 END AS status_code
   FROM front f LEFT JOIN snapshot s ON s.k = split_part(f.url, '#', 1) AND s.rn = 1)
 SELECT url, status_code,
        CASE WHEN status_code = 200 THEN CASE WHEN p % 10 = 9 THEN 'application/json' ELSE 'text/html; charset=utf-8' END END AS content_type,
        CASE WHEN status_code <> 200 THEN 'error' WHEN p % 10 = 9 THEN 'json' ELSE 'text' END AS content_kind,
-       status_code <> 200 AS is_error
+       status_code <> 200 AS is_error,
+       sha256(CASE WHEN status_code <> 200 THEN 'Error fetching: Request failed with status code ' || status_code
+                   WHEN p % 10 = 9 THEN '{{"page": ' || p || '}}' ELSE html END) AS content_sha256
 FROM got""",
     "crawl": f"WITH RECURSIVE {_SITE}, "
     + _crawl(
@@ -254,7 +257,7 @@ FROM (SELECT page_id, regexp_extract(url, '^(https?)', 1) AS scheme, regexp_extr
     "git_full_scan": f"""
 WITH {_VISIBLE_FILES}
 SELECT repo || '-' || path AS id, repo || '/blob/main/' || path AS url, 200 AS status_code,
-       'full_scan' AS change_type, n_chars FROM files""",
+       'full_scan' AS change_type, n_chars, content_sha256 FROM files""",
     "git_push_status": f"""
 WITH {_PUSHES}
 SELECT e AS event_id, CASE WHEN outcome = 'bad' THEN 500 ELSE 200 END AS code,
@@ -266,7 +269,8 @@ FROM pushes""",
     "git_push_delta": f"""
 WITH {_PUSHES},
 found AS (
-  SELECT t.*, CASE WHEN doc.doc_id % 31 <> 0 THEN length(doc.text) + CASE WHEN doc.doc_id % 37 = 0 THEN 1 ELSE 0 END END AS n
+  SELECT t.*, CASE WHEN doc.doc_id % 31 <> 0 THEN length(doc.text) + CASE WHEN doc.doc_id % 37 = 0 THEN 1 ELSE 0 END END AS n,
+         doc.text || CASE WHEN doc.doc_id % 37 = 0 THEN chr(65533) ELSE '' END AS body
   FROM touched t LEFT JOIN documents doc ON doc.doc_id = t.d AND doc.doc_id % 20 = t.r AND t.e % 23 <> 0
   WHERE t.e % 17 <> 0)
 SELECT e AS event_id,
@@ -274,6 +278,9 @@ SELECT e AS event_id,
        CASE WHEN NOT failed THEN 'https://github.com/org/r' || r || '/blob/' || branch || '/' || path END AS url,
        CASE WHEN failed THEN 500 ELSE 200 END AS status_code, kind AS change_type, after AS commit_sha,
        CASE WHEN failed THEN length('Error reading file: ' || message) WHEN kind = 'removed' THEN 0 ELSE n END AS n_chars,
+       sha256(CASE WHEN failed THEN 'Error reading file: ' || message WHEN kind = 'removed' THEN '' ELSE body END) AS content_sha256,
+       CASE WHEN failed THEN NULL ELSE 'change' END AS commit_message, CASE WHEN failed THEN NULL ELSE 'bob' END AS pusher,
+       CASE WHEN failed THEN NULL ELSE 'ann' END AS commit_author,
        CASE WHEN failed THEN message END AS error
 FROM (SELECT *, kind <> 'removed' AND n IS NULL AS failed,
              'ENOENT: no such file or directory, open ''' || path || '''' AS message FROM found)""",
@@ -329,7 +336,10 @@ SELECT 'task' || k AS task_id, plugin AS plugin_type, coalesce(code, 200) AS cod
        CASE plugin WHEN 'http' THEN CASE WHEN k % 8 >= 4 THEN 3 ELSE 1 END
                    WHEN 'git' THEN CASE WHEN k % 8 >= 4 THEN 9 ELSE 1 END END AS effective_depth,
        CASE plugin WHEN 'http' THEN CASE WHEN k % 8 >= 4 THEN 3 ELSE 0 END
-                   WHEN 'git' THEN CASE WHEN k % 8 >= 4 THEN 9 ELSE 1 END END AS run_depth
+                   WHEN 'git' THEN CASE WHEN k % 8 >= 4 THEN 9 ELSE 1 END END AS run_depth,
+       CASE plugin WHEN 'http' THEN true END AS effective_recursive, CASE plugin WHEN 'http' THEN false END AS effective_sitemap,
+       CASE plugin WHEN 'http' THEN 30000 END AS effective_timeout_ms, CASE plugin WHEN 'git' THEN 'main' END AS effective_branch,
+       CASE plugin WHEN 'drive' THEN 'service_account' END AS effective_auth_type, CASE plugin WHEN 'drive' THEN 50 END AS effective_page_size
 FROM (
   SELECT *, CASE WHEN message LIKE 'Invalid service%' THEN 500 WHEN message IS NOT NULL THEN 400 END AS code
   FROM (
@@ -337,7 +347,7 @@ FROM (
       CASE WHEN s_suppkey % 4 = 3 THEN 'Unsupported plugin type: s3'
            WHEN s_suppkey % 4 = 0 THEN CASE WHEN s_suppkey % 5 = 0 THEN 'Missing ''startUrl'' configuration for standard crawl.' END
            WHEN s_suppkey % 4 = 1 THEN CASE WHEN s_suppkey % 5 = 0 THEN 'Missing ''repoUrl'' configuration for Git crawl.' END
-           WHEN s_suppkey % 5 = 0 OR s_suppkey % 10 = 3 THEN 'Missing or invalid ''folderId'' in configuration. Client not initialized.'
+           WHEN s_suppkey % 5 = 0 OR s_suppkey % 10 = 4 THEN 'Missing or invalid ''folderId'' in configuration. Client not initialized.'
            WHEN s_suppkey % 7 = 0 THEN 'Missing service account key configuration. Client not initialized.'
            WHEN s_suppkey % 7 = 1 THEN 'Invalid service account key: not valid JSON'
            WHEN s_suppkey % 7 = 2 THEN 'Incomplete service account key. Client not initialized.' END AS message
@@ -349,6 +359,34 @@ SELECT source, id, url, status_code, change_type, change_op, entity_key FROM uni
 WITH {_VISIBLE_FILES}, {_UNIFIED}
 SELECT task_id, count(*) AS crawled_count, count(*) FILTER (status_code >= 400) AS error_count, true AS success, 200 AS code
 FROM unified GROUP BY task_id""",
+    "task_runs": f"""
+WITH {_PUSHES}, {_CHANGES.replace(_DOCS + ",", "", 1).strip()}, {_delta('n % 4 = 1 AND n % 37 <> 0', 100)}, {_VISIBLE_FILES},
+pushed AS (
+  SELECT 28 * (t.e % 2) + 8 AS k, t.kind <> 'removed' AND (doc.doc_id IS NULL OR doc.doc_id % 31 = 0) AS failed
+  FROM touched t LEFT JOIN documents doc ON doc.doc_id = t.d AND doc.doc_id % 20 = t.r AND t.e % 23 <> 0
+  WHERE t.e % 17 <> 0),
+done AS (
+  SELECT k, count(*) AS n, count(*) FILTER (failed) AS bad FROM pushed GROUP BY k
+  UNION ALL SELECT 9, count(*), count(*) FILTER (failed) FROM delta
+  UNION ALL SELECT s_suppkey, (SELECT count(*) FROM files WHERE repo = 'https://github.com/org/r' || (s_suppkey % 20)), 0
+            FROM supplier WHERE s_suppkey % 28 = 2
+  UNION ALL SELECT s_suppkey, count(*), count(*) FILTER (status_code >= 400)
+            FROM supplier JOIN ({_drive_scan('doc_id % 13 <> 0')}) f ON substr(f.id, 2)::BIGINT % 4 = s_suppkey % 3
+            WHERE s_suppkey % 28 = 4 GROUP BY ALL
+  UNION ALL SELECT s_suppkey, 1, CASE WHEN s_suppkey % 28 = 1 THEN 1 ELSE 0 END FROM supplier WHERE s_suppkey % 28 NOT IN (2, 3, 4, 5, 6, 8, 9)),
+judged AS (
+  SELECT s_suppkey AS k, CASE WHEN s_suppkey % 28 IN (2, 3, 8) THEN 'git' WHEN s_suppkey % 28 IN (4, 5, 6, 9) THEN 'drive' ELSE 'http' END AS plugin,
+    CASE WHEN s_suppkey % 28 = 3 THEN 'Git operation failed: repository or branch not found: https://github.com/org/lost' || s_suppkey || ' main'
+         WHEN s_suppkey % 28 = 8 AND s_suppkey > 36 THEN 'Git operation failed: repository or branch not found: https://github.com/org/any main'
+         WHEN s_suppkey % 28 = 5 THEN 'Google Drive folder not found: lost' || s_suppkey
+         WHEN s_suppkey % 28 = 6 THEN 'Missing or invalid ''folderId'' in configuration. Client not initialized.' END AS problem
+  FROM supplier)
+SELECT 'task' || j.k AS task_id, plugin AS plugin_type, problem IS NULL AS success,
+       CASE WHEN problem IS NULL THEN 200 WHEN j.k % 28 = 6 THEN 400 ELSE 500 END AS code,
+       coalesce(problem, CASE plugin WHEN 'http' THEN 'HTTP crawl successful.' WHEN 'git' THEN 'Repository cloned/pulled and files read successfully'
+                                     ELSE 'Google Drive folder scan successful.' END) AS message,
+       coalesce(n, 0) AS crawled_count, coalesce(bad, 0) AS error_count
+FROM judged j LEFT JOIN done d ON d.k = j.k""",
     "apply_changes": f"""
 WITH {_CHANGES}, {_delta('n % 37 <> 0', 0)},
 log AS (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.urls import normalize_url, url_allowed
 from feedloom.operators import changes, drive, git, records, sitemaps, tasks, web, webhooks
+from feedloom.plans.runs import run_tasks
 from feedloom.session import Staging
 
 from . import inputs
@@ -19,6 +20,10 @@ INCLUDE = ["/en/", "/fr/", "/d", "/The"]
 EXCLUDE = ["/en/1", "/de/2"]
 
 
+def _digest():
+    return F.sha2("content_text", 256).alias("content_sha256")
+
+
 def url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.messy_urls(spark, sf_dir).select("page_id", normalize_url(F.col("url")).alias("url_norm"))
 
@@ -48,6 +53,7 @@ def web_fetch(spark, sf_dir) -> DataFrame:
         F.col("web")["content_type"].alias("content_type"),
         "content_kind",
         F.col("error").isNotNull().alias("is_error"),
+        _digest(),
     )
 
 
@@ -99,7 +105,7 @@ def crawl_from_sitemap(spark, sf_dir) -> DataFrame:
 
 def git_full_scan(spark, sf_dir) -> DataFrame:
     return git.git_full_scan(inputs.repo_files(spark, sf_dir)).select(
-        "id", "url", "status_code", "change_type", F.length("content_text").alias("n_chars")
+        "id", "url", "status_code", "change_type", F.length("content_text").alias("n_chars"), _digest()
     )
 
 
@@ -117,6 +123,10 @@ def git_push_delta(spark, sf_dir) -> DataFrame:
         "change_type",
         F.col("git")["commit_sha"].alias("commit_sha"),
         F.length("content_text").alias("n_chars"),
+        _digest(),
+        F.col("git")["commit_message"].alias("commit_message"),
+        F.col("git")["pusher"].alias("pusher"),
+        F.col("git")["commit_author"].alias("commit_author"),
         "error",
     )
 
@@ -224,6 +234,11 @@ def run_summary(spark, sf_dir) -> DataFrame:
     return records.run_summary(_all_records(spark, sf_dir))
 
 
+def task_runs(spark, sf_dir) -> DataFrame:
+    """Scans, deltas and refusals of one run, a status row for each task."""
+    return run_tasks(inputs.run_definitions(spark, sf_dir), inputs.run_inputs(spark, sf_dir))[1]
+
+
 def apply_changes(spark, sf_dir) -> DataFrame:
     files, content = inputs.drive_files(spark, sf_dir), inputs.drive_content(spark, sf_dir)
     stored = drive.drive_full_scan(files, content, "shared").withColumn("seq", F.lit(-1).cast("bigint"))
@@ -271,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         unified_records,
         apply_changes,
         run_summary,
+        task_runs,
         poll_diff,
     )
 }

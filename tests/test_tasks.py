@@ -3,9 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.operators import tasks
+from feedloom.operators import records, tasks
+from feedloom.plans import runs
 from feedloom.plans.runs import run_tasks
-from feedloom.schemas import DRIVE_CONTENT, DRIVE_FILE
+from feedloom.schemas import DRIVE_CHANGE, DRIVE_CONTENT, DRIVE_FILE
 
 KEY = json.dumps({"client_email": "a@b.c", "private_key": "k"})
 
@@ -89,6 +90,55 @@ def test_run_tasks(spark):
         run_tasks(todo, {})
 
 
+REPO_FILES = "repo string, branch string, commit_sha string, path string, content binary"
+
+
+def outcome(status):
+    return {r.task_id: (r.success, r.code, r.crawled_count, r.message) for r in status.collect()}
+
+
+def test_what_did_not_run_is_a_failure(spark):
+    todo = defs(spark, ("http", {"startUrl": "https://h/"}), ("git", {"repoUrl": "gone"}), ("git", {"repoUrl": "r", "branch": "x"}), ("git", {"repoUrl": "r"}))
+    files = spark.createDataFrame([("r", "main", "c", "a", bytearray(b"a"))], REPO_FILES)
+    found = outcome(run_tasks(todo, {"repo_files": files})[1])
+    assert {k: v[:3] for k, v in found.items()} == {"t0": (False, 500, 0), "t1": (False, 500, 0), "t2": (False, 500, 0), "t3": (True, 200, 1)}
+    assert found["t1"][3].endswith("gone main") and "pages" in found["t0"][3]
+
+
+def test_events_and_tokens_make_deltas(spark):
+    todo = defs(spark, ("git", {"repoUrl": "https://github.com/u/r"}), ("git", {"repoUrl": "https://github.com/u/r"}),
+                ("gdrive-crawler", {"folderId": "f", "serviceAccountKey": KEY}), ("gdrive-crawler", {"folderId": "f", "serviceAccountKey": KEY}))
+    todo = todo.withColumn("next_page_token", F.when(F.col("task_id") == "t2", "7"))
+    files = spark.createDataFrame([("https://github.com/u/r", b, "c1", p, bytearray(p.encode())) for b in ("dev", "main") for p in ("a", "b")], REPO_FILES)
+    body = json.dumps({"ref": "refs/heads/main", "after": "c1", "repository": {"full_name": "u/r", "html_url": "https://github.com/u/r"}, "pusher": {"name": "p"},
+                       "commits": [], "head_commit": {"id": "c1", "message": "m", "author": {"name": "n"}, "added": ["a"], "modified": [], "removed": ["z"]}})
+    pushes = spark.createDataFrame([("t0", 3, body), ("other", 4, body)], "task_id string, event_id long, body string")
+    def file(i):
+        return (f"d{i}", "n", "text/plain", None, None, "1", None, None, ["f"], False)
+    listing = spark.createDataFrame([file(i) for i in range(3)], DRIVE_FILE)
+    content = spark.createDataFrame([(f"d{i}", bytearray(b"t"), None) for i in range(3)], DRIVE_CONTENT)
+    feed = spark.createDataFrame([(s, f"d{s % 3}", s == 9, file(s % 3), t) for t in ("t2", "t3") for s in (5, 7, 9)], DRIVE_CHANGE + ", task_id string")
+    records, status = run_tasks(todo, {"repo_files": files, "pushes": pushes, "drive_files": listing, "drive_content": content, "drive_changes": feed})
+    got = sorted((r.task_id, r.id, r.change_type) for r in records.collect())
+    assert got == [("t0", "u/r-a", "added"), ("t0", "u/r-z", "removed"), ("t1", "https://github.com/u/r-a", "full_scan"), ("t1", "https://github.com/u/r-b", "full_scan"),
+                   ("t2", "d0", "DELETE"), ("t2", "d1", "UPSERT"), ("t3", "d0", None), ("t3", "d1", None), ("t3", "d2", None)]
+    assert {k: v[:3] for k, v in outcome(status).items()} == {"t0": (True, 200, 2), "t1": (True, 200, 2), "t2": (True, 200, 2), "t3": (True, 200, 3)}
+
+
+def test_destinations_and_own_plugins(spark, tmp_path):
+    runs.register("mine", lambda todo, inputs, run_ts: (inputs["mine"].join(todo.select("task_id"), "task_id"), runs._none(todo)), "mine", "Done.")
+    try:
+        todo = defs(spark, ("Mine", "{}"), ("mine", "{}"), ("mine", "{}"))
+        place = json.dumps({"path": str(tmp_path / "o")})
+        target = F.when(F.col("task_id") != "t2", F.struct(F.lit("files").alias("pluginType"), F.lit(place).alias("config")))
+        mine = records.to_records(spark.createDataFrame([(f"t{i}",) for i in (0, 1, 1, 2)], "k string"), source=F.lit("own"), status_code=F.lit(200), task_id=F.col("k"))
+        found, status = run_tasks(todo.withColumn("destination", target), {"mine": mine})
+        assert {k: v for k, v in outcome(status).items()} == {"t0": (True, 200, 1, "Done."), "t1": (True, 200, 2, "Done."), "t2": (True, 200, 1, "Done.")}
+        assert sorted(r.task_id for r in spark.read.parquet(str(tmp_path / "o")).collect()) == ["t0", "t1", "t1"]
+    finally:
+        runs._PLUGINS.pop("mine")
+
+
 def test_well_formed(spark):
     rows = spark.createDataFrame(
         [("RUNNING", "cron", True), (None, None, True), ("running", "cron", False), ("FAILED", "timer", False)],
