@@ -100,8 +100,8 @@ def validate_tasks(tasks: DataFrame) -> DataFrame:
     web, git, drive = F.col("web"), F.col("git"), F.col("drive")
     plugin, key = F.col("plugin"), drive["serviceAccountKey"]
 
-    def key_part(path: str) -> Column:
-        return json_truthy(F.variant_get(F.try_parse_json(key), path, "variant"))
+    def key_part(name: str) -> Column:
+        return json_truthy(F.from_json(key, f"{name} variant")[name])
 
     def setting(name: str, config: Column, field: str, defaults) -> Column:
         return F.when(plugin == name, F.coalesce(config[field], F.lit(defaults[field])))
@@ -133,7 +133,7 @@ def validate_tasks(tasks: DataFrame) -> DataFrame:
             _problem(500, F.lit(BAD_KEY)),
         )
         .when(
-            is_drive & ~is_blank(key) & ~(key_part("$.client_email") & key_part("$.private_key")),
+            is_drive & ~is_blank(key) & ~(key_part("client_email") & key_part("private_key")),
             _problem(400, F.lit(PARTIAL_KEY)),
         )
     )

@@ -75,8 +75,7 @@ def _git_result() -> Column:
     event = _header("x-github-event")
 
     def judged(doc: Column) -> Column:
-        name = F.variant_get(doc, "$.repository.full_name", "variant")
-        deleted = F.variant_get(doc, "$.deleted", "variant")
+        name, deleted = doc["repository"]["full_name"], doc["deleted"]
         error = (
             F.when(~is_json(body), BAD_JSON)
             .when(bad_algorithm, BAD_ALGORITHM)
@@ -86,9 +85,7 @@ def _git_result() -> Column:
         return F.struct(
             error.alias("error"),
             signed.alias("validated"),
-            F.concat(
-                F.lit("https://github.com/"), F.variant_get(doc, "$.repository.full_name", "string")
-            ).alias("resource"),
+            F.concat(F.lit("https://github.com/"), F.variant_get(name, "$", "string")).alias("resource"),
             F.when(event == "push", F.when(json_truthy(deleted), "DELETE").otherwise("UPSERT"))
             .when(event == "pull_request", "UPSERT")
             .otherwise("UNKNOWN")
@@ -96,7 +93,8 @@ def _git_result() -> Column:
             body.alias("payload"),
         )
 
-    return let(F.try_parse_json(body), judged)
+    # Field by field, so that repeated keys do no harm.
+    return let(F.from_json(body, "deleted variant, repository struct<full_name variant>"), judged)
 
 
 def _drive_result() -> Column:

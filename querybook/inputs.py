@@ -385,7 +385,10 @@ def deliveries(spark, sf_dir) -> DataFrame:
     named = F.when(
         e % 19 != 0, F.concat(F.lit(', "repository": {"full_name": "org/src'), (e % 20).cast("string"), F.lit('"}'))
     ).otherwise(', "repository": null')
-    deleted = F.when(e % 8 == 0, "true").when(e % 8 == 1, '""').when(e % 8 == 2, '"no"').otherwise("0")
+    deleted = (
+        F.when(e % 8 == 0, "true").when(e % 8 == 1, '""').when(e % 8 == 2, '"no"').when(e % 8 == 3, "0e5")
+        .when(e % 8 == 4, 'true, "deleted": -0.0').otherwise("0")
+    )
     git_body = F.concat(F.lit('{"note": "ü", "deleted": '), deleted, named, F.when(e % 17 == 0, "} x").otherwise("}"))
     body = F.when(e % 29 != 0, F.when(service == "git-crawler", git_body).otherwise(""))
     event = F.when(e % 5 == 0, "pull_request").when(e % 5 == 1, "issues").otherwise("push")

@@ -395,6 +395,20 @@ log AS (
   SELECT 'drive:' || id, seq, action FROM delta WHERE NOT failed),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY seq DESC) AS rn FROM log)
 SELECT entity_key, seq AS last_op_seq, 200 AS status_code FROM ranked WHERE rn = 1 AND action = 'live'""",
+    "corpus_streams": f"""
+WITH {_PUSHES}, {_CHANGES.replace(_DOCS + ",", "", 1).strip()}, {_delta('n % 37 <> 0', 0)},
+pushed AS (
+  SELECT 'git:org/r' || t.r || ':' || t.branch || ':' || t.path AS entity_key, t.e AS seq, t.kind,
+         CASE t.kind WHEN 'added' THEN 0 WHEN 'removed' THEN 3 ELSE CASE WHEN t.d = t.d1 THEN 2 ELSE 1 END END AS pos,
+         t.kind <> 'removed' AND (doc.doc_id IS NULL OR doc.doc_id % 31 = 0) AS failed
+  FROM (SELECT t.*, p.d1 FROM touched t JOIN pushes p USING (e)) t
+  LEFT JOIN documents doc ON doc.doc_id = t.d AND doc.doc_id % 20 = t.r AND t.e % 23 <> 0
+  WHERE t.e % 17 <> 0),
+log AS (
+  SELECT entity_key, seq, pos, kind <> 'removed' AS live FROM pushed WHERE NOT failed
+  UNION ALL SELECT 'drive:' || id, seq, 0, action = 'live' FROM delta WHERE NOT failed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY seq DESC, pos DESC) AS rn FROM log)
+SELECT entity_key, seq AS last_op_seq, 'UPSERT' AS change_op FROM ranked WHERE rn = 1 AND live""",
     "poll_diff": """
 WITH later AS (
   SELECT CASE WHEN page_id % 11 = 0 THEN 'https://moved.example.com/' || page_id ELSE url END AS url,

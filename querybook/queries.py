@@ -11,6 +11,7 @@ from feedloom.functions.urls import normalize_url, url_allowed
 from feedloom.operators import changes, drive, git, records, sitemaps, tasks, web, webhooks
 from feedloom.plans.runs import run_tasks
 from feedloom.session import Staging
+from feedloom.sinks.corpus import Corpus
 
 from . import inputs
 
@@ -249,6 +250,22 @@ def apply_changes(spark, sf_dir) -> DataFrame:
     )
 
 
+def corpus_streams(spark, sf_dir) -> DataFrame:
+    """Pushes and drive changes taken into one stored corpus as batches of two streams, some of them compacted."""
+    staging = Staging(spark, "corpus")
+    corpus = Corpus(spark, f"{staging.path}/corpus")
+    pushes, feed = inputs.push_events(spark, sf_dir), inputs.drive_changes(spark, sf_dir)
+    files, content = inputs.repo_files(spark, sf_dir), inputs.drive_content(spark, sf_dir)
+    for batch in (0, 1):
+        own = pushes.where(F.col("event_id") % 2 == batch)
+        delta = git.git_push_delta(own, files, "event_id", staging=Staging(spark, "pushes"))
+        corpus.apply(delta.withColumnRenamed("event_id", "seq"), batch, "git")
+        if batch == 0:
+            corpus.apply(drive.drive_delta(feed, content, "shared", 0, staging=Staging(spark, "changes")), 0, "drive")
+            corpus.compact()
+    return corpus.read().select("entity_key", F.col("seq").alias("last_op_seq"), "change_op")
+
+
 def poll_diff(spark, sf_dir) -> DataFrame:
     before = inputs.html_pages(spark, sf_dir).select("url", "body")
     return changes.poll_diff(before, inputs.later_pages(spark, sf_dir))
@@ -287,6 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         apply_changes,
         run_summary,
         task_runs,
+        corpus_streams,
         poll_diff,
     )
 }
