@@ -5,8 +5,8 @@ functions (``parse_url``) refuse many addresses browsers accept, so the work is
 regular expressions. Addresses already in normal form, nearly all at scale, pass with two
 pattern tests; only the others take the piecewise path.
 
-Not covered: shorthand IPv4 hosts (``http://127.1/``), and hosts outside ASCII, which are
-lower-cased but not turned into their ``xn--`` form.
+Not covered: hosts outside ASCII, which are lower-cased but not turned into their ``xn--`` form,
+and IPv6 hosts, which are lower-cased but not shortened.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ USERINFO_SAFE = r"\x21\x24-\x2e\x30-\x39\x41-\x5a\x5f\x61-\x7a\x7e"
 HOST_FORBIDDEN = r"[\x00-\x20#/:<>?@\[\\\]^|%\x7f]"
 
 _NORMAL = (
-    r"^https?://[a-z0-9](?:[a-z0-9._-]*[a-z0-9])?"
+    r"^https?://(?!(?:[^/]*\.)?(?:[0-9]+|0x[0-9a-f]*)\.?/)[a-z0-9](?:[a-z0-9._-]*[a-z0-9])?"
     r"/[\x21\x24-\x3b\x3d\x40-\x5b\x5d-\x5f\x61-\x7a\x7c\x7e]*+"
     r"(?:\?[\x21\x24-\x26\x28-\x3b\x3d\x3f-\x7e]*+)?"
     r"(?:#[" + FRAGMENT_SAFE + r"]*+)?$"
@@ -77,10 +77,36 @@ def _without_dots(path: str) -> str:
     return rf"case when {path} rlike r'(?i)/(?:\.|%2e){{1,2}}(?:/|$)' then {joined} else {path} end"
 
 
+def _ipv4(parts: str) -> str:
+    """SQL: the dotted address of one to four numbers, decimal, octal or hexadecimal; the last fills what is left."""
+    number = (
+        r"case when p rlike r'^0x0*[0-9a-f]{0,8}$' then cast(conv(concat('0', substring(p, 3)), 16, 10) as bigint)"
+        r" when p rlike r'^00*[0-7]{0,11}$' then cast(conv(p, 8, 10) as bigint)"
+        r" when p rlike r'^[1-9][0-9]{0,9}$' then cast(p as bigint) end"
+    )
+    value = (
+        "case size(nums) when 1 then nums[0] when 2 then nums[0] * 16777216 + nums[1]"
+        " when 3 then nums[0] * 16777216 + nums[1] * 65536 + nums[2]"
+        " else nums[0] * 16777216 + nums[1] * 65536 + nums[2] * 256 + nums[3] end"
+    )
+    dotted = "concat_ws('.', value div 16777216, value div 65536 % 256, value div 256 % 256, value % 256)"
+    bad = (
+        "size(nums) > 4 or exists(nums, x -> x is null) or exists(slice(nums, 1, size(nums) - 1), x -> x > 255)"
+        " or element_at(nums, -1) >= shiftleft(1L, 8 * (5 - size(nums)))"
+    )
+    return sql_let("nums", f"transform({parts}, p -> {number})", f"case when {bad} then null else {sql_let('value', value, dotted)} end")
+
+
 def _host(raw: str) -> str:
-    """SQL: lower-case host, or NULL when the text cannot be a host."""
+    """SQL: lower-case host, or NULL when the text cannot be a host. One that ends in a number is an IPv4 address."""
     decoded = f"lower(case when contains({raw}, '%') then try_url_decode(replace({raw}, '+', '%2B')) else {raw} end)"
-    checked = sql_let("dec", decoded, f"case when dec rlike r'{HOST_FORBIDDEN}' or dec = '' then null else dec end")
+    numbered = sql_let("parts", r"split(regexp_replace(dec, r'\.$', ''), r'\.')", _ipv4("parts"))
+    checked = sql_let(
+        "dec",
+        decoded,
+        f"case when dec rlike r'{HOST_FORBIDDEN}' or dec = '' then null"
+        rf" when dec rlike r'(?:^|\.)(?:[0-9]+|0x[0-9a-f]*)\.?$' then {numbered} else dec end",
+    )
     return rf"case when {raw} rlike r'^\[[0-9A-Fa-f:.]+\]$' then lower({raw}) else {checked} end"
 
 

@@ -145,3 +145,16 @@ def test_rules_as_columns(spark):
 def test_fetch_key(spark):
     rows = spark.createDataFrame([("http://h/a?b#c#d",), ("http://h/",)], "u string")
     assert [r[0] for r in rows.select(urls.fetch_key(F.col("u"))).collect()] == ["http://h/a?b", "http://h/"]
+
+
+@pytest.mark.parametrize(
+    "host, want",
+    [
+        ("127.1", "127.0.0.1"), ("0x7f.1", "127.0.0.1"), ("017700000001", "127.0.0.1"), ("2130706433", "127.0.0.1"), ("1.2.3", "1.2.0.3"),
+        ("1.2.3.4.", "1.2.3.4"), ("0x.0x0.0", "0.0.0.0"), ("4294967295", "255.255.255.255"), ("256.1", None), ("1.2.3.256", None), ("1.2.3.4.5", None),
+        ("4294967296", None), ("08.1", None), ("a.1", None), ("1.2.65536", None), ("1.a", "1.a"), ("example.com", "example.com"), ("09a.b2", "09a.b2"),
+    ],
+)
+def test_hosts_of_numbers(spark, host, want):
+    df = spark.createDataFrame([(f"http://{host}/x",)], "u string")
+    assert df.select(urls.parse_absolute(F.col("u"))).first()[0] == (want and f"http://{want}/x")
