@@ -143,12 +143,12 @@ def robots(spark, sf_dir) -> DataFrame:
 
 
 def known_sitemaps(spark, sf_dir) -> DataFrame:
-    """Hosts whose name has an even number of letters offer the usual file, under both schemes."""
+    """Hosts whose name has an even number of letters offer the usual file, under both schemes, one of them twice."""
     name = F.when(F.length("host") % 8 < 4, "/sitemap.xml").otherwise("/other.xml")
     return hosts(spark, sf_dir).select(
         F.explode(
             F.array(
-                *[F.concat(F.lit(f"{scheme}://"), F.col("host"), name) for scheme in ("http", "https")]
+                *[F.concat(F.lit(f"{scheme}://"), F.col("host"), name) for scheme in ("http", "https", "https")]
             )
         ).alias("url"),
         F.lit("<urlset></urlset>").alias("body"),
@@ -160,6 +160,7 @@ CHUNK = 25
 
 def sitemaps(spark, sf_dir) -> DataFrame:
     """A tree of sitemap indexes over the site, at most 25 pages and 28 names per file.
+    A third of the files is in the table twice.
 
     Index j names urlset j, the indexes 25j+1 to 25j+25, itself, a broken file and a missing one.
     """
@@ -204,7 +205,7 @@ def sitemaps(spark, sf_dir) -> DataFrame:
         F.struct(name("set", j).alias("url"), urlset.alias("body")),
         F.struct(name("bad", j).alias("url"), F.lit("<urlset><url>").alias("body")),
     )
-    return chunks.select(F.inline(rows))
+    return chunks.select(F.inline(F.when(j % 3 == 1, F.concat(rows, rows)).otherwise(rows)))
 
 
 def site_robots(spark) -> DataFrame:
@@ -229,12 +230,16 @@ def _path(n: Column) -> Column:
 
 
 def repo_files(spark, sf_dir) -> DataFrame:
-    """Every document as a file; some are unreadable, some end in a byte that is not UTF-8."""
+    """Every document as a file; some are unreadable, some end in a byte that is not UTF-8.
+
+    Some commits are on two branches.
+    """
     n = F.col("doc_id")
     raw = F.col("text").cast("binary")
-    return table(spark, sf_dir, "documents").select(
+    branches = F.when(n % 41 == 0, F.array(F.lit("dev"))).when(n % 7 == 3, F.array(F.lit("main"), F.lit("dev"))).otherwise(F.array(F.lit("main")))
+    return table(spark, sf_dir, "documents").select("*", F.explode(branches).alias("branch")).select(
         F.concat(F.lit("https://github.com/"), _repo(n)).alias("repo"),
-        F.when(n % 41 == 0, "dev").otherwise("main").alias("branch"),
+        "branch",
         F.sha2(_repo(n), 256).alias("commit_sha"),
         _path(n).alias("path"),
         F.when(n % 31 != 0, F.when(n % 37 == 0, F.concat(raw, F.unhex(F.lit("ff")))).otherwise(raw)).alias("content"),
