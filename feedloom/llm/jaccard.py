@@ -107,7 +107,7 @@ def signatures(docs: DataFrame, *, words: int, runs: int) -> DataFrame:
         hashes: dict[str, int] = {}
 
         def work(ids, batch, ties):
-            if len(hashes) > 500_000:
+            if len(hashes) > 200_000:
                 hashes.clear()
             out = []
             for doc, text, tie in zip(ids, batch, ties, strict=True):

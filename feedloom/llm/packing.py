@@ -21,7 +21,7 @@ MAX_TOKENS = 4096
 END_ID = 2
 # Words of up to WORD_CHARS characters are remembered by a worker, the latest CACHED_WORDS to twice as many.
 WORD_CHARS = 64
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 
 def default_tokenizer() -> str:
@@ -37,10 +37,15 @@ class _Recent:
         self.size, self.new, self.old = size, {}, {}
 
     def missing(self, keys: set[str]) -> list[str]:
-        keys = keys - self.new.keys()
-        known = keys & self.old.keys()
-        self.new.update((key, self.old[key]) for key in known)
-        return list(keys - known)
+        out = []
+        for key in keys:
+            if key in self.new:
+                continue
+            if key in self.old:
+                self.new[key] = self.old[key]
+            else:
+                out.append(key)
+        return out
 
     def turn(self) -> None:
         if len(self.new) > self.size:
@@ -64,7 +69,7 @@ def word_encoder(path: str):
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    words, parts = _Recent(CACHED_WORDS), _Recent(CACHED_WORDS)
+    known = _Recent(CACHED_WORDS)
 
     def direct(fresh: list[str]):
         for key, found in zip(fresh, tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
@@ -74,18 +79,18 @@ def word_encoder(path: str):
         # Where lowering is not letter by letter, it is left to the tokenizer.
         lowered = (text if "\u03a3" in text or "\u0130" in text else text.lower() for text in batch)
         split = [text.replace("\n", " ").split(" ") for text in lowered]
-        fresh = words.missing(set().union(*split))
+        fresh = known.missing(set().union(*split))
         pairs = {word: found.groups() for word in fresh if (found := _LETTERS_SIGNS.fullmatch(word))}
-        keys = {word for word in fresh if word not in pairs}.union(*pairs.values())
-        long = dict(direct([key for key in keys if len(key) > WORD_CHARS]))
-        parts.new.update(direct(parts.missing({key for key in keys if len(key) <= WORD_CHARS})))
-        found = {word: b"".join([long.get(key) or parts.new[key] for key in pairs.get(word, (word,))]) for word in fresh}
-        once = {word: found.pop(word) for word in fresh if len(word) > WORD_CHARS}
-        words.new.update(found)
-        known = words.new
-        out = [b"".join([once[w] if w in once else known[w] for w in own] if once else [known[w] for w in own]) for own in split]
-        words.turn()
-        parts.turn()
+        keys = {word for word in fresh if word not in pairs}
+        known.new.update(direct([*keys, *known.missing(set().union(*pairs.values()) - keys)]))
+        table = known.new
+        for word, (letters, signs) in pairs.items():
+            table[word] = table[letters] + table[signs]
+        out = [b"".join([table[w] for w in own]) for own in split]
+        for word in fresh:
+            if len(word) > WORD_CHARS:
+                del table[word]
+        known.turn()
         return out
 
     return encode
