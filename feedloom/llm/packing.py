@@ -80,7 +80,8 @@ def word_encoder(path: str):
         lowered = (text if "\u03a3" in text or "\u0130" in text else text.lower() for text in batch)
         split = [text.replace("\n", " ").split(" ") for text in lowered]
         fresh = known.missing(set().union(*split))
-        pairs = {word: found.groups() for word in fresh if (found := _LETTERS_SIGNS.fullmatch(word))}
+        # Long words are encoded whole, so that nothing of them is kept.
+        pairs = {word: found.groups() for word in fresh if len(word) <= WORD_CHARS and (found := _LETTERS_SIGNS.fullmatch(word))}
         keys = {word for word in fresh if word not in pairs}
         known.new.update(direct([*keys, *known.missing(set().union(*pairs.values()) - keys)]))
         table = known.new

@@ -32,6 +32,13 @@ def test_word_by_word_ids_are_the_tokenizers(data, spark):
     assert [np.frombuffer(b, "<u4").tolist() + [2] for b in encode(texts)] == plain_ids(texts)
 
 
+def test_long_words_are_not_kept():
+    encode = packing.word_encoder(packing.default_tokenizer())
+    encode([" ".join(f"{c * 90}!! short{c},, " for c in "abcdefgh")])
+    (held,) = (c.cell_contents for c in encode.__closure__ if isinstance(c.cell_contents, packing._Recent))
+    assert "shorta,," in held.new and all(len(w) <= packing.WORD_CHARS for w in held.new)
+
+
 @pytest.mark.parametrize("total", [1, 2, 3, 4095, 4096, 4097, 12_345])
 def test_lengths(total):
     lengths = packing.binary_lengths(total, 4096)
