@@ -14,6 +14,9 @@ from .common import filter_texts, map_columns, texts
 
 # Items are searched in windows of WINDOW characters, one every STEP; shorter ones as a whole.
 WINDOW, STEP = 100, 50
+# And in runs of RUN characters, one every RUN_STEP, with RUN_EDITS edits: of RUN or more characters
+# copied from any place of an item, 2 * RUN_EDITS + 1 starts in a row fit, and RUN_STEP is no more.
+RUN, RUN_STEP, RUN_EDITS = 50, 5, 2
 Q = 10
 EDIT_RATE = 0.08
 # Characters of windows in one block of the query set; for each block the documents are read once.
@@ -46,8 +49,20 @@ def windows(text: str) -> list[str]:
     """The windows of a normalised item, the last one at its end. An item under Q characters has none."""
     if len(text) < Q:
         return []
-    last = max(0, len(text) - WINDOW)
-    return [text[at : at + WINDOW] for at in sorted({*range(0, last, STEP), last})]
+    return _cut(text, WINDOW, STEP)
+
+
+def _cut(text: str, size: int, step: int) -> list[str]:
+    last = max(0, len(text) - size)
+    return [text[at : at + size] for at in sorted({*range(0, last, step), last})]
+
+
+def pieces(text: str) -> list[tuple[str, int]]:
+    """All that is searched of a normalised item, each with its edits: windows and runs, or under Q characters the whole."""
+    if len(text) < Q:
+        return [(text, 0)] if text else []
+    runs = _cut(text, RUN, RUN_STEP) if len(text) > RUN else []
+    return [(w, budget(len(w))) for w in windows(text)] + [(r, RUN_EDITS) for r in runs]
 
 
 def codes(text: str) -> np.ndarray:
@@ -79,6 +94,7 @@ class Queries:
     first: np.ndarray  # of a hash in window and place
     window: np.ndarray
     place: np.ndarray
+    short: dict[str, list[int]]  # windows under Q characters, found as whole words
 
     def seen(self) -> np.ndarray:
         """A bit for 22 bits of each hash, to pass over most grams of a document at once."""
@@ -87,8 +103,8 @@ class Queries:
         return bits
 
 
-def block_of(found: list[tuple]) -> Queries:
-    """From (item, window) pairs."""
+def block_of(found: list[tuple], edits: list[int] | None = None) -> Queries:
+    """From (item, window) pairs and the edits of each, by default those of ``budget``."""
     sizes = np.array([len(w) for _, w in found], np.int64)
     letters = codes("".join(w for _, w in found))
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
@@ -97,22 +113,26 @@ def block_of(found: list[tuple]) -> Queries:
     whole = np.flatnonzero(place <= sizes[owner] - Q)
     order = whole[np.argsort(hashes[whole], kind="stable")]
     distinct, first = np.unique(hashes[order], return_index=True)
-    edits = np.array([budget(int(n)) for n in sizes], np.int64)
-    return Queries([i for i, _ in found], letters, starts, sizes, edits, distinct, np.append(first, len(order)), owner[order], place[order])
+    edits = np.array([budget(int(n)) for n in sizes] if edits is None else edits, np.int64)
+    short: dict[str, list[int]] = {}
+    for i in np.flatnonzero(sizes < Q).tolist():
+        short.setdefault(found[i][1], []).append(i)
+    return Queries([i for i, _ in found], letters, starts, sizes, edits, distinct, np.append(first, len(order)), owner[order], place[order], short)
 
 
 def blocks(benchmark: DataFrame, *, item_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[Queries]:
-    """The query set in blocks of bounded size. Null and very short texts have no windows."""
-    rows, size = [], 0
+    """The query set in blocks of bounded size. Null and empty texts have no windows."""
+    rows, edits, size = [], [], 0
     for row in benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).where("t is not null").toLocalIterator():
-        for window in windows(normal(row.t)):
+        for window, most in pieces(normal(row.t)):
             rows.append((row.i, window))
+            edits.append(most)
             size += len(window)
             if size >= block_chars:
-                yield block_of(rows)
-                rows, size = [], 0
+                yield block_of(rows, edits)
+                rows, edits, size = [], [], 0
     if rows:
-        yield block_of(rows)
+        yield block_of(rows, edits)
 
 
 def candidates(letters: np.ndarray, queries: Queries, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +141,8 @@ def candidates(letters: np.ndarray, queries: Queries, seen: np.ndarray) -> tuple
     With c = edits + 1, band j has the 2c diagonals from j * c on. The diagonals of one alignment lie
     among c consecutive ones, so they are all in some band.
     """
+    if not len(queries.hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     keys = []
     bands = len(letters) + 4 * WINDOW
     for at in range(0, max(1, len(letters)), PART_CHARS):
@@ -173,13 +195,29 @@ def align(letters: np.ndarray, queries: Queries, window: np.ndarray, band: np.nd
     return edits, begins, ends
 
 
+def short_hits(cleaned: list[str], queries: Queries) -> Iterator[tuple[int, int, int, int, int]]:
+    """The first place of each short window in each text, as whole words."""
+    spaces = {window.count(" ") for window in queries.short}
+    for t, text in enumerate(cleaned):
+        words, seen = text.split(" "), set()
+        starts = np.cumsum([0] + [len(w) + 1 for w in words]).tolist()
+        for i in range(len(words)):
+            for n in spaces:
+                part = words[i] if not n else " ".join(words[i : i + n + 1])
+                if part in queries.short and part not in seen:
+                    seen.add(part)
+                    for window in queries.short[part]:
+                        yield t, window, 0, starts[i], starts[i] + len(part)
+
+
 def search(batch: list[str], queries: Queries, seen: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(number of the text, window, edits, begin, end) of each window found; places in the normalised text."""
     cleaned = [normal(text) for text in batch]
     letters = codes(_GAP.join(cleaned))
+    short = list(short_hits(cleaned, queries)) if queries.short else []
     window, band = candidates(letters, queries, seen)
     if not len(window):
-        return []
+        return sorted(short)
     edits, begins, ends = align(letters, queries, window, band)
     good = edits <= queries.edits[window]
     sizes = np.array([len(t) + len(_GAP) for t in cleaned])
@@ -192,7 +230,7 @@ def search(batch: list[str], queries: Queries, seen: np.ndarray) -> list[tuple[i
         strict=True,
     ):
         best[key] = min(best.get(key, found), found)
-    return [(*key, *found) for key, found in sorted(best.items())]
+    return sorted(short + [(*key, *found) for key, found in best.items()])
 
 
 def places(text: str) -> np.ndarray:
@@ -215,9 +253,9 @@ _LEAK = "windows long, edits long, start long, end long"
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row for each doc_id and item_id of which a document holds a window within its edit budget.
 
-    ``windows`` counts the item's windows found, ``edits`` is the least of theirs, ``start`` and
-    ``end`` span them in code points. Null texts hold nothing, null items and items under Q characters
-    are in no document; repeated rows count as one document. The benchmark is the query set: its
+    ``windows`` counts the item's windows and runs found, ``edits`` is the least of theirs, ``start`` and
+    ``end`` span them in code points. Null texts hold nothing, null and empty items are in no document,
+    and items under Q characters where they stand as whole words; repeated rows count as one document. The benchmark is the query set: its
     blocks, of bounded size, go to all tasks, and the documents are read once for each.
     """
     source = texts(docs, id_col, text_col)

@@ -85,3 +85,34 @@ def test_rows(spark, block_chars):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
     assert d.find_leaks(docs.limit(0), benchmark).count() == 0
     assert d.find_leaks(docs, benchmark.limit(0)).count() == 0 and d.drop_leaks(docs, benchmark.limit(0)).count() == len(rows)
+
+
+def items_block(items):
+    found = [(i, *piece) for i, item in enumerate(items) for piece in d.pieces(d.normal(item))]
+    return d.block_of([(i, w) for i, w, _ in found], [e for _, _, e in found])
+
+
+@pytest.mark.parametrize("size", [50, 60, 75, 92, 100, 110, 120, 130, 140])
+def test_copied_runs_at_every_offset(size):
+    item = d.normal(words(60, 11))
+    block = items_block([item])
+    batch = [f"zz {item[at : at + size]} zz" for at in range(len(item) - size + 1)]
+    found = {t for t, _, _, _, _ in d.search(batch, block, block.seen())}
+    # A space at either end of a run is one character less of it.
+    assert found >= {t for t, at in enumerate(range(len(batch))) if len(item[at : at + size].strip()) >= d.RUN}
+
+
+def test_runs_come_besides_windows():
+    text = d.normal(words(60, 12))
+    found = d.pieces(text)
+    assert [w for w, _ in found[: len(d.windows(text))]] == d.windows(text)
+    assert all(e == d.budget(len(w)) for w, e in found if len(w) == d.WINDOW)
+    assert d.pieces("") == [] and d.pieces("ab c") == [("ab c", 0)]
+
+
+def test_short_items_as_whole_words(spark):
+    docs = spark.createDataFrame([(1, "It is 42, Ab-c!"), (2, "it is 421 abc"), (3, None), (4, "")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "42"), (2, "AB c."), (3, "?"), (4, "ab")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.windows, r.edits, r.start, r.end) for r in d.find_leaks(docs, benchmark).collect()}
+    assert found == {(1, 1): (1, 0, 6, 8), (1, 2): (1, 0, 10, 14), (1, 4): (1, 0, 10, 12)}
+    assert sorted(r.doc_id for r in d.drop_leaks(docs, benchmark).collect()) == [2, 3, 4]
