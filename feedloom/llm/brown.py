@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import math
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterable
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.session import Staging
@@ -18,8 +20,9 @@ from feedloom.session import Staging
 from .common import small_batches, texts
 
 CLASSES, ROUNDS = 64, 4
-# Words with at least this share of all tokens are exchanged one by one, so there are at most 20,000.
-# Rarer and unknown words are exchanged in families that share their last two bytes.
+# Every training word has a class of its own choice. Those with at least this share of all tokens, at
+# most 20,000, are exchanged one after the other; the others, in tasks, all at once in each round.
+# Words unknown to the training texts have the class of a family that shares their last two bytes.
 UNIT_SHARE, FAMILIES = 5e-5, 128
 # Words with at least this share, and of LONGEST bytes at most, are known to every task: at most a
 # million. Rarer ones are looked up by a join.
@@ -28,6 +31,10 @@ KNOWN_SHARE, LONGEST = 1e-6, 64
 TRANSITION_PRIOR = 20.0
 # No word has a space: this one stands for a text's end, and before its first word.
 END = b"\n"
+# Words not known to every task are numbered from here on, by 61 bits of a digest.
+RARE = 1 << 61
+# Rows of numbers in a batch, and context counts weighed at a time.
+NUMBER_ROWS, PART = 65_536, 100_000
 # Entries a task keeps before it sends them on.
 HELD, HELD_TOKENS = 400_000, 4_000_000
 
@@ -61,9 +68,51 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def number_batches(spark: SparkSession) -> None:
+    """Larger batches, for tables of numbers only."""
+    small_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(NUMBER_ROWS))
+
+
+@contextmanager
+def no_old_shuffles(spark: SparkSession):
+    """Within, the shuffle files of a written table go when it is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+class Units(dict):
+    """Numbers of the words known to every task. ``get`` finds rarer training words in the table ``rare``, one job a word;
+    theirs is the number, after the families, of the class alone. Tasks are sent the dict without it."""
+
+    rare: DataFrame | None = None
+
+    @lru_cache(maxsize=4096)  # noqa: B019
+    def _rare_class(self, word: bytes) -> int | None:
+        found = self.rare.where(F.col("word") == F.lit(bytearray(word))).first()
+        return None if found is None else found.cls
+
+    def __hash__(self):
+        return id(self)
+
+    def __reduce__(self):
+        return dict, (dict(self),)
+
+    def get(self, word: bytes, default=None):
+        if word not in self and self.rare is not None:
+            found = self._rare_class(word)
+            return default if found is None else len(self) + FAMILIES + found
+        return super().get(word, default)
+
+
 @dataclass(frozen=True)
 class Words:
-    """Numbers of the exchanged words, and the family of any other."""
+    """Numbers of the words known to every task, and the family of any other."""
 
     units: dict[bytes, int]
 
@@ -85,60 +134,224 @@ class Words:
         return out
 
 
+def rare_number(word: bytes) -> int:
+    return RARE | int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "big") >> 3
+
+
+def numbered(counts: DataFrame, words: Words) -> DataFrame:
+    """word, n, w (its number) and family of every training word."""
+    number_batches(counts.sparkSession)
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("w", pa.int64()), ("family", pa.int32())])
+    shared = counts.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterable[pa.RecordBatch]):
+        known = shared.value
+        for batch in batches:
+            own = batch.column(0).to_pylist()
+            numbers = [known.units[w] if w in known.units else rare_number(w) for w in own]
+            families = [known.family(w) - len(known.units) for w in own]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(numbers, pa.int64()), pa.array(families, pa.int32())], schema=schema)
+
+    return counts.select("word", "n").mapInArrow(run, "word binary, n long, w long, family int")
+
+
 def pair_counts(docs: DataFrame, words: Words) -> DataFrame:
-    """pair (first unit times the number of units, plus second) and n over all texts, each begun by an end."""
+    """a, b (numbers of a word and the next) and n over all texts, each begun by an end."""
     small_batches(docs.sparkSession)
-    schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterable[pa.RecordBatch]):
-        known, suffixes, held, size = shared.value, {}, [], 0
-        end = known.numbers([END], suffixes)
+        known, local, held, size = shared.value.units, {}, [], 0
 
         def rows():
-            pairs, counts = np.unique(np.concatenate(held or [np.zeros(0, np.int64)]), return_counts=True)
+            base = max(len(local), 1)
+            pairs = [first * base + second for first, second in held]
+            found, counts = np.unique(np.concatenate(pairs or [np.zeros(0, np.int64)]), return_counts=True)
+            numbers = np.fromiter((known[w] if w in known else rare_number(w) for w in local), np.int64, len(local))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(counts, pa.int64())], schema=schema)
+            local.clear()
+            if not len(found):
+                numbers = np.zeros(1, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(numbers[found // base]), pa.array(numbers[found % base]), pa.array(counts, pa.int64())], schema=schema)
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                numbers = known.numbers(tokens(text), suffixes)
-                held.append(np.concatenate([end, numbers[:-1]]) * known.size + numbers)
+                own = [END, *tokens(text)]
+                numbers = np.fromiter((local.setdefault(w, len(local)) for w in own), np.int64, len(own))
+                held.append((numbers[:-1], numbers[1:]))
                 size += len(numbers)
             if size > HELD_TOKENS:
                 yield rows()
                 size = 0
         yield rows()
 
-    found = docs.select("text").mapInArrow(run, "pair long, n long")
-    return found.groupBy("pair").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(run, "a long, b long, n long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def contexts(pairs: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
-    """[side, unit, class]: how often a class follows a unit, and how often it goes before; at side 2, class 0 the unit itself.
+def sided(pairs: DataFrame) -> DataFrame:
+    """w, v (twice the neighbour's number, plus one if it goes before) and n: each pair from either word, by words."""
+    both = pairs.select(F.col("a").alias("w"), (F.col("b") * 2).alias("v"), "n").unionByName(
+        pairs.select(F.col("b").alias("w"), (F.col("a") * 2 + 1).alias("v"), "n")
+    )
+    return both.repartitionByRange("w", "v").sortWithinPartitions("w")
 
-    The tasks add up their pairs; what reaches the driver has at most units times classes numbers a side.
+
+def _merged(w: np.ndarray, at: np.ndarray, n: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums by (w, at), in order."""
+    distinct, dense = np.unique(w, return_inverse=True)
+    keys, inverse = np.unique(dense * slots + at, return_inverse=True)
+    return distinct[keys // slots], keys % slots, np.bincount(inverse, n, len(keys)).astype(np.int64)
+
+
+def word_contexts(sides: DataFrame, chosen: DataFrame, known: np.ndarray, n_classes: int) -> DataFrame:
+    """w, its class cls, and lists at and n of every word: how often each class follows (at its number) or goes before (n_classes more).
+
+    Classes of neighbours known to every task are sent to all, those of others come by a join.
     """
-    small_batches(pairs.sparkSession)
-    size = len(classes)
+    spark = sides.sparkSession
+    number_batches(spark)
+    slots, entry = 3 * n_classes, "w long, at long, n long"
+    schema = pa.schema([("w", pa.int64()), ("at", pa.int64()), ("n", pa.int64())])
+    shared = spark.sparkContext.broadcast(known.astype(np.uint8 if n_classes <= 256 else np.int32))
+
+    def near(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            w, v, n = (c.to_numpy() for c in batch.columns)
+            found = _merged(w, (v & 1) * n_classes + shared.value[v >> 1], n, slots)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=schema)
+
+    def far(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            found = _merged(*(c.to_numpy() for c in batch.columns), slots)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=schema)
+
+    packed = pa.schema([("w", pa.int64()), ("cls", pa.int32()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
+
+    def rows(w, at, n):
+        words, first = np.unique(w, return_index=True)
+        # A word's class has the last place of all.
+        last = np.append(first[1:], len(w)) - 1
+        keep = np.ones(len(w), bool)
+        keep[last] = False
+        offsets = pa.array(np.append(first - np.arange(len(first)), keep.sum()), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[keep], t)) for x, t in ((at, pa.int32()), (n, pa.int64()))]
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(at[last] - 2 * n_classes, pa.int32()), *lists], schema=packed)
+
+    def pack(batches: Iterable[pa.RecordBatch]):
+        held = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = _merged(*(np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True)), slots)
+            whole = int(np.searchsorted(held[0], held[0][-1]))
+            if whole:
+                yield rows(*(h[:whole] for h in held))
+            held = [h[whole:] for h in held]
+        if len(held[0]):
+            yield rows(*held)
+
+    v = F.col("v")
+    rare = chosen.where(F.col("w") >= RARE).select((F.col("w")).alias("id"), "cls")
+    away = (
+        sides.where(v >= 2 * RARE)
+        .withColumn("id", F.shiftright(v, 1))
+        .join(rare, "id")
+        .select("w", (v.bitwiseAND(1) * n_classes + F.col("cls")).alias("at"), "n")
+    )
+    own = chosen.select("w", (F.col("cls") + 2 * n_classes).cast("long").alias("at"), F.lit(0).cast("long").alias("n"))
+    entries = sides.where(v < 2 * RARE).mapInArrow(near, entry).unionByName(away.mapInArrow(far, entry)).unionByName(own)
+    parted = entries.repartition("w").sortWithinPartitions("w")
+    return parted.mapInArrow(pack, "w long, cls int, at array<int>, n array<long>")
+
+
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of packed contexts: the row of each entry, its place and count."""
+    sizes = np.diff(batch.column(2).offsets.to_numpy())
+    return np.repeat(np.arange(batch.num_rows), sizes), batch.column(2).flatten().to_numpy(), batch.column(3).flatten().to_numpy()
+
+
+def class_pairs(seen: DataFrame, n_classes: int) -> np.ndarray:
+    """How often each class follows each, over all words."""
+    number_batches(seen.sparkSession)
     schema = pa.schema([("at", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]):
-        sums = np.zeros(3 * size * n_classes, np.int64)
+        sums = np.zeros(n_classes * n_classes, np.int64)
         for batch in batches:
-            pair, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            first, second = pair // size, pair % size
-            np.add.at(sums, first * n_classes + classes[second], n)
-            np.add.at(sums, (size + second) * n_classes + classes[first], n)
-            same = first == second
-            np.add.at(sums, (2 * size + first[same]) * n_classes, n[same])
+            row, at, n = _entries(batch)
+            after = at < n_classes
+            np.add.at(sums, batch.column(1).to_numpy().astype(np.int64)[row[after]] * n_classes + at[after], n[after])
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.int64())], schema=schema)
 
-    found = pairs.select("pair", "n").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(3 * size * n_classes)
+    found = seen.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(n_classes * n_classes)
     out[found["at"].to_numpy()] = found["n"].to_numpy()
-    return out.reshape(3, size, n_classes)
+    return out.reshape(n_classes, n_classes)
+
+
+def best_classes(row: np.ndarray, at: np.ndarray, n: np.ndarray, classes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The class of each row that adds most to the likelihood, with all others where they are and its own counts left out."""
+    size = len(pairs)
+    out = classes.copy()
+    if not len(row):
+        return out
+    # By side and class of a neighbour, what each class of the word has with it; and with all.
+    sides, totals = np.concatenate([pairs.T, pairs]), (pairs.sum(1), pairs.sum(0))
+    heads = np.flatnonzero(np.diff(row, prepend=-1))
+    cuts = [0]
+    while cuts[-1] < len(heads):
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(heads, heads[cuts[-1]] + PART))))
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        first = heads[low : min(high, len(heads))]
+        end = heads[high] if high < len(heads) else len(row)
+        part, owners = slice(first[0], end), row[first]
+        kinds, inverse = np.unique(np.stack([at[part], n[part]]).astype(np.int64), axis=1, return_inverse=True)
+        counts = kinds[1][:, None].astype(float)
+        held = sides[kinds[0]]
+        gain = np.add.reduceat((_xlogx(held + counts) - _xlogx(held))[inverse.ravel()], first - first[0], axis=0)
+        ahead = at[part] < size
+        own = np.repeat(classes[owners], np.diff(np.append(first, end)))
+        mine, more = sides[at[part], own], n[part].astype(float)
+        stay = np.add.reduceat(_xlogx(mine) - _xlogx(np.maximum(mine - more, 0)), first - first[0])
+        for side, total in zip((ahead, ~ahead), totals, strict=True):
+            sums = np.add.reduceat(np.where(side, more, 0), first - first[0])
+            gain -= _xlogx(total + sums[:, None]) - _xlogx(total)
+            kept = total[classes[owners]]
+            stay -= _xlogx(kept) - _xlogx(np.maximum(kept - sums, 0))
+        found = gain.argmax(1)
+        out[owners] = np.where(gain[np.arange(len(found)), found] > stay + 1e-9, found, classes[owners])
+    return out
+
+
+def choose(seen: DataFrame, pairs: np.ndarray, heads: np.ndarray) -> DataFrame:
+    """w and cls of every word: those of the exchanged ones as given, for each other the best."""
+    number_batches(seen.sparkSession)
+    schema = pa.schema([("w", pa.int64()), ("cls", pa.int32())])
+    shared = seen.sparkSession.sparkContext.broadcast((pairs, heads))
+
+    def run(batches: Iterable[pa.RecordBatch]):
+        pairs, heads = shared.value
+        for batch in batches:
+            w, classes = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+            found = best_classes(*_entries(batch), classes, pairs)
+            given = w < len(heads)
+            found[given] = heads[w[given]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())], schema=schema)
+
+    return seen.mapInArrow(run, "w long, cls int")
+
+
+def head_contexts(seen: DataFrame, twice: np.ndarray, n_classes: int) -> np.ndarray:
+    """[side, unit, class] of the words exchanged one by one; at side 2, class 0 the unit itself."""
+    out = np.zeros((3, len(twice), n_classes))
+    for row in seen.where(F.col("w") < len(twice)).toArrow().to_pylist():
+        at = np.array(row["at"], np.int64)
+        out[at // n_classes, row["w"], at % n_classes] = row["n"]
+    out[2, :, 0] = twice
+    return out
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -157,14 +370,15 @@ def likelihood(n: np.ndarray) -> float:
     return float(_xlogx(n).sum() - _xlogx(n.sum(1)).sum() - _xlogx(n.sum(0)).sum())
 
 
-def exchange(seen: np.ndarray, classes: np.ndarray) -> np.ndarray:
+def exchange(seen: np.ndarray, classes: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
     """One round: each unit in turn goes to the class where it adds most to the likelihood.
 
+    ``pairs`` has the class counts if there are other words than the units.
     Class counts are kept up with every move; a unit's contexts are those of the round's start.
     """
-    classes, n = classes.copy(), transitions(seen, classes)
+    classes, n = classes.copy(), transitions(seen, classes) if pairs is None else pairs.copy()
     diagonal = np.arange(len(n))
-    totals = np.bincount(classes, seen[0].sum(1), len(n)), np.bincount(classes, seen[1].sum(1), len(n))
+    totals = n.sum(1), n.sum(0)
     for u in np.argsort(-seen[0].sum(1), kind="stable"):
         after, before, own = seen[0, u], seen[1, u], seen[2, u, 0]
         a = classes[u]
@@ -201,7 +415,7 @@ def exchange(seen: np.ndarray, classes: np.ndarray) -> np.ndarray:
 @dataclass(frozen=True)
 class BrownModel:
     words: Words
-    classes: np.ndarray  # of each unit
+    classes: np.ndarray  # of each unit and family, then each class itself
     transition: np.ndarray  # log10 of the probability of a class after another, for known words
     totals: np.ndarray  # tokens of each class
     unknown: float  # probability of an unknown word
@@ -220,21 +434,48 @@ def fit(docs: DataFrame, staging: Staging, *, n_classes: int = CLASSES, rounds:
     counts = staging.write(word_counts(docs), "words")
     n, v, once = counts.agg(F.sum("n"), F.count(F.lit(1)), F.count(F.when(F.col("n") == 1, 1))).first()
     n = n or 0
-    known = counts.where((F.col("n") >= KNOWN_SHARE * n) & (F.octet_length("word") <= LONGEST)).toArrow()
-    by_word = dict(zip(known["word"].to_pylist(), known["n"].to_pylist(), strict=True))
-    frequent = sorted((w for w, k in by_word.items() if k >= max(2, UNIT_SHARE * n)), key=lambda w: (-by_word[w], w))
-    words = Words({w: i for i, w in enumerate(frequent)})
-    pairs = staging.write(pair_counts(docs, words), "pairs")
-    classes = np.arange(words.size) % n_classes
-    best = None
-    for k in range(rounds + 1):
-        seen = contexts(pairs, classes, n_classes)
-        found = transitions(seen, classes)
-        if best is None or likelihood(found) > likelihood(best[1]):
-            best = classes, found
-        if k < rounds:
-            classes = exchange(seen, classes)
-    classes, found = best
+    frequent = counts.where((F.col("n") >= KNOWN_SHARE * n) & (F.octet_length("word") <= LONGEST)).toArrow()
+    by_word = dict(zip(frequent["word"].to_pylist(), frequent["n"].to_pylist(), strict=True))
+    ranked = sorted(by_word, key=lambda w: (-by_word[w], w))
+    words = Words(Units({w: i for i, w in enumerate(ranked)}))
+    n_heads = sum(k >= max(2, UNIT_SHARE * n) for k in by_word.values())
+    spark, scratch = docs.sparkSession, Staging(docs.sparkSession, "brown-contexts")
+    with no_old_shuffles(spark):
+        ids = staging.write(numbered(counts, words), "numbers")
+        chosen = F.when(F.col("w") < n_heads, F.col("w") % n_classes).otherwise(F.col("family") % n_classes)
+        chosen = staging.write(ids.groupBy("w").agg(F.min(chosen).cast("int").alias("cls")), "classes0")
+        pairs = scratch.write(pair_counts(docs, words), "pairs")
+        twice = np.zeros(n_heads)
+        for row in pairs.where((F.col("a") == F.col("b")) & (F.col("a") < n_heads)).collect():
+            twice[row.a] = row.n
+        contexts = Staging(spark, "brown-contexts")
+        sides = contexts.write(sided(pairs), "sides")
+        scratch.remove()
+        best = None
+        for k in range(rounds + 1):
+            known = np.zeros(len(ranked), np.int64)
+            found = chosen.where(F.col("w") < len(ranked)).toArrow()
+            known[found["w"].to_numpy()] = found["cls"].to_numpy()
+            seen = contexts.write(word_contexts(sides, chosen, known, n_classes), "seen")
+            found = class_pairs(seen, n_classes)
+            if best is None or likelihood(found) > likelihood(best[2]):
+                best = chosen, known, found
+            if k < rounds:
+                heads = exchange(head_contexts(seen, twice, n_classes), known[:n_heads], found)
+                chosen = staging.write(choose(seen, found, heads), f"classes{k + 1}")
+        contexts.remove()
+        chosen, known, found = best
+        rare = ids.where(F.col("w") >= RARE).join(chosen, "w")
+        rare = staging.write(rare.select("word", F.col("n").alias("c"), "cls", "family"), "rare")
+    words.units.rare = rare
+    # A family has the class that holds most tokens of its words, those exchanged one by one aside.
+    held = np.zeros((FAMILIES, n_classes))
+    for row in rare.groupBy("family", "cls").agg(F.sum("c").alias("c")).collect():
+        held[row.family, row.cls] += row.c
+    for w, c in zip(ranked[n_heads:], known[n_heads:].tolist(), strict=True):
+        held[words.family(w) - len(ranked), c] += by_word[w]
+    families = np.where(held.any(1), held.argmax(1), np.arange(FAMILIES) % n_classes)
+    classes = np.concatenate([known, families, np.arange(n_classes)])
     totals = found.sum(0)
     shares = totals / max(totals.sum(), 1)
     smooth = (found + TRANSITION_PRIOR * shares) / (found.sum(1, keepdims=True) + TRANSITION_PRIOR)
@@ -248,23 +489,24 @@ def class_scores(docs: DataFrame, model: BrownModel, counts: DataFrame) -> DataF
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row; a null text counts as empty.
 
     A known word has the probability (1 - unknown) P(class | class before) n(word) / n(class), an
-    unknown one ``unknown``: together one. Its class, as context, is its family's. Words known to
-    every task are added up where they are read; the others, each with a very small share of all
-    tokens, are looked up by a join on the word.
+    unknown one ``unknown``: together one. Words known to every task are added up where they are read.
+    The others, each with a very small share of all tokens, are looked up by a join on the word, with
+    the transitions to and from them; where two are neighbours, the first is looked up for the second.
     """
     spark = docs.sparkSession
     small_batches(spark)
     source = texts(docs).withColumn("key", F.monotonically_increasing_id())
     id_type = source.schema["doc_id"].dataType.simpleString()
+    start = int(model.classes[model.words.units.get(END, model.words.family(END))])
     shared = spark.sparkContext.broadcast(model)
-    schema = f"key long, doc_id {id_type}, word binary, k long, part double, n_tokens long, n_known long, base double"
-    types = [pa.int64(), None, pa.binary(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64()]
-    names = ["key", "doc_id", "word", "k", "part", "n_tokens", "n_known", "base"]
+    # ``prev`` is the word before if that is to be looked up as well, with ``before`` its family's class; ``after`` is -1 without a known word next.
+    schema = f"key long, doc_id {id_type}, word binary, prev binary, before int, own int, after int, k long, part double, n_tokens long, n_known long, base double"
+    types = [pa.int64(), None, pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64()]
+    names = ["key", "doc_id", "word", "prev", "before", "own", "after", "k", "part", "n_tokens", "n_known", "base"]
 
     def run(batches: Iterable[pa.RecordBatch]):
         m, suffixes = shared.value, {}
-        get, total = m.counts.get, m.base_total
-        start = m.classes[m.words.numbers([END], suffixes)]
+        get, total, limit = m.counts.get, m.base_total, len(m.words.units)
         with np.errstate(divide="ignore"):
             out_of = np.log10(1 - m.unknown) - np.log10(m.totals)
         for batch in batches:
@@ -272,25 +514,36 @@ def class_scores(docs: DataFrame, model: BrownModel, counts: DataFrame) -> DataF
             fields = pa.schema([(name, ids.type if t is None else t) for name, t in zip(names, types, strict=True)])
             for doc, text, key in zip(ids.to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 own = tokens(text)
+                numbers = m.words.numbers(own, suffixes)
+                here = numbers < limit
                 c = np.fromiter((get(w, 0) for w in own), np.float64, len(own))
-                classes = m.classes[m.words.numbers(own, suffixes)]
-                part = m.transition[np.concatenate([start, classes[:-1]]), classes] + out_of[classes]
-                here = c > 0
-                rows = [(key, doc, b" %d" % key, 0, float((part[here] + np.log10(c[here])).sum()), len(own), int(here.sum()), float(np.log10((c[here] + 0.1) / total).sum()))]
-                rest: dict[bytes, list] = {}
+                classes = m.classes[numbers]
+                before = np.concatenate([[start], classes[:-1]])
+                both = here & np.concatenate([[True], here[:-1]])
+                part = m.transition[before[both], classes[both]].sum() + (out_of[classes[here]] + np.log10(c[here])).sum()
+                rows = [(key, doc, b" %d" % key, None, 0, 0, -1, 0, float(part), len(own), int(here.sum()), float(np.log10((c[here] + 0.1) / total).sum()))]
+                rest: Counter[tuple] = Counter()
                 for i in np.flatnonzero(~here).tolist():
-                    held = rest.setdefault(own[i], [0, 0.0])
-                    held[0] += 1
-                    held[1] += part[i]
-                rows += [(key, doc, word, k, t, 0, 0, 0.0) for word, (k, t) in rest.items()]
+                    after = int(classes[i + 1]) if i + 1 < len(own) and here[i + 1] else -1
+                    rest[own[i], own[i - 1] if i and not here[i - 1] else None, int(before[i]), int(classes[i]), after] += 1
+                rows += [(key, doc, *row, k, 0.0, 0, 0, 0.0) for row, k in rest.items()]
                 for column, values in zip(out, zip(*rows, strict=True), strict=True):
                     column.extend(values)
             yield pa.RecordBatch.from_arrays([pa.array(o, f.type) for o, f in zip(out, fields, strict=True)], schema=fields)
 
-    rows = source.mapInArrow(run, schema)
-    rare = counts.where((F.col("n") < KNOWN_SHARE * model.n) | (F.octet_length("word") > LONGEST)).withColumnRenamed("n", "c")
-    k, c = F.col("k"), F.coalesce("c", F.lit(0))
-    score = F.when(k == 0, F.col("part")).when(c > 0, F.col("part") + k * F.log10(c)).otherwise(k * math.log10(model.unknown))
+    with no_old_shuffles(spark):
+        rows = Staging(spark, "brown-rows").write(source.mapInArrow(run, schema), "rows")
+    size = len(model.totals)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out_of = (np.log10(1 - model.unknown) - np.log10(model.totals)).tolist()
+    moves, out_of = F.array(*map(F.lit, model.transition.ravel().tolist())), F.array(*map(F.lit, out_of))
+    rare = model.words.units.rare.select("word", "c", "cls")
+    first = rows.where("prev is not null").join(rare.select(F.col("word").alias("prev"), F.col("cls").alias("found")), "prev", "left")
+    first = first.withColumn("before", F.coalesce("found", "before")).drop("prev", "found")
+    rows = rows.where("prev is null").drop("prev").unionByName(first)
+    k, c, own, after = F.col("k"), F.coalesce("c", F.lit(0)), F.coalesce("cls", "own"), F.col("after")
+    entry = F.when(c > 0, F.get(moves, F.col("before") * size + own) + F.get(out_of, own) + F.log10(c)).otherwise(float(np.log10(model.unknown)))
+    score = F.when(k == 0, F.col("part")).otherwise(k * (entry + F.when(after >= 0, F.get(moves, own * size + after)).otherwise(0.0)))
     base = F.when(k == 0, F.col("base")).otherwise(k * F.log10((c + 0.1) / model.base_total))
     known = F.when(k == 0, F.col("n_known")).when(c > 0, k).otherwise(0)
     return (

@@ -98,3 +98,20 @@ def test_empty(spark):
     assert brown.score_documents(spark.createDataFrame([], schema)).count() == 0
     rows = brown.score_documents(spark.createDataFrame([(1, "a b")], schema), learn=F.lit(False)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows] == [(3, 0, 0, 0.0, 0.0)]
+
+
+@pytest.mark.parametrize("share", [1e-6, 0.01])
+def test_rare_words_are_clustered_one_by_one(spark, monkeypatch, share):
+    # Words that end alike, in two places of a sentence: in one family, they had one class.
+    monkeypatch.setattr(brown, "KNOWN_SHARE", share)
+    monkeypatch.setattr(brown, "UNIT_SHARE", 0.02)
+    rows = [(i, " ".join(f"a {random.Random(i).choice(['p', f'p{i % 40}zz'])} c b {random.Random(-i).choice(['q', f'q{i % 40}zz'])} d" for _ in range(3))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, counts = brown.fit(docs, Staging(spark, "t"), n_classes=8, rounds=3)
+    found = {bytes(r.word): r.n for r in counts.collect()}
+
+    def class_of(word):
+        return int(model.classes[model.words.units.get(word, model.words.family(word))])
+
+    p, q = ({class_of(w) for w in found if w[:1] == kind and w.endswith(b"zz")} for kind in (b"p", b"q"))
+    assert not p & q and sum(model.totals) == sum(found.values())
