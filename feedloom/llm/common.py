@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +59,36 @@ def fold_columns(
     return df.mapInArrow(run, schema)
 
 
+def grouped(rows: DataFrame, keys: list[str], schema: str, work: Callable[[tuple, list[tuple]], Iterable[tuple]]) -> DataFrame:
+    """``work(key, rows)`` for the rows of each key, without the key's columns; a key's rows are bounded by the caller."""
+    small_batches(rows.sparkSession)
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    width, rest = len(keys), [c for c in rows.columns if c not in keys]
+
+    def run(batches: Iterable[pa.RecordBatch]):
+        key, held = None, []
+        out: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:width] != key:
+                    if len(held) > 1:
+                        out += work(key, held)
+                    key, held = row[:width], []
+                held.append(row[width:])
+            if len(out) > 1000:
+                yield _rows_batch(out, fields)
+                out = []
+        if len(held) > 1:
+            out += work(key, held)
+        yield _rows_batch(out, fields)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, *rest).mapInArrow(run, schema)
+
+
+def _rows_batch(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(fields)], schema=fields)
+
+
 def filter_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list[str]], Sequence[bool]]]) -> DataFrame:
     """The rows whose text ``make()``'s function keeps, all columns as they are; a null text is asked about as an empty one."""
     small_batches(docs.sparkSession)

@@ -3,19 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from feedloom.session import Staging
 
-from .common import map_columns, small_batches, texts
+from .common import grouped, map_columns, texts
 from .components import components
 
 WORDS = 5
@@ -163,36 +160,6 @@ def _leaves(sets: DataFrame, runs: int, staging: Staging) -> DataFrame:
     return out.distinct()
 
 
-def _grouped(rows: DataFrame, keys: list[str], schema: str, work: Callable[[tuple, list[tuple]], Iterable[tuple]]) -> DataFrame:
-    """``work(key, rows)`` for the rows of each key, without the key's columns; a key's rows are bounded by the caller."""
-    small_batches(rows.sparkSession)
-    fields = to_arrow_schema(StructType.fromDDL(schema))
-    width, rest = len(keys), [c for c in rows.columns if c not in keys]
-
-    def run(batches: Iterable[pa.RecordBatch]):
-        key, held = None, []
-        out: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:width] != key:
-                    if len(held) > 1:
-                        out += work(key, held)
-                    key, held = row[:width], []
-                held.append(row[width:])
-            if len(out) > 1000:
-                yield _batch(out, fields)
-                out = []
-        if len(held) > 1:
-            out += work(key, held)
-        yield _batch(out, fields)
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, *rest).mapInArrow(run, schema)
-
-
-def _batch(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(fields)], schema=fields)
-
-
 def _met_before(leaf: int, leaves: list[list[int]]) -> np.ndarray:
     """Whether two sets share a leaf of a lower number, where they are compared instead."""
     lower = [[k for k in own if k < leaf] for own in leaves]
@@ -298,13 +265,13 @@ def _joined(docs: DataFrame, similarity: float, words: int, target_recall: float
     keys = ["leaf", "a", "b"]
     id_type = docs.schema["doc_id"].dataType.simpleString()
     likely = staging.write(
-        _grouped(dealt, keys, f"leaf long, a int, b int, set_id binary, block int, leaves array<long>, doc_id {id_type}, tie long", lambda k, r: _likely(k, r, similarity)),
+        grouped(dealt, keys, f"leaf long, a int, b int, set_id binary, block int, leaves array<long>, doc_id {id_type}, tie long", lambda k, r: _likely(k, r, similarity)),
         "likely",
     )
     body = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__tie"), "text")
     fetched = likely.join(body, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("tie") == F.col("__tie")))
     links = staging.write(
-        _grouped(
+        grouped(
             fetched.select(*keys, "set_id", "block", "leaves", "text"), keys, "set_id binary, root binary, links long",
             lambda k, r: _verified(k, r, similarity, words),
         ),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontamination, fingerprints, jaccard, langid, packing, pii, quality, secrets, warc
+from . import brown, decontamination, fingerprints, jaccard, langid, minmax, packing, pii, quality, secrets, warc
 from .common import fold_of, table
 
 
@@ -91,6 +91,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints_of_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -102,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_fingerprints": op10_fingerprints,
+    "op11_minmax": op11_minmax,
 }
