@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontamination, fingerprints, jaccard, langid, minmax, packing, pii, quality, secrets, warc
+from . import brown, collocations, decontamination, fingerprints, jaccard, langid, minmax, packing, pii, quality, secrets, spelling, warc
 from .common import fold_of, table
 
 
@@ -95,6 +95,14 @@ def op11_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -107,4 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_fingerprints": op10_fingerprints,
     "op11_minmax": op11_minmax,
+    "op12_spelling": op12_spelling,
+    "op13_collocations": op13_collocations,
 }
