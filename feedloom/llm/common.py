@@ -116,6 +116,17 @@ def replace_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[s
     return docs.mapInArrow(run, docs.schema)
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, under fixed names, null texts as empty ones."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

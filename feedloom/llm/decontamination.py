@@ -120,11 +120,12 @@ def block_of(found: list[tuple], edits: list[int] | None = None) -> Queries:
     return Queries([i for i, _ in found], letters, starts, sizes, edits, distinct, np.append(first, len(order)), owner[order], place[order], short)
 
 
-def blocks(benchmark: DataFrame, *, item_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[Queries]:
-    """The query set in blocks of bounded size. Null and empty texts have no windows."""
+def blocks(benchmark: DataFrame, *, item_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, short_items: bool = True) -> Iterator[Queries]:
+    """The query set in blocks of bounded size, on request without items under Q characters. Null and empty texts have no windows."""
     rows, edits, size = [], [], 0
     for row in benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).where("t is not null").toLocalIterator():
-        for window, most in pieces(normal(row.t)):
+        cleaned = normal(row.t)
+        for window, most in pieces(cleaned) if short_items or len(cleaned) >= Q else ():
             rows.append((row.i, window))
             edits.append(most)
             size += len(window)
@@ -295,9 +296,13 @@ def _leaks(block):
     return make
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` whose text holds no window of any item; columns as they are, no row moves."""
-    for block in blocks(benchmark, item_col=item_col, block_chars=block_chars):
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", block_chars: int = BLOCK_CHARS, short_items: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose text holds no window of any item; columns as they are, no row moves.
+
+    An item under Q characters, such as ``yes`` or ``42``, is a word of ordinary texts: that a document has it is
+    reported by :func:`find_leaks`, but costs it its place only with ``short_items``.
+    """
+    for block in blocks(benchmark, item_col=item_col, block_chars=block_chars, short_items=short_items):
         docs = filter_texts(docs, text_col, _clean(docs.sparkSession.sparkContext.broadcast(block)))
     return docs
 

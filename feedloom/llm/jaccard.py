@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from feedloom.session import Staging
 
-from .common import grouped, map_columns, texts
+from .common import fresh_names, grouped, map_columns, texts
 from .components import components
 
 WORDS = 5
@@ -312,7 +312,9 @@ def drop_near_duplicates(
     """One row of ``docs`` for each class of ``near_duplicates``: its least doc_id's, rows without an id first. Columns as they are."""
     _, members = _joined(texts(docs, id_col, text_col), similarity, words, target_recall)
     # Keys without nulls, so that the join's partitioning and order serve to drop repeated rows too.
-    keys = {"__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__tie": F.col("tie")}
-    kept = members.groupBy("root").agg(F.min("row").alias("row")).select("row.*").withColumns(keys).select(*keys)
-    own = {"__id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "__tie": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
-    return docs.withColumns(own).join(kept, list(keys), "left_semi").dropDuplicates(list(keys)).select(*docs.columns)
+    key_id, key_tie = keys = fresh_names(docs, "__id", "__tie")
+    kept = members.groupBy("root").agg(F.min("row").alias("row")).select(
+        F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")).alias(key_id), F.col("row.tie").alias(key_tie)
+    )
+    own = {key_id: F.coalesce(F.col(id_col).cast("string"), F.lit("")), key_tie: F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
+    return docs.withColumns(own).join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)

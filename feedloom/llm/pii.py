@@ -15,7 +15,7 @@ from .common import map_columns, replace_texts, texts
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 
-# The field is fitted on at most this many mentions, those whose documents' ids have the least hashes.
+# The field is fitted on at most this many mentions, those with the least hashes of document and place.
 FIT_MENTIONS = 20_000
 # Mentions this many characters apart or less are neighbours in the chain.
 CHAIN_CHARS = 80
@@ -32,12 +32,16 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]|[\[(][aA][tT][\])]")
 
 # Mentions: mail-like strings, also with the sign written out, and groups of digits with signs between them.
-_MENTION = re.compile(
-    r"[\w.%+-]{1,64}\s?[\[(](?:at|AT)[\])]\s?[\w-]{1,64}(?:\s?(?:\.|[\[(](?:dot|DOT)[\])])\s?[\w-]{1,64}){0,4}"
-    r"|[+(]{0,2}[0-9]{1,19}(?:[\x20().\-/]{1,2}[0-9]{1,19}){0,8}"
-)
+_AT = re.compile(r"@|\s?[\[(](?i:at)[\])]\s?")
+_NAME_SIGN = re.compile(r"[\w.%+-]")
+_PLACE = re.compile(r"[\w-]++(?:\s?(?:\.|[\[(](?i:dot)[\])])\s?[\w-]++)*+")
+_DIGITS = re.compile(r"[+(]{0,2}[0-9]++(?:[\x20().\-/]{1,2}[0-9]++)*+")
+_CHUNK = re.compile(r"[^\x20]+")
+# A number of its own has so many digits; groups with spaces between them make one of at most so many.
+WHOLE_DIGITS, MOST_DIGITS = 7, 19
 _NOT_DIGIT = re.compile(r"[^0-9]")
-_WRITTEN = re.compile(r"\s|[\[(](?:dot|DOT)[\])]")
+_WRITTEN_AT = re.compile(r"[\[(]at[\])]", re.IGNORECASE)
+_WRITTEN = re.compile(r"\s|[\[(](?i:dot)[\])]")
 
 
 def luhn(digits: str) -> bool:
@@ -87,31 +91,60 @@ class Mention:
     features: tuple[float, ...]
 
 
+def _mails(text: str, first: int, end: int) -> Iterator[tuple[int, int]]:
+    """Strings around an at sign, or one written out, between two places."""
+    at = first
+    while sign := _AT.search(text, at, end):
+        start = sign.start()
+        while start > first and _NAME_SIGN.match(text, start - 1):
+            start -= 1
+        place = _PLACE.match(text, sign.end(), end) if start < sign.start() else None
+        at = place.end() if place else sign.end()
+        if place:
+            yield start, at
+            first = at
+
+
+def _numbers(text: str, first: int, end: int) -> Iterator[tuple[int, int]]:
+    """Groups of digits between two places. At a space a new number begins where both sides could be one, or the two are too long together."""
+    for m in _DIGITS.finditer(text, first, end):
+        start = last = None
+        held = 0
+        for chunk in _CHUNK.finditer(text, *m.span()):
+            n = sum(map(str.isdigit, chunk.group()))
+            if start is not None and (held >= WHOLE_DIGITS and n >= WHOLE_DIGITS or held + n > MOST_DIGITS):
+                if held >= WHOLE_DIGITS:
+                    yield start, last
+                start, held = None, 0
+            start, last, held = chunk.start() if start is None else start, chunk.end(), held + n
+        if held >= WHOLE_DIGITS:
+            yield start, last
+
+
 def mentions(text: str, base: list[tuple[str, int, int]]) -> list[Mention]:
-    """The fixed forms and all other strings that look a little like one, by start."""
+    """The fixed forms, and in what is left between them all other strings that look a little like one, by start."""
     if not _ANY.search(text):
         return []
     spans = [(start, end, LABELS.index(kind)) for kind, start, end in base]
-    taken = np.array([(start, end) for start, end, _ in spans]).reshape(-1, 2)
-    taken = taken[np.argsort(taken[:, 0], kind="stable")]
-    reach = np.maximum.accumulate(taken[:, 1]) if len(taken) else taken[:, 1]
-    for m in _MENTION.finditer(text):
-        start, end = m.span()
-        # The spans that begin before this one ends: the furthest of them may reach into it.
-        before = int(np.searchsorted(taken[:, 0], end))
-        if before and reach[before - 1] > start:
-            continue
-        if "at" in m.group().lower() or sum(map(str.isdigit, m.group())) >= 7:
-            spans.append((start, end, 0))
+    at = 0
+    for start, end in [*sorted((s, e) for s, e, _ in spans), (len(text), len(text))]:
+        if at < start:
+            mails = list(_mails(text, at, start))
+            spans += [(a, b, 0) for a, b in mails]
+            left = at
+            for a, b in [*mails, (start, start)]:
+                spans += [(c, d, 0) for c, d in _numbers(text, left, a)]
+                left = b
+        at = max(at, end)
     return [_mention(text, *span) for span in sorted(set(spans))]
 
 
 def _mention(text: str, start: int, end: int, label: int) -> Mention:
     own = text[start:end]
-    mail = "@" in own or bool(re.search(r"[\[(]at[\])]", own, re.IGNORECASE))
+    mail = "@" in own or bool(_WRITTEN_AT.search(own))
     digits = _NOT_DIGIT.sub("", own)
     if mail:
-        key = _WRITTEN.sub(lambda m: "." if m.group()[0] in "[(" else "", re.sub(r"[\[(]at[\])]", "@", own, flags=re.IGNORECASE)).lower()
+        key = _WRITTEN.sub(lambda m: "." if m.group()[0] in "[(" else "", _WRITTEN_AT.sub("@", own)).lower()
     else:
         key = digits[-7:] if len(digits) <= 15 else digits
     parts = own.split(".")
@@ -230,20 +263,21 @@ def fit_on(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
     def make():
         def work(ids, batch):
             rows = []
-            for text in batch:
+            for doc, text in zip(ids, batch, strict=True):
                 found = mentions(text, base_spans(text))
                 chain, skip = edges(found)
                 previous, alike = {j: i for i, j in chain}, {j: i for i, j in skip}
                 rows += [
-                    (m.start, m.features, m.label, found[previous[i]].label if i in previous else -1, found[alike[i]].label if i in alike else -1)
+                    (doc, m.start, m.features, m.label, found[previous[i]].label if i in previous else -1, found[alike[i]].label if i in alike else -1)
                     for i, m in enumerate(found)
                 ]
-            return [list(c) for c in zip(*rows, strict=True)] or [[]] * 5
+            return [list(c) for c in zip(*rows, strict=True)] or [[]] * 6
 
         return work
 
-    rows = map_columns(texts(docs, id_col, text_col), "start long, features array<double>, label int, before int, alike int", make)
-    found = rows.orderBy(F.xxhash64("start", "features", "label")).limit(limit).toArrow()
+    source = texts(docs, id_col, text_col)
+    rows = map_columns(source, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, start long, features array<double>, label int, before int, alike int", make)
+    found = rows.orderBy(F.xxhash64("doc_id", "start"), "start", "label").limit(limit).toArrow()
     columns = (np.array(found[c].to_pylist(), int) for c in ("label", "before", "alike"))
     return fit(np.array(found["features"].to_pylist(), float), *columns)
 

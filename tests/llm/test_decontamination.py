@@ -115,4 +115,12 @@ def test_short_items_as_whole_words(spark):
     benchmark = spark.createDataFrame([(1, "42"), (2, "AB c."), (3, "?"), (4, "ab")], "item_id long, text string")
     found = {(r.doc_id, r.item_id): (r.windows, r.edits, r.start, r.end) for r in d.find_leaks(docs, benchmark).collect()}
     assert found == {(1, 1): (1, 0, 6, 8), (1, 2): (1, 0, 10, 14), (1, 4): (1, 0, 10, 12)}
-    assert sorted(r.doc_id for r in d.drop_leaks(docs, benchmark).collect()) == [2, 3, 4]
+    assert sorted(r.doc_id for r in d.drop_leaks(docs, benchmark, short_items=True).collect()) == [2, 3, 4]
+
+
+def test_short_items_are_reported_but_cost_nothing(spark):
+    docs = spark.createDataFrame([(1, "yes it is 42"), (2, "no")], "doc_id long, text string")
+    items = spark.createDataFrame([("a", "yes"), ("b", "42")], "item_id string, text string")
+    assert {(r.doc_id, r.item_id) for r in d.find_leaks(docs, items).collect()} == {(1, "a"), (1, "b")}
+    assert d.drop_leaks(docs, items).count() == 2
+    assert [r.doc_id for r in d.drop_leaks(docs, items, short_items=True).collect()] == [2]

@@ -119,3 +119,11 @@ def test_components(spark):
     found = {r.u: r.v for r in components(table, Staging(spark, "t")).collect()}
     assert {x: find(x) for x in parent if find(x) != x} == found
     assert components(table.where(F.lit(False)), Staging(spark, "t")).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [("keep1", 1.5, "a b c d e f", 1), ("keep2", 2.5, "a b c d e f", 2), ("keep3", 3.5, None, 3)]
+    docs = spark.createDataFrame(rows, "__id string, __tie double, text string, doc_id int")
+    found = j.drop_near_duplicates(docs)
+    assert found.schema == docs.schema
+    assert sorted(map(tuple, found.collect()), key=str) == [rows[0], rows[2]]

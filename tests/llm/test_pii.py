@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 
@@ -79,3 +80,33 @@ def test_rows(spark):
     assert cleaned[None].text is None and cleaned[4].text.endswith("[IP]")
     assert pii.find_pii(docs.limit(0)).count() == 0
     assert pii.redact_text("abcdef", [("ip", 1, 3), ("card", 2, 5)]) == "a[IP]f"
+
+
+def seen(text):
+    return [(text[m.start : m.end], pii.LABELS[m.label]) for m in pii.mentions(text, pii.base_spans(text))]
+
+
+def test_mentions_are_whole():
+    assert seen("9" * 26) == [("9" * 26, "none")]
+    name = "n" * 100
+    assert seen(f"{name} (at) host.org") == [(f"{name} (at) host.org", "none")]
+    assert seen("ann (At) host (Dot) org") == [("ann (At) host (Dot) org", "none")]
+    assert seen("ask bob@localhost now") == [("bob@localhost", "none")]
+    assert seen("call 555-123-4567 10.0.0.1") == [("555-123-4567", "none"), ("10.0.0.1", "ip")]
+    assert seen("10.0.0.1 555-123-4567") == [("10.0.0.1", "ip"), ("555-123-4567", "none")]
+    assert seen("555-5132 555-9921") == [("555-5132", "none"), ("555-9921", "none")]
+    assert seen("(319) 555 51 32") == [("(319) 555 51 32", "none")]
+    assert seen("@ @@ (at) a@ 12 34") == []
+    assert [t for t, _ in seen("1 " * 40)] == [("1 " * 19).strip(), ("1 " * 19).strip()]
+
+
+def test_linked_by_their_own_digits():
+    found = pii.mentions("555-5132 555-9921 and then 555-5132", [])
+    assert pii.edges(found)[1] == [(0, 2)]
+
+
+def test_long_texts_take_no_time():
+    start = time.perf_counter()
+    for text in ("x" * 300_000 + "(at", "a(at)" * 60_000, "1-" * 150_000, "1 " * 150_000, "a.b@" * 60_000, "x@y " * 60_000):
+        pii.mentions(text, pii.base_spans(text))
+    assert time.perf_counter() - start < 20
