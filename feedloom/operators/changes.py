@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.lookup import first_per_key
 from ..session import Staging
 
 
@@ -16,19 +17,14 @@ def latest_changes(changes: DataFrame) -> DataFrame:
     """The last record per entity by ``seq``, then ``pos`` if there is one; failed fetches are left out.
 
     A push has one ``seq`` for all its files, told apart by ``pos``. Rows alike in both are settled
-    by id, then an UPSERT before a DELETE, then by content: never by the order they come in.
-    ``max_by`` reduces before the shuffle: an entity with any share of all changes sends one row
-    per task instead of meeting in one window partition.
+    by id, then an UPSERT before a DELETE, then by content: never by the order they come in. An
+    entity with any share of all changes sends one row per task, and contents move once.
     """
     columns = [c for c in changes.columns if c != "entity_key"]
     content = F.xxhash64(*(c for c in columns if c.startswith("content_")))
     order = [*(c for c in ("seq", "pos", "id") if c in columns), "change_op"]
-    return (
-        _effective(changes)
-        .groupBy("entity_key")
-        .agg(F.max_by(F.struct(*columns), F.struct(*order, content.alias("__content"))).alias("__last"))
-        .select("entity_key", "__last.*")
-    )
+    last = first_per_key(_effective(changes), ["entity_key"], [*(F.desc(c) for c in order), content.desc()])
+    return last.select("entity_key", *columns)
 
 
 def apply_changes(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsontext import has_keys, is_json
 from ..functions.values import let, lossy_utf8
-from ..plans.lookup import lookup, lookup_staged
+from ..plans.lookup import first_per_key, lookup, lookup_staged
 from ..schemas import PUSH
 from ..session import Staging
 from .records import git_key, to_records
@@ -162,7 +162,7 @@ def git_push_delta(
         ],
     )
     if staging is not None:
-        changes = staging.write(changes, "push_files")
+        changes = staging.write(changes.withColumn("__row", F.monotonically_increasing_id()), "push_files")
     removed = F.col("__kind") == "removed"
     # Tombstones need no content: a NULL key keeps them out of the match.
     keyed = changes.select(
@@ -173,10 +173,14 @@ def git_push_delta(
     )
     key = ["repo", "commit_sha", "path"]
     files = repo_files.select(*key, F.coalesce("branch", F.lit("")).alias("__held"), "content")
-    # A commit's files are the same on every branch: the least branch is chosen without the contents.
-    chosen = files.groupBy(*key).agg(F.min("__held").alias("__held"))
-    look = lookup_staged if staging is not None else lookup
-    got = look(look(keyed, chosen, key), files, [*key, "__held"])
+    # A commit's files are the same on every branch: the least branch counts.
+    if staging is not None:
+        # The contents are read once, by a join that keeps what was pushed; the few rows found settle the branch.
+        found = lookup_staged(keyed, files, key)
+        got = first_per_key(found, ["__row"], [F.asc("__held")]).drop("__row")
+    else:
+        chosen = files.groupBy(*key).agg(F.min("__held").alias("__held"))
+        got = lookup(lookup(keyed, chosen, key), files, [*key, "__held"])
 
     failed = ~removed & F.col("content").isNull()
     file_id = F.concat_ws("-", "__name", "__path")

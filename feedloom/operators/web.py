@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import is_html, page_links
 from ..functions.urls import fetch_key, normalize_url, parse_absolute, url_allowed, url_scheme
-from ..plans.lookup import lookup, lookup_staged
+from ..plans.lookup import first_per_key, lookup, lookup_staged
 from ..session import Staging
 from .records import to_records
 
@@ -20,25 +17,32 @@ TASK_COLUMNS = ("task_id", "max_depth", "recursive", "allowed_domains", "include
 def page_snapshot(pages: DataFrame, newest: str | None = None) -> DataFrame:
     """One row per request address: the newest by ``newest``, then the greatest address.
 
-    For tables that hold an address several times or under several fragments. The winner is found on
-    the narrow columns, reduced where they are read; only then is each winner's body picked. Rows
-    alike in address and ``newest`` are told apart by a hash of their body; wholly equal ones stay
-    one row.
+    For tables that hold an address several times or under several fragments. Rows alike in address
+    and ``newest`` are told apart by a hash of their body; wholly equal ones stay one row. Bodies
+    move once, and of an address held many times each task sends one.
     """
-    rank = [*([newest] if newest else []), "url", "__hash"]
-    keyed = pages.withColumns({"__key": fetch_key(normalize_url(F.col("url"))), "__hash": F.xxhash64("body")})
-    best = keyed.groupBy("__key").agg(F.max(F.struct(*rank)).alias("__best"))
-    won = reduce(and_, (F.col(c).eqNullSafe(F.col("__best")[c]) for c in rank))
-    return keyed.join(best, "__key").where(won).dropDuplicates(["__key"]).select(*pages.columns)
+    order = [*([F.desc(newest)] if newest else []), F.desc("url"), F.xxhash64("body").desc()]
+    keyed = pages.withColumn("__key", fetch_key(normalize_url(F.col("url"))))
+    return first_per_key(keyed, ["__key"], order).select(*pages.columns)
 
 
 def _column(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
 
+# The request address, in snapshots that are kept clustered by it.
+FETCH_KEY = "fetch_key"
+
+
+def keyed_pages(pages: DataFrame) -> DataFrame:
+    """A snapshot with the column FETCH_KEY, for a :class:`~feedloom.sinks.clustered.Clustered` store."""
+    return pages.withColumn(FETCH_KEY, fetch_key(normalize_url(F.col("url"))))
+
+
 def _prepared(pages: DataFrame) -> DataFrame:
+    key = F.col(FETCH_KEY) if FETCH_KEY in pages.columns else fetch_key(normalize_url(F.col("url")))
     return pages.select(
-        fetch_key(normalize_url(F.col("url"))).alias("__fetch"),
+        key.alias("__fetch"),
         F.lit(True).alias("__hit"),
         _column(pages, "status_code", "int").alias("__status"),
         _column(pages, "content_type", "string").alias("__type"),
@@ -67,8 +71,8 @@ def web_fetch(
 ) -> DataFrame:
     """Records for ``frontier(url[, task_id, depth])`` read from a page snapshot.
 
-    ``pages`` has one row per request address (see :func:`page_snapshot`). An address the snapshot
-    lacks is a 404 row; a row without a status is a failed request, 500. ``staged`` tells that the
+    ``pages`` has one row per request address (see :func:`page_snapshot`); if it is a clustered store of
+    :func:`keyed_pages`, its bodies stay where they are. An address the snapshot lacks is a 404 row; a row without a status is a failed request, 500. ``staged`` tells that the
     frontier is read from a written table: a small one then never moves the page store.
     """
     front = frontier.select(

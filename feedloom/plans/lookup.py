@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,3 +44,14 @@ def lookup_staged(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataF
     matched = known.join(right, on).select(*columns)
     rest = known.join(right.select(*on), on, "left_anti").unionByName(left.where(~_all_known(on)))
     return matched.unionByName(rest, allowMissingColumns=True).select(*columns)
+
+
+def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """For each key its first row by ``order``; of rows alike in all of that, one.
+
+    Tasks drop all but their own first row of a key before anything moves, so each key costs a row a task
+    and long columns go through one exchange.
+    """
+    place = "__place"
+    by = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn(place, F.row_number().over(by)).where(F.col(place) == 1).drop(place)

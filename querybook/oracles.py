@@ -215,7 +215,6 @@ SELECT page_id, url,
        AND NOT (starts_with(path, '/en/1') OR starts_with(path, '/de/2')) AS allowed
 FROM parts""",
     "extract_links": f"WITH {_LINKS} SELECT page_id, link_url FROM links",
-    "extract_links_dom": f"WITH {_LINKS} SELECT page_id, link_url FROM links",
     "web_fetch": f"""
 WITH {_LINKS},
 front AS (SELECT url FROM pages UNION SELECT link_url FROM links),
@@ -419,3 +418,6 @@ SELECT coalesce(l.url, p.url) AS url,
 FROM pages p FULL JOIN later l ON l.url = p.url
 WHERE p.url IS NULL OR l.url IS NULL OR sha256(p.html) <> sha256(l.body)""",
 }
+
+# The same addresses from a clustered snapshot.
+ORACLES["bucketed_fetch"] = ORACLES["web_fetch"]

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.urls import normalize_url, url_allowed
+from feedloom.functions.urls import fetch_key, normalize_url, url_allowed
 from feedloom.operators import changes, drive, git, records, sitemaps, tasks, web, webhooks
 from feedloom.plans.runs import run_tasks
 from feedloom.session import Staging
+from feedloom.sinks.clustered import Clustered
 from feedloom.sinks.corpus import Corpus
 
 from . import inputs
@@ -33,11 +34,6 @@ def extract_links(spark, sf_dir) -> DataFrame:
     return web.extract_links(inputs.html_pages(spark, sf_dir), "page_id")
 
 
-def extract_links_dom(spark, sf_dir) -> DataFrame:
-    """The same rows under the name they had from a parser of markup."""
-    return extract_links(spark, sf_dir)
-
-
 def url_filter(spark, sf_dir) -> DataFrame:
     own = inputs.html_pages(spark, sf_dir).select("page_id", normalize_url(F.col("url")).alias("url"))
     linked = extract_links(spark, sf_dir).select("page_id", F.col("link_url").alias("url"))
@@ -58,6 +54,25 @@ def web_fetch(spark, sf_dir) -> DataFrame:
     )
 
 
+def bucketed_fetch(spark, sf_dir) -> DataFrame:
+    """The same fetch from a snapshot that is kept clustered by request address, and a few pages from their buckets alone."""
+    pages = inputs.raw_pages(spark, sf_dir)
+    staging = Staging(spark, "store")
+    store = Clustered.write(web.keyed_pages(web.page_snapshot(pages)), f"{staging.path}/pages", web.FETCH_KEY, 64)
+    linked = staging.write(pages.select("url").union(extract_links(spark, sf_dir).select("link_url")).distinct(), "linked")
+    few = staging.write(linked.where(F.pmod(F.hash(fetch_key(F.col("url"))), F.lit(64)) == 7), "few")
+    own = web.web_fetch(few, store.holding(few.select(fetch_key(F.col("url")).alias("k")), "k"), staged=True)
+    rest = web.web_fetch(linked.join(few, "url", "left_anti"), store.read())
+    return own.unionByName(rest).select(
+        "url",
+        "status_code",
+        F.col("web")["content_type"].alias("content_type"),
+        "content_kind",
+        F.col("error").isNotNull().alias("is_error"),
+        _digest(),
+    )
+
+
 def _crawled(found: DataFrame) -> DataFrame:
     return found.select("task_id", "url", F.col("web")["depth"].alias("depth"), "status_code")
 
@@ -277,8 +292,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         url_normalize,
         url_filter,
         extract_links,
-        extract_links_dom,
         web_fetch,
+        bucketed_fetch,
         crawl,
         sitemap_discover,
         sitemap_urls,
