@@ -7,8 +7,11 @@ import os
 import re
 import zlib
 from array import array
+from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ END_ID = 2
 # Words of up to WORD_CHARS characters are remembered by a worker, the latest CACHED_WORDS to twice as many.
 WORD_CHARS = 64
 CACHED_WORDS = 200_000
+# Words that are encoded as one text.
+JOINED_WORDS = 500
 
 
 def default_tokenizer() -> str:
@@ -36,7 +41,7 @@ class _Recent:
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
-    def missing(self, keys: set[str]) -> list[str]:
+    def missing(self, keys: Iterable[str]) -> list[str]:
         out = []
         for key in keys:
             if key in self.new:
@@ -56,6 +61,17 @@ class _Recent:
 _LETTERS_SIGNS = re.compile(r"([^\W\d_]+)([.,;:!?|*&%$#)\]}\"]+)")
 
 
+def _gathered(found: list[bytes], index: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The ids of texts whose words are given by number, from the ids of each distinct word."""
+    ids, sizes = np.frombuffer(b"".join(found), "<u4"), np.array([len(f) // 4 for f in found], np.int64)
+    first = np.cumsum(sizes) - sizes
+    counts = sizes[index]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    data = ids[np.repeat(first[index] - ends[:-1], counts) + np.arange(ends[-1])].tobytes() if len(index) else b""
+    at = (4 * ends[offsets - offsets[0]]).tolist()
+    return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
 @functools.lru_cache(1)
 def word_encoder(path: str):
     """A function from texts to their ids as bytes of little-endian unsigned 32-bit numbers.
@@ -72,14 +88,32 @@ def word_encoder(path: str):
     known = _Recent(CACHED_WORDS)
 
     def direct(fresh: list[str]):
-        for key, found in zip(fresh, tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+        """Pairs of words and ids. Words of letters are encoded as one text, each of them being one of its words."""
+        plain, others = [], []
+        for word in fresh:
+            (plain if word.isalpha() and len(word) <= WORD_CHARS else others).append(word)
+        for at in range(0, len(plain), JOINED_WORDS):
+            part = plain[at : at + JOINED_WORDS]
+            found = tokenizer.encode(" ".join(part), add_special_tokens=False)
+            owners = np.array(found.word_ids, np.int64)
+            edges = np.searchsorted(owners, np.arange(len(part) + 1)).tolist()
+            # Letters that the vocabulary does not take for such make more words than were given.
+            if len(owners) and owners[-1] + 1 == len(part):
+                data = np.array(found.ids, "<u4").tobytes()
+                yield from ((word, data[4 * a : 4 * b]) for word, a, b in zip(part, edges, edges[1:], strict=False))
+            else:
+                others += part
+        for key, found in zip(others, tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             yield key, array("I", found.ids).tobytes()
 
     def encode(batch: list[str]) -> list[bytes]:
         # Where lowering is not letter by letter, it is left to the tokenizer.
-        lowered = (text if "\u03a3" in text or "\u0130" in text else text.lower() for text in batch)
-        split = [text.replace("\n", " ").split(" ") for text in lowered]
-        fresh = known.missing(set().union(*split))
+        lowered = [(text if "\u03a3" in text or "\u0130" in text else text.lower()).replace("\n", " ") for text in batch]
+        # Each batch's distinct words are looked up once; the words themselves stay numbers.
+        split = pc.split_pattern(pa.array(lowered, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        fresh = known.missing(words)
         # Long words are encoded whole, so that nothing of them is kept.
         pairs = {word: found.groups() for word in fresh if len(word) <= WORD_CHARS and (found := _LETTERS_SIGNS.fullmatch(word))}
         keys = {word for word in fresh if word not in pairs}
@@ -87,12 +121,12 @@ def word_encoder(path: str):
         table = known.new
         for word, (letters, signs) in pairs.items():
             table[word] = table[letters] + table[signs]
-        out = [b"".join([table[w] for w in own]) for own in split]
+        found = [table[word] for word in words]
         for word in fresh:
             if len(word) > WORD_CHARS:
                 del table[word]
         known.turn()
-        return out
+        return _gathered(found, coded.indices.to_numpy(), split.offsets.to_numpy())
 
     return encode
 
@@ -154,7 +188,7 @@ def pack_power_of_two(docs: DataFrame, **options) -> DataFrame:
     padding, and no sequence crosses documents. Sequences of one length have consecutive ids,
     longest first, so a batch of equal lengths is a range of ids. The pieces are staged, longest
     first in each file; a sequence's id is the number of rows of its length in earlier files, added
-    to its place in its own. Only counts by file and length are summed. An empty table gives no rows.
+    to its place in its own. Only counts by file and length are summed and joined. An empty table gives no rows.
     """
     spark = docs.sparkSession
     pieces = cut_documents(docs, **options).sortWithinPartitions(F.desc("length"))
@@ -165,11 +199,17 @@ def pack_power_of_two(docs: DataFrame, **options) -> DataFrame:
         .parquet(f"{staged.path}/pieces")
         .withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
     )
-    runs = rows.groupBy("length", "__file").agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
-    # A row for each file and length: at most 13 times the number of files.
-    before = Window.orderBy(F.desc("length"), "__file").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("length", "__file", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return rows.join(F.broadcast(runs), ["length", "__file"]).select(
+    counts = rows.groupBy("length", "__file").agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    # A row for each file and length, written down so that the planner knows whether it is small.
+    counts = staged.write(counts, "counts")
+    earlier = Window.partitionBy("length").orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each length that there is, 13 at most.
+    lengths = counts.groupBy("length").agg(F.sum("__n").alias("__all"))
+    lengths = lengths.select("length", F.coalesce(F.sum("__all").over(longer), F.lit(0)).alias("__longer"))
+    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0)) + F.col("__longer")
+    runs = counts.join(lengths, "length").select("length", "__file", "__first", before.alias("__before"))
+    return rows.join(staged.write(runs, "runs"), ["length", "__file"]).select(
         *(c for c in pieces.columns),
         (F.col("__before") + F.col("__row") - F.col("__first")).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
