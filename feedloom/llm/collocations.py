@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ from .rolling import Hasher, Words, byte_kinds, mixed
 LONGEST = 5
 LEAST_COUNT = 100
 TOP = 2000
+# Sizes of runs that are counted by themselves, so that the next pass is spared what cannot be frequent.
+FILTERED = 3
 # Bits of a filter: so many for each fingerprint in it, within these bounds (the upper one is 32 MB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 64, 20, 28
 # Fingerprints a task holds before it sums them up, and distinct ones before it hands them on.
@@ -62,26 +64,21 @@ class _Runs:
         piece, n = self.words.piece, max(len(self.words) - size + 1, 0)
         return piece[:n] == piece[size - 1 : size - 1 + n]
 
-    def possible(self, words: Broadcast | None, pairs: Broadcast | None) -> dict[int, np.ndarray]:
-        """By size, the runs all of whose words, and of whose pairs, may be frequent; without a filter, all that lie in one piece."""
-        known = _in(words, self.fingerprints(1))
-        out = {1: known}
-        if words is None:
-            return out
-        both = self.whole(2) & known[:-1] & known[1:] if len(known) > 1 else np.zeros(0, bool)
-        if pairs is None:
-            return out | {2: both}
-        both &= _in(pairs, self.fingerprints(2))
-        out[2] = run = both
-        for size in range(3, LONGEST + 1):
-            run = run[:-1] & both[size - 2 :] if len(run) else run
-            out[size] = run
+    def possible(self, filters: list[Broadcast], longest: int) -> dict[int, np.ndarray]:
+        """By size, the runs in one piece that may be frequent: both their parts of one word less may be, and a filter for the size lets them pass."""
+        out, runs = {}, np.ones(len(self.words), bool)
+        for size in range(1, longest + 1):
+            if size > 1:
+                runs = runs[:-1] & runs[1:]
+            if size == 2:
+                runs &= self.whole(2)
+            if size <= len(filters):
+                runs = runs & _in(filters[size - 1], self.fingerprints(size))
+            out[size] = runs
         return out
 
 
-def _in(bits: Broadcast | None, prints: np.ndarray) -> np.ndarray:
-    if bits is None:
-        return np.ones(len(prints), bool)
+def _in(bits: Broadcast, prints: np.ndarray) -> np.ndarray:
     held = bits.value
     at = prints >> _U(64 - int(np.log2(len(held) * 8)))
     return (held[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 > 0
@@ -104,9 +101,9 @@ def _filter(found: DataFrame, value: Column) -> Broadcast:
 class _Sums:
     """Counts by fingerprint and second hash, with the size and the least pointer."""
 
-    def __init__(self):
+    def __init__(self, most: int, distinct: int):
         self.parts: list[list[np.ndarray]] = []
-        self.held = 0
+        self.held, self.most, self.distinct = 0, most, distinct
 
     def add(self, *columns: np.ndarray) -> None:
         self.parts.append(list(columns))
@@ -123,11 +120,11 @@ class _Sums:
 
     def take(self, finish: bool) -> Iterator[list[np.ndarray]]:
         """Sums up what is held; gives it away if that leaves much, or at the end."""
-        if not self.parts or not finish and self.held < HELD:
+        if not self.parts or not finish and self.held < self.most:
             return
         done = self.merged()
         self.parts, self.held = [done], len(done[0])
-        if finish or self.held > DISTINCT:
+        if finish or self.held > self.distinct:
             self.parts, self.held = [], 0
             yield done
 
@@ -135,14 +132,14 @@ class _Sums:
 _COUNTED = "print long, check long, size int, tie long, n long"
 
 
-def _counted(docs: DataFrame, select: Callable[[_Runs], dict[int, np.ndarray]], sizes: range, *, whole: bool) -> DataFrame:
-    """Fingerprints of the chosen runs with their counts; with ``whole``, by second hash too and with a pointer to a text."""
+def _counted(docs: DataFrame, filters: list[Broadcast], sizes: range, *, whole: bool) -> DataFrame:
+    """Fingerprints of the runs of these sizes that may be frequent, with their counts; with ``whole``, by second hash too and with a pointer to a text."""
     small_batches(docs.sparkSession)
     mask = FINGERPRINT
     schema = _COUNTED if whole else "print long, n long"
 
     def run(batches: Iterable[pa.RecordBatch]):
-        sums = _Sums()
+        sums = _Sums(HELD, DISTINCT)
 
         def out(finish: bool) -> Iterator[pa.RecordBatch]:
             for prints, checks, lengths, ties, counts in sums.take(finish):
@@ -152,7 +149,7 @@ def _counted(docs: DataFrame, select: Callable[[_Runs], dict[int, np.ndarray]],
 
         for batch in batches:
             runs = _Runs(batch, mask)
-            chosen = select(runs)
+            chosen = runs.possible(filters, sizes[-1])
             tie = batch.column("tie").to_numpy()[runs.words.text] if whole else None
             for size in sizes:
                 at = np.flatnonzero(chosen[size])
@@ -218,21 +215,21 @@ def _phrases(docs: DataFrame, wanted: Broadcast) -> DataFrame:
 def frequent_phrases(docs: DataFrame, staging: Staging, *, least_count: int = LEAST_COUNT) -> DataFrame:
     """lang, phrase, size and f of every phrase of one to five words with that many occurrences. ``docs``: lang, text, tie.
 
-    Words first, then pairs of frequent words, then longer runs all of whose pairs are frequent: a
-    phrase is never more frequent than a part of it, so nothing is lost. A pass drops what cannot be
-    frequent by a filter of bounded size; tasks sum up before the shuffle. Counting by fingerprint alone can
+    Words first, then pairs of frequent words, then threes of frequent pairs, then all longer runs whose
+    threes are frequent: a phrase is never more frequent than a part of it, so nothing is lost. Each pass
+    drops what cannot be frequent by filters of bounded size; tasks sum up before the shuffle. Counting by fingerprint alone can
     only be too high, as different runs may share one; the last pass counts by a second, independent
     hash of the letters as well. Only runs that are frequent by both are spelled out, once, from the
     text that their pointer names, where both hashes are worked out again.
     """
     enough = F.col("n") >= least_count
 
-    def frequent(rows: DataFrame, name: str) -> DataFrame:
-        return staging.write(rows.groupBy("print").agg(F.sum("n").alias("n")).where(enough).select("print"), name)
-
-    words = _filter(frequent(_counted(docs, lambda r: r.possible(None, None), range(1, 2), whole=False), "words"), F.col("print"))
-    pairs = _filter(frequent(_counted(docs, lambda r: r.possible(words, None), range(2, 3), whole=False), "pairs"), F.col("print"))
-    counted = _counted(docs, lambda r: r.possible(words, pairs), range(1, LONGEST + 1), whole=True)
+    filters: list[Broadcast] = []
+    for size in range(1, FILTERED + 1):
+        rows = _counted(docs, list(filters), range(size, size + 1), whole=False)
+        often = staging.write(rows.groupBy("print").agg(F.sum("n").alias("n")).where(enough).select("print"), f"often-{size}")
+        filters.append(_filter(often, F.col("print")))
+    counted = _counted(docs, filters, range(1, LONGEST + 1), whole=True)
     found = staging.write(
         counted.groupBy("print", "check", "size").agg(F.sum("n").alias("n"), F.min("tie").alias("tie")).where(enough), "frequent"
     )
