@@ -5,8 +5,7 @@ functions (``parse_url``) refuse many addresses browsers accept, so the work is
 regular expressions. Addresses already in normal form, nearly all at scale, pass with two
 pattern tests; only the others take the piecewise path.
 
-Not covered: hosts outside ASCII, which are lower-cased but not turned into their ``xn--`` form,
-and IPv6 hosts, which are lower-cased but not shortened.
+Hosts outside ASCII get their ``xn--`` form, IPv6 hosts their shortest one (see ``hosts``).
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .hosts import ascii_domain, short_ipv6
 from .values import let, sql_let
 
 # Default ports of the network schemes.
@@ -99,7 +99,8 @@ def _ipv4(parts: str) -> str:
 
 def _host(raw: str) -> str:
     """SQL: lower-case host, or NULL when the text cannot be a host. One that ends in a number is an IPv4 address."""
-    decoded = f"lower(case when contains({raw}, '%') then try_url_decode(replace({raw}, '+', '%2B')) else {raw} end)"
+    plain = f"case when contains({raw}, '%') then try_url_decode(replace({raw}, '+', '%2B')) else {raw} end"
+    decoded = sql_let("name", plain, rf"case when name rlike r'[^\x00-\x7f]' then {ascii_domain('name')} else lower(name) end")
     numbered = sql_let("parts", r"split(regexp_replace(dec, r'\.$', ''), r'\.')", _ipv4("parts"))
     checked = sql_let(
         "dec",
@@ -107,7 +108,7 @@ def _host(raw: str) -> str:
         f"case when dec rlike r'{HOST_FORBIDDEN}' or dec = '' then null"
         rf" when dec rlike r'(?:^|\.)(?:[0-9]+|0x[0-9a-f]*)\.?$' then {numbered} else dec end",
     )
-    return rf"case when {raw} rlike r'^\[[0-9A-Fa-f:.]+\]$' then lower({raw}) else {checked} end"
+    return rf"case when {raw} rlike r'^\[[0-9A-Fa-f:.]+\]$' then {short_ipv6(raw)} else {checked} end"
 
 
 def _credentials(raw: str) -> str:

@@ -30,7 +30,7 @@ def _rows(spark: SparkSession, sf_dir: str, name: str) -> Column:
 
 
 def messy_urls(spark, sf_dir) -> DataFrame:
-    """Page addresses written in ten ways, all but one of which have a known normal form."""
+    """Page addresses written in thirteen ways, all but one of which have a known normal form."""
     url = F.col("url")
     scheme, host = F.regexp_extract(url, "^(https?)", 1), F.regexp_extract(url, "//([^/]*)", 1)
     rest = F.regexp_replace(url, "^https?://[^/]*", "")
@@ -41,6 +41,9 @@ def messy_urls(spark, sf_dir) -> DataFrame:
         "page_id",
         F.when(F.col("page_id") % 32 == 8, F.concat(F.lit("http://0x7F.1/"), F.col("page_id").cast("string")))
         .when(F.col("page_id") % 32 == 16, F.concat(F.lit("http://1.2.3.256/"), F.col("page_id").cast("string")))
+        .when(F.col("page_id") % 96 == 24, F.concat(F.lit("http://MÜNCHEN.Example/"), F.col("page_id").cast("string")))
+        .when(F.col("page_id") % 96 == 56, F.concat(F.lit("http://[0:0::0001]:80/"), F.col("page_id").cast("string")))
+        .when(F.col("page_id") % 96 == 88, F.concat(F.lit("http://[::FFFF:1.2.3.4]/"), F.col("page_id").cast("string")))
         .when(kind == 1, F.concat(F.upper(scheme), sep, F.upper(host), rest))
         .when(kind == 2, F.concat(scheme, sep, host, port, rest))
         .when(kind == 3, F.concat(scheme, sep, host, F.lit("/./a/%2E%2e"), rest))

@@ -199,6 +199,8 @@ _DOC_TYPES = f"SELECT {_MIME} AS mime_type, doc_id FROM documents"
 ORACLES: dict[str, str] = {
     "url_normalize": """
 SELECT page_id, CASE WHEN page_id % 32 = 8 THEN 'http://127.0.0.1/' || page_id WHEN page_id % 32 = 16 THEN 'http://1.2.3.256/' || page_id
+    WHEN page_id % 96 = 24 THEN 'http://xn--mnchen-3ya.example/' || page_id WHEN page_id % 96 = 56 THEN 'http://[::1]/' || page_id
+    WHEN page_id % 96 = 88 THEN 'http://[::ffff:102:304]/' || page_id
     ELSE CASE page_id % 8
     WHEN 6 THEN regexp_replace(url, '^(https?://[^/]*)', '\\1/%C3%BC%20x%7By%7D')
     WHEN 7 THEN regexp_extract(url, '^(https?://[^/]*)', 1) || '/'

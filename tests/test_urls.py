@@ -24,7 +24,7 @@ NORMAL = [
     ("http:///foo", "http://foo/"),
     ("http:foo", "http://foo/"),
     ("https://ex%41mple.com/%7e", "https://example.com/%7e"),
-    ("http://Bücher.de/ä", "http://bücher.de/%C3%A4"),
+    ("http://Bücher.de/ä", "http://xn--bcher-kva.de/%C3%A4"),
     ("http://h/%2e/a/%2E%2e/b", "http://h/b"),
     ("http://h/../../x", "http://h/x"),
     ('http://h/"<>`{}', "http://h/%22%3C%3E%60%7B%7D"),
