@@ -115,8 +115,11 @@ class TokenState:
 
     A running stream resumes from its checkpoint; this table tells where a batch run would go on.
     Rows are only ever added; the last writing of a resource counts, whatever its stream and batch.
+    Under the batch BEGIN a stream keeps the token it began from, which is no result of a batch.
     """
 
+    BEGIN = -1
+
     _ROW = "entry bigint, stream string, batch bigint, resource string, next_token bigint"
 
     def __init__(self, spark: SparkSession, path: str):
@@ -141,10 +144,20 @@ class TokenState:
 
     def read(self) -> DataFrame:
         """The newest token per resource."""
-        return self._history().groupBy("resource").agg(F.max_by("next_token", "entry").alias("next_token"))
+        return self._history().where(F.col("batch") > self.BEGIN).groupBy("resource").agg(F.max_by("next_token", "entry").alias("next_token"))
 
     def read_before(self, resource: str, stream: str, batch_id: int) -> int | None:
         """The resource's newest token, those that ``stream`` wrote from ``batch_id`` on left out."""
         own = (F.col("stream") == stream) & (F.col("batch") >= batch_id)
-        rows = self._history().where((F.col("resource") == resource) & ~own)
+        rows = self._history().where((F.col("resource") == resource) & ~own & (F.col("batch") > self.BEGIN))
         return rows.agg(F.max_by("next_token", "entry")).first()[0]
+
+    def begin(self, resource: str, stream: str, token: int) -> int:
+        """The token that ``stream`` began the resource from: the one kept, or else ``token``, which is kept from now on."""
+        kept = self._history().where((F.col("resource") == resource) & (F.col("stream") == stream) & (F.col("batch") == self.BEGIN))
+        found = kept.agg(F.min_by("next_token", "entry")).first()[0]
+        if found is not None:
+            return found
+        row = self.spark.createDataFrame([(resource, token)], "resource string, next_token bigint")
+        self.write(row, self.BEGIN, stream)
+        return token

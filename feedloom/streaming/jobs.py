@@ -18,6 +18,7 @@ from ..operators.webhooks import normalize_webhooks
 from ..schemas import DELIVERY, DRIVE_CHANGE, PUSH_EVENT
 from ..session import Staging
 from ..sinks.corpus import TokenState, stream_id
+from ..sources import drive_feed
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -84,34 +85,96 @@ def run_drive(
     tokens: TokenState | None = None,
     start_token: int | None = None,
     next_token: int | None = None,
+    feed: DataFrame | None = None,
     run_ts: Column | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Records of each batch of drive changes; the next token is written after the records.
 
-    The stream goes on from ``effective_token`` of the folder's two tokens. With neither, and with
-    no token of the folder in ``tokens``, its first run is the handshake: the first batch gives no
-    records, only the token behind it, and what follows is a delta. A batch that is repeated finds
-    the tokens of the batches before it only, so it takes the same way again.
+    The stream goes on from ``effective_token`` of the folder's two tokens, the start token first. With
+    neither it goes on from the folder's token in ``tokens``, and without one its first run is the
+    handshake: nothing that is there by then gives records. The token a stream began from holds for all
+    its batches, also those that are repeated or come after a restart.
+
+    At the handshake ``feed``, the same changes as a table, tells how far the backlog goes. Without it
+    the first batch counts as the backlog. :func:`run_drive_feed` needs neither.
     """
 
     def batch_job(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = stream_id(spark, checkpoint)
         staging = Staging(spark, "drive")
-        token = first_token(spark, batch_id, own)
-        if token is not None:
-            write(drive_delta(batch, content, folder_id, token, run_ts=run_ts, staging=staging), batch_id)
+        batch = staging.write(batch, "batch")
+        token = first_token(batch, batch_id, own)
+        write(drive_delta(batch, content, folder_id, token, run_ts=run_ts, staging=staging), batch_id)
         if tokens is not None:
             newest = batch.agg((F.max("seq") + 1).alias("next_token")).where("next_token is not null")
-            tokens.write(newest.select(F.lit(folder_id).alias("resource"), "next_token"), batch_id, own)
+            tokens.write(newest.select(F.lit(folder_id).alias("resource"), F.greatest("next_token", F.lit(token)).alias("next_token")), batch_id, own)
         staging.remove()
 
-    def first_token(spark: SparkSession, batch_id: int, own: str) -> int | None:
-        given = next_token if next_token is not None else start_token
-        if given is not None or batch_id > 0:
-            return given or 0
-        held = None if tokens is None else tokens.read_before(folder_id, own, batch_id)
-        return held
+    def first_token(batch: DataFrame, batch_id: int, own: str) -> int:
+        given = start_token if start_token is not None else next_token
+        if given is not None:
+            return given
+        if tokens is None:
+            raise ValueError("a stream without a token needs a table of tokens to keep its first one")
+        held = tokens.read_before(folder_id, own, 0) if batch_id == 0 else None
+        if held is None and batch_id == 0:
+            backlog = feed if feed is not None else batch
+            held = backlog.agg(F.coalesce(F.max("seq") + 1, F.lit(0))).first()[0]
+        return tokens.begin(folder_id, own, held or 0)
 
     return start(stream, checkpoint, batch_job, available_now=available_now)
+
+
+def run_drive_feed(
+    spark: SparkSession,
+    path: str,
+    content: DataFrame,
+    folder_id: str,
+    checkpoint: str,
+    write: Writer,
+    *,
+    tokens: TokenState | None = None,
+    start_token: int | None = None,
+    next_token: int | None = None,
+    max_per_batch: int | None = None,
+    run_ts: Column | None = None,
+) -> int:
+    """Drain the kept feed at ``path`` (see ``sources.drive_feed``) and return the token behind what was read.
+
+    The offsets of the stream are the feed's tokens. A new stream begins at the start token, else the next
+    token, else the folder's token in ``tokens``, else behind the newest change: the handshake, which
+    is kept in ``tokens``. Then and after a restart its checkpoint alone decides. A batch goes on by at
+    most ``max_per_batch`` positions.
+    """
+    drive_feed.register(spark)
+    resume = drive_feed.checkpoint_token(spark, checkpoint)
+    token = start_token if start_token is not None else next_token
+    if resume is None and token is None:
+        if tokens is None:
+            raise ValueError("a stream without a token needs a table of tokens to keep its first one")
+        token = tokens.read_before(folder_id, "", 0)
+        if token is None:
+            token = drive_feed.end_of(path)
+            row = spark.createDataFrame([(folder_id, token)], "resource string, next_token bigint")
+            tokens.write(row, 0, "handshake")
+
+    def batch_job(batch: DataFrame, batch_id: int) -> None:
+        staging = Staging(batch.sparkSession, "drive")
+        batch = staging.write(batch, "batch")
+        write(drive_delta(batch, content, folder_id, F.col("seq"), run_ts=run_ts, staging=staging), batch_id)
+        if tokens is not None:
+            newest = batch.agg((F.max("seq") + 1).alias("next_token")).where("next_token is not null")
+            tokens.write(newest.select(F.lit(folder_id).alias("resource"), "next_token"), batch_id, stream_id(spark, checkpoint))
+        staging.remove()
+
+    options = {"token": token, "resume": resume, "max_per_batch": max_per_batch}
+    stream = spark.readStream.format("drive_feed").options(**{k: str(v) for k, v in options.items() if v is not None}).load(path)
+    query = start(stream, checkpoint, batch_job, available_now=False)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    reached = drive_feed.checkpoint_token(spark, checkpoint)
+    return token if reached is None else reached

@@ -423,3 +423,7 @@ WHERE p.url IS NULL OR l.url IS NULL OR sha256(p.html) <> sha256(l.body)""",
 
 # The same addresses from a clustered snapshot.
 ORACLES["bucketed_fetch"] = ORACLES["web_fetch"]
+# The feed from its token on, by the tokens of three streams; half of it was there at the handshake.
+ORACLES["drive_feed_stream"] = " UNION ALL ".join(
+    f"SELECT '{run}' AS run, * FROM ({ORACLES['drive_delta']}) WHERE seq >= {token}" for run, token in (("backlog", 100), ("held", 250), ("handshake", 500))
+)

@@ -12,7 +12,9 @@ from feedloom.operators import changes, drive, git, records, sitemaps, tasks, we
 from feedloom.plans.runs import run_tasks
 from feedloom.session import Staging
 from feedloom.sinks.clustered import Clustered
-from feedloom.sinks.corpus import Corpus
+from feedloom.sinks.corpus import Corpus, TokenState
+from feedloom.sources import drive_feed
+from feedloom.streaming import jobs
 
 from . import inputs
 
@@ -194,6 +196,34 @@ def drive_delta(spark, sf_dir) -> DataFrame:
     )
 
 
+def drive_feed_stream(spark, sf_dir) -> DataFrame:
+    """A kept feed drained by streams: a backlog in small batches with a restart, a held token, and a handshake."""
+    staging = Staging(spark, "feed")
+    changes, content = inputs.drive_changes(spark, sf_dir), inputs.drive_content(spark, sf_dir)
+    feed, half = f"{staging.path}/feed", drive_feed.append(changes.where(F.col("seq") < 500), f"{staging.path}/feed")
+    held = TokenState(spark, f"{staging.path}/held")
+    held.write(spark.createDataFrame([(FOLDER, 250)], "resource string, next_token bigint"), 0)
+    runs = {
+        "backlog": {"start_token": 100, "next_token": 400, "max_per_batch": max(half // 4, 50)},
+        "held": {"tokens": held},
+        "handshake": {"tokens": TokenState(spark, f"{staging.path}/new")},
+    }
+
+    def drain(run: str, options: dict) -> None:
+        place = f"{staging.path}/records/run={run}"
+        write = lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{place}/batch={batch_id}")
+        jobs.run_drive_feed(spark, feed, content, FOLDER, f"{staging.path}/check-{run}", write, **options)
+
+    for run, options in runs.items():
+        drain(run, options)
+    drive_feed.append(changes.where(F.col("seq") >= 500), feed)
+    # Going on by a quarter of the feed at a time.
+    runs["backlog"]["max_per_batch"] = max(drive_feed.end_of(feed) // 4, 50)
+    for run, options in runs.items():
+        drain(run, options)
+    return _drive_columns(spark.read.parquet(f"{staging.path}/records"), "run", "seq")
+
+
 def drive_next_token(spark, sf_dir) -> DataFrame:
     rows = [("first", None, None), ("begin", "0", "7"), ("middle", "", "500"), ("beyond", str(10**12), None)]
     tokens = spark.createDataFrame(rows, "task_id string, start_token string, next_token string")
@@ -308,6 +338,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         drive_scan_counts,
         drive_resume,
         drive_delta,
+        drive_feed_stream,
         drive_next_token,
         drive_change_pages,
         drive_content_plan,

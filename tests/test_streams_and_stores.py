@@ -10,7 +10,7 @@ from feedloom.operators import drive, git, webhooks
 from feedloom.schemas import DRIVE_CHANGE
 from feedloom.sinks import destinations
 from feedloom.sinks.corpus import Corpus, TokenState
-from feedloom.sources import repo_tree, tables
+from feedloom.sources import drive_feed, repo_tree, tables
 from feedloom.streaming import jobs
 from querybook import inputs
 
@@ -105,7 +105,7 @@ def test_first_drive_run_is_a_handshake(spark, data, tmp_path):
 
     changes.where(F.col("seq") < half).coalesce(1).write.json(str(tmp_path / "in"))
     run("one")
-    assert not (tmp_path / "out").exists() and [r.next_token for r in tokens.read().collect()] == [half]
+    assert kept.read().count() == 0 and [r.next_token for r in tokens.read().collect()] == [half]
     changes.where(F.col("seq") >= half).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
     run("one")
     assert texts(kept.read(), "batch") == texts(drive.drive_delta(changes, content, "shared", half))
@@ -235,3 +235,88 @@ def test_a_repeated_batch_is_once_in_the_table(spark):
         assert sorted(map(tuple, found)) == [("a", 0, 2), ("a", 1, 2), ("b", 0, 2)]
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def drive_run(spark, path, content, check, kept, **options):
+    jobs.run_drive(jobs.drive_changes(spark, str(path), files_per_batch=1), content, "shared", str(check), kept, **options).awaitTermination()
+
+
+def put(df, path, low, high):
+    df.where((F.col("seq") >= low) & (F.col("seq") < high)).coalesce(1).write.mode("append").json(str(path))
+
+
+def seqs(kept):
+    return sorted(r.seq for r in kept.read().select("seq").collect())
+
+
+def test_the_start_token_goes_before_the_next_one(spark, data, tmp_path):
+    content, changes = inputs.drive_content(spark, data), inputs.drive_changes(spark, data).cache()
+    put(changes, tmp_path / "in", 0, 1000)
+    for n, (begin, following, token) in enumerate([(50, 400, 50), (400, 50, 400), (None, 300, 300), (0, 900, 0)]):
+        kept = Kept(spark, tmp_path / f"out{n}")
+        drive_run(spark, tmp_path / "in", content, tmp_path / f"c{n}", kept, start_token=begin, next_token=following)
+        assert seqs(kept) == sorted(r.seq for r in drive.drive_delta(changes, content, "shared", token).collect())
+
+
+def test_a_held_token_holds_for_all_batches(spark, data, tmp_path):
+    content, changes = inputs.drive_content(spark, data), inputs.drive_changes(spark, data).cache()
+    tokens, kept = TokenState(spark, str(tmp_path / "t")), Kept(spark, tmp_path / "out")
+    tokens.write(spark.createDataFrame([("shared", 600)], "resource string, next_token long"), 0, "before")
+    # The newest file is read first: old changes come in the second batch.
+    put(changes, tmp_path / "in", 500, 1000)
+    drive_run(spark, tmp_path / "in", content, tmp_path / "c", kept, tokens=tokens)
+    put(changes, tmp_path / "in", 0, 500)
+    drive_run(spark, tmp_path / "in", content, tmp_path / "c", kept, tokens=tokens)
+    assert seqs(kept) == sorted(r.seq for r in drive.drive_delta(changes, content, "shared", 600).collect())
+    assert [tuple(r) for r in tokens.read().collect()] in ([("shared", 600)], [("shared", 1000)])
+
+
+def test_a_handshake_over_a_backlog_of_several_batches(spark, data, tmp_path):
+    content, changes = inputs.drive_content(spark, data), inputs.drive_changes(spark, data).cache()
+    tokens, kept = TokenState(spark, str(tmp_path / "t")), Kept(spark, tmp_path / "out")
+    put(changes, tmp_path / "in", 0, 300)
+    put(changes, tmp_path / "in", 300, 600)
+    feed = spark.read.schema(DRIVE_CHANGE).json(str(tmp_path / "in"))
+    drive_run(spark, tmp_path / "in", content, tmp_path / "c", kept, tokens=tokens, feed=feed)
+    assert seqs(kept) == [] and kept.read().select("batch").distinct().count() <= 2
+    put(changes, tmp_path / "in", 600, 1000)
+    drive_run(spark, tmp_path / "in", content, tmp_path / "c", kept, tokens=tokens, feed=feed)
+    assert seqs(kept) == sorted(r.seq for r in drive.drive_delta(changes, content, "shared", 600).collect())
+    with pytest.raises(Exception):  # noqa: B017
+        drive_run(spark, tmp_path / "in", content, tmp_path / "c2", kept)
+
+
+def test_a_kept_feed_is_a_source(spark, data, tmp_path):
+    content, changes = inputs.drive_content(spark, data), inputs.drive_changes(spark, data).cache()
+    feed, tokens, kept = str(tmp_path / "feed"), TokenState(spark, str(tmp_path / "t")), Kept(spark, tmp_path / "out")
+    sizes = []
+
+    def keep(batch, batch_id):
+        sizes.append(batch.count())
+        kept(batch, batch_id)
+
+    def drain(check="c", write=keep, **options):
+        return jobs.run_drive_feed(spark, feed, content, "shared", str(tmp_path / check), write, **options)
+
+    assert drain(tokens=tokens) == 0  # nothing there yet: the handshake
+    sizes.clear()
+    assert drive_feed.append(changes.where("seq < 400"), feed) == 400
+    assert drain(tokens=tokens, max_per_batch=150) == 400 and len(sizes) == 3
+    assert drain(tokens=tokens) == 400 and len(sizes) == 3
+    (tmp_path / "feed" / "segment=00000000000000000900-00000000000000001000").mkdir()  # a segment that is being written
+    assert drive_feed.append(changes.where("seq >= 400 and seq < 900"), feed) == 900
+    assert drain(tokens=tokens, max_per_batch=400, start_token=3) == 900 and len(sizes) == 5  # the checkpoint decides
+    assert seqs(kept) == sorted(r.seq for r in drive.drive_delta(changes.where("seq < 900"), content, "shared", 0).collect())
+    assert [tuple(r) for r in tokens.read().collect()] == [("shared", 900)]
+    other = Kept(spark, tmp_path / "other")
+    assert drain("c2", other, start_token=850, next_token=10) == 900
+    assert seqs(other) == sorted(r.seq for r in drive.drive_delta(changes.where("seq < 900"), content, "shared", 850).collect())
+    with pytest.raises(ValueError):
+        drain("c3")
+    columns = ["seq", "fileId", "removed"]
+    stream = spark.readStream.format("drive_feed").option("token", "0").load(feed)
+    query = stream.writeStream.format("memory").queryName("feed_rows").start()
+    query.processAllAvailable()
+    query.stop()
+    assert texts(spark.table("feed_rows").select(*columns)) == texts(changes.where("seq < 900").select(*columns))
+    assert spark.table("feed_rows").where("file is not null and file.parents is not null").count() > 0
