@@ -427,3 +427,8 @@ ORACLES["bucketed_fetch"] = ORACLES["web_fetch"]
 ORACLES["drive_feed_stream"] = " UNION ALL ".join(
     f"SELECT '{run}' AS run, * FROM ({ORACLES['drive_delta']}) WHERE seq >= {token}" for run, token in (("backlog", 100), ("held", 250), ("handshake", 500))
 )
+# The last change of each file, of those that are there.
+ORACLES["corpus_levels"] = f"""
+WITH {_CHANGES}, {_delta('n % 37 <> 0', 0)},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM delta WHERE NOT failed)
+SELECT 'drive:' || id AS entity_key, seq AS last_op_seq, 200 AS status_code FROM ranked WHERE rn = 1 AND action = 'live'"""

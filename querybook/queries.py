@@ -311,6 +311,18 @@ def corpus_streams(spark, sf_dir) -> DataFrame:
     return corpus.read().select("entity_key", F.col("seq").alias("last_op_seq"), "change_op")
 
 
+def corpus_levels(spark, sf_dir) -> DataFrame:
+    """Drive changes in ten batches, out of order and one of them twice: segments merged by threes, read from the newest manifest."""
+    staging = Staging(spark, "levels")
+    corpus = Corpus(spark, f"{staging.path}/corpus", fan=3)
+    content = inputs.drive_content(spark, sf_dir)
+    changes = staging.write(inputs.drive_changes(spark, sf_dir), "changes")
+    for batch in (4, 1, 0, 9, 2, 2, 3, 8, 7, 5, 6):
+        own = changes.where(F.col("seq") % 10 == batch)
+        corpus.apply(drive.drive_delta(own, content, "shared", 0, staging=Staging(spark, "changes")), batch, "drive")
+    return corpus.read().select("entity_key", F.col("seq").alias("last_op_seq"), "status_code")
+
+
 def poll_diff(spark, sf_dir) -> DataFrame:
     before = inputs.html_pages(spark, sf_dir).select("url", "body")
     return changes.poll_diff(before, inputs.later_pages(spark, sf_dir))
@@ -351,6 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         run_summary,
         task_runs,
         corpus_streams,
+        corpus_levels,
         poll_diff,
     )
 }

@@ -148,10 +148,64 @@ def test_streams_share_a_corpus(spark, tmp_path):
     assert corpus.compact() == 1 and state(corpus) == {"git:a": "9", "drive:b": "2", "git:n": "n"}
 
 
+def test_segments_merge_by_levels(spark, tmp_path):
+    corpus, want = Corpus(spark, str(tmp_path / "c"), fan=3), {}
+    for n in range(13):
+        ops = [(10 * n, f"k{n}", "UPSERT", str(n)), (10 * n + 1, f"k{n // 2}", "UPSERT", f"again {n}"), (10 * n + 2, f"k{n - 3}", "DELETE", "")]
+        corpus.apply(rows(spark, *ops), n, "even" if n % 2 == 0 else "odd")
+        for _, key, op, text in ops:
+            want.pop(key, None) if op == "DELETE" else want.update({key: text})
+        assert state(corpus) == want
+    segments = corpus.state()["segments"]
+    assert sorted(s["level"] for s in segments) == [0, 1, 2] and len(corpus.state()["contains"]) == 0
+    top = max(segments, key=lambda s: s["level"])
+    assert top["batches"] == {"even": [[0, 0], [2, 2], [4, 4], [6, 6], [8, 8]], "odd": [[1, 1], [3, 3], [5, 5], [7, 7]]}
+    corpus.apply(rows(spark, (999, "x", "UPSERT", "x")), 2, "even")  # merged long ago: known
+    assert state(corpus) == want
+    with pytest.raises(ValueError):
+        corpus.read({"even": 4})
+    assert corpus.compact() == 0 and corpus.state()["segments"] == [] and state(corpus) == want
+    assert corpus.clean() == 0
+    corpus.KEPT = 1
+    corpus.apply(rows(spark, (1000, "y", "UPSERT", "y")), 50, "even")
+    assert corpus.clean() > 5 and state(corpus) == {**want, "y": "y"}
+
+
+def test_ten_thousand_batches_are_in_few_folders():
+    from feedloom.sinks.corpus import due_merge, merged_ranges
+
+    segments, written = [], 0
+    for n in range(10_000):
+        segments.append({"level": 0, "batches": {"s": [[n, n]]}})
+        while group := due_merge(segments, 8):
+            written += sum(high - low + 1 for s in group for low, high in s["batches"]["s"])
+            whole = merged_ranges(r for s in group for r in s["batches"]["s"])
+            segments = [s for s in segments if s not in group] + [{"level": group[0]["level"] + 1, "batches": {"s": whole}}]
+        assert len(segments) <= 7 * 5
+    assert len(json.dumps(segments)) < 3000 and written < 10_000 * 5
+    assert merged_ranges([r for s in segments for r in s["batches"]["s"]]) == [[0, 9999]]
+
+
+def test_a_rival_commit_is_not_overwritten(spark, tmp_path):
+    one, two = (Corpus(spark, str(tmp_path / "c")) for _ in range(2))
+    one.apply(rows(spark, (1, "a", "UPSERT", "1")), 0, "one")
+    tries = []
+
+    def change(manifest):
+        tries.append(len(manifest["segments"]))
+        if len(tries) == 1:  # another writer commits between reading and renaming
+            two.apply(rows(spark, (2, "b", "UPSERT", "2")), 0, "two")
+        return {**manifest, "segments": [s for s in manifest["segments"] if "one" not in s["batches"]]}
+
+    assert one._commit(change) and tries == [1, 2]
+    assert state(two) == {"b": "2"}
+    assert not list((tmp_path / "c" / "manifests").glob("draft*"))
+
+
 def test_a_damaged_corpus_is_not_an_empty_one(spark, tmp_path):
     corpus = Corpus(spark, str(tmp_path / "c"))
     corpus.apply(rows(spark, (1, "a", "UPSERT", "1")), 0)
-    for file in (tmp_path / "c" / "batches").glob("*/*.parquet"):
+    for file in (tmp_path / "c" / "segments").glob("*/*.parquet"):
         file.write_bytes(b"no parquet")
     with pytest.raises(Exception):  # noqa: B017
         corpus.read().collect()
