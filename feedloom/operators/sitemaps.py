@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import is_sitemap_index, robots_sitemap, sitemap_locs
 from ..functions.urls import normalize_url, resolve_url, url_allowed, url_host, url_scheme
-from ..plans.lookup import lookup, lookup_staged
+from ..plans.lookup import first_per_key, lookup, lookup_staged
 from ..session import Staging
 from .web import crawl
 
@@ -51,7 +51,7 @@ def sitemap_urls(
 ) -> DataFrame:
     """``(task_id, sitemap_url, loc, allowed)`` for every entry under ``starts(task_id, sitemap_url)``.
 
-    Indexes are followed until no new sitemap turns up; an index may name itself or another one
+    Only sitemaps that a start leads to are parsed. Indexes are followed until no new sitemap turns up; an index may name itself or another one
     above it. Sitemap addresses are compared, and given, in normal form; entries are given as they
     are written. Sitemaps missing from the table, or not sitemaps at all, give nothing. Filters are
     lists, or array Columns over columns of ``starts``; relative entries are tested against
@@ -60,22 +60,32 @@ def sitemap_urls(
     spark = starts.sparkSession
     staging = staging or Staging(spark, "sitemaps")
     rules = [c for c in starts.columns if c not in ("task_id", "sitemap_url")]
-    # A sitemap held several times counts once, as its greatest body.
-    bodies = sitemaps.groupBy(normalize_url(F.col("url")).alias("sitemap_url")).agg(F.max("body").alias("body"))
-    parsed = staging.write(
-        bodies.select(
-            "sitemap_url", is_sitemap_index(F.col("body")).alias("is_index"), sitemap_locs(F.col("body")).alias("locs")
-        ).where(F.size("locs") > 0),
-        "parsed",
-    )
-    indexes = parsed.where("is_index").select("sitemap_url", "locs")
+    keyed = sitemaps.select(normalize_url(F.col("url")).alias("sitemap_url"), "body")
     key = ["task_id", "sitemap_url"]
 
     first = starts.withColumn("sitemap_url", normalize_url(F.col("sitemap_url"))).dropDuplicates(key)
     frontier = staging.write(first.select(*key, *rules), "reached/round=0")
-    reached, turn = frontier, 0
-    while not frontier.isEmpty():
+    reached, turn, searched = frontier, 0, None
+    while True:
+        # Of the sitemaps, those that this round reaches first are read and parsed, once for all tasks.
+        fresh = frontier.select("sitemap_url").distinct()
+        if searched is not None:
+            fresh = fresh.join(searched, "sitemap_url", "left_anti")
+        fresh = staging.write(fresh, f"searched/round={turn}")
+        # A sitemap held several times counts once, as its greatest body.
+        bodies = first_per_key(keyed.join(fresh, "sitemap_url", "left_semi"), ["sitemap_url"], [F.desc("body")])
+        found = staging.write(
+            bodies.select(
+                "sitemap_url", is_sitemap_index(F.col("body")).alias("is_index"), sitemap_locs(F.col("body")).alias("locs")
+            ).where(F.size("locs") > 0),
+            f"parsed/round={turn}",
+        )
+        searched = spark.read.schema(fresh.schema).parquet(f"{staging.path}/searched").select("sitemap_url")
+        parsed = spark.read.schema(found.schema).parquet(f"{staging.path}/parsed").select(*found.columns)
+        if frontier.isEmpty():
+            break
         turn += 1
+        indexes = parsed.where("is_index").select("sitemap_url", "locs")
         # The rules of a task ride along with its sitemaps: every row of a task has the same ones.
         nested = (
             lookup_staged(frontier, indexes, ["sitemap_url"])

@@ -14,6 +14,7 @@ from ..operators import drive, git, records, sitemaps
 from ..operators.tasks import GIT_DEFAULTS, RUN_MESSAGES, parse_tasks, validate_tasks, web_tasks, well_formed
 from ..session import Staging
 from ..sinks.destinations import write_once
+from ..sinks.outbox import Outbox
 
 Inputs = Mapping[str, DataFrame]
 Ran = tuple[DataFrame, DataFrame]  # records, and the (task_id, problem) of tasks that could not run
@@ -132,7 +133,7 @@ def run_tasks(
     All tasks of a plugin run as one job. The optional ``transform(records, **transform_params)`` is
     applied before anything is written. The records are written down once; the status counts what
     was written, and tasks with a ``destination`` (plugin type and JSON configuration) have theirs
-    written there too, one job for each destination. A task whose plugin has no input, or whose
+    written there too: all into outboxes by one job for each outbox, others by one for each destination. A task whose plugin has no input, or whose
     repository or folder is not there, fails.
     """
     if "enabled" in tasks.columns:
@@ -167,30 +168,30 @@ def run_tasks(
     failed = problems[0]
     for more in problems[1:]:
         failed = failed.unionByName(more)
-    counted = records.run_summary(found).drop("success", "code")
     said = {name: plugin.message for name, plugin in _PLUGINS.items()}
     code = F.when(F.col("problem").isNotNull(), 500).otherwise(F.col("code"))
-    status = (
-        checks.join(failed.groupBy("task_id").agg(F.min("problem").alias("problem")), "task_id", "left")
-        .join(counted, "task_id", "left")
-        .select(
-            "task_id",
-            "plugin_type",
-            (code == 200).alias("success"),
-            code.alias("code"),
-            F.coalesce("message", "problem", mapped(F.col("plugin_type"), said)).alias("message"),
-            F.coalesce("crawled_count", F.lit(0).cast("bigint")).alias("crawled_count"),
-            F.coalesce("error_count", F.lit(0).cast("bigint")).alias("error_count"),
-        )
+    outcomes = checks.join(failed.groupBy("task_id").agg(F.min("problem").alias("problem")), "task_id", "left").select(
+        "task_id", "plugin_type", code.alias("code"), F.coalesce("message", "problem", mapped(F.col("plugin_type"), said)).alias("message")
     )
-    return found, status
+    status = records.run_summary(found, outcomes)
+    return found, status.select("task_id", "plugin_type", "success", "code", "message", "crawled_count", "error_count")
 
 
 def _deliver(found: DataFrame, tasks: DataFrame) -> None:
-    """Write the records of tasks with a destination there; tasks that share one are written together."""
+    """Write the records of tasks with a destination there; tasks that share one are written together.
+
+    Destinations of the type ``outbox`` name a ``path`` and their own ``name`` in it; all that share a path
+    are written in one pass over the records.
+    """
     if "destination" not in tasks.columns:
         return
     chosen = tasks.where(F.col("destination")["pluginType"].isNotNull()).select("task_id", "destination.*")
+    posted = F.lower("pluginType") == "outbox"
+    place = F.from_json("config", "path string, name string")
+    routes = chosen.where(posted).select("task_id", place["path"].alias("path"), place["name"].alias("destination"))
+    for box in routes.select("path").distinct().collect():
+        Outbox(found.sparkSession, box.path).deliver(found, routes.where(F.col("path") == box.path))
+    chosen = chosen.where(~posted)
     for target in chosen.select("pluginType", "config").distinct().collect():
         same = F.col("pluginType").eqNullSafe(target.pluginType) & F.col("config").eqNullSafe(target.config)
         write_once(found.join(chosen.where(same), "task_id", "left_semi"), target.pluginType, json.loads(target.config or "{}"))

@@ -46,23 +46,17 @@ def _files(config: Mapping[str, str]) -> Writer:
 
 
 def _table(config: Mapping[str, str]) -> Writer:
-    """A table with the columns stream and batch added; a repeated batch replaces its partition."""
+    """A table with the columns stream and batch added, made by the first batch; a repeated batch replaces its partition."""
     table, stream = config["table"], config.get("stream", "default")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumns({"stream": F.lit(stream), "batch": F.lit(batch_id).cast("bigint")})
         spark = batch.sparkSession
         if not spark.catalog.tableExists(table):
-            rows.write.partitionBy("stream", "batch").saveAsTable(table)
+            # Kept with the table: an overwrite replaces only the partitions that rows go to.
+            rows.write.option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch").saveAsTable(table)
             return
-        # Only the partitions that rows go to are overwritten.
-        setting = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(setting)
-        spark.conf.set(setting, "dynamic")
-        try:
-            rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-        finally:
-            spark.conf.set(setting, before)
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
     return write
 

@@ -70,6 +70,16 @@ def raw_pages(spark, sf_dir) -> DataFrame:
     )
 
 
+def odd_addresses(spark, sf_dir) -> DataFrame:
+    """For each page an address that no crawl may request: other schemes, no valid host, no scheme."""
+    n = F.col("page_id")
+    kinds = ["mailto:a@example.com/en/", "ftp://example.com/en/x", "http://no host.example.com/en/x", "http://example.com:99999/en/x", "example.com/en/x", "javascript:void(0)"]
+    url = F.lit(kinds[0])
+    for i, kind in enumerate(kinds[1:], 1):
+        url = F.when(n % len(kinds) == i, kind).otherwise(url)
+    return table(spark, sf_dir, "pages").select("page_id", url.alias("url"))
+
+
 def html_pages(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "pages").select(
         "page_id", "url", F.lit("text/html").alias("content_type"), F.col("html").alias("body")
@@ -548,3 +558,36 @@ def later_pages(spark, sf_dir) -> DataFrame:
         F.when(n % 11 == 0, F.concat(F.lit("https://moved.example.com/"), n.cast("string"))).otherwise(F.col("url")).alias("url"),
         F.when(n % 7 == 0, F.concat(F.col("html"), F.lit("<!-- edited -->"))).otherwise(F.col("html")).alias("body"),
     )
+
+
+def summary_tasks(spark) -> DataFrame:
+    """Definitions behind the records of all sources: five that can run, two that cannot."""
+    key = r'"serviceAccountKey": "{\"client_email\": \"a@b.c\", \"private_key\": \"k\"}"'
+    start, repo = f'{{"startUrl": "{SEED}"}}', '{"repoUrl": "https://github.com/org/r1"}'
+    rows = [("web-1", "http-crawler", start), ("web-2", "http-crawler", start), ("git-1", "git", repo), ("drive-1", "gdrive-crawler", f'{{"folderId": "fold1", {key}}}'),
+            ("idle-1", "git", repo), ("lost-1", "http-crawler", "{}"), ("lost-2", "no-such-crawler", "{}")]
+    return spark.createDataFrame(rows, "task_id string, plugin_type string, config string")
+
+
+def tree_path() -> Column:
+    """Where a document lies in the tree: folders by language and source, some hidden, some names with an underscore."""
+    n = F.col("doc_id")
+    name = F.concat(F.when(n % 20 == 0, ".d").when(n % 29 == 0, "_d").otherwise("d"), n.cast("string"), F.lit(".txt"))
+    return F.concat_ws("/", F.coalesce("lang", F.lit("und")), F.when(n % 23 == 0, ".git").otherwise(F.concat(F.lit("part "), (n % 7).cast("string"))), name)
+
+
+def write_tree(spark, sf_dir, root: str) -> None:
+    """A file for each document below ``root``, written by tasks."""
+
+    def write(batches):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for path, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                store.create_dir(f"{base}/{path.rpartition('/')[0]}", recursive=True)
+                with store.open_output_stream(f"{base}/{path}") as out:
+                    out.write((text or "").encode())
+        yield from ()
+
+    table(spark, sf_dir, "documents").select(tree_path().alias("path"), "text").mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()

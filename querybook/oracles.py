@@ -208,6 +208,8 @@ SELECT page_id, CASE WHEN page_id % 32 = 8 THEN 'http://127.0.0.1/' || page_id W
 FROM pages""",
     "url_filter": f"""
 WITH {_LINKS},
+odd AS (SELECT page_id, ['mailto:a@example.com/en/', 'ftp://example.com/en/x', 'http://no host.example.com/en/x', 'http://example.com:99999/en/x',
+                         'example.com/en/x', 'javascript:void(0)'][page_id % 6 + 1] AS url FROM pages),
 candidates AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, link_url FROM links),
 parts AS (SELECT page_id, url, regexp_extract(url, '//([^/]*)', 1) AS host,
                  regexp_extract(url, '//[^/]*(/[^?#]*)', 1) AS path FROM candidates)
@@ -215,7 +217,8 @@ SELECT page_id, url,
        (ends_with(host, 'example.com') OR ends_with(host, 'le.org'))
        AND (starts_with(path, '/en/') OR starts_with(path, '/fr/') OR starts_with(path, '/d') OR starts_with(path, '/The'))
        AND NOT (starts_with(path, '/en/1') OR starts_with(path, '/de/2')) AS allowed
-FROM parts""",
+FROM parts
+UNION ALL SELECT page_id, url, false FROM odd""",
     "extract_links": f"WITH {_LINKS} SELECT page_id, link_url FROM links",
     "web_fetch": f"""
 WITH {_LINKS},
@@ -360,7 +363,8 @@ SELECT source, id, url, status_code, change_type, change_op, entity_key FROM uni
     "run_summary": f"""
 WITH {_VISIBLE_FILES}, {_UNIFIED}
 SELECT task_id, count(*) AS crawled_count, count(*) FILTER (status_code >= 400) AS error_count, true AS success, 200 AS code
-FROM unified GROUP BY task_id""",
+FROM unified GROUP BY task_id
+UNION ALL SELECT 'idle-1', 0, 0, true, 200 UNION ALL SELECT 'lost-1', 0, 0, false, 400 UNION ALL SELECT 'lost-2', 0, 0, false, 400""",
     "task_runs": f"""
 WITH {_PUSHES}, {_CHANGES.replace(_DOCS + ",", "", 1).strip()}, {_delta('n % 4 = 1 AND n % 37 <> 0', 100)}, {_VISIBLE_FILES},
 pushed AS (
@@ -432,3 +436,13 @@ ORACLES["corpus_levels"] = f"""
 WITH {_CHANGES}, {_delta('n % 37 <> 0', 0)},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM delta WHERE NOT failed)
 SELECT 'drive:' || id AS entity_key, seq AS last_op_seq, 200 AS status_code FROM ranked WHERE rn = 1 AND action = 'live'"""
+# Records by the tasks they are numbered to; tasks with number 12 have no destination.
+ORACLES["delivered_records"] = f"""
+WITH {_VISIBLE_FILES}, {_UNIFIED},
+numbered AS (SELECT *, length(id) % 13 AS number, CASE task_id WHEN 'web-1' THEN 0 WHEN 'web-2' THEN 1 WHEN 'git-1' THEN 2 ELSE 3 END AS i FROM unified)
+SELECT 'place ' || ((i * 13 + number) % 50) AS destination, CASE WHEN source = 'web' THEN 'first' ELSE 'second' END AS run, id, status_code, change_op
+FROM numbered WHERE number < 12"""
+ORACLES["tree_files"] = """
+SELECT 'https://github.com/org/tree-' || path AS id, 'https://github.com/org/tree/blob/main/' || path AS url, length(text) AS n_chars, sha256(text) AS content_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, 'und') || '/part ' || (doc_id % 7) || '/' || CASE WHEN doc_id % 29 = 0 THEN '_d' ELSE 'd' END || doc_id || '.txt' AS path
+      FROM documents WHERE doc_id % 20 <> 0 AND doc_id % 23 <> 0)"""

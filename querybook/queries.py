@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.urls import fetch_key, normalize_url, url_allowed
+from feedloom.functions.urls import fetch_key, normalize_url, parse_absolute, url_allowed
 from feedloom.operators import changes, drive, git, records, sitemaps, tasks, web, webhooks
 from feedloom.plans.runs import run_tasks
 from feedloom.session import Staging
 from feedloom.sinks.clustered import Clustered
 from feedloom.sinks.corpus import Corpus, TokenState
-from feedloom.sources import drive_feed
+from feedloom.sinks.outbox import Outbox
+from feedloom.sources import drive_feed, tree_listing
 from feedloom.streaming import jobs
 
 from . import inputs
@@ -39,8 +40,9 @@ def extract_links(spark, sf_dir) -> DataFrame:
 def url_filter(spark, sf_dir) -> DataFrame:
     own = inputs.html_pages(spark, sf_dir).select("page_id", normalize_url(F.col("url")).alias("url"))
     linked = extract_links(spark, sf_dir).select("page_id", F.col("link_url").alias("url"))
-    allowed = url_allowed(F.col("url"), allowed=ALLOWED, include=INCLUDE, exclude=EXCLUDE)
-    return own.unionByName(linked).select("page_id", "url", allowed.alias("allowed"))
+    # What is parsed decides: an address without http or without a valid host is never allowed.
+    allowed = url_allowed(parse_absolute(F.col("url")), allowed=ALLOWED, include=INCLUDE, exclude=EXCLUDE)
+    return own.unionByName(linked).unionByName(inputs.odd_addresses(spark, sf_dir)).select("page_id", "url", allowed.alias("allowed"))
 
 
 def web_fetch(spark, sf_dir) -> DataFrame:
@@ -277,7 +279,29 @@ def unified_records(spark, sf_dir) -> DataFrame:
 
 
 def run_summary(spark, sf_dir) -> DataFrame:
-    return records.run_summary(_all_records(spark, sf_dir))
+    """Outcomes of checked definitions, with what their records count up to; some cannot run, one finds nothing."""
+    outcomes = tasks.validate_tasks(inputs.summary_tasks(spark)).select("task_id", "code")
+    return records.run_summary(_all_records(spark, sf_dir), outcomes).select("task_id", "crawled_count", "error_count", "success", "code")
+
+
+def delivered_records(spark, sf_dir) -> DataFrame:
+    """What fifty destinations hold after two runs that were each written in one pass."""
+    staging = Staging(spark, "deliveries")
+    box = Outbox(spark, f"{staging.path}/outbox")
+    number = F.length("id") % 13
+    found = staging.write(_all_records(spark, sf_dir).withColumn("task_id", F.concat_ws("/", "task_id", number)), "records")
+    tasks_ = spark.createDataFrame([(f"{t}/{n}", f"place {(i * 13 + n) % 50}") for i, t in enumerate(("web-1", "web-2", "git-1", "drive-1")) for n in range(12)], "task_id string, destination string")
+    for run, kept in (("first", F.col("source") == "web"), ("second", F.col("source") != "web"), ("second", F.lit(True))):
+        box.deliver(found.where(kept), tasks_, run)
+    return box.read().select("destination", "run", "id", "status_code", "change_op")
+
+
+def tree_files(spark, sf_dir) -> DataFrame:
+    """A repository tree with a file for each document, listed and read by tasks, as a full scan gives it."""
+    staging = Staging(spark, "tree")
+    inputs.write_tree(spark, sf_dir, f"{staging.path}/checkout")
+    files = tree_listing.read_tree(spark, f"{staging.path}/checkout", staging, repo="https://github.com/org/tree", task_files=200)
+    return git.git_full_scan(files).select("id", "url", F.length("content_text").alias("n_chars"), _digest())
 
 
 def task_runs(spark, sf_dir) -> DataFrame:
@@ -361,6 +385,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         unified_records,
         apply_changes,
         run_summary,
+        delivered_records,
+        tree_files,
         task_runs,
         corpus_streams,
         corpus_levels,

@@ -79,8 +79,9 @@ def test_records_have_one_schema(spark):
     assert part.schema.simpleString() == empty.schema.simpleString()
     both = records.unify(part, part.withColumn("seq", F.lit(1)))
     assert both.count() == 4
-    summary = records.run_summary(both).first()
-    assert (summary.crawled_count, summary.error_count, summary.success, summary.code) == (4, 4, True, 200)
+    outcomes = spark.createDataFrame([("t", 200), ("u", 500), ("v", 200)], "task_id string, code int")
+    summary = {r.task_id: (r.crawled_count, r.error_count, r.success, r.code) for r in records.run_summary(both, outcomes).collect()}
+    assert summary == {"t": (4, 4, True, 200), "u": (0, 0, False, 500), "v": (0, 0, True, 200)}
     with pytest.raises(ValueError):
         records.to_records(part, status_code=F.lit(200), nonsense=F.lit(1))
 

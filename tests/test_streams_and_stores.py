@@ -10,7 +10,10 @@ from feedloom.operators import drive, git, webhooks
 from feedloom.schemas import DRIVE_CHANGE
 from feedloom.sinks import destinations
 from feedloom.sinks.corpus import Corpus, TokenState
-from feedloom.sources import drive_feed, repo_tree, tables
+from feedloom.plans.runs import run_tasks
+from feedloom.session import Staging
+from feedloom.sinks.outbox import Outbox
+from feedloom.sources import drive_feed, repo_tree, tables, tree_listing
 from feedloom.streaming import jobs
 from querybook import inputs
 
@@ -374,3 +377,45 @@ def test_a_kept_feed_is_a_source(spark, data, tmp_path):
     query.stop()
     assert texts(spark.table("feed_rows").select(*columns)) == texts(changes.where("seq < 900").select(*columns))
     assert spark.table("feed_rows").where("file is not null and file.parents is not null").count() > 0
+
+
+def test_an_outbox_is_written_once_a_run(spark, tmp_path):
+    records = spark.createDataFrame([("t1", "a"), ("t1", "b"), ("t2", "c"), ("t3", "d"), (None, "e")], "task_id string, id string")
+    routes = spark.createDataFrame([("t1", "x/../y"), ("t2", "x/../y"), ("t2", "z"), ("t2", "z"), ("t4", "idle"), (None, "n"), ("t3", None)], "task_id string, destination string")
+    box = Outbox(spark, str(tmp_path / "o"))
+    assert box.read() is None and box.commits().count() == 0
+    assert box.deliver(records, routes, "one") == "one" and box.deliver(records.limit(0), routes, "one") == "one"
+    (tmp_path / "o" / "records" / "run=failed" / "outbox=0").mkdir(parents=True)
+    records.withColumn("destination", F.lit("z")).write.parquet(str(tmp_path / "o" / "records" / "run=broken" / "outbox=0"))  # no commit: not seen
+    ids = lambda name: sorted(r.id for r in box.read(name).collect())
+    assert ids("x/../y") == ["a", "b", "c"] and ids("z") == ["c"] and ids("idle") == [] and ids("nowhere") == []
+    assert {tuple(r) for r in box.commits().collect()} == {("x/../y", "one", 3), ("z", "one", 1), ("idle", "one", 0)}
+    box.deliver(records, routes)
+    assert ids("z") == ["c", "c"]
+
+
+def test_tasks_deliver_into_an_outbox(spark, data, tmp_path):
+    definitions = inputs.run_definitions(spark, data).limit(8)
+    box = F.concat(F.lit(f'{{"path": "{tmp_path}/box", "name": "'), "task_id", F.lit('"}'))
+    definitions = definitions.withColumn("destination", F.struct(F.lit("Outbox").alias("pluginType"), box.alias("config")))
+    found, status = run_tasks(definitions, inputs.run_inputs(spark, data))
+    sent = {r.destination: r.n for r in Outbox(spark, f"{tmp_path}/box").commits().collect()}
+    assert {k: n for k, n in sent.items() if n} == {r.task_id: r.crawled_count for r in status.collect() if r.crawled_count}
+    assert found.count() == sum(sent.values())
+
+
+def test_trees_are_listed_by_tasks(spark, tmp_path):
+    wanted = {"a.txt": b"a", "_under/b.txt": b"b", ".env": b"e", "d1/d2/d3/d4/deep.txt": b"deep", "d1/_x": b"\xff", "d1/d2/y": b""}
+    for path, body in wanted.items():
+        target = tmp_path / "repo" / path
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_bytes(body)
+    (tmp_path / "repo" / "empty").mkdir()
+    files = tree_listing.read_tree(spark, str(tmp_path / "repo"), Staging(spark, "t"), commit_sha="c", task_files=2)
+    assert {r.path: bytes(r.content) for r in files.collect()} == wanted
+    assert files.rdd.getNumPartitions() >= 3
+    listed = tree_listing.list_tree(spark, str(tmp_path / "repo"), Staging(spark, "t"))
+    assert {r.path: r.size for r in listed.collect()} == {p: len(b) for p, b in wanted.items()}
+    with pytest.raises(Exception):  # noqa: B017
+        tree_listing.list_tree(spark, str(tmp_path / "nowhere"), Staging(spark, "t"))
+    assert tree_listing.read_tree(spark, str(tmp_path / "repo" / "empty"), Staging(spark, "t")).count() == 0
