@@ -551,10 +551,17 @@ def run_inputs(spark, sf_dir) -> dict[str, DataFrame]:
     }
 
 
-def later_pages(spark, sf_dir) -> DataFrame:
+def validated(pages: DataFrame, turn: int) -> DataFrame:
+    """With validators: of the body where it was edited; some change by themselves, some servers give none."""
+    n, edited = F.col("page_id"), F.col("body").endswith("<!-- edited -->")
+    return pages.withColumn("validator", F.when(n % 5 != 0, F.concat_ws("-", n, edited, F.when(n % 9 == 0, F.lit(turn)))))
+
+
+def later_pages(spark, sf_dir, *keep: str) -> DataFrame:
     """The page table at a later poll: some pages moved, some were edited."""
     n = F.col("page_id")
     return table(spark, sf_dir, "pages").select(
+        *keep,
         F.when(n % 11 == 0, F.concat(F.lit("https://moved.example.com/"), n.cast("string"))).otherwise(F.col("url")).alias("url"),
         F.when(n % 7 == 0, F.concat(F.col("html"), F.lit("<!-- edited -->"))).otherwise(F.col("html")).alias("body"),
     )

@@ -446,3 +446,4 @@ ORACLES["tree_files"] = """
 SELECT 'https://github.com/org/tree-' || path AS id, 'https://github.com/org/tree/blob/main/' || path AS url, length(text) AS n_chars, sha256(text) AS content_sha256
 FROM (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, 'und') || '/part ' || (doc_id % 7) || '/' || CASE WHEN doc_id % 29 = 0 THEN '_d' ELSE 'd' END || doc_id || '.txt' AS path
       FROM documents WHERE doc_id % 20 <> 0 AND doc_id % 23 <> 0)"""
+ORACLES["poll_index"] = f"SELECT 0 AS poll, url, 'added' AS change FROM pages UNION ALL SELECT 1, url, change FROM ({ORACLES['poll_diff']})"

@@ -14,6 +14,7 @@ from feedloom.session import Staging
 from feedloom.sinks.clustered import Clustered
 from feedloom.sinks.corpus import Corpus, TokenState
 from feedloom.sinks.outbox import Outbox
+from feedloom.sinks.polls import PollIndex
 from feedloom.sources import drive_feed, tree_listing
 from feedloom.streaming import jobs
 
@@ -352,6 +353,19 @@ def poll_diff(spark, sf_dir) -> DataFrame:
     return changes.poll_diff(before, inputs.later_pages(spark, sf_dir))
 
 
+def poll_index(spark, sf_dir) -> DataFrame:
+    """Three polls by an index of digests: all is new, some of it has changed since, nothing has."""
+    staging = Staging(spark, "polls")
+    index, found = PollIndex(spark, f"{staging.path}/index"), None
+    first = inputs.validated(inputs.html_pages(spark, sf_dir).select("page_id", "url", "body"), 1)
+    later = inputs.validated(inputs.later_pages(spark, sf_dir, "page_id"), 2)
+    for turn, pages in enumerate((first, later, later)):
+        store = Clustered.write(pages.select("url", "body"), f"{staging.path}/store-{turn}", "url", 32)
+        changed = index.poll(pages.select("url", "validator"), store).withColumn("poll", F.lit(turn))
+        found = changed if found is None else found.unionByName(changed)
+    return found.select("poll", "url", "change")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -391,5 +405,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         corpus_streams,
         corpus_levels,
         poll_diff,
+        poll_index,
     )
 }
