@@ -25,6 +25,8 @@ FILTERED = 3
 BITS_EACH, LEAST_BITS, MOST_BITS = 64, 20, 28
 # Fingerprints a task holds before it sums them up, and distinct ones before it hands them on.
 HELD, DISTINCT = 1 << 21, 1 << 20
+# Ranges of fingerprints for each shuffle partition.
+RANGES_EACH = 4
 # Parts of a language in which its best phrases are found first.
 RANK_PARTS = 64
 
@@ -98,73 +100,94 @@ def _filter(found: DataFrame, value: Column) -> Broadcast:
     return spark.sparkContext.broadcast(held.view(np.uint8))
 
 
-class _Sums:
-    """Counts by fingerprint and second hash, with the size and the least pointer."""
+def _summed(parts: list[list[np.ndarray]], whole: bool) -> list[np.ndarray]:
+    """Counts by fingerprint, with ``whole`` by second hash too: fingerprints, hashes, sizes, least pointers, counts, in order."""
+    prints, checks, sizes, ties, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((checks, prints)) if whole else np.argsort(prints)
+    prints, checks, sizes, ties, counts = (c[order] for c in (prints, checks, sizes, ties, counts))
+    if not len(prints):
+        return [prints, checks, sizes, ties, counts]
+    new = np.ones(len(prints), bool)
+    new[1:] = (prints[1:] != prints[:-1]) | (checks[1:] != checks[:-1])
+    at = np.flatnonzero(new)
+    return [prints[at], checks[at], sizes[at], np.minimum.reduceat(ties, at), np.add.reduceat(counts, at)]
 
-    def __init__(self, most: int, distinct: int):
-        self.parts: list[list[np.ndarray]] = []
-        self.held, self.most, self.distinct = 0, most, distinct
 
-    def add(self, *columns: np.ndarray) -> None:
-        self.parts.append(list(columns))
-        self.held += len(columns[0])
+_TYPES = (np.uint64, np.uint64, np.int32, np.int64, np.int64)
+_SENT = "bucket int, prints binary, checks binary, sizes binary, ties binary, counts binary"
 
-    def merged(self) -> list[np.ndarray]:
-        prints, checks, sizes, ties, counts = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-        order = np.lexsort((checks, prints))
-        prints, checks, sizes, ties, counts = (c[order] for c in (prints, checks, sizes, ties, counts))
-        new = np.ones(len(prints), bool)
-        new[1:] = (prints[1:] != prints[:-1]) | (checks[1:] != checks[:-1])
-        at = np.flatnonzero(new)
-        return [prints[at], checks[at], sizes[at], np.minimum.reduceat(ties, at), np.add.reduceat(counts, at)] if len(at) else [prints, checks, sizes, ties, counts]
 
-    def take(self, finish: bool) -> Iterator[list[np.ndarray]]:
-        """Sums up what is held; gives it away if that leaves much, or at the end."""
-        if not self.parts or not finish and self.held < self.most:
-            return
-        done = self.merged()
-        self.parts, self.held = [done], len(done[0])
-        if finish or self.held > self.distinct:
-            self.parts, self.held = [], 0
-            yield done
-
-
-_COUNTED = "print long, check long, size int, tie long, n long"
-
-
-def _counted(docs: DataFrame, filters: list[Broadcast], sizes: range, *, whole: bool) -> DataFrame:
-    """Fingerprints of the runs of these sizes that may be frequent, with their counts; with ``whole``, by second hash too and with a pointer to a text."""
-    small_batches(docs.sparkSession)
-    mask = FINGERPRINT
-    schema = _COUNTED if whole else "print long, n long"
-
-    def run(batches: Iterable[pa.RecordBatch]):
-        sums = _Sums(HELD, DISTINCT)
-
-        def out(finish: bool) -> Iterator[pa.RecordBatch]:
-            for prints, checks, lengths, ties, counts in sums.take(finish):
-                columns = {"print": prints.astype(np.int64), "check": checks.astype(np.int64), "size": lengths, "tie": ties, "n": counts}
-                for at in range(0, len(prints), 1 << 16):
-                    yield pa.RecordBatch.from_pydict({k: c[at : at + (1 << 16)] for k, c in columns.items() if whole or k in ("print", "n")})
+def _frequent(docs: DataFrame, filters: list[Broadcast], sizes: range, least_count: int, *, whole: bool) -> DataFrame:
+    """Runs of these sizes that may be frequent and are, by fingerprint: print and n; with ``whole`` by second hash
+    too, with size and a pointer to a text (tie).
 
+    Tasks sum up what they read and send it on as arrays, one row for each range of fingerprints: few long rows
+    move instead of one for each run. There are as many ranges as fill the shuffle partitions evenly.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    mask, most, distinct = FINGERPRINT, HELD, DISTINCT
+    buckets = RANGES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = np.array([-(-(b << 64) // buckets) for b in range(1, buckets)], _U)
+    names = ["bucket", "prints", "checks", "sizes", "ties", "counts"]
+
+    def sent(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        cuts = [0, *np.searchsorted(columns[0], edges).tolist(), len(columns[0])]
+        for bucket, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if a < b:
+                # What is not counted by is not sent.
+                blobs = [c[a:b].astype(t).tobytes() if whole or i in (0, 4) else b"" for i, (c, t) in enumerate(zip(columns, _TYPES, strict=True))]
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], names=names)
+
+    def count(batches: Iterable[pa.RecordBatch]):
+        held, size = [], 0
         for batch in batches:
             runs = _Runs(batch, mask)
             chosen = runs.possible(filters, sizes[-1])
             tie = batch.column("tie").to_numpy()[runs.words.text] if whole else None
-            for size in sizes:
-                at = np.flatnonzero(chosen[size])
+            for length in sizes:
+                at = np.flatnonzero(chosen[length])
                 none = np.zeros(len(at), np.int64)
-                sums.add(
-                    runs.fingerprints(size)[at],
-                    runs.checks(size)[at] if whole else none.astype(_U),
-                    np.full(len(at), size, np.int32),
-                    tie[at] if whole else none,
-                    none + 1,
-                )
-            yield from out(False)
-        yield from out(True)
+                checks, ties = (runs.checks(length)[at], tie[at]) if whole else (none.astype(_U), none)
+                held.append([runs.fingerprints(length)[at], checks, np.full(len(at), length, np.int32), ties, none + 1])
+                size += len(at)
+            if size > most:
+                held = [_summed(held, whole)]
+                size = len(held[0][0])
+                if size > distinct:
+                    yield from sent(held.pop())
+                    size = 0
+        if held:
+            yield from sent(_summed(held, whole))
+
+    def merge(batches: Iterable[pa.RecordBatch]):
+        bucket, held, size = None, [], 0
+
+        def often() -> pa.RecordBatch:
+            prints, checks, lengths, ties, counts = _summed(held, whole)
+            kept = counts >= least_count
+            columns = {"print": prints.astype(np.int64), "n": counts}
+            if whole:
+                columns |= {"check": checks.astype(np.int64), "size": lengths, "tie": ties}
+            return pa.RecordBatch.from_pydict({name: c[kept] for name, c in columns.items()})
 
-    return docs.mapInArrow(run, schema)
+        for batch in batches:
+            for own, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != bucket:
+                    if held:
+                        yield often()
+                    bucket, held, size = own, [], 0
+                n = len(blobs[0]) // 8
+                held.append([np.frombuffer(x, t) if x else np.zeros(n, t) for x, t in zip(blobs, _TYPES, strict=True)])
+                size += n
+                if size > most:
+                    held = [_summed(held, whole)]
+                    size = len(held[0][0])
+        if held:
+            yield often()
+
+    dealt = docs.mapInArrow(count, _SENT).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(merge, "print long, n long" + (", check long, size int, tie long" if whole else ""))
 
 
 def _totals(docs: DataFrame) -> DataFrame:
@@ -222,17 +245,11 @@ def frequent_phrases(docs: DataFrame, staging: Staging, *, least_count: int = LE
     hash of the letters as well. Only runs that are frequent by both are spelled out, once, from the
     text that their pointer names, where both hashes are worked out again.
     """
-    enough = F.col("n") >= least_count
-
     filters: list[Broadcast] = []
     for size in range(1, FILTERED + 1):
-        rows = _counted(docs, list(filters), range(size, size + 1), whole=False)
-        often = staging.write(rows.groupBy("print").agg(F.sum("n").alias("n")).where(enough).select("print"), f"often-{size}")
+        often = staging.write(_frequent(docs, list(filters), range(size, size + 1), least_count, whole=False).select("print"), f"often-{size}")
         filters.append(_filter(often, F.col("print")))
-    counted = _counted(docs, filters, range(1, LONGEST + 1), whole=True)
-    found = staging.write(
-        counted.groupBy("print", "check", "size").agg(F.sum("n").alias("n"), F.min("tie").alias("tie")).where(enough), "frequent"
-    )
+    found = staging.write(_frequent(docs, filters, range(1, LONGEST + 1), least_count, whole=True), "frequent")
     spelled = _phrases(docs, _filter(found, F.col("print").bitwiseXOR(F.col("tie"))))
     named = found.join(spelled.dropDuplicates(["print", "check", "tie"]), ["print", "check", "tie"])
     return staging.write(named.select("lang", "phrase", "size", F.col("n").alias("f")), "phrases")
