@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import first_text, is_blank, leading_int, lossy_utf8
-from ..plans.lookup import lookup, lookup_staged
+from ..plans.lookup import lookup, lookup_staged, tied_first
 from ..session import Staging
 from .records import drive_key, to_records
 
@@ -195,12 +195,22 @@ def classify_change(folder_id: str | Column | None) -> Column:
     )
 
 
+def _last_due(due: DataFrame, content: DataFrame) -> DataFrame:
+    """Of relevant changes, the last of each file that counts: live ones only with a content to read."""
+    live = F.col("action") == "live"
+    due = tied_first(due.withColumn("__live", live), ["file_id", "__live"], [F.desc("seq")])
+    readable = content.where("__content is not null").select("__lookup")
+    counted = due.where("__live").join(readable, "__lookup", "left_semi").unionByName(due.where("not __live"), allowMissingColumns=True)
+    return tied_first(counted, ["file_id"], [F.desc("seq"), F.desc("__live")]).select(*due.columns).drop("__live")
+
+
 def drive_delta(
     changes: DataFrame,
     content: DataFrame,
     folder_id: str | Column | None,
     token: int | Column | None,
     *,
+    newest: bool = False,
     run_ts: Column | None = None,
     staging: Staging | None = None,
 ) -> DataFrame:
@@ -208,7 +218,9 @@ def drive_delta(
 
     Without a token nothing is due yet: the first run only learns where the feed stands (see
     :func:`drive_next_token`). Only live files inside the folder are looked up. With ``staging`` the
-    relevant changes are written down first, and few of them never move the content store.
+    relevant changes are written down first, and few of them never move the content store. For a stored
+    corpus, ``newest`` gives only the records that ``changes.latest_changes`` keeps of all: the last change of
+    each file is found before contents are looked up, so a file that changed often has its content moved once.
     """
     since = token if isinstance(token, Column) else F.lit(token).cast("bigint")
     due = (
@@ -218,6 +230,8 @@ def drive_delta(
         .withColumnRenamed("fileId", "file_id")
         .withColumn("__lookup", F.when(F.col("action") == "live", F.col("file_id")))
     )
+    if newest:
+        due = _last_due(due, _content(content))
     if staging is not None:
         got = lookup_staged(staging.write(due, "due"), _content(content), ["__lookup"])
     else:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsontext import has_keys, is_json
 from ..functions.values import let, lossy_utf8
-from ..plans.lookup import first_per_key, lookup, lookup_staged
+from ..plans.lookup import first_per_key, lookup, lookup_staged, tied_first
 from ..schemas import PUSH
 from ..session import Staging
 from .records import git_key, to_records
@@ -115,10 +115,23 @@ def _files(commit: Column) -> Column:
     return F.concat(tagged("added", "added"), tagged("modified", "modified"), tagged("removed", "removed"))
 
 
+def _last_touched(keyed: DataFrame, files: DataFrame, key: list[str], by: str) -> DataFrame:
+    """Of touched files, the last touch of each entity that counts: added and modified ones only with a content to read."""
+    entity, removed = git_key(F.col("__name"), F.col("__branch"), F.col("__path")), F.col("__kind") == "removed"
+    order = [F.desc(by), F.desc("__pos"), F.concat_ws("-", "__name", "__path").desc(), F.asc("__removed")]
+    rows = keyed.withColumns({"__entity": entity, "__removed": removed}).where("__entity is not null")
+    rows = tied_first(rows, ["__entity", "__removed", *key], order)
+    held = first_per_key(files.select(*key, "__held", F.col("content").isNull().alias("__none")), key, [F.asc("__held"), F.asc("__none")])
+    readable = held.where("not __none").select(*key)
+    counted = rows.where("not __removed").join(readable, key, "left_semi").unionByName(rows.where("__removed"))
+    return tied_first(counted, ["__entity"], order).select(*keyed.columns)
+
+
 def git_push_delta(
     pushes: DataFrame,
     repo_files: DataFrame,
     *keep: str,
+    newest_by: str | None = None,
     run_ts: Column | None = None,
     staging: Staging | None = None,
 ) -> DataFrame:
@@ -128,7 +141,9 @@ def git_push_delta(
     an error row; removed files become tombstones. Pings, malformed bodies and pushes without a
     head commit give no rows. Works on a stream of pushes as well. ``pos`` is the file's place within
     its push. A commit that the table holds under several branches counts once. With ``staging`` the
-    list of files is written down first, and a short one never moves the content.
+    list of files is written down first, and a short one never moves the content. For a stored corpus,
+    ``newest_by`` names the column of ``keep`` that orders pushes, and only the records that ``changes.latest_changes``
+    keeps of all are given: the last touch of each file is found before contents are looked up.
     """
 
     def head_files(event: Column) -> Column:
@@ -162,7 +177,7 @@ def git_push_delta(
         ],
     )
     if staging is not None:
-        changes = staging.write(changes.withColumn("__row", F.monotonically_increasing_id()), "push_files")
+        changes = staging.write(changes, "push_files")  # bodies are parsed once
     removed = F.col("__kind") == "removed"
     # Tombstones need no content: a NULL key keeps them out of the match.
     keyed = changes.select(
@@ -173,11 +188,13 @@ def git_push_delta(
     )
     key = ["repo", "commit_sha", "path"]
     files = repo_files.select(*key, F.coalesce("branch", F.lit("")).alias("__held"), "content")
+    if newest_by is not None:
+        keyed = _last_touched(keyed, files, key, newest_by)
+        keyed = keyed if staging is None else staging.write(keyed, "newest")
     # A commit's files are the same on every branch: the least branch counts.
     if staging is not None:
-        # The contents are read once, by a join that keeps what was pushed; the few rows found settle the branch.
-        found = lookup_staged(keyed, files, key)
-        got = first_per_key(found, ["__row"], [F.asc("__held")]).drop("__row")
+        # The branch is settled among the files that were pushed, before a file meets its many pushes.
+        got = lookup_staged(keyed, files, key, first_by=[F.asc("__held"), F.col("content").isNull().asc()])
     else:
         chosen = files.groupBy(*key).agg(F.min("__held").alias("__held"))
         got = lookup(lookup(keyed, chosen, key), files, [*key, "__held"])

@@ -1,8 +1,7 @@
 """Looking up rows by key.
 
-Both look-ups are plain joins: the planner broadcasts a side whose size it knows to be small, and
-adaptive execution splits a key that fills a partition. Right rows come at most one per key, so a
-split copies nothing but one row.
+Look-ups are plain joins, and adaptive execution splits a key that fills a partition. Right rows come at
+most one per key, so a split copies nothing but one row.
 """
 
 from __future__ import annotations
@@ -29,21 +28,41 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return left.join(right, list(on), "left").select(*_ordered(left, right, on))
 
 
-def lookup_staged(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+# Keys up to which a look-up tells every task of the right side which of its rows are wanted: 8-byte hashes,
+# so a broadcast of some 30 MB at the most.
+FEW_KEYS = 1 << 19
+
+
+def wanted_rows(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of ``right`` that a look-up by ``left`` can need, and by chance a few more, where ``left`` has few keys; else all.
+
+    Hashes of the keys are counted up to the limit and sent to where the right rows are read. The size of a written table says
+    little about that: it is a compressed one, and rows that repeat take next to nothing on disk.
+    """
+    mark = "__mark"
+    marks = left.where(_all_known(on)).select(F.xxhash64(*on).alias(mark)).distinct()
+    if marks.limit(FEW_KEYS + 1).count() > FEW_KEYS:
+        return right
+    return right.withColumn(mark, F.xxhash64(*on)).join(F.broadcast(marks), mark, "left_semi").drop(mark)
+
+
+def lookup_staged(
+    left: DataFrame, right: DataFrame, on: Sequence[str], *, first_by: Sequence[Column] | None = None
+) -> DataFrame:
     """The same rows, for a ``left`` of short rows that is read from a written table.
 
-    Matches come from an inner join, in which either side can be the broadcast one: a small list of
-    keys never moves a large store of long rows, and a large one moves each of them once. The left
-    rows without a match are found from the right side's keys alone, and those without a key
-    meet nothing. ``left`` is read three times.
+    Of the right side, only the rows that a short list of keys names are moved, and of a long list's each
+    once. Neither side is ever broadcast whole. Left rows without a key meet nothing. With ``first_by``
+    the first right row of each key by that order counts, settled on the way. ``left`` is read three times.
     """
     if left.isStreaming:
         return lookup(left, right, on)
     on, columns = list(on), _ordered(left, right, on)
-    known = left.where(_all_known(on))
-    matched = known.join(right, on).select(*columns)
-    rest = known.join(right.select(*on), on, "left_anti").unionByName(left.where(~_all_known(on)))
-    return matched.unionByName(rest, allowMissingColumns=True).select(*columns)
+    near = wanted_rows(left, right, on)
+    if first_by is not None:
+        near = first_per_key(near, on, first_by)
+    found = left.where(_all_known(on)).hint("merge").join(near, on, "left").select(*columns)
+    return found.unionByName(left.where(~_all_known(on)), allowMissingColumns=True).select(*columns)
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -55,3 +74,10 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column])
     place = "__place"
     by = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn(place, F.row_number().over(by)).where(F.col(place) == 1).drop(place)
+
+
+def tied_first(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """For each key all rows that are first by ``order``; reduced by tasks as in :func:`first_per_key`."""
+    place = "__place"
+    by = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn(place, F.rank().over(by)).where(F.col(place) == 1).drop(place)

@@ -129,3 +129,22 @@ def test_poll_diff_compares_all_of_a_digest(spark):
     before = spark.createDataFrame([("u", "x"), ("v", "1"), ("v", "2"), ("w", None)], "url string, body string")
     after = spark.createDataFrame([("u", "x"), ("v", "2"), ("v", "1"), ("w", "")], "url string, body string")
     assert [tuple(r) for r in changes.poll_diff(before, after).collect()] == [("w", "modified")]
+
+
+def test_a_staged_side_that_repeats_itself_is_not_broadcast(spark):
+    """Its files are small whatever its rows weigh: only hashes of its keys go to all tasks."""
+    left = Staging(spark, "t").write(spark.range(5000).select(F.lit("k1").alias("k"), F.lit("wide" * 500).alias("w")), "left")
+    right = spark.range(50).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("body"))
+    got = lookup_staged(left, right, ["k"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [k" in plan and plan.count("BroadcastExchange") == 1 and "__mark" in plan.split("BroadcastExchange")[1]
+    assert got.where("body = 1").count() == 5000
+
+
+def test_long_lists_of_keys_are_not_broadcast_at_all(spark, monkeypatch):
+    monkeypatch.setattr("feedloom.plans.lookup.FEW_KEYS", 10)
+    left = Staging(spark, "t").write(spark.range(40).select((F.col("id") % 20).alias("k"), "id"), "left")
+    right = spark.range(0, 30, 2).select(F.col("id").alias("k"), F.col("id").alias("body"))
+    got = lookup_staged(left, right, ["k"])
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where("body is null").count() == 20 and got.count() == 40

@@ -161,3 +161,25 @@ def test_next_token_counts_across_gaps(spark):
     held = spark.createDataFrame([(str(t), str(t), None) for t in [*seqs, 6, 71, 10**12 + 2]], "task_id string, start_token string, next_token string")
     got = {int(r.task_id): (r.next_token, r.n_changes) for r in drive.drive_next_token(spark.createDataFrame([(s,) for s in seqs], "seq long"), held).collect()}
     assert got == {t: (10**12 + 2, sum(s >= t for s in seqs)) for t in {*seqs, 6, 71, 10**12 + 2}}
+
+
+def test_newest_changes_are_those_that_a_corpus_keeps(spark):
+    """Found before contents are looked up: unreadable live files and repeated rows do not hide what came before."""
+    from feedloom.operators.changes import latest_changes
+    from feedloom.session import Staging
+
+    def one(k, **more):
+        return (k, False, file(k, **more))
+
+    rows = [one("a"), one("a"), ("b", True, None), one("b"), one("gone"), one("c"), ("c", True, None), ("lost", True, None), one("lost"),
+            one("d"), one("d", trashed=True), one("e", parents=["other"]), ("f", False, None), one("g"), one("g")]
+    changes = feed(spark, *rows)
+    changes = changes.unionByName(changes.where("fileId in ('a', 'g')"))
+    stored = content(spark, a="1", b="2", c="3", d="4", e="5", g="7", lost=None)
+    stored = stored.unionByName(stored.where("file_id = 'g'").withColumn("content", F.lit(None).cast("binary")))
+    for staging in (None, Staging(spark, "t")):
+        full = drive.drive_delta(changes, stored, "fold", 0)
+        last = drive.drive_delta(changes, stored, "fold", 0, newest=True, staging=staging)
+        key = lambda df: sorted((r.entity_key, r.seq, r.change_op, r.content_text) for r in latest_changes(df).collect())
+        assert key(last) == key(full) and len(key(full)) == 6
+        assert last.where("id = 'a'").select("seq").distinct().count() == 1

@@ -114,3 +114,33 @@ def test_scan_and_push_agree_on_the_entity(spark):
     scan = git.git_full_scan(tree(spark)).where("git.file_path = 'src/a.js'").first().entity_key
     delta = git.git_push_delta(events(spark, push(head(added=["src/a.js"]))), tree(spark)).first().entity_key
     assert scan == delta == "git:u/r:main:src/a.js"
+
+
+def test_newest_touches_are_those_that_a_corpus_keeps(spark):
+    """Each file's last touch is found before contents are looked up; failed reads hide nothing."""
+    from feedloom.operators.changes import latest_changes
+    from feedloom.session import Staging
+
+    bodies = [push(head(added=["src/a.js", "docs/b.md"], modified=["src/a.js"])), push(head(added=["locked", "empty"], removed=["docs/b.md"])),
+              push(head(modified=["src/a.js", "docs/b.md"]), after="gone"), push(head(removed=["src/a.js"], added=["src/a.js"]), ref="refs/heads/dev"),
+              push(head(modified=["bad.txt"], removed=["locked"])), push(head(added=["locked"]))]
+    pushes = events(spark, *bodies)
+    pushes = pushes.unionByName(pushes.where("event_id = 0"))
+    stored = tree(spark)
+    stored = stored.unionByName(stored.withColumn("branch", F.lit("a-branch")))
+    for staging in (None, Staging(spark, "t")):
+        full = git.git_push_delta(pushes, stored, "event_id").withColumnRenamed("event_id", "seq")
+        last = git.git_push_delta(pushes, stored, "event_id", newest_by="event_id", staging=staging).withColumnRenamed("event_id", "seq")
+        key = lambda df: sorted((r.entity_key, r.seq, r.pos, r.change_op, r.content_text) for r in latest_changes(df).collect())
+        assert key(last) == key(full) and len(key(full)) == 6
+        assert last.select("entity_key").distinct().count() == 6
+
+
+def test_contents_are_not_dealt_out_again_for_each_push(spark, tmp_path):
+    """After the content has met its pushes, no exchange moves the joined rows."""
+    from feedloom.session import Staging
+
+    tree(spark).write.parquet(str(tmp_path / "files"))
+    delta = git.git_push_delta(events(spark, push(head(added=["src/a.js"]))), spark.read.parquet(str(tmp_path / "files")), "event_id", staging=Staging(spark, "t"))
+    plan = delta._jdf.queryExecution().executedPlan().toString()
+    assert "__row" not in plan and plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning")
