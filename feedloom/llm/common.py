@@ -24,6 +24,29 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+# What a worker keeps between tasks, by name, and the names that its task has asked for.
+_KEPT: dict[tuple, object] = {}
+_ASKED: set[tuple] = set()
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` returns, kept by the worker for as long as its tasks ask for it."""
+    _ASKED.add(key)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def _begun(make: Callable[[], object]) -> object:
+    """What a task works with. A worker serves the stages in turn: it lets go of what only those before asked for."""
+    _ASKED.clear()
+    work = make()
+    for key in set(_KEPT) - _ASKED:
+        del _KEPT[key]
+    pa.default_memory_pool().release_unused()
+    return work
+
+
 def map_columns(df: DataFrame, schema: str, make: Callable[[], Callable[..., Sequence]]) -> DataFrame:
     """``make()`` runs once a task and returns a function from a batch's columns, as lists, to the
     columns of ``schema``. Rows may be made or dropped; nulls stay ``None``."""
@@ -31,7 +54,7 @@ def map_columns(df: DataFrame, schema: str, make: Callable[[], Callable[..., Seq
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        work = make()
+        work = _begun(make)
         for batch in batches:
             out = work(*(column.to_pylist() for column in batch.columns))
             yield pa.RecordBatch.from_arrays(
@@ -49,7 +72,7 @@ def fold_columns(
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        take, finish = make()
+        take, finish = _begun(make)
         for batch in batches:
             take(*(column.to_pylist() for column in batch.columns))
         yield pa.RecordBatch.from_arrays(
@@ -66,6 +89,7 @@ def grouped(rows: DataFrame, keys: list[str], schema: str, work: Callable[[tuple
     width, rest = len(keys), [c for c in rows.columns if c not in keys]
 
     def run(batches: Iterable[pa.RecordBatch]):
+        _begun(lambda: None)
         key, held = None, []
         out: list[tuple] = []
         for batch in batches:
@@ -95,7 +119,7 @@ def filter_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[li
     place = docs.columns.index(text_col)
 
     def run(batches):
-        keep = make()
+        keep = _begun(make)
         for batch in batches:
             yield batch.filter(pa.array(keep([t or "" for t in batch.column(place).to_pylist()]), type=pa.bool_()))
 
@@ -108,7 +132,7 @@ def replace_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[s
     place = docs.columns.index(text_col)
 
     def run(batches):
-        work = make()
+        work = _begun(make)
         for batch in batches:
             new = [None if t is None else work(t) for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(new, type=batch.schema.field(place).type))

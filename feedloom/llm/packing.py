@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import zlib
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from feedloom.session import Staging
 
-from .common import map_columns, texts
+from .common import kept, map_columns, texts
 
 TOKENIZER = "word_bpe_49k.json"
 MAX_TOKENS = 4096
@@ -72,13 +71,16 @@ def _gathered(found: list[bytes], index: np.ndarray, offsets: np.ndarray) -> lis
     return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
-@functools.lru_cache(1)
 def word_encoder(path: str):
+    """:func:`_word_encoder` as the worker keeps it while its tasks encode."""
+    return kept(("word_encoder", path), lambda: _word_encoder(path))
+
+
+def _word_encoder(path: str):
     """A function from texts to their ids as bytes of little-endian unsigned 32-bit numbers.
 
     The vocabulary lowers case and never joins characters across a space or line end, so a text's
-    ids are those of its words in turn. Strings of special tokens in a text are ordinary text. A
-    worker keeps its encoder between tasks.
+    ids are those of its words in turn. Strings of special tokens in a text are ordinary text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer

@@ -63,3 +63,14 @@ def test_round_trip(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack_power_of_two(docs).count() == 0
+
+
+def test_workers_keep_words_only_while_their_tasks_encode():
+    from feedloom.llm import common
+    from feedloom.llm.packing import default_tokenizer, word_encoder
+
+    path = default_tokenizer()
+    first = common._begun(lambda: word_encoder(path))
+    assert common._begun(lambda: word_encoder(path)) is first
+    assert common._begun(lambda: None) is None
+    assert not common._KEPT and common._begun(lambda: word_encoder(path)) is not first
