@@ -54,17 +54,18 @@ def unify(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def run_summary(records: DataFrame, outcomes: DataFrame) -> DataFrame:
+def run_summary(records: DataFrame, outcomes: DataFrame, *, counted: bool = False) -> DataFrame:
     """One status row per row of ``outcomes(task_id, code)``: what its records count up to and whether it succeeded.
 
     Error rows count as crawled and do not fail the run; a task that could not run, or found nothing, has
-    counts of zero. Records are counted where they are read.
+    counts of zero. Records are counted where they are read; with ``counted`` they come as
+    ``(task_id, crawled_count, error_count)``, a row for each task.
     """
-    counted = records.groupBy("task_id").agg(
+    counts = records if counted else records.groupBy("task_id").agg(
         F.count(F.lit(1)).alias("crawled_count"), F.count_if(F.col("status_code") >= 400).alias("error_count")
     )
     none = F.lit(0).cast("bigint")
-    return outcomes.join(counted, "task_id", "left").select(
+    return outcomes.join(counts, "task_id", "left").select(
         *outcomes.columns,
         (F.col("code") == 200).alias("success"),
         F.coalesce("crawled_count", none).alias("crawled_count"),

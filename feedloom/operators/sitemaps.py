@@ -65,6 +65,8 @@ def sitemap_urls(
 
     first = starts.withColumn("sitemap_url", normalize_url(F.col("sitemap_url"))).dropDuplicates(key)
     frontier = staging.write(first.select(*key, *rules), "reached/round=0")
+    if frontier.isEmpty():
+        return spark.createDataFrame([], "task_id string, sitemap_url string, loc string, allowed boolean")
     reached, turn, searched = frontier, 0, None
     while True:
         # Of the sitemaps, those that this round reaches first are read and parsed, once for all tasks.
@@ -117,12 +119,18 @@ def urls_per_sitemap(entries: DataFrame) -> DataFrame:
 
 
 def crawl_from_sitemap(
-    tasks: DataFrame, pages: DataFrame, robots: DataFrame, sitemaps: DataFrame, *, run_ts: Column | None = None
+    tasks: DataFrame,
+    pages: DataFrame,
+    robots: DataFrame,
+    sitemaps: DataFrame,
+    *,
+    fetched: DataFrame | None = None,
+    run_ts: Column | None = None,
 ) -> DataFrame:
     """Records of crawls whose tasks may ask for sitemap discovery (``sitemap_discovery``).
 
     A task with a sitemap starts from its allowed entries, all at depth 0, and not from its start
-    address; a task without one falls back to the start address, which no filter applies to.
+    address; a task without one falls back to the start address, which no filter applies to. ``fetched`` is as in :func:`crawl`.
     """
     usable = tasks.where(F.coalesce(F.col("start_url"), F.lit("")) != "")
     wants = F.coalesce(F.col("sitemap_discovery"), F.lit(False))
@@ -150,4 +158,4 @@ def crawl_from_sitemap(
         .unionByName(found.where(F.col("sitemap_url").isNull()).select("task_id", "url"))
         .unionByName(usable.where(~wants).select("task_id", F.col("start_url").alias("url")))
     )
-    return crawl(usable, pages, seeds=seeds, run_ts=run_ts)
+    return crawl(usable, pages, seeds=seeds, fetched=fetched, run_ts=run_ts)

@@ -230,17 +230,19 @@ def crawl(
     seeds: DataFrame | None = None,
     edges: DataFrame | None = None,
     strict_domain: bool = False,
+    fetched: DataFrame | None = None,
     run_ts: Column | None = None,
 ) -> DataFrame:
     """Records of a depth-limited crawl of a page snapshot, for all ``tasks`` at once.
 
     ``tasks(task_id, start_url, ...)``; ``seeds(task_id, url)`` replaces the start addresses, as
     after sitemap discovery. A task without a start address yields nothing. Depths are shortest
-    distances, so results do not depend on the order pages are visited in.
+    distances, so results do not depend on the order pages are visited in. Links are searched in ``pages``;
+    records are made from ``fetched`` where it is given, the same snapshot with something else for the bodies.
     """
     if seeds is None:
         seeds = tasks.where(F.coalesce(F.col("start_url"), F.lit("")) != "").select(
             "task_id", F.col("start_url").alias("url")
         )
     reached = crawl_frontier(seeds, tasks, pages, edges=edges, strict_domain=strict_domain)
-    return web_fetch(reached, pages, staged=True, run_ts=run_ts)
+    return web_fetch(reached, pages if fetched is None else fetched, staged=True, run_ts=run_ts)

@@ -15,9 +15,11 @@ from ..operators.tasks import GIT_DEFAULTS, RUN_MESSAGES, parse_tasks, validate_
 from ..session import Staging
 from ..sinks.destinations import write_once
 from ..sinks.outbox import Outbox
+from .contents import CONTENT, SCAN, Shared, referring, stand_in, text_stand_in, write_contents
 
 Inputs = Mapping[str, DataFrame]
-Ran = tuple[DataFrame, DataFrame]  # records, and the (task_id, problem) of tasks that could not run
+# Records, the (task_id, problem) of tasks that could not run, and if records have a SCAN the (SCAN, task_id) of who asked for it.
+Ran = tuple[DataFrame, DataFrame] | tuple[DataFrame, DataFrame, DataFrame]
 Runner = Callable[[DataFrame, Inputs, Column | None], Ran]
 
 # Why a task that is well defined did not run.
@@ -28,11 +30,15 @@ NO_FOLDER = "Google Drive folder not found: "
 
 @dataclass(frozen=True)
 class Plugin:
-    """``run(tasks, inputs, run_ts)`` and the input without which none of its tasks can run."""
+    """``run(tasks, inputs, run_ts)`` and the input without which none of its tasks can run.
+
+    ``refers`` tells that its records can be made of stand-ins of contents.
+    """
 
     run: Runner
     needs: str
     message: str
+    refers: bool = False
 
 
 def _none(tasks: DataFrame) -> DataFrame:
@@ -40,17 +46,23 @@ def _none(tasks: DataFrame) -> DataFrame:
 
 
 def _run_web(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
-    """Inputs ``pages``, and for sitemap discovery ``robots`` and ``sitemaps``."""
+    """Inputs ``pages``, and for sitemap discovery ``robots`` and ``sitemaps``; ``fetched`` has stand-ins of the pages' bodies."""
     spark = tasks.sparkSession
     nothing = {"robots": "host string, body string", "sitemaps": "url string, body string"}
     robots, maps = (inputs.get(k, spark.createDataFrame([], ddl)) for k, ddl in nothing.items())
-    return sitemaps.crawl_from_sitemap(web_tasks(tasks), inputs["pages"], robots, maps, run_ts=run_ts), _none(tasks)
+    wanted = Staging(spark, "web").write(web_tasks(tasks), "tasks")
+    return sitemaps.crawl_from_sitemap(wanted, inputs["pages"], robots, maps, fetched=inputs.get("fetched"), run_ts=run_ts), _none(tasks)
+
+
+def _scanned(found: DataFrame) -> DataFrame:
+    """Scans that were named in place of a task."""
+    return found.withColumn(SCAN, F.col("task_id")).withColumn("task_id", F.lit(None).cast("string"))
 
 
 def _run_git(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
     """Input ``repo_files``, and ``pushes(task_id, event_id, body)``: the events routed to tasks.
 
-    A task with pushes takes in what they touch; any other scans its repository's branch.
+    A task with pushes takes in what they touch; any other scans its repository's branch, once for all tasks that ask for it.
     """
     conf = F.col("git")
     wanted = parse_tasks(tasks).select(
@@ -58,6 +70,7 @@ def _run_git(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
         conf["repoUrl"].alias("repo"),
         F.coalesce(conf["branch"], F.lit(GIT_DEFAULTS["branch"])).alias("branch"),
     )
+    wanted = Staging(tasks.sparkSession, "git").write(wanted, "tasks")
     files, delta = inputs["repo_files"], None
     if "pushes" in inputs:
         pushed = inputs["pushes"].join(wanted.select("task_id"), "task_id", "left_semi")
@@ -67,20 +80,24 @@ def _run_git(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
             run_ts=run_ts, staging=Staging(tasks.sparkSession, "pushes"),
         )
         delta = delta.withColumn("task_id", F.col("__task")).drop("__task").withColumnRenamed("event_id", "seq")
-    found = git.git_full_scan(files.join(wanted, ["repo", "branch"]), branch=F.col("branch"), task_id=F.col("task_id"), run_ts=run_ts)
+    scan = F.concat(F.lit("git "), F.to_json(F.struct("repo", "branch")))
+    asked = files.join(wanted.select("repo", "branch").distinct(), ["repo", "branch"], "left_semi")
+    found = _scanned(git.git_full_scan(asked, branch=F.col("branch"), task_id=scan, run_ts=run_ts))
     lost = wanted.join(files.select("repo", "branch").distinct(), ["repo", "branch"], "left_anti")
     problems = lost.select("task_id", F.concat(F.lit(NO_REPO), "repo", F.lit(" "), "branch").alias("problem"))
-    return (found if delta is None else records.unify(found, delta)), problems
+    return (found if delta is None else records.unify(found, delta)), problems, wanted.select(scan.alias(SCAN), "task_id")
 
 
 def _run_drive(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
     """Inputs ``drive_files``, ``drive_content``, and ``drive_changes`` with the ``task_id`` whose feed a change is in.
 
-    With a feed, a task that has a token takes in the changes from it; any other scans its folder. A
-    folder that neither holds a file nor is one is not found.
+    With a feed, a task that has a token takes in the changes from it; any other scans its folder, once for all
+    tasks that ask for it. A folder that neither holds a file nor is one is not found.
     """
     token = drive.effective_token(_text(tasks, "start_page_token"), _text(tasks, "next_page_token")).try_cast("bigint")
     wanted = parse_tasks(tasks).select("task_id", F.col("drive")["folderId"].alias("__folder"), token.alias("__token"))
+    staging = Staging(tasks.sparkSession, "drive")
+    wanted = staging.write(wanted, "tasks")
     listing, content, delta = inputs["drive_files"], inputs["drive_content"], None
     if "drive_changes" in inputs:
         feed = inputs["drive_changes"].join(wanted.where("__token is not null"), "task_id")
@@ -90,18 +107,20 @@ def _run_drive(tasks: DataFrame, inputs: Inputs, run_ts: Column | None) -> Ran:
         )
         delta, wanted = due, wanted.where("__token is null")
     listed = listing.withColumn("__folder", F.explode(F.array_distinct("parents")))
+    scan = F.concat(F.lit("drive "), "__folder")
     found = drive.drive_full_scan(
-        listed.join(wanted, "__folder"),
+        listed.join(wanted.select("__folder").distinct(), "__folder", "left_semi"),
         content,
         None,
-        task_id=F.col("task_id"),
+        task_id=scan,
         run_ts=run_ts,
-        staging=Staging(tasks.sparkSession, "drive"),
+        staging=staging,
     )
+    found = _scanned(found)
     known = listed.select("__folder").unionByName(listing.select(F.col("id").alias("__folder"))).distinct()
     lost = wanted.join(known, "__folder", "left_anti")
     problems = lost.select("task_id", F.concat(F.lit(NO_FOLDER), "__folder").alias("problem"))
-    return (found if delta is None else records.unify(found, delta)), problems
+    return (found if delta is None else records.unify(found, delta)), problems, wanted.select(scan.alias(SCAN), "task_id")
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -109,9 +128,9 @@ def _text(df: DataFrame, name: str) -> Column:
 
 
 _PLUGINS: dict[str, Plugin] = {
-    "http": Plugin(_run_web, "pages", RUN_MESSAGES["http"]),
-    "git": Plugin(_run_git, "repo_files", RUN_MESSAGES["git"]),
-    "drive": Plugin(_run_drive, "drive_files", RUN_MESSAGES["drive"]),
+    "http": Plugin(_run_web, "pages", RUN_MESSAGES["http"], refers=True),
+    "git": Plugin(_run_git, "repo_files", RUN_MESSAGES["git"], refers=True),
+    "drive": Plugin(_run_drive, "drive_files", RUN_MESSAGES["drive"], refers=True),
 }
 
 
@@ -130,9 +149,10 @@ def run_tasks(
 ) -> tuple[DataFrame, DataFrame]:
     """Run every enabled, valid task of a known status and trigger; returns their records and one status row per task.
 
-    All tasks of a plugin run as one job. The optional ``transform(records, **transform_params)`` is
-    applied before anything is written. The records are written down once; the status counts what
-    was written, and tasks with a ``destination`` (plugin type and JSON configuration) have theirs
+    All tasks of a plugin run as one job. The records are written down once, those of a scan once for all tasks that
+    ask for it and a content once for all records that hold it; what is returned has them by task and whole. The optional
+    ``transform(records, **transform_params)`` is applied before anything is written, to whole records of each task,
+    which are then written as it gives them. The status counts what was written, and tasks with a ``destination`` (plugin type and JSON configuration) have theirs
     written there too: all into outboxes by one job for each outbox, others by one for each destination. A task whose plugin has no input, or whose
     repository or folder is not there, fails.
     """
@@ -149,22 +169,29 @@ def run_tasks(
         "checks",
     )
     ready = tasks.join(checks.where("code = 200").select("task_id", F.col("plugin_type").alias("__plugin")), "task_id")
-    parts, problems = [], []
+    brief = dict(inputs) if transform is not None else _brief(inputs)
+    parts, problems, holders = [], [], []
     for name, plugin in _PLUGINS.items():
         mine = ready.where(F.col("__plugin") == name).drop("__plugin")
         if plugin.needs not in inputs:
             problems.append(mine.select("task_id", F.lit(NO_INPUT + plugin.needs).alias("problem")))
             continue
-        found, lost = plugin.run(mine, inputs, run_ts)
-        parts.append(found)
+        refers = plugin.refers and transform is None
+        found, lost, *scans = plugin.run(mine, brief if refers else inputs, run_ts)
+        parts.append(referring(found) if refers else found)
         problems.append(lost)
+        holders += scans
     if not parts:
         raise ValueError(f"no inputs for any plugin; expected some of {sorted(p.needs for p in _PLUGINS.values())}")
-    found = records.unify(*parts)
+    asked = staging.write(records.unify(*holders), "holders") if holders else None
+    written = Shared(records.unify(*parts), asked)
     if transform is not None:
-        found = found.transform(transform, **(transform_params or {}))
-    found = staging.write(found, "records")
-    _deliver(found, ready)
+        written = Shared(staging.write(written.of().transform(transform, **(transform_params or {})), "records"))
+    else:
+        rows = staging.write(written.rows, "records")
+        stores = _stores(inputs) if CONTENT in rows.columns else {}
+        written = Shared(rows, asked, write_contents(rows, stores, staging) if stores else None)
+    _deliver(written, ready)
     failed = problems[0]
     for more in problems[1:]:
         failed = failed.unionByName(more)
@@ -173,11 +200,30 @@ def run_tasks(
     outcomes = checks.join(failed.groupBy("task_id").agg(F.min("problem").alias("problem")), "task_id", "left").select(
         "task_id", "plugin_type", code.alias("code"), F.coalesce("message", "problem", mapped(F.col("plugin_type"), said)).alias("message")
     )
-    status = records.run_summary(found, outcomes)
-    return found, status.select("task_id", "plugin_type", "success", "code", "message", "crawled_count", "error_count")
+    status = records.run_summary(written.counted(), outcomes, counted=True)
+    return written.of(), status.select("task_id", "plugin_type", "success", "code", "message", "crawled_count", "error_count")
+
+
+def _brief(inputs: Inputs) -> dict[str, DataFrame]:
+    """Inputs whose contents are stand-ins, short enough to be moved and repeated. Links are still searched in ``pages``."""
+    brief = dict(inputs)
+    for name in ("repo_files", "drive_content"):
+        if name in inputs:
+            brief[name] = inputs[name].withColumn("content", stand_in(F.col("content").cast("binary")))
+    if "pages" in inputs:
+        pages = inputs["pages"]
+        json = F.coalesce(F.col("content_type").contains("json"), F.lit(False)) if "content_type" in pages.columns else F.lit(False)
+        brief["fetched"] = pages.withColumn("body", text_stand_in(F.col("body"), json))
+    return brief
+
+
+def _stores(inputs: Inputs) -> dict[str, DataFrame]:
+    """The contents that records refer to, by the source of the records."""
+    places = {"git": ("repo_files", "content"), "drive": ("drive_content", "content"), "web": ("pages", "body")}
+    return {source: inputs[name].select(F.col(c).cast("binary").alias("content")) for source, (name, c) in places.items() if name in inputs}
 
 
-def _deliver(found: DataFrame, tasks: DataFrame) -> None:
+def _deliver(written: Shared, tasks: DataFrame) -> None:
     """Write the records of tasks with a destination there; tasks that share one are written together.
 
     Destinations of the type ``outbox`` name a ``path`` and their own ``name`` in it; all that share a path
@@ -190,8 +236,9 @@ def _deliver(found: DataFrame, tasks: DataFrame) -> None:
     place = F.from_json("config", "path string, name string")
     routes = chosen.where(posted).select("task_id", place["path"].alias("path"), place["name"].alias("destination"))
     for box in routes.select("path").distinct().collect():
-        Outbox(found.sparkSession, box.path).deliver(found, routes.where(F.col("path") == box.path))
+        mine = routes.where(F.col("path") == box.path)
+        Outbox(tasks.sparkSession, box.path).deliver(written.of(mine.select("task_id")), mine)
     chosen = chosen.where(~posted)
     for target in chosen.select("pluginType", "config").distinct().collect():
         same = F.col("pluginType").eqNullSafe(target.pluginType) & F.col("config").eqNullSafe(target.config)
-        write_once(found.join(chosen.where(same), "task_id", "left_semi"), target.pluginType, json.loads(target.config or "{}"))
+        write_once(written.of(chosen.where(same).select("task_id")), target.pluginType, json.loads(target.config or "{}"))

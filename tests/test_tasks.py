@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,57 @@ def test_events_and_tokens_make_deltas(spark):
     assert {k: v[:3] for k, v in outcome(status).items()} == {"t0": (True, 200, 2), "t1": (True, 200, 2), "t2": (True, 200, 2), "t3": (True, 200, 3)}
 
 
+def shared_inputs(spark):
+    """Tables with contents of all kinds, some of them held several times, and tasks that ask for the same."""
+    bodies = [b"a", b"", None, b"a", b"\xffb", "ü\ufeff".encode(), b"sha256:" + b"0" * 64, b'{"k": 1}']
+    mimes = ["text/plain", "image/png", "application/json", None]
+    files = spark.createDataFrame(
+        [("r", branch, "c1", f"f{i}", None if b is None else bytearray(b)) for i, b in enumerate(bodies) for branch in (("main", "dev") if i % 2 else ("main",))], REPO_FILES)
+    listing = spark.createDataFrame(
+        [(f"d{i}-{j}", "n", mime, None, None, "1", None, None, ["f", "g", "f"] if i % 2 else ["f"], i == 3) for i in range(len(bodies)) for j, mime in enumerate(mimes)], DRIVE_FILE)
+    content = spark.createDataFrame([(f"d{i}-{j}", None if b is None else bytearray(b), "gone" if b is None else None) for i, b in enumerate(bodies) for j in range(len(mimes))], DRIVE_CONTENT)
+    pages = spark.createDataFrame(
+        [(f"https://h/{i}", 200 if i else 404, kind, body) for i, (kind, body) in enumerate(
+            (k, b) for k in ("text/html", "application/json", None) for b in ("", None, "a", '{"k": 1}', "\ufeffü", "sha256:" + "0" * 64))],
+        "url string, status_code int, content_type string, body string")
+    feed = spark.createDataFrame([(s, r.id, s == 9, r) for s, r in enumerate(listing.collect())], DRIVE_CHANGE).withColumn("task_id", F.lit("t5"))
+    body = json.dumps({"ref": "refs/heads/main", "after": "c1", "repository": {"full_name": "r", "html_url": "r"}, "pusher": {"name": "p"}, "commits": [],
+                       "head_commit": {"id": "c1", "message": "m", "author": {"name": "n"}, "added": [f"f{i}" for i in range(9)], "modified": ["f0"], "removed": ["z"]}})
+    pushes = spark.createDataFrame([("t2", 3, body), ("t2", 4, body)], "task_id string, event_id long, body string")
+    todo = defs(spark, *[("git", {"repoUrl": "r"})] * 3, *[("gdrive-crawler", {"folderId": "f", "serviceAccountKey": KEY})] * 3, ("gdrive-crawler", {"folderId": "g", "serviceAccountKey": KEY}),
+                *[("http", {"startUrl": f"https://h/{i % 20}"}) for i in range(40)], ("git", {"repoUrl": "r", "branch": "dev"}))
+    todo = todo.withColumn("start_page_token", F.when(F.col("task_id") == "t5", "0"))
+    todo = todo.unionByName(todo.where("task_id IN ('t1', 't4', 't9')"))
+    return todo, {"pages": pages, "repo_files": files, "pushes": pushes, "drive_files": listing, "drive_content": content, "drive_changes": feed}
+
+
+def test_shared_records_are_whole(spark):
+    todo, tables = shared_inputs(spark)
+    found, status = run_tasks(todo, tables)
+    whole, counted = run_tasks(todo, tables, transform=lambda df: df)  # what a transform gets is written as it is
+    assert found.columns == whole.columns and found.count() > 200
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, whole.collect()))
+    assert sorted(map(repr, status.collect())) == sorted(map(repr, counted.collect()))
+
+
+def test_scans_and_contents_are_written_once(spark):
+    files = spark.createDataFrame([("r", "main", "c", f"f{i}", bytearray(b"x" * (i + 1))) for i in range(10)], REPO_FILES)
+    body = json.dumps({"ref": "refs/heads/main", "after": "c", "repository": {"full_name": "r", "html_url": "r"}, "pusher": {"name": "p"}, "commits": [],
+                       "head_commit": {"id": "c", "message": "m", "author": {"name": "n"}, "added": ["f0", "f1"], "modified": ["f0"], "removed": []}})
+    pushes = spark.createDataFrame([("t0", i, body) for i in range(20)], "task_id string, event_id long, body string")
+    listing = spark.createDataFrame([(f"d{i}", "n", "text/plain", None, None, "1", None, None, ["f"], False) for i in range(10)], DRIVE_FILE)
+    content = spark.createDataFrame([(f"d{i}", bytearray(b"y" * (i + 1)), None) for i in range(10)], DRIVE_CONTENT)
+    todo = defs(spark, *[("git", {"repoUrl": "r"})] * 31, *[("gdrive-crawler", {"folderId": "f", "serviceAccountKey": KEY})] * 30)
+    place = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(place.iterdir())
+    found, status = run_tasks(todo, {"repo_files": files, "pushes": pushes, "drive_files": listing, "drive_content": content})
+    assert found.count() == 60 + 30 * 10 + 30 * 10 == sum(r.crawled_count for r in status.collect())
+    (run,) = (p for p in set(place.iterdir()) - before if p.name.startswith("run-"))
+    assert spark.read.parquet(str(run / "records")).count() == 60 + 10 + 10
+    texts = [r.content_text for r in spark.read.parquet(str(run / "records")).collect()] + [bytes(r.content).decode() for r in spark.read.parquet(str(run / "contents")).collect()]
+    assert sorted(filter(None, texts)) == sorted([c * (i + 1) for c in "xy" for i in range(10)])
+
+
 def test_destinations_and_own_plugins(spark, tmp_path):
     runs.register("mine", lambda todo, inputs, run_ts: (inputs["mine"].join(todo.select("task_id"), "task_id"), runs._none(todo)), "mine", "Done.")
     try:
