@@ -62,7 +62,7 @@ def write_contents(records: DataFrame, stores: Mapping[str, DataFrame], staging:
     for number, (source, rows) in enumerate(stores.items()):
         due = records.where(F.col(CONTENT).isNotNull() & (F.col("source") == source)).select(CONTENT).distinct()
         if kept is not None:
-            due = due.join(kept.select(CONTENT), CONTENT, "left_anti")
+            due = due.join(kept.select(CONTENT).distinct(), CONTENT, "left_anti")
         due = staging.write(due, f"due/{source}")
         rows = rows.where(F.length("content") > 0).select(F.unhex(F.sha2("content", 256)).alias(CONTENT), "content")
         near = wanted_rows(due, rows, [CONTENT])

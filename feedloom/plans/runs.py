@@ -188,7 +188,12 @@ def run_tasks(
     if transform is not None:
         written = Shared(staging.write(written.of().transform(transform, **(transform_params or {})), "records"))
     else:
-        rows = staging.write(written.rows, "records")
+        # Part by part: plans stay small, and what a part has moved is let go of before the next one.
+        columns = written.rows.schema
+        for number, part in enumerate(parts):
+            given = [(F.col(f"`{c.name}`") if c.name in part.columns else F.lit(None)).cast(c.dataType).alias(c.name) for c in columns]
+            staging.write(part.select(*given), f"records/__part={number}")
+        rows = tasks.sparkSession.read.schema(columns).parquet(f"{staging.path}/records").drop("__part")
         stores = _stores(inputs) if CONTENT in rows.columns else {}
         written = Shared(rows, asked, write_contents(rows, stores, staging) if stores else None)
     _deliver(written, ready)
